@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, pii
+from . import block_ann, exact_dedup, line_quality, packing, pii, sentencepiece_codec
 
 
 def queries() -> dict:
     return {
+        "op1_sentencepiece": sentencepiece_codec.query,
+        "op2_block_ann": block_ann.query,
         "op4_pii": pii.query,
+        "op6_best_fit_packing": packing.query,
+        "op8_line_quality": line_quality.query,
         "op10_exact_dedup": exact_dedup.query,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op10_exact_dedup": exact_dedup.SQL}
+    return {"op2_block_ann": block_ann.SQL, "op10_exact_dedup": exact_dedup.SQL}
