@@ -70,7 +70,7 @@ def tile_topk(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vecto
         by_query[q].append(i)
     for q, owners in enumerate(by_query):
         alive = np.flatnonzero(about[q] + slack[q] >= floor[q])
-        exact = np.array([float(np.dot(asked[q], distinct[c])) for c in alive]) if len(alive) < 64 else distinct[alive] @ asked[q]
+        exact = np.cumsum(distinct[alive] * asked[q], axis=1)[:, -1]  # summed component by component, as a plain loop does
         entries = []
         for c, s in zip(alive.tolist(), exact.tolist(), strict=True):
             entries += [(-s, int(i)) for i in ids[by_class[starts[c] : min(starts[c] + k + 1, starts[c + 1])]]]
