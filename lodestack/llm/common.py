@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,6 +55,11 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def sizes_of(column: pa.Array) -> list[int]:
+    """Bytes of each text; null counts 0."""
+    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
+
+
 def groups_of(sizes: list[int], most: int):
     """Slices of consecutive rows whose sizes add up to about `most`, at least one row each."""
     start, total = 0, 0

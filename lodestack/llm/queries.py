@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import block_ann, exact_dedup, line_quality, packing, pii, sentencepiece_codec
+from . import block_ann, exact_dedup, line_quality, ngram_join, packing, pii, sentencepiece_codec
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_sentencepiece": sentencepiece_codec.query,
         "op2_block_ann": block_ann.query,
         "op4_pii": pii.query,
+        "op5_ngram_join": ngram_join.query,
         "op6_best_fit_packing": packing.query,
         "op8_line_quality": line_quality.query,
         "op10_exact_dedup": exact_dedup.query,
