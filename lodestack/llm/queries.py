@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from . import block_ann, exact_dedup, line_quality, ngram_join, packing, pii, sentencepiece_codec
+from . import block_ann, exact_dedup, line_quality, ngram_join, packing, pii, sentencepiece_codec, substring_dedup, suffix_levels
 
 
 def queries() -> dict:
     return {
         "op1_sentencepiece": sentencepiece_codec.query,
         "op2_block_ann": block_ann.query,
+        "op3_substring_dedup": substring_dedup.query,
         "op4_pii": pii.query,
         "op5_ngram_join": ngram_join.query,
         "op6_best_fit_packing": packing.query,
+        "op7_suffix_levels": suffix_levels.query,
         "op8_line_quality": line_quality.query,
         "op10_exact_dedup": exact_dedup.query,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op2_block_ann": block_ann.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    return {"op2_block_ann": block_ann.SQL, "op3_substring_dedup": substring_dedup.SQL, "op10_exact_dedup": exact_dedup.SQL}
