@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import block_ann, exact_dedup, line_quality, ngram_join, packing, pii, sentencepiece_codec, substring_dedup, suffix_levels
+from . import block_ann, exact_dedup, lattice_lm, line_quality, ngram_join, packing, pii, sentencepiece_codec, substring_dedup, suffix_levels
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op6_best_fit_packing": packing.query,
         "op7_suffix_levels": suffix_levels.query,
         "op8_line_quality": line_quality.query,
+        "op9_lattice_lm": lattice_lm.query,
         "op10_exact_dedup": exact_dedup.query,
     }
 
