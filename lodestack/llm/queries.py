@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import block_ann, exact_dedup, lattice_lm, line_quality, ngram_join, packing, pii, sentencepiece_codec, substring_dedup, suffix_levels
 
 
@@ -17,8 +19,10 @@ def queries() -> dict:
         "op8_line_quality": line_quality.query,
         "op9_lattice_lm": lattice_lm.query,
         "op10_exact_dedup": exact_dedup.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op2_block_ann": block_ann.SQL, "op3_substring_dedup": substring_dedup.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return pipeline | {"op2_block_ann": block_ann.SQL, "op3_substring_dedup": substring_dedup.SQL, "op10_exact_dedup": exact_dedup.SQL}
