@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups_of, texts_of
+from .common import groups_of, sizes_of, texts_of
 
 MARK = "▁"  # fixed value: what stands for a space in pieces
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed values: kinds of pieces
-KEPT_CUTS = 500_000  # a worker's store of encoded cuts starts anew beyond this
+KEPT_CUTS = 200_000  # a worker's store of encoded cuts starts anew beyond this
 LONG_CUT = 64  # longer cuts are merged one by one, with a heap
-BATCH_BYTES = 8 << 20  # texts that are encoded together
+BATCH_BYTES = 2 << 20  # texts that are encoded, and sent on, together
 
 
 def _fields(raw: bytes):
@@ -448,31 +448,36 @@ def codec(model_path: str) -> Codec:
         return Codec(f.read())
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", *, packed: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", *, packed: bool = False, decoded: str | None = None) -> DataFrame:
     """`docs` without the text, with piece ids and the byte span of the source that each piece stands for.
 
     Columns ids, begins, ends: arrays of int, or with packed=True binary columns of little-endian
-    32-bit integers (ids unsigned). Begin and end ids have empty spans at the text's ends. Null texts
-    count as empty and give the begin and end id only. Columns of docs with these names are replaced.
+    32-bit integers (ids unsigned). Begin and end ids have empty spans at the text's ends. decoded
+    names a column for what decode() makes of the ids, done in the same pass. Null texts count as
+    empty and give the begin and end id only. Columns of docs with these names are replaced.
     model_path must exist on every executor.
     """
-    names = ("ids", "begins", "ends")
+    names = ["ids", "begins", "ends", *([decoded] if decoded else [])]
     keep = [c for c in docs.columns if c not in {*names, text_col}]
     kind = "binary" if packed else "array<int>"
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema), *(f"{n} {kind}" for n in names)])
+    kinds = [kind] * 3 + ["string"] * bool(decoded)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema), *(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True))])
 
     def run(batches):
         c = codec(model_path)
         for batch in batches:
-            texts = texts_of(batch.column(len(keep)))
-            rows = [r for part in groups_of([len(t) for t in texts], BATCH_BYTES) for r in c.encode_all(texts[part])]
-            cols = []
-            for k in range(3):
-                if packed:
-                    cols.append(pa.array([r[k].tobytes() for r in rows], pa.binary()))
-                else:
-                    cols.append(pa.array([r[k].astype("<i4") for r in rows], pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *cols], [*keep, *names])
+            for part in groups_of(sizes_of(batch.column(len(keep))), BATCH_BYTES):
+                some = batch.slice(part.start, part.stop - part.start)
+                rows = c.encode_all(texts_of(some.column(len(keep))))
+                cols = []
+                for k in range(3):
+                    if packed:
+                        cols.append(pa.array([r[k].tobytes() for r in rows], pa.binary()))
+                    else:
+                        cols.append(pa.array([r[k].astype("<i4") for r in rows], pa.list_(pa.int32())))
+                if decoded:
+                    cols.append(pa.array([c.decode(r[0]) for r in rows], pa.string()))
+                yield pa.RecordBatch.from_arrays([*some.columns[: len(keep)], *cols], [*keep, *names])
 
     return docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
 
@@ -500,11 +505,10 @@ def query(spark, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    tokens = encode(docs, path, packed=True)
+    tokens = encode(docs, path, packed=True, decoded="decoded")
     # the last piece ends where the text ends: four bytes, least first
     spanned = F.conv(F.concat(*[F.hex(F.substring("ends", -k, 1)) for k in (1, 2, 3, 4)]), 16, 10).cast("long")
-    out = decode(tokens, path)
-    return out.select(
+    return tokens.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.octet_length("begins") / 4).cast("long").alias("n_spans"), spanned.alias("n_bytes"),
     )
