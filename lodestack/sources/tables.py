@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +37,16 @@ def conversations_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = F.array_join(F.transform(parts, lambda p: p["part"]), "\n")
     out = turns.groupBy("conv_id").agg(joined.alias("markdown"))
     return out.withColumn("path", F.concat(F.lit("raw/clip/2401/conv-"), F.col("conv_id").cast("string"), F.lit(".md")))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder under spark.checkpoint.dir, or a temporary one where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-lodestack-")
+    return f"{base.rstrip('/')}/lodestack-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written to a scratch folder and read back, for results that several later steps read."""
+    at = scratch(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
