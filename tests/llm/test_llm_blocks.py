@@ -37,7 +37,7 @@ def test_best_fit_takes_the_tightest_bin_without_conflict():
 def test_pack_keeps_every_row(spark):
     rng = random.Random(8)
     rows = [(i, rng.choice([0, 1, 30, 50, 100, 250]), f"s{rng.randint(0, 5)}" if i % 7 else None, rng.randint(0, 9)) for i in range(400)]
-    rows += [(None, None, None, None), (5, -3, "s1", 1)]
+    rows += [(None, None, None, None), (1005, -3, "s1", 1)]
     frame = spark.createDataFrame(rows, "doc_id long, n_tokens long, source string, cluster long").withColumn("bin_id", F.lit("x"))
     got = packing.pack(frame, capacity=100, shard_rows=64).collect()
     total, used, held = defaultdict(int), defaultdict(int), defaultdict(list)

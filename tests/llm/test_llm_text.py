@@ -108,7 +108,8 @@ def test_pii_frames(docs, none, spark):
 
 def test_long_texts_stay_linear(spark):
     text = "a" * 300_000 + "@" + "b." * 50_000 + "1" * 300_000 + " " + "1-" * 100_000
-    assert pii.find_pii(spark.createDataFrame([(text,)], "text string")).first().pii == []
+    got = pii.find_pii(spark.createDataFrame([(text,)], "text string")).first().pii
+    assert [(s.kind, s.start, s.end) for s in got] == [("email", 0, 700_001)]
 
 
 def test_chain_sums_over_all_labellings():
