@@ -7,6 +7,8 @@ from lodestack import catalog
 
 TABLES = "documents embeddings pages benchmark labels conversations events region nation customer supplier part orders lineitem".split()
 SQL = catalog.oracle_sql()
+# one test for each different query; several rows of the inventory share one
+ONCE = {(catalog.queries()[n], SQL[n]): n for n in sorted(SQL, reverse=True)}
 
 
 @pytest.fixture(scope="session")
@@ -21,7 +23,7 @@ def rows(frame, columns):
     return sorted(frame[columns].astype(str).itertuples(index=False, name=None))
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(ONCE.values()))
 def test_query_equals_its_sql(spark, sf, duck, name):
     want = duck.sql(SQL[name]).df()
     got = catalog.queries()[name](spark, sf).toPandas()
