@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FAMILIES = ("zvec_navigation", "zvec_section", "lexical")
+FAMILIES = ("navigation", "section", "lexical")
 WEIGHTS = {"local": 0.15, "source": 0.05, "terms": 0.50, "quality": 0.30}
 SECTION_QUALITY = {"methodology": 1.0, "results": 1.0, "claims": 1.0, "summary": 0.95, "abstract": 0.85, "questions": 0.75, "future": 0.75}
 PROSE = ("raw_section", "raw.section", "compiled_chunk")

@@ -30,7 +30,7 @@ def facts(spark, d):
 
 
 def candidates(spark, d):
-    parts = [("lexical", bm25(spark, d)), ("zvec_navigation", vector_topk(spark, d)), ("zvec_section", filtered_search(spark, d))]
+    parts = [("lexical", bm25(spark, d)), ("navigation", vector_topk(spark, d)), ("section", filtered_search(spark, d))]
     rows = None
     for family, hits in parts:
         part = hits.select("query_id", "doc_id", F.lit(family).alias("route_family"), F.col("score").alias("raw_score"))
@@ -45,7 +45,7 @@ FACTS = DOCS.replace("WITH d AS", "d AS") + f""", fx AS (SELECT doc_id, CASE lan
  CASE WHEN lang = 'es' THEN CASE WHEN doc_id % 2 = 0 THEN 'table.row' ELSE 'doc.heading' END ELSE '' END AS span_kind, doc_id % 7 AS start_line, text FROM d LEFT JOIN embeddings ON vec_id = doc_id)"""
 SEC = "sec AS (" + SEARCH["i06_vector_search"].replace("WITH qv AS", "WITH qv2 AS").replace("FROM qv,", "FROM qv2,").replace("(qv.e", "(qv2.e") + ")"
 CAND = f"""WITH {BM25}, {VEC}, {SEC}, {FACTS}, cand AS (SELECT query_id, doc_id, route_family, raw_score, record_type, record_id, source_path, source_id, content_hash, source_kind, section_kind, source_role, span_kind, start_line FROM
- (SELECT query_id, doc_id, 'lexical' AS route_family, score AS raw_score FROM bm UNION ALL SELECT query_id, doc_id, 'zvec_navigation', score FROM vr UNION ALL SELECT query_id, doc_id, 'zvec_section', score FROM sec) JOIN fx USING (doc_id)),
+ (SELECT query_id, doc_id, 'lexical' AS route_family, score AS raw_score FROM bm UNION ALL SELECT query_id, doc_id, 'navigation', score FROM vr UNION ALL SELECT query_id, doc_id, 'section', score FROM sec) JOIN fx USING (doc_id)),
  rk AS (SELECT *, row_number() OVER (PARTITION BY query_id, route_family ORDER BY raw_score DESC, record_type, record_id)::INTEGER AS route_rank FROM cand),
  mg AS (SELECT query_id, record_type, record_id, min(route_rank) AS route_rank, count(*) AS families, string_agg(concat(route_family,'=',route_rank), ',' ORDER BY route_family) AS ranks FROM rk GROUP BY ALL),
  ks AS (SELECT *, CASE WHEN source_id LIKE 'raw_clip:%' THEN source_path ELSE source_path END AS source_key FROM mg JOIN fx USING (record_type, record_id)),
