@@ -4,7 +4,7 @@ Bands and rows are chosen for a target recall at the threshold. Documents with o
 form a class and go on as one. Classes shuffle on their band hashes; within a bucket of few
 classes every pair is a candidate, in larger ones every class meets landmarks, and what they
 connect goes on as one. Candidates are verified on full n-gram sets, links connect classes, and
-connected classes get one id.
+connected classes get one id. Links are counted afterwards, among all members of each class.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ SMALL = 12  # buckets of at most so many classes are compared pair by pair
 ROUNDS = 1  # of landmarks; what is left then is compared in tiles
 SIGNATURE = 1024  # MinHash values that tell in a tile which pairs are worth a full comparison
 TILE = 256  # rows of a block
+MEMBERS = 1024  # sets of a class that are counted as one block, unless their n-grams take more than
+BLOCK_BYTES = 8 << 20
 
 
 def choose_bands(threshold: float, recall: float, hashes: int = 128) -> tuple[int, int]:
@@ -224,6 +226,68 @@ def _tiled_pairs(large: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     return found.distinct()
 
 
+def _close(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
+    """True where a left and a right set reach the threshold, by exact counts of what they share."""
+    n, m = (np.array([len(x) for x in side]) for side in (left, right))
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    places = []
+    for side, sizes in ((left, n), (right, m)):
+        grams, row = np.concatenate(side), np.repeat(np.arange(len(side)), sizes)
+        at = np.minimum(np.searchsorted(shared, grams), max(len(shared) - 1, 0))
+        found = np.flatnonzero(shared[at] == grams) if len(shared) else np.zeros(0, np.int64)
+        found = found[np.argsort(at[found], kind="stable")]
+        places.append((at[found], row[found]))
+    same = np.zeros((len(left), len(right)))
+    for lo in range(0, len(shared), 2048):
+        parts = []
+        for (at, row), side in zip(places, (left, right), strict=True):
+            i, j = np.searchsorted(at, [lo, lo + 2048])
+            part = np.zeros((len(side), min(2048, len(shared) - lo)), np.float32)
+            part[row[i:j], at[i:j] - lo] = 1
+            parts.append(part)
+        same += parts[0] @ parts[1].T
+    return same / (n[:, None] + m - same) >= threshold
+
+
+def _count(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """(_set, n) of whole classes, or of one tile of a class: texts of other sets that each set is linked to."""
+    out = []
+    for _, one in pdf.groupby("_class"):
+        i, j = one["i"].iloc[0], one["j"].iloc[0]
+        parts = [one[one["_block"] == x] for x in ((i,) if i == j else (i, j))]
+        if any(p.empty for p in parts):
+            continue
+        left, right = parts[0], parts[-1]
+        close = _close(left["_grams"].tolist(), right["_grams"].tolist(), threshold)
+        if i == j:
+            np.fill_diagonal(close, False)
+        else:
+            out.append((right["_set"], close.T @ left["_texts"].to_numpy()))
+        out.append((left["_set"], close @ right["_texts"].to_numpy()))
+    return pd.DataFrame({"_set": [x for s, _ in out for x in s], "n": np.concatenate([np.zeros(0, np.int64), *[n for _, n in out]])})
+
+
+def link_counts(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(_set, n) of members (_set, _class, _size, _texts): how many texts of other sets of its class each set is linked to.
+
+    All pairs of a class meet, in tiles of two blocks where the class has more than one; a task
+    holds a tile, or some small classes, and counts leave it, not pairs.
+    """
+    sizes = members.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_all")).where("_n > 1")
+    blocks = F.ceil(F.greatest(F.col("_n") / MEMBERS, F.col("_all") * 8 / BLOCK_BYTES)).cast("int")
+    sizes = written(sizes.select("_class", "_all", blocks.alias("_blocks")))
+    total = sizes.where("_blocks = 1").agg(F.sum("_all")).first()[0] or 0
+    slots = max(members.sparkSession.sparkContext.defaultParallelism, -(-total * 8 // BLOCK_BYTES))
+    rows = members.join(sizes, "_class").withColumn("_block", F.pmod(F.xxhash64("_set", F.lit(3)), F.col("_blocks").cast("long")).cast("int"))
+    rows = rows.join(sets, "_set").withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    unit = F.when(F.col("_blocks") > 1, F.col("_class")).otherwise(F.pmod(F.xxhash64("_class"), F.lit(slots)).cast("string").cast("binary"))
+    rows = rows.select(
+        unit.alias("_unit"), F.least("_block", "_q").alias("i"), F.greatest("_block", "_q").alias("j"), "_class", "_block", "_set", "_texts", "_grams"
+    )
+    found = rows.groupBy("_unit", "i", "j").applyInPandas(lambda p: _count(p, threshold), "_set binary, n long")
+    return found.groupBy("_set").agg(F.sum("n").alias("n"))
+
+
 def _all_pairs(rows: DataFrame) -> DataFrame:
     """(a, b, s, t) of the rows of a bucket whose classes differ or come from no landmark yet."""
     left = rows.select("k", F.col("_set").alias("a"), F.col("_size").alias("s"), F.col("_comp").alias("_ca"), F.col("_joined").alias("_ja"))
@@ -231,14 +295,15 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     return left.join(right, "k").where("a < b AND (_ca <> _cb OR NOT _ja)").select("a", "b", "s", "t")
 
 
-def similar(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(classes, links): _id, _h, _set, _size of every row, and verified links (a, b, sim) between n-gram sets.
+def similar(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classes, links, sets): _id, _h, _set, _size of every row, links (a, b, sim) that connect n-gram sets, sets with their n-grams.
 
     Buckets of more than SMALL sets go first: in a quarter of the bands each set meets its bucket's
     landmark. Sets that links have connected count as one from then on, so that a large group of
     near copies is met a few times for each member, not once for each pair. Sets that landmarks
     leave apart meet all sets of their buckets in tiles. Then every pair in the small buckets is
-    verified, but for pairs that landmarks have connected already.
+    verified, but for pairs that landmarks have connected already. Links are enough to connect
+    classes; link_counts() counts all of them.
     """
     bands, rows = choose_bands(threshold, recall)
     sketch = written(sketches(docs, n, bands, rows, id_col, text_col))
@@ -266,24 +331,26 @@ def similar(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float =
         links = add(_tiled_pairs(_labelled(large, links), sets, threshold))
     few = _labelled(buckets.where(F.col("_n") <= SMALL).select("k", "_set", "_size"), links)
     links = add(_all_pairs(few))
-    return sketch.select("_id", "_h", "_set", "_size"), links
+    return sketch.select("_id", "_h", "_set", "_size"), links, sets
 
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, _h, class_id, n_links, class_size): one row per row of docs.
 
     class_id is the smallest id among all documents connected by links (or with the same n-gram set);
-    n_links counts verified links of its n-gram set to other sets: all of them in groups of up to
-    SMALL sets; in larger groups those to landmarks, which connect the group. Texts without words are alone:
-    class_id is their id, no links. Rows with a null id are returned with null class_id and join
+    n_links counts the different texts that reach the threshold with it, those of the same n-gram
+    set too; rows of one text count once. Texts without words are alone: class_id is their id, no links. Rows with a null id are returned with null class_id and join
     nothing. Rows that repeat share a class. Other columns of docs are not read.
     """
-    rows, links = similar(docs.where(F.col(id_col).isNotNull()), threshold, n, recall, id_col, text_col)
-    links = written(links)
-    label = components(links)
-    degree = links.select("a").union(links.select("b")).toDF("node").groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    info = written(label.join(degree, "node").select(F.col("node").alias("_node"), "label", "n_links"))
-    named = rows.join(info, rows["_set"] == info["_node"], "left")
+    rows, links, sets = similar(docs.where(F.col(id_col).isNotNull()), threshold, n, recall, id_col, text_col)
+    label = components(links).select(F.col("node").alias("_node"), "label")
+    texts = rows.where("_size > 0").groupBy("_set").agg(F.first("_size").alias("_size"), F.countDistinct("_h").alias("_texts"))
+    texts = written(texts.join(label, texts["_set"] == label["_node"], "left").drop("_node"))
+    counts = written(link_counts(texts.where("label IS NOT NULL").withColumnRenamed("label", "_class"), sets, threshold))
+    total = (F.coalesce("n", F.lit(0)) + F.col("_texts") - 1).alias("n_links")
+    # only sets with a link or a second text
+    info = texts.join(counts, "_set", "left").select(F.col("_set").alias("_node"), "label", total).where("label IS NOT NULL OR n_links > 0")
+    named = rows.join(written(info), rows["_set"] == F.col("_node"), "left")
     alone = F.col("_size") == 0
     key = F.when(alone, F.concat(F.lit("-"), F.col("_id").cast("string")).cast("binary")).otherwise(F.coalesce("label", "_set"))
     named = named.select("_id", "_h", key.alias("_key"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -80,6 +80,24 @@ def test_large_buckets_use_landmarks(spark):
     assert all(got[100 + i] == 100 + i for i in range(5))
 
 
+@pytest.mark.parametrize("members", [1024, 16])
+def test_links_of_large_groups_like_brute_force(spark, monkeypatch, members):
+    monkeypatch.setattr(ngram_join, "MEMBERS", members)
+    rng = np.random.default_rng(7)
+    texts = []
+    for i in range(60):
+        w = [f"w{k}" for k in range(300)]
+        for k in rng.choice(300, i % 8, replace=False):
+            w[k] = f"x{i}"
+        texts.append(" ".join(w))
+    texts += [texts[1].replace(" ", "  "), texts[1], "a b c d e f g", "a b c d e  f g", "lone words here"]
+    sets = [grams(t) for t in texts]
+    got = {r.doc_id: r.n_links for r in ngram_join.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, a in enumerate(sets):
+        assert got[i] == len({t for t, b in zip(texts, sets, strict=True) if len(a & b) / len(a | b) >= 0.8} - {texts[i]})
+    assert len({got[i] for i in range(60)}) > 3
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {r.node: r.label for r in ngram_join.components(links).collect()} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
