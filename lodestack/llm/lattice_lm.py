@@ -113,6 +113,18 @@ class Lattice:
             alpha[j] = top + np.log(np.exp(np.array(got) - top).sum())
         return alpha
 
+    def _count_one(self, word: bytes, times: float, out: np.ndarray) -> None:
+        """Add to out the expected piece counts of one long word, by a backward pass."""
+        alpha, n = self._one_by_one(word), len(word)
+        beta = np.full(n + 1, -np.inf)
+        beta[n] = 0
+        for i in range(n - 1, -1, -1):
+            got = [(p, j) for j in range(i + 1, min(n, i + self.widest) + 1) if (p := self.index.get(word[i:j])) is not None]
+            piece, end = np.array(got).T
+            w = self.logs[piece] + beta[end]
+            beta[i] = w.max() + np.log(np.exp(w - w.max()).sum())
+            out[piece] += np.exp(alpha[i] + w - alpha[n]) * times
+
     def marginals(self, words: list[bytes]) -> np.ndarray:
         """Natural log of the total weight of all segmentations of ' ' + word, for each word."""
         marked = [b" " + w for w in words]
@@ -127,10 +139,7 @@ class Lattice:
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected number of times that each piece is used in `counts` copies of each word.
-
-        Words of more than LONG bytes count by their best bytes only: each byte as itself.
-        """
+        """Expected number of times that each piece is used in `counts` copies of each word."""
         marked = [b" " + w for w in words]
         out = np.zeros(len(self.pieces))
         short = [i for i, w in enumerate(marked) if len(w) <= LONG]
@@ -150,7 +159,7 @@ class Lattice:
                 out += np.bincount(piece[has], p, minlength=len(out))
         for i, w in enumerate(marked):
             if len(w) > LONG:
-                out += np.bincount([self.index[bytes([b])] for b in w], minlength=len(out)) * counts[i]
+                self._count_one(w, counts[i], out)
         return out
 
 

@@ -166,6 +166,17 @@ def test_expected_counts_cover_every_byte():
     assert np.isclose(sum(len(p) * n for p, n in zip(pieces, got, strict=True)), 2 * 3 + 3 * 5)
 
 
+def test_expected_counts_of_long_words(monkeypatch):
+    pieces = [b"a", b"b", b"ab", b" ", b" a", b"ba", b"abab"]
+    lattice = lattice_lm.Lattice(pieces, np.log([0.2, 0.2, 0.2, 0.1, 0.1, 0.1, 0.1]))
+    words, counts = [b"ab", b"abba", b"babab" * 3, b"ab" * 40], np.array([2.0, 3.0, 1.0, 5.0])
+    monkeypatch.setattr(lattice_lm, "LONG", 1000)
+    want = lattice.expected(words, counts)
+    for long in (3, 48):
+        monkeypatch.setattr(lattice_lm, "LONG", long)
+        assert np.allclose(lattice.expected(words, counts), want)
+
+
 def test_lattice_scores(docs, none, texts):
     from pyspark.sql import functions as F
 
