@@ -22,9 +22,7 @@ from .common import texts_of, written
 from .tokens import ODD, WordNumbers, grams, mixed, words_of
 
 SMALL = 12  # buckets of at most so many classes are compared pair by pair
-ROUNDS = 1  # of landmarks; what is left then is compared in tiles
-SIGNATURE = 1024  # MinHash values that tell in a tile which pairs are worth a full comparison
-TILE = 256  # rows of a block
+TILE = 256  # sets of a block, unless their n-grams take more than BLOCK_BYTES
 MEMBERS = 1024  # sets of a class that are counted as one block, unless their n-grams take more than
 BLOCK_BYTES = 8 << 20
 
@@ -158,76 +156,76 @@ def _landmark_pairs(buckets: DataFrame, turn: int) -> DataFrame:
     return met.select(*[e.alias(c) for e, c in zip(ends, "abst", strict=True)])
 
 
-def _signatures(sets: DataFrame) -> DataFrame:
-    """(_set, _sig): SIGNATURE MinHash values of each n-gram set, four bits of each."""
+LINK = "a binary, b binary, sim double"
 
-    def packed(grams: np.ndarray) -> bytes:
-        low = (minhash(grams.view(np.uint64), SIGNATURE, 1) & np.uint64(15)).astype(np.uint8)
-        return (low[::2] << 4 | low[1::2]).tobytes()
 
-    def run(batches):
-        for batch in batches:
-            sigs = [packed(x.values.to_numpy()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.binary())], ["_set", "_sig"])
-
-    return sets.select("_set", "_grams").mapInArrow(run, "_set binary, _sig binary")
-
-
-PAIRS = "a binary, b binary, s long, t long"
-
-
-def _tile(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Pairs of a tile whose signatures leave the threshold possible, at the smallest bucket that both are in."""
+def _forest(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links between classes of a left and a right block, found on full n-gram sets: enough to connect what is connected, no more."""
     out = []
     if len(left) and len(right):
-        x, y = (np.frombuffer(b"".join(d[c]), np.uint8).reshape(len(d), -1) for d, c in ((left, "_sig"), (right, "_rsig")))
-        same = np.zeros((len(x), len(y)), np.uint16)
-        for i in range(x.shape[1]):
-            differ = x[:, i, None] ^ y[None, :, i]
-            same += differ < 16
-            same += (differ & 15) == 0
-        # four bits are equal by chance once in sixteen; one pair in ten thousand at the threshold is below `least`
-        p = threshold + (1 - threshold) / 16
-        least = SIGNATURE * (p - 3.7 * np.sqrt(p * (1 - p) / SIGNATURE))
-        n, m = left["_size"].to_numpy(), right["_rsize"].to_numpy()
-        fit = (same >= least) & (np.minimum(n[:, None], m) >= threshold * np.maximum(n[:, None], m))
-        fit &= left["_comp"].to_numpy()[:, None] != right["_rcomp"].to_numpy()
-        k = left["k"].iloc[0]
-        for i, j in zip(*np.nonzero(fit), strict=True):
-            if min(set(left["_keys"].iloc[i]) & set(right["_rkeys"].iloc[j])) == k:
-                one, two = (left["_set"].iloc[i], int(n[i])), (right["_rset"].iloc[j], int(m[j]))
-                (a, s), (b, t) = sorted((one, two))
-                out.append((a, b, s, t))
-    return pd.DataFrame(out, columns=["a", "b", "s", "t"])
-
-
-def _tiled_pairs(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, s, t) of different classes in large buckets that may reach the threshold.
-
-    In each bucket, the sets outside its largest class meet all sets, in tiles of TILE rows; a
-    task holds two blocks, and only pairs whose signatures are close enough leave it.
+        sim = _similarity(left["_grams"].tolist(), right["_grams"].tolist())
+        classes = pd.factorize(pd.concat([left["_comp"], right["_comp"]]))[0]
+        x, y = classes[: len(left)], classes[len(left) :]
+        i, j = np.nonzero((sim >= threshold) & (x[:, None] != y))
+        first = np.unique(x[i] * len(classes) + y[j], return_index=True)[1]
+        root = list(range(len(classes)))
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        for at in first:
+            a, b = find(x[i[at]]), find(y[j[at]])
+            if a != b:
+                root[a] = b
+                out.append((*sorted((left["_set"].iloc[i[at]], right["_set"].iloc[j[at]])), float(sim[i[at], j[at]])))
+    return pd.DataFrame(out, columns=["a", "b", "sim"])
+
+
+def _blocks(n, size):
+    """How many blocks n sets of so many n-grams in all make."""
+    return F.ceil(F.greatest(n / TILE, size * 8 / BLOCK_BYTES)).cast("int")
+
+
+def _dealt(n, seed: int):
+    return F.pmod(F.xxhash64("_set", F.lit(seed)), n.cast("long")).cast("int")
+
+
+def _tiled(left: DataFrame, right: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, sim) between rows (_unit, _set, _size, _comp) of left and right that have one unit, in tiles of two blocks."""
+    count = [F.count(F.lit(1)).alias("n"), F.sum("_size").alias("m")]
+    info = left.groupBy("_unit").agg(*count).select("_unit", _blocks(F.col("n"), F.col("m")).alias("_lb"))
+    info = written(info.join(right.groupBy("_unit").agg(*count).select("_unit", _blocks(F.col("n"), F.col("m")).alias("_rb")), "_unit"))
+    grams = sets.select("_set", "_grams")
+    cols = ("_unit", "_set", "_comp", "_grams", "i", "j")
+    one = left.join(info, "_unit").join(grams, "_set").withColumn("i", _dealt(F.col("_lb"), 1)).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("_rb") - 1)))
+    two = right.join(info, "_unit").join(grams, "_set").withColumn("j", _dealt(F.col("_rb"), 2)).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_lb") - 1)))
+    two = two.select(*[F.col(c).alias(f"_r{c}" if c in ("_unit", "i", "j") else c) for c in cols])
+    return one.select(*cols).groupBy("_unit", "i", "j").cogroup(two.groupBy("_r_unit", "_ri", "_rj")).applyInPandas(lambda a, b: _forest(a, b, threshold), LINK)
+
+
+def _left_apart(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, sim) of sets that share a large bucket and that landmarks have left in different classes.
+
+    The sets outside a bucket's largest class meet that whole class, which comes once, whatever
+    number of buckets it fills; and they meet each other within each bucket.
     """
     sizes = large.groupBy("k", "_comp").agg(F.count(F.lit(1)).alias("n"))
-    info = sizes.groupBy("k").agg(F.sum("n").alias("_all"), F.max("n").alias("_top"), F.max_by("_comp", F.struct("n", "_comp")).alias("_main")).where("_all > _top")
-    info = info.select("k", "_main", F.ceil(F.col("_all") / TILE).cast("int").alias("_rb"), F.ceil((F.col("_all") - F.col("_top")) / TILE).cast("int").alias("_lb"))
-    rows = large.join(written(info), "k")
-    keys = rows.groupBy("_set").agg(F.sort_array(F.collect_set("k")).alias("_keys"))  # at most one key a band
-    sigs = _signatures(sets.join(keys.select("_set"), "_set", "left_semi"))
-    rows = written(rows.join(keys.join(sigs, "_set"), "_set"))
-
-    def block(n, seed):
-        return F.pmod(F.xxhash64("_set", F.lit(seed)), n.cast("long")).cast("int")
-
-    every = F.explode(F.sequence(F.lit(0), F.col("_rb") - 1))
-    left = rows.where("_comp <> _main").select("k", "_set", "_size", "_comp", "_keys", "_sig", block(F.col("_lb"), 1).alias("i"), every.alias("j"))
-    names = {"k": "_rk", "_set": "_rset", "_size": "_rsize", "_comp": "_rcomp", "_keys": "_rkeys", "_sig": "_rsig"}
-    right = rows.select(*[F.col(c).alias(n) for c, n in names.items()], F.explode(F.sequence(F.lit(0), F.col("_lb") - 1)).alias("_ri"), block(F.col("_rb"), 2).alias("_rj"))
-    found = left.groupBy("k", "i", "j").cogroup(right.groupBy("_rk", "_ri", "_rj")).applyInPandas(lambda a, b: _tile(a, b, threshold), PAIRS)
-    return found.distinct()
-
-
-def _close(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
-    """True where a left and a right set reach the threshold, by exact counts of what they share."""
+    main = sizes.groupBy("k").agg(F.max_by("_comp", F.struct("n", "_comp")).alias("_main"), F.count(F.lit(1)).alias("_classes")).where("_classes > 1").select("k", "_main")
+    apart = written(large.join(main, "k").where("_comp <> _main").select("k", "_main", "_set", "_size", "_comp"))
+    ends = large.groupBy(F.col("_comp").alias("_main")).agg(F.min("_size").alias("_least"), F.max("_size").alias("_most"))
+    near = apart.join(ends, "_main").where((F.col("_size") >= threshold * F.col("_least")) & (F.col("_size") * threshold <= F.col("_most")))
+    near = written(near.select(F.col("_main").alias("_unit"), "_set", "_size", "_comp").distinct())
+    whole = large.select("_set", "_size", "_comp").distinct().withColumn("_unit", F.col("_comp"))
+    whole = written(whole.join(near.select("_unit").distinct(), "_unit", "left_semi"))
+    rest = apart.select(F.col("k").alias("_unit"), "_set", "_size", "_comp")
+    return _tiled(near, whole, sets, threshold).union(_tiled(rest, rest, sets, threshold))
+
+
+def _similarity(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Jaccard similarity of each left with each right set, by exact counts of what they share."""
     n, m = (np.array([len(x) for x in side]) for side in (left, right))
     shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
     places = []
@@ -246,7 +244,7 @@ def _close(left: list[np.ndarray], right: list[np.ndarray], threshold: float) ->
             part[row[i:j], at[i:j] - lo] = 1
             parts.append(part)
         same += parts[0] @ parts[1].T
-    return same / (n[:, None] + m - same) >= threshold
+    return same / (n[:, None] + m - same)
 
 
 def _count(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -258,7 +256,7 @@ def _count(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
         if any(p.empty for p in parts):
             continue
         left, right = parts[0], parts[-1]
-        close = _close(left["_grams"].tolist(), right["_grams"].tolist(), threshold)
+        close = _similarity(left["_grams"].tolist(), right["_grams"].tolist()) >= threshold
         if i == j:
             np.fill_diagonal(close, False)
         else:
@@ -298,12 +296,13 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
 def similar(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(classes, links, sets): _id, _h, _set, _size of every row, links (a, b, sim) that connect n-gram sets, sets with their n-grams.
 
-    Buckets of more than SMALL sets go first: in a quarter of the bands each set meets its bucket's
-    landmark. Sets that links have connected count as one from then on, so that a large group of
-    near copies is met a few times for each member, not once for each pair. Sets that landmarks
-    leave apart meet all sets of their buckets in tiles. Then every pair in the small buckets is
-    verified, but for pairs that landmarks have connected already. Links are enough to connect
-    classes; link_counts() counts all of them.
+    Buckets of more than SMALL sets go first: in the first band, then in all bands, each set meets
+    its bucket's landmark unless links connect the two already, so that a large group of near
+    copies is met a few times for each member, not once for each pair. Sets that landmarks leave
+    apart meet the sets of their buckets in tiles, out of which come no more links than connect
+    classes. Then every pair in the small buckets is verified, but for pairs that landmarks have
+    connected already. Every pair that shares a bucket is so compared or connected by links, at
+    whatever bucket size; link_counts() counts all links.
     """
     bands, rows = choose_bands(threshold, recall)
     sketch = written(sketches(docs, n, bands, rows, id_col, text_col))
@@ -325,10 +324,10 @@ def similar(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float =
 
     large = written(buckets.where(F.col("_n") > SMALL).select("k", "band", "_set", "_size"))
     if not large.isEmpty():
-        for turn in range(ROUNDS):
-            part = large.where(F.col("band") < bands // 4) if turn == 0 else large
+        for turn, part in enumerate((large.where("band = 0"), large)):
             links = add(_landmark_pairs(_labelled(part, links), turn))
-        links = add(_tiled_pairs(_labelled(large, links), sets, threshold))
+        found = written(_left_apart(written(_labelled(large, links)), sets, threshold))
+        links = written(links.union(found).dropDuplicates(["a", "b"]))
     few = _labelled(buckets.where(F.col("_n") <= SMALL).select("k", "_set", "_size"), links)
     links = add(_all_pairs(few))
     return sketch.select("_id", "_h", "_set", "_size"), links, sets
