@@ -23,9 +23,13 @@ def _blocks(texts: DataFrame, size: int) -> DataFrame:
 
 
 def _numbered(rows: DataFrame, *key: str) -> DataFrame:
-    """Distinct keys, sorted, each with an integer name; written, so that names never change."""
-    distinct = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
-    ordered = distinct.repartitionByRange(*key).sortWithinPartitions(*key)
+    """Distinct keys, sorted, each with an integer name; written, so that names never change.
+
+    The order is that of a 64-bit hash, then of the key: ranges are found on samples of the hash,
+    so that no blocks go to the driver.
+    """
+    distinct = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_order", F.xxhash64(*key))
+    ordered = distinct.repartitionByRange("_order").sortWithinPartitions("_order", *key)
     return written(ordered.select(*key, F.monotonically_increasing_id().alias("_name")))
 
 
@@ -91,10 +95,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the rows that exact_dedup() does not keep; all columns stay."""
+    """`docs` with one row of each text, the one that exact_dedup() keeps; all columns stay.
+
+    Where the kept id and text stand in several rows, any one of them stays.
+    """
     text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    gone = exact_dedup(docs, id_col, text_col, extra={"_gh": text}).where(~F.col("kept")).select(F.col(id_col).alias("_gid"), "_gh")
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gid")) & (text == F.col("_gh")), "left_anti")
+    found = written(exact_dedup(docs, id_col, text_col, extra={"_gh": text}).where("group_size > 1").select(F.col(id_col).alias("_gid"), "_gh", "kept"))
+
+    def met(keys: DataFrame, how: str) -> DataFrame:
+        return docs.join(keys, docs[id_col].eqNullSafe(F.col("_gid")) & (text == F.col("_gh")), how)
+
+    again = written(found.where("kept").groupBy("_gid", "_gh").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").drop("_rows"))
+    once = met(found.where(~F.col("kept")).select("_gid", "_gh").union(again), "left_anti")
+    repeated = met(again, "left_semi").withColumn("_gh", text).dropDuplicates([id_col, "_gh"]).drop("_gh")
+    return once.unionByName(repeated)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,10 @@ from .common import groups_of, texts_of
 
 FIT_DOCS = 3000  # most labelled documents that a fit uses, those of the smallest hash
 FIT_LINES = 512  # documents of more lines are not used for a fit
+FIT_BYTES = 1 << 16  # nor are longer texts, so that a fit collects at most FIT_DOCS times as much
+STEPS = 512  # lines of a chain that are looked at together; longer chains pass their state on
+CELLS = 1 << 17  # padded lines of a batch of chains
+BLOCK = 8192  # lines whose features are held at once
 OWN = 12  # features of a line itself
 _ODD_END = re.compile(r"[^\w\s.,;:?!'\")\]]+(?=\s|$)")
 _LOUD = re.compile(r"!!|\?\?|\|")
@@ -31,10 +35,9 @@ for _b in range(256):
     _CLASS[_b] = 7 if _b > 127 else 1 if _c.islower() else 2 if _c.isupper() else 3 if _c.isdigit() else 4 if _c.isspace() else 5 if _c in ".,;:'\"()-" else 6
 
 
-def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(features of each line, its length). A text has at least one line, which may be empty."""
-    lines = text.split("\n")
-    rows, seen = np.zeros((len(lines), OWN)), set()
+def _features(lines: list[str], seen: set[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(features, length) of each line; seen: the lines before them, to which these are added."""
+    rows = np.zeros((len(lines), OWN))
     weight = np.empty(len(lines))
     for i, line in enumerate(lines):
         raw = line.encode("utf-8", "replace")
@@ -66,34 +69,66 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return rows, weight
 
 
+def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(features of each line, its length). A text has at least one line, which may be empty."""
+    return _features(text.split("\n"), set())
+
+
 def with_neighbours(rows: np.ndarray) -> np.ndarray:
     """Each line's features beside those of the line before and after, zero outside, and a constant."""
     zero = np.zeros((1, rows.shape[1]))
     return np.hstack([rows, np.vstack([zero, rows[:-1]]), np.vstack([rows[1:], zero]), np.ones((len(rows), 1))])
 
 
-def chain(unary: np.ndarray, trans: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def forward(unary: np.ndarray, trans: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Forward logs of padded sequences; after a sequence's end its last value stays."""
+    alpha = np.zeros(unary.shape)
+    alpha[:, 0] = unary[:, 0] + first
+    for t in range(1, unary.shape[1]):
+        x = alpha[:, t - 1, :, None] + trans
+        new = np.logaddexp(x[:, 0], x[:, 1]) + unary[:, t]
+        alpha[:, t] = np.where((t < lengths)[:, None], new, alpha[:, t - 1])
+    return alpha
+
+
+def chain(unary: np.ndarray, trans: np.ndarray, first: np.ndarray, lengths: np.ndarray, last: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over padded sequences: log Z, node marginals, summed edge marginals.
 
     unary: (sequences, steps, 2); trans: (2, 2) and first: (2,), all logs; lengths: steps of each.
+    first may have a row for each sequence, and so may last, the logs of what follows its end.
     """
     n, steps, _ = unary.shape
-    alpha, beta = np.zeros((n, steps, 2)), np.zeros((n, steps, 2))
-    alpha[:, 0] = unary[:, 0] + first
-    for t in range(1, steps):
-        x = alpha[:, t - 1, :, None] + trans
-        new = np.logaddexp(x[:, 0], x[:, 1]) + unary[:, t]
-        alpha[:, t] = np.where((t < lengths)[:, None], new, alpha[:, t - 1])
-    z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
+    alpha, beta = forward(unary, trans, first, lengths), np.zeros((n, steps, 2))
+    last = np.broadcast_to(last, (n, 2))
+    beta[:, -1] = last
+    z = np.logaddexp.reduce(alpha[:, -1] + last, axis=1)
     edges = np.zeros((2, 2))
     for t in range(steps - 2, -1, -1):
         inside = (t + 1 < lengths)[:, None]
         y = trans + (unary[:, t + 1] + beta[:, t + 1])[:, None, :]
-        beta[:, t] = np.where(inside, np.logaddexp(y[:, :, 0], y[:, :, 1]), 0)
+        beta[:, t] = np.where(inside, np.logaddexp(y[:, :, 0], y[:, :, 1]), last)
         edges += (np.exp(alpha[:, t, :, None] + y - z[:, None, None]) * inside[:, :, None]).sum(0)
     return z, np.exp(alpha + beta - z[:, None, None]), edges
 
 
+def _padded(parts: list[np.ndarray]):
+    """(indices, unary logs, lengths) of chains of like length, with a bounded number of cells."""
+    lengths = np.array([len(p) for p in parts])
+    order = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        # in ascending order, so that the last of a batch sets its width
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * lengths[order[end]] <= CELLS:
+            end += 1
+        pick = order[at:end]
+        unary = np.zeros((len(pick), lengths[pick[-1]], 2))
+        for k, i in enumerate(pick):
+            unary[k, : lengths[i], 1] = parts[i]
+        yield pick, unary, lengths[pick]
+        at = end
+
+
 @dataclass
 class Model:
     mean: np.ndarray
@@ -105,29 +140,60 @@ class Model:
     shift: float = 0.0
     prior: float = -1.0  # used alone if it is not negative
 
-    def good_lines(self, rows: list[np.ndarray]) -> list[np.ndarray]:
-        """Probability of being good of every line, for each document's features."""
-        lengths = np.array([len(r) for r in rows])
-        out: list = [None] * len(rows)
-        order = np.argsort(lengths, kind="stable")
-        for part in groups_of([1] * len(rows), 256):
-            pick = order[part]
-            steps = lengths[pick].max()
-            unary = np.zeros((len(pick), steps, 2))
-            for k, i in enumerate(pick):
-                unary[k, : lengths[i], 1] = ((with_neighbours(rows[i]) - self.mean) / self.scale) @ self.weights
-            _, node, _ = chain(unary, self.trans, self.first, lengths[pick])
+    def lines(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(log weight of being good, length) of each line; features are held for BLOCK lines at a time."""
+        own, before, after = (self.weights[k * OWN : (k + 1) * OWN] / self.scale[k * OWN : (k + 1) * OWN] for k in range(3))
+        shift = self.weights[-1] - (self.mean[:-1] / self.scale[:-1]) @ self.weights[:-1]
+        lines, seen, parts = text.split("\n"), set(), []
+        for at in range(0, len(lines), BLOCK):
+            rows, weight = _features(lines[at : at + BLOCK], seen)
+            parts.append((rows @ own, rows @ before, rows @ after, weight))
+        u, prev, next_, weight = (np.concatenate(c) for c in zip(*parts, strict=True))
+        u += shift
+        u[1:] += prev[:-1]
+        u[:-1] += next_[1:]
+        return u, weight
+
+    def good_lines(self, lines: list[np.ndarray]) -> list[np.ndarray]:
+        """Probability of being good of every line, for each document's log weights.
+
+        Chains of more than STEPS lines are cut; what each part makes of either state before it
+        gives, part by part, the forward logs that enter it and the backward logs that follow it.
+        """
+        parts = [u[at : at + STEPS] for u in lines for at in range(0, len(u), STEPS)]
+        doc = np.repeat(np.arange(len(lines)), [-(-len(u) // STEPS) for u in lines])
+        enter, leave = np.tile(self.first, (len(parts), 1)), np.zeros((len(parts), 2))
+        cut = np.flatnonzero(np.bincount(doc)[doc] > 1) if len(doc) else doc
+        moves = np.zeros((len(parts), 2, 2))
+        for pick, unary, lengths in _padded([parts[i] for i in cut]):
+            for a in (0, 1):
+                moves[cut[pick], a] = forward(unary, self.trans, self.trans[a], lengths)[:, -1]
+        for i in cut:
+            if doc[i - 1] != doc[i] or i == 0:
+                state = forward(np.stack([np.zeros(len(parts[i])), parts[i]], 1)[None], self.trans, self.first, np.array([len(parts[i])]))[0, -1]
+            else:
+                x = state[:, None] + self.trans
+                enter[i] = np.logaddexp(x[0], x[1])
+                x = state[:, None] + moves[i]
+                state = np.logaddexp(x[0], x[1])
+        for i in cut[::-1]:
+            if i + 1 < len(doc) and doc[i + 1] == doc[i]:
+                leave[i] = np.logaddexp.reduce(moves[i + 1] + leave[i + 1], axis=1)
+        node: list = [None] * len(parts)
+        for pick, unary, lengths in _padded(parts):
+            _, p, _ = chain(unary, self.trans, enter[pick], lengths, leave[pick])
             for k, i in enumerate(pick):
-                out[i] = node[k, : lengths[i], 1]
-        return out
+                node[i] = p[k, : lengths[k], 1]
+        ends = np.searchsorted(doc, np.arange(len(lines) + 1))
+        return [np.concatenate(node[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    def quality(self, rows: list[np.ndarray], weight: list[np.ndarray]) -> np.ndarray:
-        return np.array([float(p @ w / w.sum()) for p, w in zip(self.good_lines(rows), weight, strict=True)])
+    def quality(self, lines: list[np.ndarray], weight: list[np.ndarray]) -> np.ndarray:
+        return np.array([float(p @ w / w.sum()) for p, w in zip(self.good_lines(lines), weight, strict=True)])
 
-    def score(self, rows: list[np.ndarray], weight: list[np.ndarray]) -> np.ndarray:
+    def score(self, texts: list[str]) -> np.ndarray:
         if self.prior >= 0:
-            return np.full(len(rows), self.prior)
-        q = np.clip(self.quality(rows, weight), 1e-6, 1 - 1e-6)
+            return np.full(len(texts), self.prior)
+        q = np.clip(self.quality(*map(list, zip(*map(self.lines, texts), strict=True))), 1e-6, 1 - 1e-6)
         return 1 / (1 + np.exp(-np.clip(self.slope * np.log(q / (1 - q)) + self.shift, -30, 30)))
 
 
@@ -182,11 +248,11 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     x = [(r - mean) / scale for r in near]
     lines = [np.full(len(r), float(k)) for r, k in zip(rows, y, strict=True)]
     model = Model(mean, scale, *_fit_chain(*map(list, zip(*_pieces(x, lines), strict=True))))
-    for i, p in enumerate(model.good_lines(list(rows))):
+    for i, p in enumerate(model.good_lines([model.lines(t)[0] for t in texts])):
         if not y[i]:
             lines[i] = (p > max(0.5, p.min())).astype(float)  # at least the worst line is bad
     model = Model(mean, scale, *_fit_chain(*map(list, zip(*_pieces(x, lines), strict=True))))
-    q = np.clip(model.quality(list(rows), list(weight)), 1e-6, 1 - 1e-6)
+    q = np.clip(model.quality([model.lines(t)[0] for t in texts], list(weight)), 1e-6, 1 - 1e-6)
     f = np.stack([np.log(q / (1 - q)), np.ones(len(q))], 1)
     beta = np.array([1.0, 0.0])
     for _ in range(50):  # Newton steps of a penalised logistic fit
@@ -201,12 +267,13 @@ def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Fit on at most `most` labelled documents, those whose ids have the smallest hashes.
 
     Null labels and ids are not used; of several labels for one id the larger counts. Documents
-    of more than FIT_LINES lines are left out of the fit (they are still scored).
+    of more than FIT_LINES lines or FIT_BYTES bytes are left out of the fit (they are still scored).
     """
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(most)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    got = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).join(F.broadcast(chosen), "_id").where(F.size(F.split("_t", "\n", -1)) <= FIT_LINES)
+    got = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).join(F.broadcast(chosen), "_id")
+    got = got.where((F.octet_length("_t") <= FIT_BYTES) & (F.size(F.split("_t", "\n", -1)) <= FIT_LINES))
     found = got.orderBy("_id", "_t").limit(most).collect()
     return fit([r["_t"] for r in found], [int(r["_y"] > 0) for r in found])
 
@@ -221,8 +288,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
         for batch in batches:
             texts, out = texts_of(batch.column(at).cast(pa.string())), []
             for part in groups_of([len(t) for t in texts], 4 << 20):
-                rows, weight = zip(*(line_features(t.decode("utf-8", "replace")) for t in texts[part]), strict=True)
-                out.append(model.score(list(rows), list(weight)))
+                out.append(model.score([t.decode("utf-8", "replace") for t in texts[part]]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *out]))], [*keep, out_col])
 
     return docs.select(*keep).mapInArrow(run, schema)

@@ -1,6 +1,6 @@
 """Conflict-constrained best-fit packing of documents into bins of bounded length.
 
-Documents are dealt over shards by a hash of their ids; a shard packs its rows, longest
+Documents are dealt over shards by a hash of their rows; a shard packs its rows, longest
 first, in one task. Open bins stand in order of residual room, each with a bitmap of the
 sources and one of the duplicate clusters it holds. For a row, the search starts at the
 tightest bin with room enough and goes on to successors until one holds neither the row's
@@ -64,7 +64,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens",
         F.col(id_col).cast("long").alias("_id"), F.greatest(F.coalesce(F.col(length_col).cast("long"), F.lit(0)), F.lit(0)).alias("_n"),
         F.xxhash64(F.col(source_col)).alias("_s"), F.col(source_col).isNull().alias("_sn"),
         F.xxhash64(F.col(cluster_col)).alias("_c"), F.col(cluster_col).isNull().alias("_cn"),
-        F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(shards)).cast("int").alias("_shard"),
+        F.pmod(F.xxhash64(id_col, length_col, source_col, cluster_col, F.lit(7)), F.lit(shards)).cast("int").alias("_shard"),
     )
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -3,7 +3,8 @@
 Regular expressions propose spans, validators (Luhn, mod 97, address ranges, digit counts)
 confirm them, and words near a span move its score. Offsets come from splitting a text by
 the same expression: the lengths of gaps and matches add up to starts in code points.
-Expressions use possessive quantifiers and look-behinds so that each is linear in the text.
+Expressions use possessive quantifiers and look-behinds so that each is linear in the text,
+and what they give is bound once for each text, never evaluated anew for each match.
 """
 
 from __future__ import annotations
@@ -17,7 +18,13 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+"
 # a maximal chain of digits with single separators, of 13 to 19 digits
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# characters of an IBAN by country
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS",
+    23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+IBAN = r"(?<![A-Za-z0-9])(?:%s)(?![A-Za-z0-9])" % "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 IP_OK = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}$"
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban")
@@ -29,7 +36,11 @@ CONTEXT = {
     "phone": "call|phone|tel|mobile|anruf|appel",
     "iban": "iban|bank|account|konto|compte|cuenta",
 }
-NEAR = 40  # code points to either side that count as near
+NEAR = 40  # code points to either side that count as near, as far as the next match of the kind
+MUST = {  # what a text holds if it has a match
+    "email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]", "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]",
+}
+PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBAN}
 
 
 def _digits(value: Column) -> Column:
@@ -67,29 +78,68 @@ def _confirmed(kind: str, value: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(value)).between(9, 15)
     if kind == "iban":
-        return F.length(F.regexp_replace(value, " ", "")).between(15, 34) & mod97(value)
+        return mod97(value)
     return F.lit(True)
 
 
-def _found(text: Column, kind: str, pattern: str, must: str) -> Column:
+def _bound(value: Column, use) -> Column:
+    """use(value) with value evaluated once, also where use has it in loops over arrays."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _matches(text: Column, kind: str) -> Column:
+    """Matches of a kind in order: array of (before, value, after), the gaps between matches and the matches."""
+    parts = F.struct(F.split(text, PATTERNS[kind], -1).alias("gaps"), F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)).alias("hits"))
+
+    def zipped(p):
+        n = F.size(p["hits"])
+        return F.arrays_zip(F.slice(p["gaps"], 1, n).alias("before"), p["hits"].alias("value"), F.slice(p["gaps"], 2, n).alias("after"))
+
+    return _bound(parts, zipped)
+
+
+def _has(text: Column, kind: str) -> Column:
+    return F.contains(text, F.lit(MUST[kind])) if kind == "email" else text.rlike(MUST[kind])
+
+
+def _score(kind: str, match: Column) -> Column:
+    near = F.lower(F.concat(F.substring(match["before"], -NEAR, NEAR), F.lit(" "), F.substring(match["after"], 1, NEAR)))
+    return F.round(F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT[kind]), 0.15).otherwise(0.0), 2)
+
+
+def _sums(steps: Column) -> Column:
+    """Running sums of an array, by parts of about the square root of its size, so that no append copies a long array."""
+    none = F.array().cast("array<int>")
+
+    def add(acc, x):
+        return F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x)
+
+    def parts(s):
+        width = F.ceil(F.sqrt(F.size(s))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / width).cast("int")), lambda i: F.aggregate(F.slice(s, i * width + 1, width), none, add))
+
+    def joined(ps):
+        totals = F.transform(ps, lambda p: F.element_at(p, -1))
+        starts = F.concat(F.array(F.lit(0)), F.aggregate(totals, none, add))
+        return _bound(starts, lambda b: F.flatten(F.zip_with(ps, F.slice(b, 1, F.size(ps)), lambda p, x: F.transform(p, lambda y: y + x))))
+
+    return _bound(steps, lambda s: F.when(F.size(s) > 0, _bound(parts(s), joined)).otherwise(none))
+
+
+def _found(text: Column, kind: str) -> Column:
     """Confirmed spans of one kind, by start: array of (kind, start, end, score, value)."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    ends = F.aggregate(
-        F.sequence(F.lit(1), F.size(hits)),
-        F.array().cast("array<int>"),
-        lambda acc, i: F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.element_at(gaps, i) + F.length(F.element_at(hits, i))),
-    )
-
-    def span(value, end):
-        start = end - F.length(value)
-        near = F.lower(F.substring(text, F.greatest(start - NEAR, F.lit(0)) + 1, end - start + 2 * NEAR))
-        score = F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT[kind]), 0.15).otherwise(0.0)
-        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.round(score, 2).alias("score"), value.alias("value"))
+
+    def span(z):
+        return F.struct(
+            F.lit(kind).alias("kind"), (z["end"] - F.length(z["m"]["value"])).alias("start"), z["end"].alias("end"), _score(kind, z["m"]).alias("score"), z["m"]["value"].alias("value")
+        )
+
+    def spans(m):
+        ends = _sums(F.transform(m, lambda x: F.length(x["before"]) + F.length(x["value"])))
+        return F.transform(F.filter(F.arrays_zip(m.alias("m"), ends.alias("end")), lambda z: _confirmed(kind, z["m"]["value"])), span)
 
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double,value:string>>")
-    spans = F.transform(F.filter(F.arrays_zip(hits.alias("v"), ends.alias("e")), lambda z: _confirmed(kind, z["v"])), lambda z: span(z["v"], z["e"]))
-    return F.when(text.rlike(must) if must != "@" else F.contains(text, F.lit("@")), F.when(F.size(hits) > 0, spans).otherwise(empty)).otherwise(empty)
+    return F.when(_has(text, kind), _bound(_matches(text, kind), spans)).otherwise(empty)
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
@@ -99,35 +149,34 @@ def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> D
     of docs named like out_col is replaced, all others stay. Spans of different kinds may overlap.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    kinds = {
-        "email": (EMAIL, "@"), "ip": (IP, r"[0-9]\.[0-9]"), "card": (CARD, r"[0-9](?:[\x20-]?[0-9]){12}"),
-        "phone": (PHONE, r"\+[0-9]"), "iban": (IBAN, r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]"),
-    }
-    return docs.withColumn(out_col, F.concat(*[_found(text, k, p, must) for k, (p, must) in kinds.items()]))
-
-
-def masked(text: Column, spans: Column) -> Column:
-    """text with every span replaced by its kind in brackets; of overlapping spans the first start (then the longest) counts."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("a"), (-s["end"]).alias("b"), s["kind"].alias("k"))))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc, s):
-        end = -s["b"]
-        put = F.struct(
-            F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["a"] - acc["at"]), F.lit("["), F.upper(s["k"]), F.lit("]")).alias("out"),
-            end.alias("at"),
-        )
-        over = F.struct(acc["out"].alias("out"), F.greatest(acc["at"], end).alias("at"))
-        return F.when(s["a"] >= acc["at"], put).otherwise(over)
+    return docs.withColumn(out_col, F.concat(*[_found(text, k) for k in KINDS]))
+
+
+def masked(text: Column, least: float = 0.0) -> Column:
+    """text with every confirmed match of at least that score replaced by its kind in brackets.
+
+    Kinds are masked one after the other, as in KINDS: where matches overlap, the first kind counts.
+    """
+
+    def one(kind):
+        def put(match):
+            sure = _confirmed(kind, match["value"]) & (_score(kind, match) >= least)
+            return F.concat(match["before"], F.when(sure, F.lit(f"[{kind.upper()}]")).otherwise(match["value"]))
+
+        def run(t):
+            whole = _bound(_matches(t, kind), lambda m: F.concat(F.array_join(F.transform(m, put), ""), F.element_at(m, -1)["after"]))
+            return F.when(_has(t, kind) & t.rlike(PATTERNS[kind]), whole).otherwise(t)
+
+        return run
 
-    return F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    for kind in KINDS:
+        text = _bound(text, one(kind))
+    return text
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """`docs` with confirmed spans of at least that score masked in the text; texts without any stay as they are, null stays null."""
-    found = find_pii(docs, text_col, "_pii")
-    spans = F.filter("_pii", lambda s: s["score"] >= least)
-    return found.withColumn(text_col, F.when(F.size(spans) > 0, masked(F.col(text_col), spans)).otherwise(F.col(text_col))).drop("_pii")
+    """`docs` with confirmed personal data of at least that score masked in the text; texts without any stay as they are, null stays null."""
+    return docs.withColumn(text_col, masked(F.col(text_col), least))
 
 
 def _joined(spans: Column) -> Column:
@@ -141,5 +190,5 @@ def query(spark, sf_dir: str) -> DataFrame:
         return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE_KINDS))
-    best = F.array_max(F.transform("pii", lambda s: s["score"]))
+    best = F.array_max(F.transform("pii", lambda s: s["score"]))  # null where there is no span
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"), best.alias("top_score"))

@@ -34,6 +34,34 @@ def test_best_fit_takes_the_tightest_bin_without_conflict():
     assert bins == [0, 1, 0, 1, 2, 1]
 
 
+def plain_best_fit(lengths, sources, clusters, capacity):
+    bins, out = [], []
+    for n, s, c in zip(lengths, sources, clusters, strict=True):
+        fits = [(b["room"], k) for k, b in enumerate(bins) if b["room"] >= max(n, 1) and (s < 0 or s not in b["s"]) and (c < 0 or c not in b["c"])]
+        k = min(fits)[1] if fits else len(bins)
+        if not fits:
+            bins.append({"room": capacity, "s": set(), "c": set()})
+        bins[k]["room"] -= n
+        bins[k]["s"].add(s)
+        bins[k]["c"].add(c)
+        out.append(k)
+    return out
+
+
+def test_best_fit_like_a_plain_search():
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randint(0, 60)
+        rows = [[rng.randint(1, 20) for _ in range(n)], [rng.randint(-1, 6) for _ in range(n)], [rng.randint(-1, 20) for _ in range(n)]]
+        assert packing.best_fit(*rows, 20) == plain_best_fit(*rows, 20)
+
+
+def test_rows_of_one_id_are_dealt_over_shards(spark):
+    frame = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").alias("n_tokens"), F.lit("s").alias("source"), F.col("id").alias("cluster"))
+    shards = {r.bin_id.split("-")[0] for r in packing.pack(frame, shard_rows=50).collect()}
+    assert len(shards) > 10
+
+
 def test_pack_keeps_every_row(spark):
     rng = random.Random(8)
     rows = [(i, rng.choice([0, 1, 30, 50, 100, 250]), f"s{rng.randint(0, 5)}" if i % 7 else None, rng.randint(0, 9)) for i in range(400)]

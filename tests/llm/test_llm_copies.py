@@ -39,6 +39,12 @@ def test_drop_copies(docs, texts):
     assert Counter(r.text or "" for r in left.select("text").collect()) == Counter({*(t or "" for t in texts), "row without an id"})
 
 
+def test_drop_copies_leaves_one_of_repeated_rows(spark):
+    rows = [(1, "a"), (2, "a"), (2, "a"), (3, "b"), (None, "c"), (None, "c"), (4, None), (4, "")]
+    left = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left) == [(0, "c"), (2, "a"), (3, "b"), (4, "")]
+
+
 def grams(text, n=5):
     w = (text or "").split()
     n = min(n, len(w))

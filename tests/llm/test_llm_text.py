@@ -112,6 +112,46 @@ def test_long_texts_stay_linear(spark):
     assert [(s.kind, s.start, s.end) for s in got] == [("email", 0, 700_001)]
 
 
+def test_many_matches_stay_linear(spark):
+    n = 100_000
+    text = "x 10.0.0.1 " * n
+    frame = spark.createDataFrame([(text,), ("é 10.0.0.1, 10.0.0.256 10.0.0.2",)], "text string")
+    got = pii.find_pii(frame).select("pii.start", "pii.end").collect()
+    assert got[0].start == list(range(2, 11 * n, 11)) and got[0].end == list(range(10, 11 * n, 11))
+    assert got[1].start == [2, 23]
+    assert [r.text for r in pii.mask_pii(frame).collect()] == ["x [IP] " * n, "é [IP], 10.0.0.256 [IP]"]
+
+
+@pytest.mark.parametrize("tail", ["", " BIC", " bic", " X1", ", A"])
+def test_iban_ends_at_its_length(spark, tail):
+    iban = "DE89 3704 0044 0532 0130 00"
+    got = pii.find_pii(spark.createDataFrame([(f"to {iban}{tail}",)], "text string")).first().pii
+    assert [(s.kind, s.value) for s in got] == [("iban", iban)]
+
+
+def test_long_chains_pass_their_state_on(monkeypatch):
+    rng = np.random.default_rng(6)
+    model = line_quality.Model(*[np.zeros(0)] * 3, rng.normal(size=(2, 2)), rng.normal(size=2))
+    lines = [rng.normal(size=n) for n in (1, 3, 40, 7, 8, 9, 100)]
+    want = [line_quality.chain(np.stack([np.zeros(len(u)), u], 1)[None], model.trans, model.first, np.array([len(u)]))[1][0, :, 1] for u in lines]
+    for steps, cells in ((512, 1 << 17), (4, 16), (1, 1), (7, 100)):
+        monkeypatch.setattr(line_quality, "STEPS", steps)
+        monkeypatch.setattr(line_quality, "CELLS", cells)
+        assert all(np.allclose(a, b) for a, b in zip(model.good_lines(lines), want, strict=True))
+
+
+def test_line_weights_do_not_depend_on_blocks(monkeypatch):
+    model = line_quality.fit(["good text here.\nmore of it.", "X!! Y!! | Z%%%\nA!! B!!"] * 5, [1, 0] * 5)
+    text = "good text here.\nX!! Y!!\n\ngood text here.\nmore"
+    rows, weight = line_quality.line_features(text)
+    want = ((line_quality.with_neighbours(rows) - model.mean) / model.scale) @ model.weights
+    for block in (8192, 2, 1):
+        monkeypatch.setattr(line_quality, "BLOCK", block)
+        got, length = model.lines(text)
+        assert np.allclose(got, want) and (length == weight).all()
+    assert 0 <= model.score(["\n" * 600_000 + "good text here.", ""])[0] <= 1
+
+
 def test_chain_sums_over_all_labellings():
     rng = np.random.default_rng(1)
     unary, trans, first = rng.normal(size=(1, 5, 2)), rng.normal(size=(2, 2)), rng.normal(size=2)
