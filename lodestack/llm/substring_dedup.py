@@ -1,8 +1,10 @@
 """Substring dedup of words by seed and extend.
 
-Winnowed anchors (word runs of the smallest hash in each window) join documents; each shared
-anchor is extended both ways as far as windows around it agree, and what extends to the length
-threshold or more is a repeat. Overlapping windows merge, so that repeats are maximal.
+Winnowed anchors (word runs of the smallest hash in each window) join documents: occurrences of
+one anchor meet. Where all windows around an anchor are equal, a fingerprint says so at once.
+All other matches are extended word by word to the right and to the left; occurrences that
+agree with no other any more leave. A window repeats if its words on both sides of the anchor
+agree with those of an earlier occurrence; repeats that overlap merge, so that they are maximal.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts_of
-from .repeats import Kind, covered, repeated, with_spans
+from .repeats import Contexts, Kind, Records, covered, first_places, repeated, with_spans
 from .tokens import WordNumbers, grams, words_of
 
 
@@ -28,12 +30,49 @@ def _numbers(text: bytes) -> np.ndarray:
     return _known().of(words_of(text))
 
 
-def _prefix(numbers: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return np.zeros(len(at), np.uint64)
+def _split(classes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Classes of occurrences that also agree in one more word; -1 for those that are alone from here on."""
+    order = np.lexsort((words, classes))
+    new = np.concatenate([[True], (classes[order][1:] != classes[order][:-1]) | (words[order][1:] != words[order][:-1])])
+    number = np.cumsum(new) - 1
+    out = np.empty(len(classes), np.int64)
+    out[order] = np.where(np.bincount(number)[number] > 1, number, -1)
+    return out
+
+
+def _extensions(c: Contexts, begin: np.ndarray, room: np.ndarray, step: int, most: int) -> list[np.ndarray]:
+    """Classes of occurrences that agree in 0, 1, ... most words beyond the anchor, from begin on in direction step."""
+    out = [_split(c.seed, np.zeros(len(c.seed), "u8"))]
+    for k in range(most):
+        classes = np.full(len(c.seed), -1, np.int64)
+        live = np.flatnonzero((out[-1] >= 0) & (room > k))
+        if len(live):
+            classes[live] = _split(out[-1][live], c.symbols[begin[live] + step * k])
+        out.append(classes)
+    return out
+
+
+def extend_both_ways(many: list[Contexts], rank: np.ndarray, kind: Kind) -> Records:
+    """Windows that also stand at an earlier occurrence of their anchor."""
+    c = Contexts.join(many)
+    lead, count = c.lead.astype(np.int64), c.count.astype(np.int64)
+    beyond = kind.length - kind.seed
+    right = _extensions(c, c.offset + lead + kind.seed, count - 1 + beyond - lead, 1, beyond)
+    left = _extensions(c, c.offset + lead - 1, lead, -1, beyond)
+    doc, start = [np.zeros(0, "u4")], [np.zeros(0, np.int64)]
+    for before in range(beyond + 1):  # words of the window before its anchor
+        a, b = left[before], right[beyond - before]
+        which = np.flatnonzero((a >= 0) & (b >= 0) & (lead >= before) & (lead - before < count))
+        at = c.start[which] + lead[which] - before
+        seen = first_places(a[which] * (len(b) + 1) + b[which], rank[c.doc[which]], at, kind.within)
+        doc.append(c.doc[which[seen]])
+        start.append(at[seen])
+    doc, start = np.concatenate(doc), np.concatenate(start)
+    return Records.windows(np.zeros(len(doc), "u8"), np.zeros(len(doc), "u8"), doc, start)
 
 
 def word_windows(length: int = 13, anchor: int = 5) -> Kind:
-    return Kind(length, anchor, False, _numbers, lambda x: grams(x, anchor), _prefix)
+    return Kind(length, anchor, False, _numbers, lambda x: grams(x, anchor), _numbers, "u8", extend_both_ways)
 
 
 def remove_repeats(docs: DataFrame, length: int = 13, anchor: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,7 +80,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, anchor: int = 5, id_col: s
 
     A repeat is covered by windows of `length` words whose sequence also starts in a document
     with a smaller id; windows are judged on the input. Null texts have no words; null ids count
-    as the largest; texts shorter than a window lose nothing; rows that repeat an id do not
+    as the largest, in order of their texts' hashes; texts shorter than a window lose nothing; rows that repeat an id do not
     remove from each other. Other columns of docs are not read.
     """
     kind = word_windows(length, anchor)

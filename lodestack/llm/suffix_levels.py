@@ -1,23 +1,26 @@
 """Substring dedup of bytes with a logarithmic family of suffix arrays.
 
 Suffixes are sampled where windows elect a seed, so that every long match passes a sampled
-place. The sampled suffixes of a batch of documents are sorted by their first bytes, then by
-the fingerprints of what follows: a sparse suffix array. It is merge-scanned against the
-levels already there for long matches; the earlier of two equal entries stays, the later one is
-a repeat. Then it becomes a level, and levels of about equal size merge, so that a family holds
-logarithmically many. Spark deals suffixes over many families by their seeds; equal suffixes
-always meet in one family.
+place. Stretches that are equal as a whole are told by fingerprints. The suffixes of all others
+are dealt by their seeds, and each batch of documents becomes a suffix array: entries in order of
+their bytes, with the length of the prefix that each shares with its neighbour, and the same for
+the bytes before them, read backwards. A new array is merge-scanned against the existing level:
+what two entries share on both sides of the sampled place gives the long matches, and the later
+entry of each is a repeat. Levels of about equal size merge, so that a family holds
+logarithmically many; entries all of whose windows are repeats leave it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, fields
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts_of
-from .repeats import Kind, Records, covered, repeated, with_spans
+from .repeats import Contexts, Kind, Records, covered, first_places, repeated, with_spans
 from .tokens import BASE, mixed
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
@@ -27,18 +30,6 @@ def _numbers(text: bytes) -> np.ndarray:
     return _BYTE[np.frombuffer(text, np.uint8)]
 
 
-_RANK = np.argsort(_BYTE)
-_SORTED = _BYTE[_RANK]
-
-
-def _prefix(numbers: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The eight bytes at each place as a number that sorts like them."""
-    out = np.zeros(len(at), np.uint64)
-    for k in range(8):
-        out = out << np.uint64(8) | _RANK[np.searchsorted(_SORTED, numbers[at + k])].astype(np.uint64)
-    return out
-
-
 def _seeds(size: int):
     """Hash of `size` numbers at each place, by doubling; size is a power of two."""
 
@@ -53,58 +44,143 @@ def _seeds(size: int):
     return run
 
 
-def byte_windows(length: int = 100, seed: int = 32) -> Kind:
-    return Kind(length, seed, True, _numbers, _seeds(seed), _prefix)
+def _bytes(text: bytes) -> np.ndarray:
+    return np.frombuffer(text, np.uint8)
 
 
-class SuffixLevels:
-    """Sorted arrays of sampled suffixes, each entry owned by the earliest place that has it."""
+@dataclass
+class Level:
+    """Sampled suffixes in order of their bytes (from 1 on, 0 beyond their end), with the bytes before them backwards."""
+
+    after: np.ndarray
+    before: np.ndarray
+    room: np.ndarray  # bytes of `after` that count
+    lead: np.ndarray
+    count: np.ndarray
+    doc: np.ndarray
+    start: np.ndarray
+    done: np.ndarray  # windows known as repeats
 
-    def __init__(self, ids: np.ndarray):
-        self.ids = ids
-        self.levels: list[tuple[np.ndarray, Records]] = []
-        self.repeats: list[Records] = []
+    def take(self, which) -> Level:
+        return Level(*(getattr(self, f.name)[which] for f in fields(self)))
 
     @staticmethod
-    def _keys(r: Records) -> np.ndarray:
-        return np.ascontiguousarray(np.stack([r.prefix, r.seed, r.content], 1).astype(">u8")).view("S24").ravel()
-
-    def add(self, batch: Records) -> None:
-        """Scan a batch (of distinct suffixes) against every level, then make it a level."""
-        key = self._keys(batch)
-        order = np.argsort(key, kind="stable")
-        key, batch = key[order], batch.take(order)
-        for n, (have, level) in enumerate(self.levels):
-            at = np.minimum(np.searchsorted(have, key), max(len(have) - 1, 0))
-            hit = np.flatnonzero(have[at] == key) if len(have) else np.zeros(0, int)
-            if not len(hit):
-                continue
-            old, new = level.take(at[hit]), batch.take(hit)
-            a, b = self.ids[old.doc], self.ids[new.doc]
-            newer = (b > a) | ((b == a) & (new.start > old.start))
-            older = (b < a) | ((b == a) & (new.start < old.start))
-            self.repeats += [new.take(newer), old.take(older)]
-            stay = np.ones(len(key), bool)
-            stay[hit[~older]] = False
-            key, batch = key[stay], batch.take(stay)
-            if older.any():
-                live = np.ones(len(have), bool)
-                live[at[hit[older]]] = False
-                self.levels[n] = (have[live], level.take(live))
-        self.levels.append((key, batch))
-        while len(self.levels) > 1 and len(self.levels[-2][0]) < 2 * len(self.levels[-1][0]):
-            (k2, r2), (k1, r1) = self.levels.pop(), self.levels.pop()
-            key = np.concatenate([k1, k2])
-            order = np.argsort(key, kind="stable")
-            self.levels.append((key[order], Records.join([r1, r2]).take(order)))
-
-
-def by_levels(many: list[Records], ids: np.ndarray, within: bool) -> tuple[Records, Records]:
-    """(first places of all suffixes, later places) of a bucket, batch by batch."""
-    family = SuffixLevels(ids)
+    def of(c: Contexts, kind: Kind) -> Level:
+        lead, count = c.lead.astype(np.int64), c.count.astype(np.int64)
+        room = np.minimum(count - 1 + kind.length - lead, kind.length)
+        k = np.arange(kind.length)
+        end = len(c.symbols) - 1
+
+        def rows(at, size):
+            return np.where(np.arange(at.shape[1]) < size[:, None], c.symbols[np.clip(at, 0, end)] + np.uint8(1), np.uint8(0))
+
+        after = rows((c.offset + lead)[:, None] + k, room)
+        before = rows((c.offset + lead)[:, None] - 1 - k[: kind.length - kind.seed], lead)
+        one = Level(after, before, room, lead, count, c.doc, c.start.astype(np.int64), np.zeros((len(lead), kind.length - kind.seed + 1), bool))
+        return one.take(_order(after))
+
+    def merged(self, other: Level) -> Level:
+        both = Level(*(np.concatenate([getattr(self, f.name), getattr(other, f.name)]) for f in fields(self)))
+        return both.take(_order(both.after))
+
+
+def _order(rows: np.ndarray) -> np.ndarray:
+    """Rows of bytes in ascending order; two sorted runs take one pass."""
+    return np.argsort(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel(), kind="stable")
+
+
+def _shared(rows: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Length of the prefix that each row shares with the one before it; -1 for the first."""
+    out = np.full(len(rows), -1, np.int64)
+    if len(rows) > 1:
+        differ = rows[1:] != rows[:-1]
+        first = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+        out[1:] = np.minimum(first, np.minimum(room[1:], room[:-1]))
+    return out
+
+
+def _most(shared: np.ndarray) -> np.ndarray:
+    """Longest prefix shared with any other row of the order."""
+    return np.maximum(shared, np.append(shared[1:], -1))
+
+
+def scan(level: Level, rank: np.ndarray, kind: Kind) -> None:
+    """Mark in level.done the windows that an earlier entry holds too."""
+    length, beyond = kind.length, kind.length - kind.seed
+    ahead = _shared(level.after, level.room)
+    group = np.cumsum(ahead < kind.seed)
+    # in order of the bytes before, among entries of one seed
+    back = _order(level.before)
+    back = back[np.argsort(group[back], kind="stable")]
+    behind = _shared(level.before[back], np.minimum(level.lead[back], beyond))
+    behind[1:][group[back][1:] != group[back][:-1]] = -1
+    most_back = np.empty(len(back), np.int64)
+    most_back[back] = _most(behind)
+    low = np.maximum(level.lead - level.count + 1, length - _most(ahead))
+    high = np.minimum(level.lead, most_back)
+    place = np.empty(len(back), np.int64)
+    place[back] = np.arange(len(back))
+    live = np.flatnonzero(low <= high)
+    for d in range(beyond + 1) if len(live) else ():  # bytes of the window before its sampled place
+        which = live[(low[live] <= d) & (d <= high[live])]
+        which = which[~level.done[which, level.lead[which] - d]]
+        if not len(which):
+            continue
+        right, left = np.cumsum(ahead < length - d)[which], np.cumsum(behind < d)[place[which]]
+        w = level.lead[which] - d
+        seen = first_places(right * (len(back) + 1) + left, rank[level.doc[which]], level.start[which] + w, kind.within)
+        level.done[which[seen], w[seen]] = True
+
+
+class SuffixLevels:
+    """Suffix arrays of growing sizes; found: (document, place) of windows that are repeats."""
+
+    def __init__(self, rank: np.ndarray, kind: Kind):
+        self.rank, self.kind = rank, kind
+        self.levels: list[Level] = []
+        self.doc, self.start = [np.zeros(0, "u4")], [np.zeros(0, np.int64)]
+
+    def _settle(self, level: Level) -> Level:
+        scan(level, self.rank, self.kind)
+        whole = level.done.sum(1) == level.count
+        self._report(level.take(whole))
+        return level.take(~whole)
+
+    def _report(self, level: Level) -> None:
+        i, w = np.nonzero(level.done)
+        self.doc.append(level.doc[i])
+        self.start.append(level.start[i] + w)
+
+    def add(self, batch: Contexts) -> None:
+        """Make a batch a level, and merge-scan levels while the last two are of about equal size."""
+        self.levels.append(self._settle(Level.of(batch, self.kind)))
+        while len(self.levels) > 1 and len(self.levels[-2].lead) < 2 * len(self.levels[-1].lead):
+            self._merge()
+
+    def _merge(self) -> None:
+        new, old = self.levels.pop(), self.levels.pop()
+        self.levels.append(self._settle(old.merged(new)))
+
+    def close(self) -> Records:
+        """Scan the levels against each other; all windows that are repeats."""
+        while len(self.levels) > 1:
+            self._merge()
+        for level in self.levels:
+            self._report(level)
+        doc, start = np.concatenate(self.doc), np.concatenate(self.start)
+        return Records.windows(np.zeros(len(doc), "u8"), np.zeros(len(doc), "u8"), doc, start)
+
+
+def by_levels(many: list[Contexts], rank: np.ndarray, kind: Kind) -> Records:
+    """Windows of a bucket that stand earlier too, batch by batch."""
+    family = SuffixLevels(rank, kind)
     for batch in many:
         family.add(batch)
-    return Records.join([r for _, r in family.levels]), Records.join(family.repeats)
+    return family.close()
+
+
+def byte_windows(length: int = 100, seed: int = 32) -> Kind:
+    return Kind(length, seed, True, _numbers, _seeds(seed), _bytes, "u1", by_levels)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, seed: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,7 +188,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, seed: int = 32, id_col: s
 
     A byte goes if a string of `length` bytes covers it that also starts earlier: in a document
     of a smaller id, or in the same one further left. Strings are judged on the input. Null texts
-    count as empty, null ids as the largest; rows that repeat an id and text do not remove each
+    count as empty, null ids as the largest, in order of their texts' hashes; rows that repeat an id and text do not remove each
     other. What stays may not be valid UTF-8. Other columns of docs are not read.
     """
     kind = byte_windows(length, seed)
@@ -129,7 +205,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, seed: int = 32, id_col: s
             kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)]], [id_col, "n_bytes", "begins", "ends", "kept"])
 
-    found = repeated(docs, kind, by_levels, id_col=id_col, text_col=text_col)
+    found = repeated(docs, kind, id_col=id_col, text_col=text_col)
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, begins array<int>, ends array<int>, kept binary"
     return with_spans(docs, found, run, schema, id_col, text_col, [id_col])
 

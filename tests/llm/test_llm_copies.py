@@ -128,9 +128,10 @@ def brute_words(texts, length):
     return out
 
 
-@pytest.mark.parametrize("part", [1 << 20, 64])
-def test_substring_dedup(plain, texts, monkeypatch, part):
+@pytest.mark.parametrize("part, group", [(1 << 20, 4096), (64, 4096), (1 << 20, 1)])
+def test_substring_dedup(plain, texts, monkeypatch, part, group):
     monkeypatch.setattr(repeats, "PART", part)
+    monkeypatch.setattr(repeats, "GROUP", group)
     got = {r.doc_id: r for r in substring_dedup.remove_repeats(plain).collect()}
     for i, (n, gone, kept) in enumerate(brute_words(texts, 13)):
         assert (got[i].n_words, sum(got[i].ends) - sum(got[i].begins), got[i].kept) == (n, gone, kept)
@@ -154,7 +155,10 @@ def brute_bytes(texts, length):
     return out
 
 
-def test_suffix_levels(plain, texts):
+@pytest.mark.parametrize("part, group", [(1 << 20, 4096), (300, 4096), (1 << 20, 1)])
+def test_suffix_levels(plain, texts, monkeypatch, part, group):
+    monkeypatch.setattr(repeats, "PART", part)
+    monkeypatch.setattr(repeats, "GROUP", group)
     got = {r.doc_id: r for r in suffix_levels.remove_repeats(plain).collect()}
     for i, (n, gone, kept) in enumerate(brute_bytes(texts, 100)):
         assert (got[i].n_bytes, sum(got[i].ends) - sum(got[i].begins), bytes(got[i].kept)) == (n, gone, kept)
@@ -165,24 +169,50 @@ def test_suffix_levels_edge_rows(docs, none):
     assert suffix_levels.remove_repeats(none).count() == 0
 
 
-def test_levels_agree_with_one_sort_and_stay_few():
+def test_rows_without_id_stand_in_order_of_their_hashes(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    frame = spark.createDataFrame([(None, "a " + passage), (None, "b b " + passage), (3, "c c c c")], "doc_id long, text string")
+    words = sorted(sum(r.ends) - sum(r.begins) for r in substring_dedup.remove_repeats(frame).collect())
+    raw = sorted(sum(r.ends) - sum(r.begins) for r in suffix_levels.remove_repeats(frame).collect())
+    assert words == [0, 0, 40] and raw[:2] == [0, 0] and raw[2] >= len(passage)
+
+
+@pytest.mark.parametrize("kind", [suffix_levels.byte_windows(20, 4), substring_dedup.word_windows(9, 3)])
+def test_extension_like_brute_force(kind):
     rng = np.random.default_rng(3)
-    ids = np.arange(50)
-    batches = []
-    for b in range(32):
-        n = 40
-        key = rng.integers(0, 300, n).astype("u8")
-        keep = np.unique(key, return_index=True)[1]
-        r = repeats.Records(key, key * np.uint64(3), key, rng.integers(0, 50, n).astype("u4"), np.arange(n, dtype="u4") + b * 100, np.ones(n, "u4"))
-        batches.append(r.take(keep))
-    first, dup = suffix_levels.by_levels(batches, ids, True)
-    want, gone = repeats.one_sort(batches, ids, True)
-    place = lambda r: set(zip(r.seed.tolist(), r.doc.tolist(), r.start.tolist(), strict=True))
-    assert place(first) == place(want) and place(dup) == place(gone)
-    family = suffix_levels.SuffixLevels(ids)
-    for b in batches:
-        family.add(b)
-        assert len(family.levels) <= 1 + np.log2(1 + sum(len(k) for k, _ in family.levels))
+    bytes_ = kind.symbol == "u1"
+    passage = rng.integers(97, 105, 60)
+    many, windows, n_docs = [], defaultdict(list), 0
+    for _ in range(24):
+        parts, symbols, offset = [], [], 0
+        for _ in range(5):
+            a, b = sorted(rng.integers(0, 60, 2))
+            text = np.concatenate([rng.integers(97, 105, 30), passage[a:b], rng.integers(97, 105, 30)]).astype("u1")
+            x = text.astype("u8")
+            r = repeats.segments(kind, [suffix_levels._BYTE[text] if bytes_ else x])
+            sizes = r.count.astype(int) - 1 + kind.length
+            parts.append((r.seed, np.full(len(r.seed), n_docs, "u4"), r.start, r.count, r.lead, offset + np.cumsum(sizes) - sizes))
+            symbols.append((text if bytes_ else x)[repeats._stretches(r.start.astype(int), sizes)])
+            offset += sizes.sum()
+            for s in range(len(text) - kind.length + 1):
+                windows[text[s : s + kind.length].tobytes()].append((n_docs, s))
+            n_docs += 1
+        many.append(repeats.Contexts(*map(np.concatenate, zip(*parts, strict=True)), np.concatenate(symbols)))
+    got = kind.extend(many, np.arange(n_docs), kind)
+    want = {p for places in windows.values() for p in places if (p > min(places) if kind.within else p[0] > min(places)[0])}
+    assert want and set(zip(got.doc.tolist(), got.start.tolist(), strict=True)) == want
+
+
+def test_levels_stay_few():
+    kind = suffix_levels.byte_windows(20, 4)
+    rng = np.random.default_rng(4)
+    family = suffix_levels.SuffixLevels(np.arange(64), kind)
+    for d in range(64):
+        text = rng.integers(97, 123, 200).astype("u1")
+        r = repeats.segments(kind, [suffix_levels._BYTE[text]])
+        sizes = r.count.astype(int) - 1 + kind.length
+        family.add(repeats.Contexts(r.seed, np.full(len(r.seed), d, "u4"), r.start, r.count, r.lead, np.cumsum(sizes) - sizes, text[repeats._stretches(r.start.astype(int), sizes)]))
+        assert len(family.levels) <= 2 + np.log2(1 + sum(len(x.lead) for x in family.levels))
 
 
 def test_digest_columns(spark, sf):
