@@ -121,6 +121,25 @@ def prefixed(text: Column, prefix: str) -> Column:
     return F.when(text.startswith(prefix), text).otherwise(F.concat(F.lit(prefix + " "), text))
 
 
+def places(text: Column, pattern: str) -> Column:
+    """Matches of a pattern as array of (value, start), start in characters from 0."""
+    parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.transform(F.split(text, pattern, -1), F.length).alias("gaps"))
+
+    def located(p):
+        def step(acc, i):
+            start = acc["at"] + F.element_at(p["gaps"], i)
+            value = F.element_at(p["hits"], i)
+            one = F.struct(value.alias("value"), start.alias("start"))
+            return F.struct((start + F.length(value)).alias("at"), F.array_append(acc["out"], one).alias("out"))
+
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<value:string,start:int>>").alias("out"))
+        found = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(p["hits"]), F.lit(1))), none, step, lambda acc: acc["out"])
+        return F.when(F.size(p["hits"]) > 0, found).otherwise(F.array().cast("array<struct<value:string,start:int>>"))
+
+    # bound once, not evaluated anew for each match
+    return F.element_at(F.transform(F.array(parts), located), 1)
+
+
 def header_field(text: Column, name: str) -> Column:
     """Value of the first line `name: value`, else the empty string."""
     return F.trim(F.regexp_extract(text, rf"(?m)^{name}:\s*(.+)$", 1))

@@ -12,20 +12,37 @@ from pyspark.sql import functions as F
 from lodestack.functions import excerpt, text
 from lodestack.plans.columns import DOCS, resource_kind
 from lodestack.plans.search import hybrid
-from lodestack.sources.tables import conversations_markdown, corpus, read
+from lodestack.sources.tables import conversations_markdown, corpus, read, stored
 
 SQL: dict = {}
 
 
-def inventory(spark, d):
-    """Numbered headings and captions of plain texts: every third line of a document is made one."""
-    lines = corpus(spark, d).select("doc_id", F.posexplode(F.slice(F.split("text", "\n"), 1, 30)).alias("n", "line"))
-    made = F.when(F.col("n") % 3 == 0, F.concat((F.col("n") + 1).cast("string"), F.lit(" Introduction"))).when(F.col("n") % 3 == 1, F.concat(F.lit("Figure "), F.col("n").cast("string"), F.lit(": "), F.substring("line", 1, 20))).otherwise(F.lit("plain text, no card."))
-    kind = F.when(F.col("s").rlike(r"^\d+(\.\d+)* [A-Z]\w+"), "section").when(F.col("s").rlike(r"^(Figure|Table) \d+:"), "caption")
-    return lines.withColumn("s", made).withColumn("kind", kind).where("kind IS NOT NULL").groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("cards"), F.min("n").alias("first"))
+# Numbered or known headings, and captions, of plain texts.
+HEADING = r"^[0-9]+(?:\.[0-9]+)*[ \t]+[A-Z][A-Za-z0-9 ,:;()/-]{2,}$"
+KNOWN = r"(?i)^(?:Abstract|Introduction|Related Work|Methods?|Experiments?|Results?|Discussion|Conclusion|Limitations|Appendix)(?:$|[^0-9A-Za-z_])"
+CAPTION = r"(?i)(?:Figure|Fig\.|Table)[ \t]*[0-9]+[^\n]{0,120}"
+CARD_LIMIT = 200  # most cards of a kind from one document
 
 
-SQL["m01_inventory"] = "SELECT doc_id, CASE WHEN n % 3 = 0 THEN 'section' ELSE 'caption' END AS kind, count(*) AS cards, min(n)::INTEGER AS first FROM (SELECT doc_id, unnest(range(0, least(30, len(string_split(text, chr(10)))))) AS n FROM documents) WHERE n % 3 < 2 GROUP BY ALL"
+def inventory(spark, d):
+    """Numbered and known headings, and captions, of whole texts; paragraphs and `... the` stand for the numbers of plain papers."""
+    numbered = F.regexp_replace(F.regexp_replace("text", r"\n([A-Z][a-z]+ [a-z]+) ", "\n2.1 $1\n"), r"(?m)^([A-Z][a-z]+) the ", "Figure 7: $1 the ")
+    t = F.concat(F.lit("Abstract\nTable "), F.col("doc_id").cast("string"), F.lit(": "), F.col("lang"), F.lit("\n"), numbered)
+    lines = corpus(spark, d).select("doc_id", F.posexplode(F.split(t, "\n")).alias("n", "line"))
+    stripped = F.trim("line")
+    lines = lines.select("doc_id", "n", F.when(stripped.rlike(HEADING) | stripped.rlike(KNOWN), F.lit("section")).when(stripped.rlike(CAPTION), "caption").alias("kind"), stripped.alias("s"))
+    first = Window.partitionBy("doc_id", "kind").orderBy("n")
+    kept = lines.where("kind IS NOT NULL").withColumn("k", F.row_number().over(first)).where(F.col("k") <= CARD_LIMIT)
+    return kept.groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("cards"), F.min("n").alias("first"), F.min_by(F.substring("s", 1, 180), "n").alias("heading"))
+
+
+SQL["m01_inventory"] = rf"""
+WITH t AS (SELECT doc_id, concat('Abstract', chr(10), 'Table ', doc_id, ': ', lang, chr(10),
+  regexp_replace(regexp_replace(text, '\n([A-Z][a-z]+ [a-z]+) ', chr(10) || '2.1 \1' || chr(10), 'g'), '(?m)^([A-Z][a-z]+) the ', 'Figure 7: \1 the ', 'g')) AS t FROM documents),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS n FROM t),
+k AS (SELECT doc_id, n, trim(line) AS s, CASE WHEN regexp_matches(trim(line), '{HEADING}') OR regexp_matches(trim(line), '{KNOWN}') THEN 'section' WHEN regexp_matches(trim(line), '{CAPTION}') THEN 'caption' END AS kind FROM l),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY n) AS i FROM k WHERE kind IS NOT NULL)
+SELECT doc_id, kind, count(*) AS cards, min(n)::INTEGER AS first, arg_min(left(s, 180), n) AS heading FROM r WHERE i <= {CARD_LIMIT} GROUP BY 1, 2"""
 
 ENVIRONMENT = r"(?s)\\begin\{(equation|theorem|table|figure)\}(.*?)\\end\{\1\}"
 
@@ -169,19 +186,50 @@ def provider_rows(spark, d):
 SQL["h39_provider_rows"] = "SELECT vec_id // 5 AS batch, string_agg(concat(label, '.5'), ',' ORDER BY vec_id) AS firsts FROM embeddings GROUP BY 1"
 
 
+def include_edges(docs):
+    """(doc_id, place, target): 64 documents in a row make a source of a main file and parts; the part 40 includes the main file again, 50 a file that is not there."""
+    local = F.col("doc_id") % 64
+    base = F.col("doc_id") - local
+    targets = F.array(base + local * 2 + 1, base + local * 2 + 2)
+    parts = F.filter(targets, lambda t: t < base + 64)
+    return docs.select("doc_id", F.posexplode(F.when(local == 40, F.array(base)).when(local == 50, F.array(-1 - F.col("doc_id"))).otherwise(parts)).alias("place", "target"))
+
+
+def include_closure(roots, edges, known):
+    """(root, doc_id, depth, path, role, status) of all includes met from the roots, level by level.
+
+    A file that its root has met before is a cycle and one that is not known is unresolved; neither
+    is followed. Each level joins the frontier with the edges; it ends when the frontier is empty.
+    """
+    frontier = stored(roots.select(F.col("doc_id").alias("root"), "doc_id", F.lit(0).alias("depth"), F.lit("").alias("path")))
+    seen, out = frontier, frontier.withColumn("status", F.lit("visited"))
+    while not frontier.isEmpty():
+        met = frontier.join(edges, "doc_id").select("root", F.col("target").alias("doc_id"), (F.col("depth") + 1).alias("depth"), F.concat("path", F.col("place").cast("string")).alias("path"))
+        before = seen.select(F.col("root").alias("_root"), F.col("doc_id").alias("_id")).distinct()
+        met = met.join(before, (F.col("root") == F.col("_root")) & (F.col("doc_id") == F.col("_id")), "left").join(known.select(F.col("doc_id").alias("_known")), F.col("doc_id") == F.col("_known"), "left")
+        status = F.when(F.col("_known").isNull(), "unresolved").when(F.col("_id").isNotNull(), "cycle").otherwise("visited")
+        met = stored(met.select("root", "doc_id", "depth", "path", status.alias("status")))
+        frontier = met.where("status = 'visited'").drop("status")
+        seen, out = seen.unionByName(frontier), out.unionByName(met)
+    role = F.when(F.col("path").startswith("1"), "appendix").otherwise("body")
+    return out.select("root", "doc_id", "depth", "path", role.alias("role"), "status")
+
+
 def includes(spark, d):
-    """Include closure of documents: depth-first order by paths of include places; document n includes 2n+1 and 2n+2."""
-    docs = read(spark, d, "documents").where("doc_id < 63").select("doc_id")
-    edges = docs.select("doc_id", F.posexplode(F.array(F.col("doc_id") * 2 + 1, F.col("doc_id") * 2 + 2)).alias("place", "target"))
-    edges.join(docs.select(F.col("doc_id").alias("target")), "target", "left_semi").createOrReplaceTempView("include_edges")
-    return spark.sql("""
-        WITH RECURSIVE walk(doc_id, depth, path) MAX RECURSION LEVEL 20 AS (
-          SELECT 0L, 0, cast('' AS string)
-          UNION ALL SELECT e.target, w.depth + 1, concat(w.path, e.place) FROM walk w JOIN include_edges e ON e.doc_id = w.doc_id)
-        SELECT doc_id, depth, path FROM walk""")
-
-
-SQL["j08_include_closure"] = "WITH RECURSIVE w(doc_id, depth, path) AS (SELECT 0::BIGINT, 0::INTEGER, ''::VARCHAR UNION ALL SELECT doc_id*2+1+p, (depth+1)::INTEGER, concat(path, p) FROM w, (VALUES (0),(1)) t(p) WHERE doc_id*2+1+p < 63) SELECT * FROM w WHERE doc_id IN (SELECT doc_id FROM documents)"
+    """Include closure of every main file, with cycles and unresolved names."""
+    docs = read(spark, d, "documents").select("doc_id")
+    return include_closure(docs.where("doc_id % 64 = 0"), include_edges(docs), docs)
+
+
+SQL["j08_include_closure"] = """
+WITH RECURSIVE e AS (SELECT doc_id, b, l, unnest(range(0, len(t))) AS place, unnest(t) AS target FROM (SELECT doc_id, b, l,
+   CASE l WHEN 40 THEN [b] WHEN 50 THEN [-1 - doc_id] ELSE list_filter([b + l * 2 + 1, b + l * 2 + 2], lambda x: x < b + 64) END AS t
+   FROM (SELECT doc_id, doc_id % 64 AS l, doc_id - doc_id % 64 AS b FROM documents))),
+w(root, doc_id, depth, path, status, up) AS (SELECT doc_id, doc_id, 0::INTEGER, ''::VARCHAR, 'visited', [doc_id] FROM documents WHERE doc_id % 64 = 0
+ UNION ALL SELECT w.root, e.target, (w.depth + 1)::INTEGER, concat(w.path, e.place),
+   CASE WHEN d.doc_id IS NULL THEN 'unresolved' WHEN list_contains(w.up, e.target) THEN 'cycle' ELSE 'visited' END, list_append(w.up, e.target)
+ FROM w JOIN e ON e.doc_id = w.doc_id LEFT JOIN documents d ON d.doc_id = e.target WHERE w.status = 'visited')
+SELECT root, doc_id, depth, path, CASE WHEN starts_with(path, '1') THEN 'appendix' ELSE 'body' END AS role, status FROM w"""
 
 
 def excerpts(spark, d):

@@ -84,8 +84,8 @@ docs_query(
     "CASE WHEN length(text) <= 2500 THEN text ELSE left(array_to_string(list_filter(string_split(text,chr(10)), lambda s, i: i = 1 OR length(array_to_string(list_slice(string_split(text,chr(10)),1,i-1),chr(10))) < 1700), chr(10)), 2400) END AS body",
     lambda: dict(body=compact_lines(text_())),
 )
-docs_query("b16_ingest_text", "concat('[LLM_WIKI_DOC]', chr(10), 'path: ', path, chr(10), 'tags: ', lang, chr(10), CASE WHEN doc_id % 2 = 0 THEN concat('updated: ', source, chr(10)) ELSE '' END, '[/LLM_WIKI_DOC]', chr(10), chr(10), left(text, 300)) AS ingest",
-           lambda: dict(ingest=F.concat(F.array_join(F.filter(F.array(F.lit("[LLM_WIKI_DOC]"), F.concat(F.lit("path: "), path_()), F.concat(F.lit("tags: "), F.col("lang")), F.when(doc_() % 2 == 0, F.concat(F.lit("updated: "), F.col("source"))), F.lit("[/LLM_WIKI_DOC]")), lambda x: x.isNotNull()), "\n"), F.lit("\n\n"), F.substring(text_(), 1, 300))))
+docs_query("b16_ingest_text", "concat('[LLM_WIKI_DOC]', chr(10), 'path: ', path, chr(10), 'tags: ', lang, chr(10), CASE WHEN doc_id % 2 = 0 THEN concat('updated: ', source, chr(10)) ELSE '' END, '[/LLM_WIKI_DOC]', chr(10), chr(10), text) AS ingest",
+           lambda: dict(ingest=F.concat(F.array_join(F.filter(F.array(F.lit("[LLM_WIKI_DOC]"), F.concat(F.lit("path: "), path_()), F.concat(F.lit("tags: "), F.col("lang")), F.when(doc_() % 2 == 0, F.concat(F.lit("updated: "), F.col("source"))), F.lit("[/LLM_WIKI_DOC]")), lambda x: x.isNotNull()), "\n"), F.lit("\n\n"), text_())))
 docs_query("h01_slug", SLUG.format("text", 80) + " AS slug", lambda: dict(slug=ids.slug(text_())))
 docs_query("h02_hashes", "sha256(text) AS sha256, md5(text) AS md5, concat('chunk-', md5(text)) AS chunk_id, left(sha256(path), 12) AS short_id",
            lambda: dict(sha256=ids.sha(text_()), md5=F.md5(text_()), chunk_id=ids.md5_id(text_(), "chunk-"), short_id=ids.sha(path_(), 12)))
@@ -105,8 +105,8 @@ docs_query("h18_source_key", "CASE WHEN doc_id % 3 = 0 THEN path WHEN doc_id % 3
            lambda: dict(source_key=ids.source_key(F.when(doc_() % 3 == 0, path_()), F.when(doc_() % 3 == 1, F.col("source")).otherwise(""), F.lit("doc"))))
 docs_query("h23_embedding_text", f"concat('Title: doc ', doc_id, chr(10), 'Section kind: ', lang, chr(10), 'Section title: ', source, chr(10), 'Source path: ', path, chr(10), chr(10), rtrim(left({SQUEEZE.format('text')}, 6000)), chr(10)) AS embedding_text",
            lambda: dict(embedding_text=text.embedding_text(F.concat(F.lit("doc "), doc_().cast("string")), F.col("lang"), F.col("source"), path_(), text_())))
-docs_query("h24_prefix", "CASE WHEN doc_id % 2 = 0 THEN concat('passage: ', left(text,40)) ELSE concat('passage: ', left(text,40)) END AS passage",
-           lambda: dict(passage=text.prefixed(F.when(doc_() % 2 == 0, F.concat(F.lit("passage: "), F.substring(text_(), 1, 40))).otherwise(F.substring(text_(), 1, 40)), "passage:")))
+docs_query("h24_prefix", "concat('passage: ', text) AS passage, CASE WHEN starts_with(text, 'In') THEN text ELSE concat('In ', text) END AS opened",
+           lambda: dict(passage=text.prefixed(text.prefixed(text_(), "passage:"), "passage:"), opened=text.prefixed(text_(), "In")))
 docs_query("h29_first_sentences", f"rtrim(left({SQUEEZE.format('text')}, 600)) AS opening, list_slice(list_transform(list_filter(list_transform(string_split(text,chr(10)), lambda s: regexp_replace(trim(s),'^[-*]\\s+','')), lambda s: length(s) > 8), lambda s: left(s,240)),1,5) AS items FROM d WHERE length(regexp_replace(text, '[\\n]', '', 'g')) > 0 --",
            lambda: dict(opening=text.first_sentences(text_()), items=text.bullets(text_())))
 SQL["h29_first_sentences"] = DOCS + f"""SELECT doc_id, rtrim(left({SQUEEZE.format('text')}, 600)) AS opening, array_to_string(CASE WHEN len(i) > 0 THEN i ELSE [rtrim(left({SQUEEZE.format('text')}, 240))] END, '#') AS items
@@ -199,7 +199,7 @@ def hrefs_():
 
 pages_query("h26_links", """len(regexp_extract_all(html,'href="([^"]*)"',1))::INTEGER AS n_links, array_to_string(regexp_extract_all(html,'href="([^"]*)"',1),' ') AS links""",
             lambda: dict(n_links=F.size(hrefs_()), links=F.array_join(hrefs_(), " ")))
-pages_query("h07_sanitise", "replace(replace(replace(replace(replace(trim(left(html,400)),'&lt;','<'),'&gt;','>'),'&quot;','\"'),'&#39;',''''),'&amp;','&') AS clean", lambda: dict(clean=text.sanitised(F.substring(html_(), 1, 400))))
+pages_query("h07_sanitise", "replace(replace(replace(replace(replace(trim(html),'&lt;','<'),'&gt;','>'),'&quot;','\"'),'&#39;',''''),'&amp;','&') AS clean", lambda: dict(clean=text.sanitised(html_())))
 pages_query("h42_mask_urls", "regexp_replace(concat(url, ' and ', url), 'https?://[^ ]+', '[url_()]', 'g') AS masked, 'title' AS fields",
             lambda: dict(masked=F.transform_values(F.map_filter(F.create_map(F.lit("title"), F.concat_ws(" and ", url_(), url_()), F.lit("source_url"), url_()), lambda k, v: ~k.contains("url")), lambda k, v: F.regexp_replace(v, "https?://[^ ]+", "[url_()]"))["title"],
             fields=F.array_join(F.map_keys(F.map_filter(F.create_map(F.lit("title"), url_(), F.lit("source_url"), url_()), lambda k, v: ~k.contains("url"))), ",")))
@@ -248,7 +248,32 @@ def normal_url(url):
 
 pages_query("b22_normal_url", "CASE page_id % 3 WHEN 0 THEN concat('https://arxiv.org/abs/2401.', lpad(page_id::VARCHAR,5,'0')) WHEN 1 THEN concat('https://raw.githubusercontent.com/o/r/main/p', page_id, '.pdf') ELSE regexp_replace(url,'#.*$','') END AS normal",
             lambda: dict(normal=normal_url(F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("http://arxiv.org/pdf/2401."), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit("v3.pdf"))).when(F.col("page_id") % 3 == 1, F.concat(F.lit("https://github.com/o/r/blob/main/p"), F.col("page_id").cast("string"), F.lit(".pdf"))).otherwise(url_()))))
-pages_query("h27_link_context", """substr(html, greatest(strpos(html,'href="')-20,1), 40) AS context""", lambda: dict(context=F.substring(html_(), F.greatest(F.instr(html_(), 'href="') - 20, F.lit(1)), F.lit(40))))
+LINK = r"""(?:https?://|href=")[^ \t\n\r)\]}>"']+"""
+
+
+def link_context(spark, d):
+    """Every link of a page with its address line: the line around it, or 180 characters to either side where that is longer."""
+    page = read(spark, d, "pages").select("page_id", F.concat_ws("\n", url_(), html_()).alias("t"))
+    page = page.select("page_id", "t", F.explode(text.places(F.col("t"), LINK)).alias("m")).select("page_id", "t", "m.*")
+    before = F.substr("t", F.greatest(F.col("start") - 359, F.lit(1)), F.least("start", F.lit(360)))
+    after = F.substr("t", F.col("start") + F.length("value") + 1, F.lit(360))
+    left, right = F.substring_index(before, "\n", -1), F.substring_index(after, "\n", 1)
+    whole = F.length(left) + F.length("value") + F.length(right) <= 360
+    around = F.when(whole, F.concat(left, "value", right)).otherwise(F.concat(F.substring(before, -180, 180), "value", F.substring(after, 1, 180)))
+    return page.select("page_id", "start", F.col("value").alias("link"), F.substring(F.trim(F.regexp_replace(around, r"[ \t\n\r]+", " ")), 1, 500).alias("context"))
+
+
+QUERIES["h27_link_context"] = link_context
+_LINK_SQL = LINK.replace("'", "''")
+SQL["h27_link_context"] = f"""
+WITH p AS (SELECT page_id, concat_ws(chr(10), url, html) AS t FROM pages),
+m AS (SELECT page_id, t, regexp_extract_all(t, '{_LINK_SQL}') AS v, string_split_regex(t, '{_LINK_SQL}') AS g FROM p),
+n AS (SELECT page_id, t, v, g, unnest(range(1, len(v) + 1)) AS i FROM m),
+x AS (SELECT page_id, t, v[i] AS link, (list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(v[1:i - 1], lambda y: length(y))), 0))::INTEGER AS start FROM n),
+b AS (SELECT *, substr(t, greatest(start - 359, 1), least(start, 360)) AS before, substr(t, start + length(link) + 1, 360) AS after FROM x),
+l AS (SELECT *, string_split(before, chr(10))[-1] AS lft, string_split(after, chr(10))[1] AS rgt FROM b)
+SELECT page_id, start, link, left(trim(regexp_replace(CASE WHEN length(lft) + length(link) + length(rgt) <= 360 THEN concat(lft, link, rgt)
+ ELSE concat(right(before, 180), link, left(after, 180)) END, '[ \t\n\r]+', ' ', 'g')), 500) AS context FROM l"""
 pages_query("b23_domain", "CASE WHEN page_id % 4 = 0 THEN 'ml' WHEN page_id % 4 = 1 THEN 'nlp' WHEN page_id % 4 = 2 THEN 'ml' ELSE 'general' END AS domain",
             lambda: dict(domain=F.coalesce(F.get(F.filter(F.transform(F.when(F.col("page_id") % 4 == 0, F.array(F.lit("x.Y"), F.lit("cs.LG"))).when(F.col("page_id") % 4 == 1, F.array(F.lit("cs.CL"), F.lit("cs.LG"))).when(F.col("page_id") % 4 == 2, F.array(F.lit("stat.ML"))).otherwise(F.array(F.lit("math.AG"))),
                                                                lambda c: F.when(c.startswith("cs.CL"), "nlp").when(c.startswith("cs.LG") | c.startswith("stat.ML"), "ml")), lambda x: x.isNotNull()), F.lit(0)), F.lit("general"))))

@@ -69,8 +69,8 @@ SQL["a03_strict_jsonl"] = "SELECT event_id FROM events WHERE event_id % 9 = 0"
 
 
 def manifest_load(spark, d):
-    """A manifest object of chunk records parsed as a map and exploded: one object for each language."""
-    c = corpus(spark, d).groupBy("lang").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("chunk-"), F.col("doc_id").cast("string")), F.struct("source", "n_chars"))))).alias("manifest"))
+    """Manifest objects of chunk records parsed as maps and exploded: one object for a language's rows of 1000 ids, so that none grows with the corpus."""
+    c = corpus(spark, d).groupBy("lang", F.floor(F.col("doc_id") / 1000).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("chunk-"), F.col("doc_id").cast("string")), F.struct("source", "n_chars"))))).alias("manifest"))
     parsed = F.from_json("manifest", "map<string, struct<source: string, n_chars: long>>")
     return c.select("lang", F.explode(parsed).alias("key", "r")).select("lang", "key", "r.source", "r.n_chars")
 
@@ -374,15 +374,16 @@ SQL["g12_freshness"] = "SELECT doc_id, CASE doc_id % 10 WHEN 5 THEN 'missing' WH
 
 
 def file_prints(spark, d):
-    """Size and hash of each input as a file: one small file for each source, read by the binary reader."""
+    """Size and hash of each input as a file: a small file for a source's rows of 1000 ids, read by the binary reader."""
     at = scratch(spark)
-    docs = read(spark, d, "documents").groupBy("source").agg(F.array_join(F.array_sort(F.collect_list(F.lpad(F.col("doc_id").cast("string"), 12, "0"))), ",").alias("value"))
-    docs.repartition("source").write.partitionBy("source").text(at)
+    docs = read(spark, d, "documents").groupBy("source", F.floor(F.col("doc_id") / 1000).alias("part")).agg(F.array_join(F.array_sort(F.collect_list(F.lpad(F.col("doc_id").cast("string"), 12, "0"))), ",").alias("value"))
+    docs.repartition("source", "part").write.partitionBy("source", "part").text(at)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(at)
-    return files.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("long").alias("part")
+    return files.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), part, F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
-SQL["g13_file_fingerprints"] = "SELECT source, length(v) + 1 AS size, sha256(concat(v, chr(10))) AS sha256 FROM (SELECT source, string_agg(lpad(doc_id::VARCHAR, 12, '0'), ',' ORDER BY doc_id) AS v FROM documents GROUP BY 1)"
+SQL["g13_file_fingerprints"] = "SELECT source, part, length(v) + 1 AS size, sha256(concat(v, chr(10))) AS sha256 FROM (SELECT source, (doc_id // 1000)::BIGINT AS part, string_agg(lpad(doc_id::VARCHAR, 12, '0'), ',' ORDER BY doc_id) AS v FROM documents GROUP BY 1, 2)"
 
 
 # --- counts and audits ---------------------------------------------------------------------
