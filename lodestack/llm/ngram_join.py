@@ -372,3 +372,17 @@ def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_classes(docs).select("doc_id", "class_id", "n_links", "class_size")
+
+
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + least(len(w), 5) - 1), ' ') AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y USING (gram) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE c / (na.n + nb.n - c) >= 0.8),
+reach(node, label) AS (SELECT doc_id, doc_id FROM d UNION SELECT link.b, label FROM reach JOIN link ON link.a = node),
+class AS (SELECT node AS doc_id, min(label) AS class_id FROM reach GROUP BY 1),
+others AS (SELECT a AS doc_id, count(DISTINCT y.t) FILTER (WHERE y.t <> x.t) AS n_links FROM link JOIN d x ON x.doc_id = a JOIN d y ON y.doc_id = b GROUP BY 1)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, count(*) OVER (PARTITION BY class_id) AS class_size FROM class LEFT JOIN others USING (doc_id)
+"""

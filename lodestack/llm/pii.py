@@ -192,3 +192,40 @@ def query(spark, sf_dir: str) -> DataFrame:
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE_KINDS))
     best = F.array_max(F.transform("pii", lambda s: s["score"]))  # null where there is no span
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"), best.alias("top_score"))
+
+
+def _kind_sql(kind: str) -> str:
+    """Confirmed matches of a kind in DuckDB: (doc_id, kind, k, start, end, score). RE2 has no look-behinds; the base patterns need none."""
+    base = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+){3}", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": PHONE,
+        "iban": IBAN.replace("(?<![A-Za-z0-9])", r"\b").replace("(?![A-Za-z0-9])", r"\b"),
+    }[kind]
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN reverse({digits})[i]::INTEGER ELSE (reverse({digits})[i]::INTEGER * 2) % 10 + (reverse({digits})[i]::INTEGER * 2) // 10 END)) % 10 = 0"
+    moved = "string_split(concat(substr(replace(value, ' ', ''), 5), left(value, 4)), '')"
+    number = f"list_transform({moved}, lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)"
+    sure = {
+        "email": "true", "ip": "list_aggregate(list_transform(string_split(value, '.'), lambda p: CASE WHEN length(ltrim(p, '0')) > 3 THEN 999 ELSE p::INTEGER END), 'max') <= 255",
+        "card": luhn, "phone": f"length({digits}) BETWEEN 9 AND 15",
+        "iban": f"list_reduce(list_prepend(0, {number}), lambda acc, x: (acc * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1",
+    }[kind]
+    match = f"length({digits}) BETWEEN 13 AND 19" if kind == "card" else "true"
+    return f"""
+SELECT doc_id, '{kind}' AS kind, {KINDS.index(kind)} AS k, start, stop,
+  round({SCORES[kind]} + CASE WHEN regexp_matches(lower(concat(right(substr(t, p + 1, start - p), {NEAR}), ' ', substr(t, stop + 1, least({NEAR}, f - stop)))), '{CONTEXT[kind]}') THEN 0.15 ELSE 0 END, 2)::DOUBLE AS score
+FROM (SELECT *, coalesce(lag(stop) OVER w, 0) AS p, coalesce(lead(start) OVER w, length(t)) AS f FROM (
+  SELECT *, start + length(value) AS stop FROM (
+    SELECT doc_id, t, v[i] AS value, (list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(v[1:i - 1], lambda y: length(y))), 0))::BIGINT AS start
+    FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM (SELECT doc_id, t, regexp_extract_all(t, '{base}') AS v, string_split_regex(t, '{base}') AS g FROM d)))
+  WHERE {match}) WINDOW w AS (PARTITION BY doc_id ORDER BY start)) WHERE {sure}"""
+
+
+SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(_kind_sql(k) for k in KINDS)}),
+a AS (SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in KINDS)}, max(score) AS top_score,
+  string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY k, start) AS spans,
+  string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY k, start) FILTER (WHERE kind <> 'iban') AS base FROM s GROUP BY 1)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, top_score
+FROM d LEFT JOIN a USING (doc_id)
+"""

@@ -25,4 +25,11 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return pipeline | {"op2_block_ann": block_ann.SQL, "op3_substring_dedup": substring_dedup.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    return pipeline | {
+        "op2_block_ann": block_ann.SQL,
+        "op3_substring_dedup": substring_dedup.SQL,
+        "op4_pii": pii.SQL,
+        "op5_ngram_join": ngram_join.SQL,
+        "op7_suffix_levels": suffix_levels.SQL,
+        "op10_exact_dedup": exact_dedup.SQL,
+    }

@@ -216,3 +216,18 @@ def query(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("begins").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+win AS (SELECT doc_id, s, md5(substr(x, 2 * s + 1, 200)) AS g FROM (SELECT doc_id, x, unnest(range(0, n - 99)) AS s FROM d WHERE n >= 100)),
+seen AS (SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS k FROM win),
+hit AS (SELECT doc_id, s, max(s) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM seen WHERE k > 1),
+num AS (SELECT doc_id, s, sum(CASE WHEN p IS NULL OR s > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM hit),
+span AS (SELECT doc_id, r, min(s) AS a, max(s) + 100 AS b FROM num GROUP BY 1, 2),
+gap AS (SELECT doc_id, r, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY r), 0) AS e FROM span),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * e + 1, 2 * (a - e)), '' ORDER BY r) AS h, max(b) AS last, sum(b - a) AS gone, count(*) AS spans FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+ sha256(unhex(concat(coalesce(h, ''), substr(x, 2 * coalesce(last, 0) + 1)))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
