@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for cut lineage: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
+    """The folder for cut lineage: spark.checkpoint.dir; where that is unset, a new local one, on a local master only (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-lodestack-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
