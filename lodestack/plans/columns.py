@@ -144,10 +144,12 @@ ORDERED_TERMS = "(SELECT string_agg(t, ' ' ORDER BY p) FROM (SELECT t, min(p) AS
 bench_query("h14_query_terms", f"{ORDERED_TERMS} AS terms", lambda: dict(terms=F.array_join(text.query_terms(text_()), " ")))
 bench_query("h13_query_expansion", "concat('raw_section section_kind ', CASE WHEN item_id % 2 = 0 THEN 'future' ELSE 'nothing' END, ' ', CASE WHEN item_id % 2 = 0 THEN '对未来研究的启发 future work future research inspiration research ideas ' ELSE '' END, trim(text)) AS expanded",
             lambda: dict(expanded=text.expand_query(F.when(F.col("item_id") % 2 == 0, " Future ").otherwise("nothing"), text_())))
-bench_query("f01_candidate_budget", "least(200, greatest(40, 5 * (item_id % 60 + 1)))::INTEGER AS budget, least(200, greatest(20, 3 * (item_id % 60 + 1)))::INTEGER AS scope",
-            lambda: dict(budget=F.least(F.lit(200), F.greatest(F.lit(40), 5 * (F.col("item_id") % 60 + 1))).cast("int"), scope=F.least(F.lit(200), F.greatest(F.lit(20), 3 * (F.col("item_id") % 60 + 1))).cast("int")))
-bench_query("h38_clamp", "CASE WHEN item_id % 4 = 3 THEN -1 ELSE least(greatest(item_id * 7 - 20, 1), 100) END::INTEGER AS top_k",
-            lambda: dict(top_k=clamped(F.when(item_() % 4 == 3, "x").otherwise((item_() * 7 - 20).cast("string")), 1, 100, -1)))
+bench_query("f01_candidate_budget", "least(200, greatest(40, 5 * (length(text) % 60 + 1)))::INTEGER AS budget, least(200, greatest(20, 3 * (length(text) % 60 + 1)))::INTEGER AS scope",
+            lambda: dict(budget=F.least(F.lit(200), F.greatest(F.lit(40), 5 * (F.length("text") % 60 + 1))).cast("int"), scope=F.least(F.lit(200), F.greatest(F.lit(20), 3 * (F.length("text") % 60 + 1))).cast("int")))
+CLAMPED = "CASE WHEN TRY_CAST({0} AS INTEGER) IS NULL THEN -1 ELSE least(greatest(TRY_CAST({0} AS INTEGER), 1), 100) END"
+_WORD, _CUT = "regexp_extract(text, '[A-Za-z0-9]+')", "concat(length(regexp_extract(text, '[A-Za-z0-9]+')) * 30 - 50)"
+bench_query("h38_clamp", f"{CLAMPED.format(_WORD)}::INTEGER AS of_word, {CLAMPED.format(_CUT)}::INTEGER AS of_length",
+            lambda: dict(of_word=clamped(F.regexp_extract("text", "[A-Za-z0-9]+", 0), 1, 100, -1), of_length=clamped((F.length(F.regexp_extract("text", "[A-Za-z0-9]+", 0)) * 30 - 50).cast("string"), 1, 100, -1)))
 
 
 def clamped(value, low: int, high: int, bad: int):

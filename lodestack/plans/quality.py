@@ -181,30 +181,36 @@ SQL["k02_secret_hits"] = f"SELECT doc_id, count(*) AS hits, max(length(v))::INTE
 
 
 def strict_scan(spark, d):
-    """Hits of each strict pattern, masked; every eighth document carries one."""
-    key = F.concat(F.lit("sk-"), F.md5(F.col("doc_id").cast("string")))
-    docs = corpus(spark, d).select("doc_id", F.when(F.col("doc_id") % 8 == 0, F.concat("text", F.lit(" "), key)).otherwise(F.col("text")).alias("t"))
-    found = [docs.select("doc_id", F.lit(i).alias("pattern"), F.explode(F.regexp_extract_all("t", F.lit(p), F.lit(0))).alias("m")) for i, p in enumerate(text.STRICT_SECRETS)]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.select("doc_id", "pattern", F.concat(F.substring("m", 1, 4), F.lit("***")).alias("masked"))
+    """Hits of each strict pattern, masked; documents carry keys of five kinds behind their text."""
+    digest = F.md5(F.col("doc_id").cast("string"))
+    keys = (F.concat(F.lit("sk-"), digest), F.concat(F.lit("ghp_"), digest), F.concat(F.lit("AKIA"), F.upper(F.substring(digest, 1, 16))), F.concat(F.lit("eyJ"), digest, F.lit("."), digest, F.lit("."), digest), F.concat(F.lit("Bearer "), digest))
+    docs = corpus(spark, d).select("doc_id", F.concat_ws(" ", "text", F.get(F.array(*keys), (F.col("doc_id") % 8).cast("int"))).alias("t"))
+    hits = F.array(*[F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in text.STRICT_SECRETS])
+    found = docs.select("doc_id", F.posexplode(hits).alias("pattern", "m")).select("doc_id", "pattern", F.explode("m").alias("m"))
+    return found.select("doc_id", "pattern", F.concat(F.substring("m", 1, 4), F.lit("***")).alias("masked"))
 
 
-SQL["k03_strict_scan"] = "SELECT doc_id, 0::INTEGER AS pattern, 'sk-' || left(md5(doc_id::VARCHAR),1) || '***' AS masked FROM documents WHERE doc_id % 8 = 0"
+_SCANS = " UNION ALL ".join(f"SELECT doc_id, {i}::INTEGER AS pattern, unnest(regexp_extract_all(t, '{p}')) AS m FROM k" for i, p in enumerate(text.STRICT_SECRETS))
+SQL["k03_strict_scan"] = f"""WITH m AS (SELECT doc_id, text, md5(doc_id::VARCHAR) AS h FROM documents), k AS (SELECT doc_id, concat_ws(' ', text, CASE doc_id % 8 WHEN 0 THEN 'sk-' || h
+ WHEN 1 THEN 'ghp_' || h WHEN 2 THEN 'AKIA' || upper(left(h, 16)) WHEN 3 THEN concat('eyJ', h, '.', h, '.', h) WHEN 4 THEN 'Bearer ' || h END) AS t FROM m)
+SELECT doc_id, pattern, left(m, 4) || '***' AS masked FROM ({_SCANS})"""
 
 
 def control_scan(spark, d):
-    """Control characters with line, column and code point, at most fifty a document; turns carry some."""
-    t = read(spark, d, "conversations").select("conv_id", "turn", F.concat(F.lit("ab\nc"), F.when(F.col("turn") % 2 == 0, F.lit("\x07")).otherwise(""), F.lit("d\te")).alias("t"))
-    lines = t.select("conv_id", "turn", F.posexplode(F.split("t", "\n")).alias("l", "line"))
-    chars = lines.select("conv_id", "turn", "l", F.posexplode(F.split("line", "")).alias("c", "ch")).withColumn("code", F.ascii("ch"))
-    w = Window.partitionBy("conv_id", "turn").orderBy("l", "c")
-    hit = chars.where("ch <> '' AND code < 32").withColumn("_n", F.row_number().over(w)).where("_n <= 50")
-    return hit.select("conv_id", "turn", (F.col("l") + 1).alias("line"), (F.col("c") + 1).alias("col"), "code")
+    """Control characters of whole texts with line, column and code point, at most fifty a document; a bell stands behind every comma."""
+    t = read(spark, d, "documents").select("doc_id", F.replace("text", F.lit(", "), F.lit(",\x07 ")).alias("t"))
+    lines = t.select("doc_id", F.posexplode(F.split("t", "\n")).alias("l", "line"))
+    chars = lines.select("doc_id", "l", F.explode(text.places(F.col("line"), r"[\x01-\x09\x0B-\x1F]")).alias("m"))
+    w = Window.partitionBy("doc_id").orderBy("l", "m.start")
+    hit = chars.withColumn("_n", F.row_number().over(w)).where("_n <= 50")
+    return hit.select("doc_id", (F.col("l") + 1).alias("line"), (F.col("m.start") + 1).alias("col"), F.ascii("m.value").alias("code"))
 
 
-SQL["k04_control_scan"] = "SELECT conv_id, turn, 2::INTEGER AS line, 2::INTEGER AS col, 7::INTEGER AS code FROM conversations WHERE turn % 2 = 0 UNION ALL SELECT conv_id, turn, 2, CASE WHEN turn % 2 = 0 THEN 4 ELSE 3 END, 9 FROM conversations"
+SQL["k04_control_scan"] = """WITH t AS (SELECT doc_id, string_split(replace(text, ', ', ',' || chr(7) || ' '), chr(10)) AS t FROM documents),
+l AS (SELECT doc_id, unnest(t) AS s, unnest(range(1, len(t) + 1)) AS line FROM t),
+c AS (SELECT doc_id, line, s, unnest(list_filter(range(1, length(s) + 1), lambda i: ascii(s[i]) BETWEEN 1 AND 31)) AS col FROM l),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line, col) AS k FROM c)
+SELECT doc_id, line::INTEGER AS line, col::INTEGER AS col, ascii(s[col])::INTEGER AS code FROM n WHERE k <= 50"""
 
 
 def corpus_checks(spark, d):
@@ -303,13 +309,16 @@ SQL["d22_pending_status"] = "SELECT *, CASE WHEN actionable > 0 THEN 'run' WHEN
 
 
 def resources(spark, d):
-    """Links of pages by kind: how many of them answer to a page."""
+    """Pages by host suffix and scheme: how many of them hold an article."""
     p = read(spark, d, "pages")
-    kind = F.element_at(F.array(F.lit("github"), F.lit("hf"), F.lit("project")), (F.col("page_id") % 3 + 1).cast("int"))
-    return p.groupBy(kind.alias("kind")).agg(F.count_if(F.col("page_id") % 2 == 0).alias("verified"), F.count_if(F.col("page_id") % 2 == 1).alias("unverified"))
+    host = F.try_parse_url("url", F.lit("HOST"))
+    kind = F.concat_ws(" ", F.substring_index(host, ".", -1), F.substring_index("url", ":", 1))
+    whole = F.contains("html", F.lit("<article>")) & (F.length("html") >= 2000)
+    return p.groupBy(kind.alias("kind")).agg(F.count_if(whole).alias("verified"), F.count_if(~whole).alias("unverified"))
 
 
-SQL["d23_resource_status"] = "SELECT ['github','hf','project'][page_id % 3 + 1] AS kind, count(*) FILTER (WHERE page_id % 2 = 0) AS verified, count(*) FILTER (WHERE page_id % 2 = 1) AS unverified FROM pages GROUP BY 1"
+SQL["d23_resource_status"] = """SELECT concat_ws(' ', regexp_extract(url, '^[a-z]+://[^/?#:]*[.]([^/?#:.]+)', 1), split_part(url, ':', 1)) AS kind,
+ count(*) FILTER (WHERE contains(html, '<article>') AND length(html) >= 2000) AS verified, count(*) FILTER (WHERE NOT (contains(html, '<article>') AND length(html) >= 2000)) AS unverified FROM pages GROUP BY 1"""
 
 
 def first_pass(spark, d):
