@@ -44,42 +44,6 @@ k AS (SELECT doc_id, n, trim(line) AS s, CASE WHEN regexp_matches(trim(line), '{
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY n) AS i FROM k WHERE kind IS NOT NULL)
 SELECT doc_id, kind, count(*) AS cards, min(n)::INTEGER AS first, arg_min(left(s, 180), n) AS heading FROM r WHERE i <= {CARD_LIMIT} GROUP BY 1, 2"""
 
-ENVIRONMENT = r"(?s)\\begin\{(equation|theorem|table|figure)\}(.*?)\\end\{\1\}"
-
-
-def tex(spark, d):
-    """(conv_id, tex): each conversation as a TeX source, a section or an environment for each turn."""
-    c = read(spark, d, "conversations")
-    name = F.element_at(F.array(*[F.lit(x) for x in ("equation", "theorem", "table", "figure")]), (F.col("turn") % 4 + 1).cast("int"))
-    n = F.col("turn").cast("string")
-    body = F.concat(F.lit("\\section{S"), n, F.lit("}\n% note\n\\begin{"), name, F.lit("}\\caption{Cap "), n, F.lit("}\\label{l"), n, F.lit("} x\\end{"), name, F.lit("}"))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("turn", body.alias("b")))), lambda x: x["b"])
-    return c.groupBy("conv_id").agg(F.array_join(parts, "\n").alias("tex"))
-
-
-def tex_cards(spark, d):
-    """Cards of TeX environments: kind, label, caption, line."""
-    t = tex(spark, d)
-    cards = t.select("conv_id", "tex", F.posexplode(F.regexp_extract_all("tex", F.lit(ENVIRONMENT), F.lit(0))).alias("ord", "env"))
-    line = F.size(F.split(F.expr("substring_index(tex, env, 1)"), "\n"))
-    return cards.select("conv_id", "ord", F.regexp_extract("env", ENVIRONMENT, 1).alias("kind"), F.regexp_extract("env", r"\\label\{([^}]*)\}", 1).alias("label"), F.regexp_extract("env", r"\\caption\{([^}]*)\}", 1).alias("caption"), line.alias("line"))
-
-
-CARDS = "SELECT conv_id, p::INTEGER AS ord, ['equation','theorem','table','figure'][turn % 4 + 1] AS kind, concat('l', turn) AS label, concat('Cap ', turn) AS caption, (3*p+3)::INTEGER AS line FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations)"
-SQL["m02_tex_cards"] = CARDS
-
-
-def result_cards(spark, d):
-    """Cards of tables and figures, numbered again, as results; others of odd captions as limitations."""
-    c = tex_cards(spark, d)
-    kind = F.when(F.col("kind").isin("table", "figure"), "result").when(F.col("caption").rlike("[13579]$"), "limitation")
-    w = Window.partitionBy("conv_id", "card").orderBy("ord")
-    return c.withColumn("card", kind).where("card IS NOT NULL").withColumn("place", F.row_number().over(w).cast("int")).select("conv_id", "card", "place", "label")
-
-
-SQL["m03_result_cards"] = f"SELECT conv_id, card, row_number() OVER (PARTITION BY conv_id, card ORDER BY ord)::INTEGER AS place, label FROM (SELECT *, CASE WHEN kind IN ('table','figure') THEN 'result' WHEN regexp_matches(caption,'[13579]$') THEN 'limitation' END AS card FROM ({CARDS})) WHERE card IS NOT NULL"
-
-
 def main_file(spark, d):
     """The main file of each source: by markers, sections and size; every document is a file of its source."""
     c = corpus(spark, d)
@@ -92,15 +56,6 @@ def main_file(spark, d):
 SQL["m04_main_file"] = DOCS + "SELECT source, path, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, path) AS n FROM (SELECT source, path, CASE WHEN doc_id%3=0 THEN 100 ELSE 0 END + len(string_split(text,chr(10))) + CASE WHEN regexp_matches(path,'^(_meta|notes)/') THEN -1000 ELSE 0 END AS score FROM d)) WHERE n = 1"
 
 
-def digest(spark, d):
-    """Cards of each document gathered: kinds with their labels in order."""
-    c = tex_cards(spark, d)
-    return c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.concat_ws("=", "kind", "label").alias("x")))), lambda x: x["x"]), ",").alias("cards"), F.countDistinct("kind").alias("kinds"))
-
-
-SQL["m05_digest"] = f"SELECT conv_id, string_agg(concat_ws('=', kind, label), ',' ORDER BY ord) AS cards, count(DISTINCT kind) AS kinds FROM ({CARDS}) GROUP BY 1"
-
-
 def probes(spark, d):
     """Resource links once for each (kind, repository), eight a kind; links are made of page ids."""
     p = read(spark, d, "pages").select("page_id", F.concat(F.lit("https://github.com/o"), (F.col("page_id") % 30).cast("string"), F.lit("/r")).alias("url"))
@@ -112,31 +67,6 @@ def probes(spark, d):
 SQL["m07_probes"] = "SELECT 'github' AS kind, url, page_id, place FROM (SELECT *, row_number() OVER (ORDER BY page_id)::INTEGER AS place FROM (SELECT concat('https://github.com/o', page_id % 30, '/r') AS url, min(page_id) AS page_id FROM pages GROUP BY 1)) WHERE place <= 8"
 
 
-def source_view(spark, d):
-    """TeX without comment lines, labels and what comes before the first section."""
-    t = tex(spark, d)
-    lines = F.filter(F.split(F.concat(F.lit("\\title{x}\n"), "tex"), "\n"), lambda s: ~s.startswith("%"))
-    started = F.slice(lines, F.array_position(F.transform(lines, lambda s: s.startswith("\\section")), True).cast("int"), F.size(lines))
-    return t.select("conv_id", F.regexp_replace(F.array_join(started, "\n"), r"\\label\{[^}]*\}", "").alias("view"))
-
-
-SQL["m09_source_view"] = r"""SELECT conv_id, string_agg(concat('\section{S', turn, '}', chr(10), '\begin{', e, '}\caption{Cap ', turn, '} x\end{', e, '}'), chr(10) ORDER BY turn) AS view FROM (SELECT conv_id, turn, ['equation','theorem','table','figure'][turn % 4 + 1] AS e FROM conversations) GROUP BY 1"""
-
-
-def tex_strip(spark, d):
-    """Plain words of TeX: commands and braces gone, a simple macro put in, comments cut."""
-    t = tex(spark, d).select("conv_id", F.concat(F.lit("\\newcommand{\\foo}{bar}\n\\foo % c\n"), "tex").alias("t"))
-    macro = F.regexp_extract("t", r"\\newcommand\{\\foo\}\{([^}]*)\}", 1)
-    s = F.regexp_replace("t", r"(?<!\\)%[^\n]*", "")
-    s = F.regexp_replace(s, r"\\newcommand\{[^}]*\}\{[^}]*\}", "")
-    s = F.replace(s, F.lit("\\foo"), macro)
-    s = F.regexp_replace(F.regexp_replace(s, r"\\(begin|end|label)\{[^}]*\}", " "), r"\\[a-z]+", " ")
-    return t.select("conv_id", F.trim(F.regexp_replace(F.regexp_replace(s, "[{}]", " "), r"\s+", " ")).alias("words"))
-
-
-SQL["h36_tex_strip"] = "SELECT conv_id, concat('bar ', string_agg(concat('S', turn, ' Cap ', turn, ' x'), ' ' ORDER BY turn)) AS words FROM conversations GROUP BY 1"
-
-
 def abstract_spans(spark, d):
     """Merged intervals of abstract blocks: overlapping windows of line numbers become islands."""
     lines = conversations_markdown(spark, d).select("conv_id", F.posexplode(F.split("markdown", "\n")).alias("n", "line"))
@@ -252,6 +182,6 @@ def cues(spark, d):
 SQL["h20_number_cue"] = "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END::INTEGER AS cue FROM documents"
 
 QUERIES = {
-    "m01_inventory": inventory, "m02_tex_cards": tex_cards, "m03_result_cards": result_cards, "m04_main_file": main_file, "m05_digest": digest, "m07_probes": probes, "m09_source_view": source_view,
-    "h36_tex_strip": tex_strip, "h28_abstract_spans": abstract_spans, "h25_base64_vectors": vectors_as_text, "h39_provider_rows": provider_rows, "j08_include_closure": includes, "h19_excerpts": excerpts, "h20_number_cue": cues,
+    "m01_inventory": inventory, "m04_main_file": main_file, "m07_probes": probes,
+    "h28_abstract_spans": abstract_spans, "h25_base64_vectors": vectors_as_text, "h39_provider_rows": provider_rows, "j08_include_closure": includes, "h19_excerpts": excerpts, "h20_number_cue": cues,
 }
