@@ -17,6 +17,7 @@ ENTITY_PREFIXES = {
     "compiled:": "LLM_WIKI_PAGE", "raw_section:": "LLM_WIKI_RAW_SECTION", "raw_clip:": "LLM_WIKI_RAW", "raw:": "LLM_WIKI_RAW",
     "tag:": "LLM_WIKI_TAG", "method_atom:": "LLM_WIKI_METHOD_ATOM", "method:": "LLM_WIKI_METHOD_ATOM",
 }
+ROOTS = ("raw", "entities", "concepts", "comparisons", "queries", "_meta")  # folders that a reference may begin at
 SEPARATOR = "<SEP>"
 
 
@@ -131,3 +132,19 @@ def basename(path: Column) -> Column:
 def source_key(*candidates: Column) -> Column:
     """The first candidate that is neither null nor empty, else the empty string."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates], F.lit(""))
+
+
+def resolved_path(folder: Column, ref: Column) -> Column:
+    """ref from a folder (or from the root, if it begins at one of ROOTS) as a path below the root; '' if it leads above.
+
+    '..' goes up, '.' and empty parts vanish.
+    """
+    up = F.lit("..")
+    parts = F.split(F.concat(F.when(F.split(ref, "/")[0].isin(*ROOTS), "").otherwise(folder), ref), "/")
+
+    def step(acc, x):
+        higher = F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(F.array(up))
+        return F.when(F.array_contains(acc, up), acc).when(x == "..", higher).when(x.isin("", "."), acc).otherwise(F.array_append(acc, x))
+
+    found = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.when(F.array_contains(found, up), "").otherwise(F.array_join(found, "/"))

@@ -22,6 +22,7 @@ KIND_CONTAINS = {
     "limitations": ["可能的局限", "局限", "limitations", "limitation", "failure mode", "failure modes"],
     "questions": ["可继续追问的问题", "继续追问", "追问", "open question", "open questions", "unresolved question"],
 }
+NOTE_TYPES = ("raw-note", "paper-note")
 KINDS = ("summary", "abstract", "motivation", "methodology", "results", "future", "limitations", "questions")
 
 
@@ -137,5 +138,13 @@ def front_matter(text: Column) -> Column:
     return F.map_from_entries(last)
 
 
+def structured(meta: Column) -> Column:
+    """Whether front matter makes a structured note: by its type, or by its domain."""
+    def value(key):
+        return F.lower(F.coalesce(F.trim(F.get(meta[key], F.lit(0))), F.lit("")))
+
+    return value("type").isin(*NOTE_TYPES) | (value("domain") == "paper")
+
+
 def body(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\A---\s*\n.*?\n---\s*(?:\n|\z)", "")

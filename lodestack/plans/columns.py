@@ -47,8 +47,6 @@ docs_query(
     "CASE split_part(path,'/',1) WHEN '_meta' THEN 'meta_map' WHEN 'raw' THEN 'raw' WHEN 'notes' THEN 'unknown' ELSE 'compiled' END AS path_role",
     lambda: dict(role=ids.role_of_type(ids.doc_type(path_())), path_role=ids.role_of_path(path_())),
 )
-docs_query("b04_title", f"CASE WHEN doc_id % 3 = 0 THEN concat('Title ', doc_id) WHEN doc_id % 3 = 1 THEN concat('Head ', doc_id) ELSE concat('doc ', doc_id) END AS title",
-           lambda: dict(title=markdown.title(F.when(doc_() % 3 == 0, F.concat(F.lit(" Title "), doc_().cast("string"))), F.when(doc_() % 3 == 1, F.concat(F.lit("x\n# Head "), doc_().cast("string"), F.lit("\n"), text_())).otherwise(text_()), path_())))
 docs_query("b05_entity_type", f"CASE WHEN {CID} LIKE 'compiled:%' THEN 'LLM_WIKI_PAGE' WHEN {CID} LIKE 'raw_clip:%' THEN 'LLM_WIKI_RAW' ELSE 'LLM_WIKI_NODE' END AS entity_type",
            lambda: dict(entity_type=ids.entity_type(ids.canonical_id(path_()))))
 docs_query("b06_description", "left(concat_ws(' | ', concat('doc ', doc_id), path, concat('tags=', lang), CASE WHEN doc_id % 2 = 0 THEN concat('updated=', source) END), 900) AS description",
@@ -116,9 +114,6 @@ docs_query("h30_redact", "regexp_replace(text, '(?i)(api[_-]?key|token|password|
            lambda: dict(redacted=text.redact(text_(), (text.ASSIGNED_SECRET, *text.STRICT_SECRETS))))
 docs_query("h31_token_count", "CASE WHEN trim(text, ' '||chr(9)||chr(10)||chr(13)) = '' THEN 0 ELSE len(string_split_regex(trim(text, ' '||chr(9)||chr(10)||chr(13)), '\\s+')) END::INTEGER AS tokens", lambda: dict(tokens=text.token_count(text_())))
 docs_query("h15_legacy_terms", "array_to_string(list_slice(regexp_extract_all(text,'[0-9A-Za-z_一-鿿]+'),1,8),' ') AS terms", lambda: dict(terms=F.array_join(text.legacy_terms(text_()), " ")))
-docs_query("h41_header_field", "source AS source_kind, concat('raw_section:', doc_id) AS section_id",
-           lambda: dict(source_kind=text.header_field(F.concat(F.lit("[S]\nsection_id: raw_section:"), doc_().cast("string"), F.lit("\nsection_kind:  "), F.col("source"), F.lit("\n\n"), text_()), "section_kind"),
-           section_id=text.header_field(F.concat(F.lit("[S]\nsection_id: raw_section:"), doc_().cast("string"), F.lit("\nsection_kind:  "), F.col("source"), F.lit("\n\n"), text_()), "section_id")))
 docs_query("b25_point_lookup", "path, doc_id % 7 = 0 AS found FROM d WHERE doc_id % 50 < 14 --", lambda: dict(path=path_()))
 
 
@@ -326,21 +321,6 @@ events_query("h40_escaped_field", "concat(json_extract_string(props,'$.k'), CASE
 # --- Markdown of conversations -------------------------------------------------------------
 QUERIES["h12_section_text"] = lambda spark, d: conversations_markdown(spark, d).select("conv_id", markdown.section_text(markdown.sections(F.col("markdown")), ["assist"]).alias("content"))
 SQL["h12_section_text"] = "SELECT conv_id, coalesce(trim(arg_min(text, turn) FILTER (WHERE role='assistant'), ' '||chr(10)||chr(9)), '') AS content FROM conversations GROUP BY conv_id"
-QUERIES["h11_heading_kinds"] = lambda spark, d: read(spark, d, "conversations").select(
-    "conv_id", "turn", F.array_join(markdown.heading_kinds(F.concat(F.element_at(F.array(*[F.lit(x) for x in ("**Abstract** of", "Results and future work", "Method: x", "Other", "Open Questions")]), (F.col("turn") % 5 + 1).cast("int")), F.lit(" "), F.col("role"))), ",").alias("kinds"))
-SQL["h11_heading_kinds"] = "SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN 'abstract' WHEN 1 THEN 'results,future' WHEN 2 THEN 'methodology' WHEN 3 THEN '' ELSE 'questions' END AS kinds FROM conversations"
-QUERIES["h32_row_tests"] = lambda spark, d: read(spark, d, "conversations").select("conv_id", "turn", *[
-    f(F.element_at(F.array(F.lit("| a | b |"), F.lit("|---|:---:|"), F.lit(" - item"), F.lit("| one"), F.lit("* x | y |")), (F.col("turn") % 5 + 1).cast("int"))).alias(n) for n, f in (("is_table", markdown.is_table_row), ("is_map", markdown.is_map_row))])
-SQL["h32_row_tests"] = "SELECT conv_id, turn, turn % 5 = 0 AS is_table, turn % 5 IN (2, 4) AS is_map FROM conversations"
-
-
-def front_():
-    return F.concat(F.lit("---\ntitle: \"T "), doc_().cast("string"), F.lit("\"\ntags: [a, 'b', c]\n# note\nsources:\n  - x\n  - \"y\"\ndraft: true\n---\n"), text_())
-
-
-QUERIES["h09_front_matter"] = lambda spark, d: corpus(spark, d).select("doc_id", markdown.front_matter(front_()).alias("m"), markdown.body(front_()).alias("b")).select(
-    "doc_id", F.array_join(F.col("m")["title"], ",").alias("title"), F.array_join(F.col("m")["tags"], ",").alias("tags"), F.array_join(F.col("m")["sources"], ",").alias("sources"), F.array_join(F.col("m")["draft"], ",").alias("draft"), F.length("b").cast("long").alias("body_chars"))
-SQL["h09_front_matter"] = "SELECT doc_id, concat('T ', doc_id) AS title, 'a,b,c' AS tags, 'x,y' AS sources, 'true' AS draft, length(text)::BIGINT AS body_chars FROM documents"
 QUERIES["h16_term_coverage"] = lambda spark, d: corpus(spark, d).select("doc_id", F.round(text.term_coverage(F.concat(text_(), F.lit(" 1,234 ")), F.array(*[F.lit(t) for t in ("the", "1234", "234", "zzzz")]), F.lit(3)), 6).alias("coverage"))
 SQL["h16_term_coverage"] = "SELECT doc_id, round((CASE WHEN contains(lower(text),'the') THEN 1 ELSE 0 END + 3 + CASE WHEN regexp_matches(regexp_replace(lower(text),'[,{}]','','g'),'(^|[^0-9])234([^0-9]|$)') THEN 3 ELSE 0 END + CASE WHEN contains(lower(text),'zzzz') THEN 1 ELSE 0 END)::DOUBLE / 8, 6) AS coverage FROM documents"
 QUERIES["h06_record_hashes"] = lambda spark, d: corpus(spark, d).select("doc_id", F.md5(F.concat_ws("\x1f", F.lit("chunk"), text_(), F.lit("m"), F.lit("64"), F.lit("v1"))).alias("vector_hash"), F.md5(F.concat_ws("\x1f", F.lit("chunk"), path_(), F.col("source"))).alias("metadata_hash"), F.md5(F.concat_ws("\x1f", F.lit("chunk"), text_(), path_(), F.col("source"))).alias("record_hash"))

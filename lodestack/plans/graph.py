@@ -135,18 +135,6 @@ def links(spark, d):
 LINKS = """l AS (SELECT page_id, unnest(x) AS target, unnest(range(0, len(x))) AS ord FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"#]+)', 1) AS x FROM pages))"""
 
 
-def seed_edges(spark, d):
-    """LINKS_TO and HAS_TAG edges of pages with a running number."""
-    lk = links(spark, d).select(F.concat(F.lit("page:"), F.col("page_id").cast("string")).alias("src"), F.concat(F.lit("wiki:"), F.substr("target", F.lit(2))).alias("tgt"), F.lit("WIKILINKS_TO").alias("kind"), F.lit(1.0).alias("weight"))
-    tags = read(spark, d, "pages").select(F.concat(F.lit("page:"), F.col("page_id").cast("string")).alias("src"), F.concat(F.lit("tag:"), F.regexp_extract("html", 'lang="([a-z]+)"', 1)).alias("tgt"), F.lit("HAS_TAG").alias("kind"), F.lit(0.7).alias("weight"))
-    both = lk.distinct().unionByName(tags)
-    return both.withColumn("edge_no", F.row_number().over(Window.partitionBy("src").orderBy("kind", "tgt")).cast("int"))
-
-
-SQL["j02_seed_edges"] = f"""WITH {LINKS}, b AS (SELECT DISTINCT concat('page:',page_id) AS src, concat('wiki:',substr(target,2)) AS tgt, 'WIKILINKS_TO' AS kind, 1.0::DOUBLE AS weight FROM l
- UNION ALL SELECT concat('page:',page_id), concat('tag:',regexp_extract(html,'lang="([a-z]+)"',1)), 'HAS_TAG', 0.7::DOUBLE FROM pages) SELECT *, row_number() OVER (PARTITION BY src ORDER BY kind, tgt)::INTEGER AS edge_no FROM b"""
-
-
 def broken(spark, d):
     """Targets that no page answers to (by the path of its url)."""
     have = read(spark, d, "pages").select(F.regexp_extract("url", r"^https?://[^/?#]+(/[^?#]*)", 1).alias("target")).distinct()
@@ -156,35 +144,8 @@ def broken(spark, d):
 SQL["c10_broken_links"] = f"WITH {LINKS} SELECT target, count(DISTINCT page_id) AS pages FROM l WHERE target NOT IN (SELECT regexp_extract(url,'^https?://[^/?#]+(/[^?#]*)',1) FROM pages) GROUP BY 1"
 
 
-def resolved(spark, d):
-    """Link names resolved to documents by stem, the last document of a stem; names are made of the document ids."""
-    docs = read(spark, d, "documents").select("doc_id", F.concat(F.lit("n"), (F.col("doc_id") % 97).cast("string")).alias("stem"))
-    last = docs.groupBy("stem").agg(F.max("doc_id").alias("target_id"))
-    asked = read(spark, d, "pages").select("page_id", F.concat(F.lit("n"), (F.col("page_id") % 120).cast("string")).alias("stem"))
-    return asked.join(last, "stem", "left").select("page_id", "stem", F.coalesce("target_id", F.lit(-1)).alias("target_id"))
-
-
-SQL["c08_wikilink_resolution"] = "SELECT page_id, concat('n', page_id % 120) AS stem, coalesce((SELECT max(doc_id) FROM documents WHERE doc_id % 97 = page_id % 120), -1)::BIGINT AS target_id FROM pages"
-
-
-def parent_paths(spark, d):
-    """Relative references resolved against a page's folder: '..' goes up, '.' and empty parts vanish; none above the root."""
-    p = read(spark, d, "pages").select("page_id", F.concat(F.lit("a/b/p"), F.col("page_id").cast("string")).alias("page"), F.concat(F.element_at(F.array(F.lit("../"), F.lit("./"), F.lit("../../"), F.lit("../../../"), F.lit("x//./")), (F.col("page_id") % 5 + 1).cast("int")), F.lit("t"), F.col("page_id").cast("string")).alias("ref"))
-    parts = F.split(F.concat(F.regexp_replace("page", "[^/]*$", ""), F.col("ref")), "/")
-    up = F.lit("!")
-
-    def step(acc, x):
-        drop = F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(F.array(up))
-        return F.when(F.array_contains(acc, up), acc).when(x == "..", drop).when(x.isin("", "."), acc).otherwise(F.array_append(acc, x))
-
-    found = F.aggregate(parts, F.array().cast("array<string>"), step)
-    return p.select("page_id", F.when(F.array_contains(found, up), "").otherwise(F.array_join(found, "/")).alias("target"))
-
-
-SQL["c09_source_resolution"] = "SELECT page_id, concat(CASE page_id % 5 WHEN 0 THEN 'a/t' WHEN 1 THEN 'a/b/t' WHEN 2 THEN 't' WHEN 4 THEN 'a/b/x/t' ELSE '' END, CASE WHEN page_id % 5 = 3 THEN '' ELSE page_id::VARCHAR END) AS target FROM pages"
-
 QUERIES = {
     "c19_knn_join": rank_query, "e03_knn_rank": rank_query, "c20_mutual_filter": edges, "i19_mutual_graph": edges, "f04_edge_order": ordered_edges, "d11_edge_report": report,
     "f05_top_hubs": hubs, "d12_index_summary": families, "g05_both_ways": union_ways, "j01_neighbours": near, "c11_neighbour_expansion": expansion, "b10_pair_kind_selection": selected,
-    "h35_edge_text": edge_text, "i20_rank_index": rank_index, "j02_seed_edges": seed_edges, "c10_broken_links": broken, "c08_wikilink_resolution": resolved, "c09_source_resolution": parent_paths,
+    "h35_edge_text": edge_text, "i20_rank_index": rank_index, "c10_broken_links": broken
 }

@@ -59,46 +59,6 @@ def kind_filter(spark, d):
 SQL["b11_kind_filter"] = "SELECT conv_id, concat('raw_section:conv-', conv_id, ':assistant') AS section_id, 1::BIGINT AS kept, count(DISTINCT role) AS original FROM conversations GROUP BY conv_id HAVING bool_or(role = 'assistant')"
 
 
-def heading_stack(spark, d):
-    """Each heading with the titles above it; turns alternate between levels two and three."""
-    turns = read(spark, d, "conversations")
-    head = F.concat(F.when(F.col("turn") % 3 == 0, "# ").when(F.col("turn") % 3 == 1, "## ").otherwise("### "), F.lit("t"), F.col("turn").cast("string"))
-    lines = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", head.alias("h")))), lambda x: x["h"]).alias("lines"))
-    shape = "struct<stack:array<struct<level:int,title:string>>,found:array<string>>"
-    start = F.struct(F.array().cast("array<struct<level:int,title:string>>").alias("stack"), F.array().cast("array<string>").alias("found")).cast(shape)
-
-    def step(acc, line):
-        n = markdown.level(line)
-        stack = F.array_append(F.filter(acc["stack"], lambda s: s["level"] < n), F.struct(n.alias("level"), markdown.heading_title(line).alias("title")))
-        path = F.array_join(F.transform(stack, lambda s: s["title"]), " > ")
-        return F.when(n > 0, F.struct(stack.alias("stack"), F.array_append(acc["found"], path).alias("found")).cast(shape)).otherwise(acc)
-
-    return lines.select("conv_id", F.posexplode(F.aggregate("lines", start, step, lambda acc: acc["found"])).alias("ord", "path"))
-
-
-SQL["e12_heading_stack"] = """WITH t AS (SELECT conv_id, turn, turn % 3 AS l, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS ord FROM conversations),
-u AS (SELECT *, max(CASE WHEN l = 0 THEN turn END) OVER w AS a, max(CASE WHEN l = 1 THEN turn END) OVER w AS b FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
-SELECT conv_id, ord, CASE l WHEN 0 THEN concat('t', turn) WHEN 1 THEN concat_ws(' > ', 't'||a, 't'||turn) ELSE concat_ws(' > ', 't'||a, CASE WHEN b > coalesce(a,-1) THEN 't'||b END, 't'||turn) END AS path FROM u"""
-
-
-def span_rows(spark, d):
-    """Heading and table-row spans of documents made of turns: one heading and one table row a turn."""
-    turns = read(spark, d, "conversations")
-    part = F.concat(F.lit("## "), F.col("role"), F.lit("\n| "), F.col("turn").cast("string"), F.lit(" | x |\nplain"))
-    docs = turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", part.alias("p")))), lambda x: x["p"]), "\n").alias("md"))
-    lines = docs.select("conv_id", F.posexplode(F.split("md", "\n")).alias("n", "line"))
-    kind = F.when(markdown.level(F.col("line")) > 0, "doc.heading").when(markdown.is_table_row(F.col("line")), "table.row")
-    spans = lines.withColumn("kind", kind).where("kind IS NOT NULL")
-    path = F.concat(F.lit("conv-"), F.col("conv_id").cast("string"), F.lit(".md"))
-    digest = F.substring(F.sha1(F.concat_ws("\n", path, (F.col("n") + 1).cast("string"), "kind", F.trim("line"))), 1, 12)
-    return spans.select(F.concat_ws(":", F.lit("lexical"), path, (F.col("n") + 1).cast("string"), F.col("kind"), digest).alias("span_id"), "conv_id", (F.col("n") + 1).alias("start_line"), F.col("kind").alias("span_kind"), F.trim("line").alias("text"))
-
-
-SQL["i02_span_extraction"] = """WITH o AS (SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations),
-s AS (SELECT conv_id, (3*p+1)::INTEGER AS start_line, 'doc.heading' AS span_kind, concat('## ', role) AS text FROM o UNION ALL SELECT conv_id, (3*p+2)::INTEGER, 'table.row', concat('| ', turn, ' | x |') FROM o)
-SELECT concat_ws(':', 'lexical', concat('conv-', conv_id, '.md'), start_line, span_kind, left(sha1(concat_ws(chr(10), concat('conv-', conv_id, '.md'), start_line, span_kind, text)), 12)) AS span_id, * FROM s"""
-
-
 def snapshot_spans(spark, d):
     """Record and section spans where no source text is at hand."""
     r = corpus(spark, d).where("trim(text) <> ''").select(F.concat(F.lit("snapshot:chunks:"), F.col("doc_id").cast("string")).alias("span_id"), F.lit("record.snapshot").alias("span_kind"), F.lit("compiled").alias("source_role"), F.md5("text").alias("text_hash"))
@@ -149,17 +109,6 @@ def note_contract(spark, d):
 SQL["k08_note_contract"] = "SELECT conv_id, turn, CASE WHEN trim(text) = '' THEN 'empty' WHEN regexp_matches(text, '(?m)^(title|source):') THEN 'metadata_line' WHEN regexp_matches(text,'https?://') THEN 'url' WHEN length(text) < 40 THEN 'too_short' ELSE 'ok' END AS code FROM conversations"
 
 
-def structured_note(spark, d):
-    """Whether front matter makes a document a structured note: by its type, or by its domain."""
-    c = corpus(spark, d)
-    front = F.concat(F.lit("---\ntype: "), F.when(F.col("doc_id") % 3 == 0, "raw_note").otherwise("page"), F.lit("\ndomain: "), F.when(F.col("doc_id") % 4 == 0, "paper").otherwise("web"), F.lit("\n---\n"))
-    m = c.select("doc_id", markdown.front_matter(front).alias("m"))
-    return m.select("doc_id", (F.array_contains(F.col("m")["type"], "raw_note") | F.array_contains(F.col("m")["domain"], "paper")).alias("structured"))
-
-
-SQL["b19_structured_note"] = "SELECT doc_id, doc_id % 3 = 0 OR doc_id % 4 = 0 AS structured FROM documents"
-
-
 def method_atoms(spark, d):
     """Conversations whose assistant section has eighty characters or more, as method rows."""
     s = typed_sections(spark, d).where("kind = 'assistant' AND length(content) >= 80")
@@ -367,8 +316,8 @@ SQL["f06_card_caps"] = "SELECT doc_id, (p-1)::INTEGER AS ord, left(l,80) AS card
 
 QUERIES = {
     "e13_section_split": section_rows, "i01_section_extraction": typed_sections, "d14_section_counts": kind_counts, "b07_section_eligibility": eligible, "b11_kind_filter": kind_filter,
-    "e12_heading_stack": heading_stack, "i02_span_extraction": span_rows, "i03_snapshot_spans": snapshot_spans, "k05_heading_audit": heading_audit, "d15_audit_counters": audit_counters,
-    "k06_structured_headings": structured, "k08_note_contract": note_contract, "b19_structured_note": structured_note, "j03_method_atoms": method_atoms, "k02_secret_hits": secret_hits, "k03_strict_scan": strict_scan,
+    "i03_snapshot_spans": snapshot_spans, "k05_heading_audit": heading_audit, "d15_audit_counters": audit_counters,
+    "k06_structured_headings": structured, "k08_note_contract": note_contract, "j03_method_atoms": method_atoms, "k02_secret_hits": secret_hits, "k03_strict_scan": strict_scan,
     "k04_control_scan": control_scan, "k01_corpus_checks": corpus_checks, "d24_corpus_counters": counters, "d20_latency": latency, "d17_quality_totals": quality_totals, "d18_quality_groups": quality_groups,
     "d19_repetitions": repetitions, "c15_paired_rows": paired, "l05_gates": gates, "d22_pending_status": pending, "d23_resource_status": resources, "e09_first_pass": first_pass, "b18_suite_rows": suite_rows,
     "h34_response_fingerprint": response_prints, "f06_card_caps": capped,
