@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import excerpt, text
-from lodestack.plans.columns import DOCS, resource_kind
+from lodestack.plans.columns import DOCS
 from lodestack.plans.search import hybrid
 from lodestack.sources.tables import conversations_markdown, corpus, read, stored
 
@@ -56,17 +56,6 @@ def main_file(spark, d):
 SQL["m04_main_file"] = DOCS + "SELECT source, path, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, path) AS n FROM (SELECT source, path, CASE WHEN doc_id%3=0 THEN 100 ELSE 0 END + len(string_split(text,chr(10))) + CASE WHEN regexp_matches(path,'^(_meta|notes)/') THEN -1000 ELSE 0 END AS score FROM d)) WHERE n = 1"
 
 
-def probes(spark, d):
-    """Resource links once for each (kind, repository), eight a kind; links are made of page ids."""
-    p = read(spark, d, "pages").select("page_id", F.concat(F.lit("https://github.com/o"), (F.col("page_id") % 30).cast("string"), F.lit("/r")).alias("url"))
-    w = Window.partitionBy("kind", "url").orderBy("page_id")
-    one = p.withColumn("kind", resource_kind(F.col("url"))).withColumn("_n", F.row_number().over(w)).where("_n = 1")
-    return one.withColumn("place", F.row_number().over(Window.partitionBy("kind").orderBy("page_id")).cast("int")).where("place <= 8").select("kind", "url", "page_id", "place")
-
-
-SQL["m07_probes"] = "SELECT 'github' AS kind, url, page_id, place FROM (SELECT *, row_number() OVER (ORDER BY page_id)::INTEGER AS place FROM (SELECT concat('https://github.com/o', page_id % 30, '/r') AS url, min(page_id) AS page_id FROM pages GROUP BY 1)) WHERE place <= 8"
-
-
 def abstract_spans(spark, d):
     """Merged intervals of abstract blocks: overlapping windows of line numbers become islands."""
     lines = conversations_markdown(spark, d).select("conv_id", F.posexplode(F.split("markdown", "\n")).alias("n", "line"))
@@ -182,6 +171,6 @@ def cues(spark, d):
 SQL["h20_number_cue"] = "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END::INTEGER AS cue FROM documents"
 
 QUERIES = {
-    "m01_inventory": inventory, "m04_main_file": main_file, "m07_probes": probes,
+    "m01_inventory": inventory, "m04_main_file": main_file,
     "h28_abstract_spans": abstract_spans, "h25_base64_vectors": vectors_as_text, "h39_provider_rows": provider_rows, "j08_include_closure": includes, "h19_excerpts": excerpts, "h20_number_cue": cues,
 }

@@ -204,47 +204,6 @@ pages_query("m06_page_title", "regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1) AS
             lambda: dict(title=F.regexp_extract(html_(), "<h1[^>]*>(.*?)</h1>", 1), meta_title=F.regexp_extract(html_(), "<title>(.*?)</title>", 1)))
 
 
-def resource_kind(url):
-    """github, hf, hf_collection or project_page, else ignored."""
-    host, path = F.try_parse_url(url, F.lit("HOST")), F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
-    parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    return (
-        F.when(host.isNull(), "ignored").when(host.isin("github.com", "www.github.com") & (F.size(parts) >= 2), "github")
-        .when((host == "huggingface.co") & (F.get(parts, F.lit(0)) == "collections"), "hf_collection")
-        .when((host == "huggingface.co") & (F.size(parts) >= 2), "hf").when(host.isin("github.com", "huggingface.co"), "ignored").otherwise("project_page")
-    )
-
-
-def source_kind(url):
-    """arxiv, openreview, direct-pdf or native, by host and path."""
-    host, path = F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")), F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
-    return F.when(host.endswith("arxiv.org"), "arxiv").when(host.endswith("openreview.net"), "openreview").when(F.lower(path).endswith(".pdf"), "direct-pdf").otherwise("native")
-
-
-def made_url_():
-    return F.element_at(F.array(F.concat(F.lit("https://github.com/org"), F.col("page_id").cast("string"), F.lit("/repo")), F.lit("https://huggingface.co/collections/a/b"), F.lit("https://huggingface.co/org/model"), url_(), F.lit("https://github.com/only")), (F.col("page_id") % 5 + 1).cast("int"))
-
-
-pages_query("b20_resource_kind", "CASE page_id % 5 WHEN 0 THEN 'github' WHEN 1 THEN 'hf_collection' WHEN 2 THEN 'hf' WHEN 3 THEN 'project_page' ELSE 'ignored' END AS kind", lambda: dict(kind=resource_kind(made_url_())))
-
-
-def paper_url_():
-    return F.element_at(F.array(F.concat(F.lit("https://arxiv.org/abs/2401."), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit("v2")), F.concat(F.lit("https://openreview.net/forum?id=x"), F.col("page_id").cast("string")), F.concat(url_(), F.lit(".pdf")), F.lit("https://example.org/a.PDF"), url_()), (F.col("page_id") % 5 + 1).cast("int"))
-
-
-pages_query("b21_source_kind", "CASE WHEN page_id % 5 = 0 THEN 'arxiv' WHEN page_id % 5 = 1 THEN 'openreview' WHEN page_id % 5 = 3 OR (page_id % 5 = 2 AND regexp_matches(concat(url,'.pdf'), '^https?://[^/?#]+/[^?#]*\\.pdf$')) THEN 'direct-pdf' ELSE 'native' END AS kind",
-            lambda: dict(kind=source_kind(paper_url_())))
-
-
-def normal_url(url):
-    """Raw host for repository PDFs, canonical abstract and PDF addresses of papers, without versions and fragments."""
-    url = F.regexp_replace(F.trim(url), "#.*$", "")
-    url = F.regexp_replace(url, r"^https?://github\.com/([^/]+)/([^/]+)/blob/(.+\.pdf)$", "https://raw.githubusercontent.com/$1/$2/$3")
-    return F.regexp_replace(url, r"^https?://(?:www\.)?arxiv\.org/(?:abs|pdf)/([0-9.]+?)(?:v[0-9]+)?(?:\.pdf)?$", "https://arxiv.org/abs/$1")
-
-
-pages_query("b22_normal_url", "CASE page_id % 3 WHEN 0 THEN concat('https://arxiv.org/abs/2401.', lpad(page_id::VARCHAR,5,'0')) WHEN 1 THEN concat('https://raw.githubusercontent.com/o/r/main/p', page_id, '.pdf') ELSE regexp_replace(url,'#.*$','') END AS normal",
-            lambda: dict(normal=normal_url(F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("http://arxiv.org/pdf/2401."), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit("v3.pdf"))).when(F.col("page_id") % 3 == 1, F.concat(F.lit("https://github.com/o/r/blob/main/p"), F.col("page_id").cast("string"), F.lit(".pdf"))).otherwise(url_()))))
 LINK = r"""(?:https?://|href=")[^ \t\n\r)\]}>"']+"""
 
 
@@ -271,10 +230,6 @@ b AS (SELECT *, substr(t, greatest(start - 359, 1), least(start, 360)) AS before
 l AS (SELECT *, string_split(before, chr(10))[-1] AS lft, string_split(after, chr(10))[1] AS rgt FROM b)
 SELECT page_id, start, link, left(trim(regexp_replace(CASE WHEN length(lft) + length(link) + length(rgt) <= 360 THEN concat(lft, link, rgt)
  ELSE concat(right(before, 180), link, left(after, 180)) END, '[ \t\n\r]+', ' ', 'g')), 500) AS context FROM l"""
-pages_query("b23_domain", "CASE WHEN page_id % 4 = 0 THEN 'ml' WHEN page_id % 4 = 1 THEN 'nlp' WHEN page_id % 4 = 2 THEN 'ml' ELSE 'general' END AS domain",
-            lambda: dict(domain=F.coalesce(F.get(F.filter(F.transform(F.when(F.col("page_id") % 4 == 0, F.array(F.lit("x.Y"), F.lit("cs.LG"))).when(F.col("page_id") % 4 == 1, F.array(F.lit("cs.CL"), F.lit("cs.LG"))).when(F.col("page_id") % 4 == 2, F.array(F.lit("stat.ML"))).otherwise(F.array(F.lit("math.AG"))),
-                                                               lambda c: F.when(c.startswith("cs.CL"), "nlp").when(c.startswith("cs.LG") | c.startswith("stat.ML"), "ml")), lambda x: x.isNotNull()), F.lit(0)), F.lit("general"))))
-
 # --- vectors and events --------------------------------------------------------------------
 
 
