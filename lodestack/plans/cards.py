@@ -154,21 +154,41 @@ SELECT root, doc_id, depth, path, CASE WHEN starts_with(path, '1') THEN 'appendi
 def excerpts(spark, d):
     """Query-aware excerpts of selected hits."""
     hits = hybrid(spark, d).where("rank <= 5")
-    q = read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), text.scoring_terms(text.query_terms(F.col("text"))).alias("terms"))
-    rows = hits.join(q, "query_id").join(read(spark, d, "documents").select("doc_id", "text"), "doc_id").select("query_id", "rank", "doc_id", "text", "terms")
+    q = read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"), text.scoring_terms(text.query_terms(F.col("text"))).alias("terms"))
+    rows = hits.join(q, "query_id").join(read(spark, d, "documents").select("doc_id", "text"), "doc_id").select("query_id", "rank", "doc_id", "text", "query", "terms")
     return excerpt.with_excerpt(rows, 300).select("query_id", "rank", "doc_id", "excerpt", "begin")
 
 
 def cues(spark, d):
-    """Whether a document offers a number, and a power of two, as an answer: the column form of the number cue."""
-    t = F.concat(F.when(F.col("doc_id") % 3 == 0, "size 64 kB").when(F.col("doc_id") % 3 == 1, "size 12.5").otherwise("none"), F.lit(" "))
-    n = F.try_element_at(F.regexp_extract_all(t, F.lit(r"\d+(?:\.\d+)?"), F.lit(0)), F.lit(1))
-    whole = n.try_cast("long")
-    power = n.rlike(r"^\d+$") & (whole >= 8) & (whole.bitwiseAND(whole - 1) == 0)
-    return read(spark, d, "documents").select("doc_id", F.when(n.isNull(), 0).when(F.coalesce(power, F.lit(False)), 2).otherwise(1).alias("cue"))
-
-
-SQL["h20_number_cue"] = "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END::INTEGER AS cue FROM documents"
+    """Whether an address answers a question for a number or a relation: links of a page stand for the words of the question."""
+    word = F.concat_ws(" ", F.regexp_extract_all("html", F.lit('href="/([A-Za-z]+)'), F.lit(1)))
+    for pattern, asked in ASKED:
+        word = F.regexp_replace(word, pattern, asked)
+    formula = F.concat(F.lit("$"), F.regexp_replace(F.regexp_replace("url", r"\?page=([0-4])", " < $1"), r"\?page=", " > "), F.lit("$ and $x \\ge T$"))
+    p = read(spark, d, "pages").select("page_id", "url", word.alias("q"), F.regexp_replace(formula, r"[?&]ref=", " T ").alias("f"))
+    letters = F.array_distinct(F.regexp_extract_all("q", F.lit(r"\b([A-Za-z])\b"), F.lit(1)))
+    return p.select("page_id", excerpt.number_cue(F.col("url"), F.split("q", " ")).alias("number"), excerpt.formula_cue(F.col("f"), letters, F.col("q")).alias("formula"))
+
+
+ASKED = ((r"\bt[h-z][a-z]*", "size"), (r"\ba[a-n][a-z]*", "count"), (r"\bo[a-z]+", "T"), (r"\bI[a-z]+", "below"), (r"\bh[a-z]+", "at least"), (r"\bu[a-z]+", "x"))
+
+
+def _asked() -> str:
+    word = """array_to_string(regexp_extract_all(html, 'href="/([A-Za-z]+)', 1), ' ')"""
+    for pattern, asked in ASKED:
+        word = f"regexp_replace({word}, '{pattern}', '{asked}', 'g')"
+    return word
+
+
+SQL["h20_number_cue"] = rf"""
+WITH p AS (SELECT page_id, url, {_asked()} AS q, regexp_replace(concat('$', regexp_replace(regexp_replace(url, '\?page=([0-4])', ' < \1', 'g'), '\?page=', ' > ', 'g'), '$ and $x \ge T$'), '[?&]ref=', ' T ', 'g') AS f FROM pages),
+w AS (SELECT *, string_split(q, ' ') AS w, list_distinct(list_filter(string_split_regex(q, '[^A-Za-z0-9_]+'), lambda x: regexp_full_match(x, '[A-Za-z]'))) AS v FROM p),
+e AS (SELECT page_id, unnest(regexp_extract_all(f, '\$([^$]{{1,80}})\$', 1)) AS b, q, v FROM w),
+s AS (SELECT page_id, max(len(list_filter(v, lambda x: regexp_matches(b, concat('(^|[^A-Za-z])', x, '([^A-Za-z]|$)')))) + CASE WHEN (regexp_matches(lower(q), '(^| )(below|less)( |$)') AND contains(b, '<'))
+   OR ((contains(lower(q), 'above') OR contains(lower(q), 'at least')) AND (contains(b, '>') OR contains(b, '\ge'))) THEN 2 ELSE 0 END) AS best FROM e GROUP BY 1),
+n AS (SELECT page_id, list_has_any(w, ['capacity', 'count', 'number', 'size', 'many']) AS asked, list_has_any(w, ['capacity', 'size']) AS sized, regexp_extract_all(url, '[0-9]+(\.[0-9]+)?') AS x FROM w)
+SELECT page_id, CASE WHEN NOT asked OR len(x) = 0 THEN 0 WHEN sized AND len(list_filter(x, lambda y: log2(y::DOUBLE) >= 3 AND log2(y::DOUBLE) = floor(log2(y::DOUBLE)))) > 0 THEN 2 ELSE 1 END::INTEGER AS number,
+ CASE WHEN coalesce(best, 0) > 0 THEN best + 1 ELSE 0 END::INTEGER AS formula FROM n LEFT JOIN s USING (page_id)"""
 
 QUERIES = {
     "m01_inventory": inventory, "m04_main_file": main_file,

@@ -1,11 +1,12 @@
 """Operators on small tables: selection, differences, Markdown, excerpts, neighbours."""
 
+import itertools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from lodestack.functions import excerpt, ids, markdown, text, vectors
+from lodestack.functions import excerpt, ids, links, markdown, tex, text, vectors
 from lodestack.operators import diff, knn, planner, search
 
 ORDER = ("query_id", "record_type", "record_id", "source_key", "score", "source_rank", "start_line", "is_primary", "evidence_kind", "evidence_group", "top_k")
@@ -172,3 +173,67 @@ def test_fusion_does_not_depend_on_order(spark):
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id long, doc_id long, rank int")
     assert search.fused(a, b).exceptAll(search.fused(b, a)).isEmpty()
     assert [r.doc_id for r in search.fused(a, b).orderBy("rank").collect()] == [11, 10, 12]
+
+
+def test_excerpt_keys_in_order():
+    filler = "\n".join(["lorem ipsum dolor sit amet"] * 20)
+    two = f"{filler}\ncache alpha\n{filler}\ncache size alpha\n{filler}"
+    part, begin = excerpt.excerpt(two, ["cache", "size"], 60)
+    assert "cache size" in part and two[begin : begin + len(part)] == part  # more distinct terms before an earlier start
+    twice = f"{filler}\nalpha cache\n{filler}\nalpha cache\n{filler}"
+    assert excerpt.excerpt(twice, ["cache"], 60)[1] < twice.rindex("cache") - 60  # of equal windows the earliest
+    head = f"cache size intro\n{filler}\ncache size\n{filler}"
+    assert excerpt.excerpt(head, ["cache", "size"], 60)[1] == 0  # two terms in the first line draw the opening
+    long = "x" * 300 + " cache " + "y" * 300
+    part, begin = excerpt.excerpt(long, ["cache"], 50)
+    assert len(part) == 50 and "cache" in part and long[begin : begin + 50] == part  # inside a line that is longer than the window
+    formula = f"{filler}\nbound of T cache\n{filler}\nso cache $T < 3$ holds\n{filler}"
+    assert "$T < 3$" in excerpt.excerpt(formula, ["bound", "cache"], 60, "when is T below the cache bound")[0]  # answer cue before terms
+    note = f"[LLM_WIKI_RAW_SECTION]\ncache: x\n{filler}\n## Section Content\n{filler}\nthe cache\n{filler}"
+    assert excerpt.excerpt(note, ["cache"], 60)[1] > note.index("## Section Content")  # header lines do not rank
+    assert excerpt.excerpt(filler, ["absent"], 60) == (filler[:60], 0) and excerpt.excerpt("", ["x"], 60) == ("", 0)
+
+
+def test_line_run_is_the_best_of_all_runs():
+    rnd = random.Random(5)
+    for _ in range(200):
+        sizes = [rnd.randint(1, 9) for _ in range(rnd.randint(1, 12))]
+        found = [set(rnd.sample("abc", rnd.randint(0, 2))) for _ in sizes]
+        ends, most = list(itertools.accumulate(sizes)), rnd.randint(1, 25)
+        runs = [(len(set().union(*found[i : j + 1])), -i, sum(sizes[i : j + 1]), j) for i in range(len(sizes)) for j in range(i, len(sizes)) if sum(sizes[i : j + 1]) <= most]
+        got = excerpt.line_run(ends, found, most)
+        if runs:
+            best = max(r[0] for r in runs)
+            assert len(set().union(*found[got[0] : got[1] + 1])) == best
+        else:
+            assert got is None
+
+
+def test_tex_of_sources(spark):
+    source = "\n".join([
+        r"\documentclass{x}", r"\newcommand{\net}{Net  One}", r"\begin{document}", r"\author{A {B", r" C} D}", r"\section{Main results} % note", r"50\% of \net{} and \networks",
+        r"\begin{theorem}[Big]", r"\label{thm:a} x", r"\end{theorem}", "", r"\begin{proof}y\end{proof}", r"\begin{align*}a\label{eq:1}\end{align*}", r"\begin{table*}\caption{T {\bf one}}\end{table*}",
+        r"\section{References}", "old", r"\appendix", "more", r"\end{document}",
+    ])
+    row = spark.createDataFrame([(source,), ("",), (None,)], "t string")
+    t = F.col("t")
+    got = row.select(*[tex.cards(t, k).alias(k) for k in tex.PATTERNS], tex.reading_view(t).alias("view"), tex.plain(tex.expanded(tex.uncommented(t))).alias("words")).collect()
+    c = got[0]
+    assert [(x.title, x.line_start, x.line_end) for x in c.section] == [("Main results", 6, 15), ("References", 15, 19)]
+    assert [(x.label, x.title, x.line_start, x.line_end) for x in c.statement] == [("thm:a", "Big", 8, 12)]
+    assert [x.label for x in c.equation] == ["eq:1"] and [x.title for x in c.table] == ["T one"] and c.figure == []
+    assert c.view.startswith("\\section{Main results}\n50\\% of") and "old" not in c.view and c.view.endswith("\\appendix\nmore") and "A {B" not in c.view
+    assert "50\\% of Net One and" in c.words and "note" not in c.words
+    assert got[1].section == [] and got[1].view == "" and got[1].words == ""
+
+
+def test_links_and_paths(spark):
+    urls = {
+        "https://github.com/o/r.git": ("github", "o/r"), "https://github.com/search/r": ("ignored", ""), "https://huggingface.co/spaces/a/b": ("hf", "a/b"), "https://huggingface.co/collections/a": ("ignored", ""),
+        "https://x.org/code": ("project_page", ""), "https://arxiv.org/abs/code": ("ignored", ""), "no address": ("ignored", ""), "": ("ignored", ""),
+    }
+    rows = spark.createDataFrame([(u,) for u in urls], "u string").select("u", links.resource(F.col("u")).alias("r")).collect()
+    assert {r.u: tuple(r.r) for r in rows} == urls
+    refs = {("a/b/", "../t"): "a/t", ("a/", "../../t"): "", ("a/", "raw/./x//y"): "raw/x/y", ("", "t/../../u"): "", ("a/", "t/../u"): "a/u"}
+    rows = spark.createDataFrame([k for k in refs], "f string, r string").select("f", "r", ids.resolved_path(F.col("f"), F.col("r")).alias("p")).collect()
+    assert {(r.f, r.r): r.p for r in rows} == refs
