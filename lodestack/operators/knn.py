@@ -11,6 +11,12 @@ BLOCK = 2048  # rows of a block, about
 RANKS = "src_id long, tgt_id long, src_kind int, tgt_kind int, cosine double"
 
 
+def _first(scores: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest scores, ties by name; only what reaches the k-th score is sorted."""
+    near = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) > k else np.arange(len(scores))
+    return near[np.lexsort((names[near], -scores[near]))][:k]
+
+
 def _tile(a: pd.DataFrame, b: pd.DataFrame, limits: dict[tuple[int, int], tuple[int, float]]) -> pd.DataFrame:
     """The best k of this tile for each row of a, by cosine, then id; rows of one source never meet."""
     out = []
@@ -22,7 +28,7 @@ def _tile(a: pd.DataFrame, b: pd.DataFrame, limits: dict[tuple[int, int], tuple[
         cos = va @ vb.T
         for i, (row_id, source) in enumerate(zip(a["id"].tolist(), a["source"].tolist(), strict=True)):
             ok = np.flatnonzero((cos[i] >= least) & (b_source != source) & (b_id != row_id))
-            for j in ok[np.lexsort((b_id[ok], -cos[i][ok]))][:k]:
+            for j in ok[_first(cos[i][ok], b_id[ok], k)]:
                 out.append((row_id, b_id[j], float(cos[i, j])))
     made = pd.DataFrame(out, columns=["src_id", "tgt_id", "cosine"])
     return made.assign(src_kind=a["kind"].iloc[0] if len(a) else 0, tgt_kind=b["tkind"].iloc[0] if len(b) else 0)[["src_id", "tgt_id", "src_kind", "tgt_kind", "cosine"]]
@@ -97,7 +103,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int, block: int = BLOCK) -> Da
             cos = (va / np.linalg.norm(va, axis=1, keepdims=True)) @ (vb / np.linalg.norm(vb, axis=1, keepdims=True)).T
             found = b["id"].to_numpy()
             for i, q in enumerate(a["query_id"].tolist()):
-                out += [(q, found[j], float(cos[i, j])) for j in np.lexsort((found, -cos[i]))[:k]]
+                out += [(q, found[j], float(cos[i, j])) for j in _first(cos[i], found, k)]
         return pd.DataFrame(out, columns=["query_id", "id", "score"])
 
     left = queries.select("query_id", "qv", F.pmod(F.xxhash64("query_id"), F.lit(n)).cast("int").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("b"))

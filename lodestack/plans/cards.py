@@ -47,13 +47,13 @@ SELECT doc_id, kind, count(*) AS cards, min(n)::INTEGER AS first, arg_min(left(s
 def main_file(spark, d):
     """The main file of each source: by markers, sections and size; every document is a file of its source."""
     c = corpus(spark, d)
-    score = F.when(F.col("doc_id") % 3 == 0, 100).otherwise(0) + F.size(F.split("text", "\n")) + F.when(F.col("path").rlike("^(_meta|notes)/"), -1000).otherwise(0)
-    w = Window.partitionBy("source").orderBy(F.desc("score"), "path")
-    return c.withColumn("score", score).withColumn("_n", F.row_number().over(w)).where("_n = 1").select("source", "path", F.col("score").cast("long").alias("score"))
+    score = F.when(F.col("text").rlike("(?m)^[A-Z][a-z]{1,3} "), 100).otherwise(0) + F.size(F.split("text", "\n")) + F.when(F.col("path").rlike("^(_meta|notes)/"), -1000).otherwise(0)
+    best = F.min_by(F.struct("path", "score"), F.struct((-F.col("score")).alias("s"), "path"))
+    return c.withColumn("score", score).groupBy("source").agg(best.alias("b")).select("source", "b.path", F.col("b.score").cast("long").alias("score"))
 
 
 
-SQL["m04_main_file"] = DOCS + "SELECT source, path, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, path) AS n FROM (SELECT source, path, CASE WHEN doc_id%3=0 THEN 100 ELSE 0 END + len(string_split(text,chr(10))) + CASE WHEN regexp_matches(path,'^(_meta|notes)/') THEN -1000 ELSE 0 END AS score FROM d)) WHERE n = 1"
+SQL["m04_main_file"] = DOCS + "SELECT source, path, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, path) AS n FROM (SELECT source, path, CASE WHEN regexp_matches(text, '(?m)^[A-Z][a-z]{1,3} ') THEN 100 ELSE 0 END + len(string_split(text,chr(10))) + CASE WHEN regexp_matches(path,'^(_meta|notes)/') THEN -1000 ELSE 0 END AS score FROM d)) WHERE n = 1"
 
 
 def abstract_spans(spark, d):
@@ -94,15 +94,18 @@ SQL["h25_base64_vectors"] = "SELECT vec_id, CASE WHEN vec_id % 9 = 0 THEN -1 ELS
 
 
 def provider_rows(spark, d):
-    """Vectors out of provider responses: entries sorted by index, the count checked."""
+    """Vectors out of provider responses: entries sorted by index, count and dimension checked; some entries fail to come or come short."""
     e = read(spark, d, "embeddings")
-    entry = F.concat(F.lit('{"index":'), (F.col("vec_id") % 5).cast("string"), F.lit(',"embedding":['), F.col("label").cast("string"), F.lit(".5,1]}"))
+    more = F.when(F.get("embedding", F.lit(1)) > 0.2, "]}").otherwise(F.concat(F.lit(","), F.col("vec_id").cast("string"), F.lit("]}")))
+    entry = F.concat(F.lit('{"index":'), (F.col("vec_id") % 5).cast("string"), F.lit(',"embedding":['), F.col("label").cast("string"), F.lit(".5"), more)
+    entry = F.when(F.get("embedding", F.lit(0)) > -0.2, entry)
     r = e.groupBy(F.floor(F.col("vec_id") / 5).alias("batch")).agg(F.concat(F.lit('{"data":['), F.array_join(F.sort_array(F.collect_list(F.struct((-F.col("vec_id")).alias("o"), entry.alias("e"))))["e"], ","), F.lit("]}")).alias("body"), F.count(F.lit(1)).alias("asked"))
     data = F.array_sort(F.from_json("body", "data array<struct<index:int,embedding:array<double>>>")["data"])
-    return r.select("batch", F.when(F.size(data) == F.col("asked"), F.array_join(F.transform(data, lambda x: x["embedding"][0].cast("string")), ",")).otherwise("count").alias("firsts"))
+    short = F.exists(data, lambda x: F.size(x["embedding"]) != 2)
+    return r.select("batch", F.when(F.size(data) != F.col("asked"), "count").when(short, "dimension").otherwise( F.array_join(F.transform(data, lambda x: x["embedding"][0].cast("string")), ",")).alias("firsts"))
 
 
-SQL["h39_provider_rows"] = "SELECT vec_id // 5 AS batch, string_agg(concat(label, '.5'), ',' ORDER BY vec_id) AS firsts FROM embeddings GROUP BY 1"
+SQL["h39_provider_rows"] = "SELECT vec_id // 5 AS batch, CASE WHEN bool_or(embedding[1] <= -0.2::FLOAT) THEN 'count' WHEN bool_or(embedding[2] > 0.2::FLOAT) THEN 'dimension' ELSE string_agg(concat(label, '.5'), ',' ORDER BY vec_id) END AS firsts FROM embeddings GROUP BY 1"
 
 
 def include_edges(docs):

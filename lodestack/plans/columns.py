@@ -162,16 +162,26 @@ def query_errors(mode, goal, top_k, kind, neighbours):
     return F.array_join(F.filter(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]), lambda e: e.isNotNull()), ",")
 
 
-def item_():
-    return F.col("item_id")
+# requests as header lines, made of the words of the items
+_SAID = (("mode", 1, "^[a-p].*$", "mix"), ("goal", 2, "^[a-n].*$", "focused"), ("kind", 3, "^[i-z].*$", "future"))
+
+
+def _said(name: str):
+    """Value of a line of the request that an item stands for."""
+    words = [F.regexp_replace(F.regexp_extract("text", r"([a-z]+)[^a-z]+([a-z]+)[^a-z]+([a-z]+)", k), pattern, value) for _, k, pattern, value in _SAID]
+    request = F.concat_ws("\n", *[F.concat(F.lit(f"{n[0]}: "), w) for n, w in zip(_SAID, words)], F.concat(F.lit("top_k: "), (F.length("text") - 100).cast("string")), F.concat(F.lit("near: "), F.length(F.substring_index("text", ".", 1)).cast("string")))
+    return F.regexp_extract(request, rf"(?m)^{name}: (.*)$", 1)
+
+
+_WORDS3 = "regexp_replace(regexp_extract(text, '([a-z]+)[^a-z]+([a-z]+)[^a-z]+([a-z]+)', {1}), '{2}', '{3}')"
+_REQUEST = [_WORDS3.format(*x) for x in _SAID[:2]] + ["(length(text) - 100)", f"nullif({_WORDS3.format(*_SAID[2])}, '')", "length(string_split(text, '.')[1])"]
 
 
 bench_query(
     "b17_query_validation",
-    "concat_ws(',', CASE WHEN item_id % 5 = 0 THEN 'mode' END, CASE WHEN item_id % 3 = 0 THEN 'retrieval_goal' END, CASE WHEN item_id % 7 = 0 OR item_id > 30 THEN 'top_k' END, CASE WHEN item_id % 4 = 1 THEN 'section_kind' END, CASE WHEN item_id > 25 THEN 'neighbor_top_k' END) AS errors",
-    lambda: dict(errors=query_errors(
-        F.when(item_() % 5 == 0, "odd").otherwise("mix"), F.when(item_() % 3 == 0, "odd").otherwise("focused"), F.when(item_() % 7 == 0, 0).when(item_() > 30, 101).otherwise(5),
-        F.when(item_() % 4 == 1, "odd").when(item_() % 4 == 2, "future"), F.when(item_() > 25, 51).otherwise(item_()))),
+    f"concat_ws(',', CASE WHEN {_REQUEST[0]} NOT IN ('mix','naive','bypass') THEN 'mode' END, CASE WHEN {_REQUEST[1]} NOT IN ('focused','coverage') THEN 'retrieval_goal' END, CASE WHEN {_REQUEST[2]} < 1 OR {_REQUEST[2]} > 100 THEN 'top_k' END,"
+    f"CASE WHEN {_REQUEST[3]} NOT IN ('summary','abstract','motivation','methodology','results','future','limitations','questions','other','none') THEN 'section_kind' END, CASE WHEN {_REQUEST[4]} > 50 THEN 'neighbor_top_k' END) AS errors",
+    lambda: dict(errors=query_errors(_said("mode"), _said("goal"), _said("top_k").cast("int"), F.nullif(_said("kind"), F.lit("")), _said("near").cast("int"))),
 )
 
 # --- queries over pages --------------------------------------------------------------------
@@ -243,10 +253,15 @@ def v_():
 
 
 def spoilt_():
-    return F.when(F.col("vec_id") % 5 == 0, F.transform(v_(), lambda x: F.lit(0).cast("float"))).when(F.col("vec_id") % 5 == 1, F.array_append(F.slice(v_(), 1, 63), F.lit(float("nan")).cast("float"))).when(F.col("vec_id") % 5 == 2, F.slice(v_(), 1, 10)).otherwise(v_())
+    """Vectors with faults where their components are large: all zero, a component that is no number, cut short."""
+    def at(i):
+        return F.get(v_(), F.lit(i)) > 0.1
+
+    faulty = F.transform(v_(), lambda x: F.when(x > 0.25, F.lit(float("nan"))).otherwise(x).cast("float"))
+    return F.when(at(0), F.transform(v_(), lambda x: F.lit(0).cast("float"))).when(at(1), F.slice(faulty, 1, 10)).otherwise(faulty)
 
 
-vector_query("h22_vector_validation", "vec_id % 5 NOT IN (0,1) AS ok, vec_id % 5 NOT IN (0,1,2) AS ok_dim", lambda: dict(ok=vectors.valid(spoilt_()), ok_dim=vectors.valid(spoilt_(), 64)))
+vector_query("h22_vector_validation", "len(s) > 0 AND len(list_filter(s, lambda x: isnan(x) OR isinf(x))) = 0 AND coalesce(list_sum(list_transform(s, lambda x: x * x)), 0) > 0 AS ok, ok AND len(s) = 64 AS ok_dim FROM (SELECT vec_id, CASE WHEN embedding[1] > 0.1::FLOAT THEN list_transform(embedding, lambda x: 0::FLOAT) WHEN embedding[2] > 0.1::FLOAT THEN f[1:10] ELSE f END AS s FROM (SELECT vec_id, embedding, list_transform(embedding, lambda x: CASE WHEN x > 0.25::FLOAT THEN 'nan'::FLOAT ELSE x END) AS f FROM embeddings)) --", lambda: dict(ok=vectors.valid(spoilt_()), ok_dim=vectors.valid(spoilt_(), 64)))
 vector_query("h21_cosine", "round(list_cosine_similarity(embedding::DOUBLE[], list_transform(range(1,65), lambda x: x::DOUBLE)), 6) AS cosine, 0.0::DOUBLE AS short",
              lambda: dict(cosine=F.round(vectors.cosine(v_(), F.transform(F.sequence(F.lit(1), F.lit(64)), lambda x: x.cast("double"))), 6), short=vectors.cosine(v_(), F.slice(v_(), 1, 3))))
 vector_query("b08_record_filter", "label::INTEGER AS section_kind_code FROM embeddings WHERE label IN (1,4,6) --", lambda: dict(section_kind_code=F.col("label").cast("int")))

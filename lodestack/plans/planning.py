@@ -156,7 +156,17 @@ def coverage(spark, d):
 
 # every source of these tables has one document, so that both selections take the best primary, then the best others
 PICK = EV + f" SELECT query_id, position, record_type, record_id, source_key, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY is_primary DESC, score DESC, source_rank, source_key, start_line, record_id)::INTEGER AS position FROM dd) WHERE position <= {TOP_K}"
-SQL["e05_focused_selection"] = SQL["e06_coverage_selection"] = SQL["i10_planner"] = PICK
+SQL["e05_focused_selection"] = SQL["e06_coverage_selection"] = PICK
+
+
+def planned(spark, d):
+    """Selections of both goals from the same evidence, which is scored once."""
+    unique = stored(planner.deduplicated(evidence(spark, d)))
+    sides = [pick(unique).select("query_id", F.lit(goal).alias("goal"), "position", "record_type", "record_id", "source_key", "score") for goal, pick in (("focused", planner.select_focused), ("coverage", planner.select_coverage))]
+    return sides[0].unionByName(sides[1])
+
+
+SQL["i10_planner"] = f"SELECT * FROM ({PICK}), (VALUES ('focused'), ('coverage')) t(goal)"
 
 
 def decisions(spark, d):
@@ -194,6 +204,6 @@ SQL["i11_full_query"] = PICK.replace(" SELECT query_id, position, record_type, r
 
 QUERIES = {
     "e01_route_rank": rank_rows, "d08_candidate_merge": merge_rows, "c18_canonical_source": source_rows, "b13_evidence_class": class_rows, "d09_source_score": scope, "e02_source_scope": scope,
-    "i09_relevance_score": score_rows, "e04_evidence_order": order_rows, "d10_evidence_dedupe": order_rows, "e05_focused_selection": focused, "e06_coverage_selection": coverage, "i10_planner": focused,
+    "i09_relevance_score": score_rows, "e04_evidence_order": order_rows, "d10_evidence_dedupe": order_rows, "e05_focused_selection": focused, "e06_coverage_selection": coverage, "i10_planner": planned,
     "e07_decision_log": decisions, "i11_full_query": full_query,
 }

@@ -284,8 +284,12 @@ SQL["e09_first_pass"] = "SELECT conv_id, NOT bool_or(new AND coalesce(begun,fals
 def suite_rows(spark, d):
     """Broken rules of query-suite rows: focused wants one source, coverage two to top_k, critical rows are holdout, anchors differ."""
     b = read(spark, d, "benchmark")
-    i = F.col("item_id")
-    row = b.select(i, F.when(i % 2 == 0, "focused").otherwise("coverage").alias("goal"), (i % 4).cast("int").alias("least"), (i % 5 == 0).alias("critical"), (i % 10 == 0).alias("holdout"), F.array(F.lit("a"), F.when(i % 3 == 0, "a").otherwise("b")).alias("anchors"), F.lit(3).alias("top_k"))
+    words = F.regexp_extract_all("text", F.lit("[a-z]{2,}"), F.lit(0))
+    lines = F.size(F.split("text", r"\."))
+    row = b.select(
+        "item_id", F.when(F.col("text").rlike("^[A-M]"), "focused").otherwise("coverage").alias("goal"), (lines - 1).alias("least"), F.contains("text", F.lit(",")).alias("critical"),
+        (F.length("text") > 200).alias("holdout"), F.slice(words, 1, 12).alias("anchors"), F.lit(3).alias("top_k"),
+    )
     rules = F.array(
         F.when((F.col("goal") == "focused") & (F.col("least") != 1), "sources"), F.when((F.col("goal") == "coverage") & ~F.col("least").between(2, F.col("top_k")), "sources"),
         F.when(F.col("critical") != F.col("holdout"), "critical"), F.when(F.size(F.array_distinct("anchors")) < F.size("anchors"), "anchors"),
@@ -293,7 +297,8 @@ def suite_rows(spark, d):
     return row.select("item_id", F.array_join(F.filter(rules, lambda x: x.isNotNull()), ",").alias("errors"))
 
 
-SQL["b18_suite_rows"] = "SELECT item_id, concat_ws(',', CASE WHEN item_id%2=0 AND item_id%4<>1 THEN 'sources' END, CASE WHEN item_id%2=1 AND NOT (item_id%4 BETWEEN 2 AND 3) THEN 'sources' END, CASE WHEN (item_id%5=0) <> (item_id%10=0) THEN 'critical' END, CASE WHEN item_id%3=0 THEN 'anchors' END) AS errors FROM benchmark"
+SQL["b18_suite_rows"] = """SELECT item_id, concat_ws(',', CASE WHEN regexp_matches(text, '^[A-M]') THEN CASE WHEN n <> 1 THEN 'sources' END WHEN n < 2 OR n > 3 THEN 'sources' END, CASE WHEN contains(text, ',') <> (length(text) > 200) THEN 'critical' END,
+ CASE WHEN len(list_distinct(a)) < len(a) THEN 'anchors' END) AS errors FROM (SELECT item_id, text, length(text) - length(replace(text, '.', '')) AS n, regexp_extract_all(text, '[a-z]{2,}')[1:12] AS a FROM benchmark)"""
 
 
 def response_prints(spark, d):

@@ -455,7 +455,16 @@ def path_coverage(spark, d):
     return want.join(have, "conv_id", "left").na.fill(0).withColumn("ok", F.col("sections") >= F.col("expected"))
 
 
-SQL["c17_path_coverage"] = SQL["k10_workspace_gate"] = "SELECT *, sections >= expected AS ok FROM (SELECT conv_id, count(DISTINCT role) AS expected, count(*) AS turns, count(DISTINCT role) FILTER (WHERE role <> 'system') AS sections FROM conversations GROUP BY 1)"
+SQL["c17_path_coverage"] = "SELECT *, sections >= expected AS ok FROM (SELECT conv_id, count(DISTINCT role) AS expected, count(*) AS turns, count(DISTINCT role) FILTER (WHERE role <> 'system') AS sections FROM conversations GROUP BY 1)"
+
+
+def workspace_gate(spark, d):
+    """One row: paths, those that lack sections, sections expected and stored, and whether the workspace may be published."""
+    n = path_coverage(spark, d).agg(F.count(F.lit(1)).alias("paths"), F.count_if(~F.col("ok")).alias("lacking"), F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"), F.coalesce(F.sum("sections"), F.lit(0)).alias("sections"))
+    return n.withColumn("passed", (F.col("paths") > 0) & (F.col("lacking") == 0))
+
+
+SQL["k10_workspace_gate"] = f"SELECT count(*) AS paths, count(*) FILTER (WHERE NOT ok) AS lacking, sum(expected)::BIGINT AS expected, sum(sections)::BIGINT AS sections, count(*) > 0 AND bool_and(ok) AS passed FROM ({SQL['c17_path_coverage']})"
 
 
 def relocated(spark, d):
@@ -488,8 +497,9 @@ SQL["e10_path_sequence"] = "SELECT event_id, concat(day, lpad((row_number() OVER
 
 def owners(spark, d):
     """The first item of each source publishes; later ones name it as their owner."""
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return read(spark, d, "documents").select("doc_id", F.first("doc_id").over(w).alias("owner"), (F.row_number().over(w) == 1).alias("publishes"))
+    docs = read(spark, d, "documents").select("doc_id", "source")
+    first = docs.groupBy("source").agg(F.min("doc_id").alias("owner"))
+    return docs.join(first, "source").select("doc_id", "owner", (F.col("doc_id") == F.col("owner")).alias("publishes"))
 
 
 SQL["e11_batch_owner"] = "SELECT doc_id, min(doc_id) OVER (PARTITION BY source) AS owner, doc_id = min(doc_id) OVER (PARTITION BY source) AS publishes FROM documents"
@@ -512,6 +522,6 @@ QUERIES = {
     "c04_missing_vectors": missing_vectors, "c05_coverage_audit": coverage_audit, "d13_contract_inventory": contracts, "i17_cache_reuse": cache_reuse, "i18_fill_missing": cache_reuse,
     "g01_keyed_diff": changes, "g02_delta_summary": change_summary, "g03_fingerprints": prints, "g04_incremental_apply": applied, "g07_source_difference": source_difference, "g08_ledger_upsert": ledger,
     "g09_ledger_clear": ledger_clear, "g12_freshness": freshness, "g13_file_fingerprints": file_prints, "d01_count_by_type": type_counts, "d02_table_counts": table_counts, "d03_count_audit": count_audit,
-    "k11_build_gate": build_gate, "c16_artifact_join": artifact_join, "k09_artifact_gate": artifact_gate, "c17_path_coverage": path_coverage, "k10_workspace_gate": path_coverage, "i15_relocation": relocated,
+    "k11_build_gate": build_gate, "c16_artifact_join": artifact_join, "k09_artifact_gate": artifact_gate, "c17_path_coverage": path_coverage, "k10_workspace_gate": workspace_gate, "i15_relocation": relocated,
     "e10_path_sequence": sequence_paths, "e11_batch_owner": owners, "c13_existing_note": existing_note,
 }
