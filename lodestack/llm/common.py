@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +32,20 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`docs` without the rows that found (_gid, _gh, kept: id, hash of the text, row of it) drops; of rows that repeat a kept id and text one stays."""
+    found = written(found)
+    text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+    def met(keys: DataFrame, how: str) -> DataFrame:
+        return docs.join(keys, docs[id_col].eqNullSafe(F.col("_gid")) & (text == F.col("_gh")), how)
+
+    again = written(found.where("kept").groupBy("_gid", "_gh").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").drop("_rows"))
+    once = met(found.where(~F.col("kept")).select("_gid", "_gh").union(again), "left_anti")
+    repeated = met(again, "left_semi").withColumn("_gh", text).dropDuplicates([id_col, "_gh"]).drop("_gh")
+    return once.unionByName(repeated)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

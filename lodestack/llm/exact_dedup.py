@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import one_of_each, written
 
 
 def _blocks(texts: DataFrame, size: int) -> DataFrame:
@@ -100,15 +100,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Where the kept id and text stand in several rows, any one of them stays.
     """
     text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    found = written(exact_dedup(docs, id_col, text_col, extra={"_gh": text}).where("group_size > 1").select(F.col(id_col).alias("_gid"), "_gh", "kept"))
-
-    def met(keys: DataFrame, how: str) -> DataFrame:
-        return docs.join(keys, docs[id_col].eqNullSafe(F.col("_gid")) & (text == F.col("_gh")), how)
-
-    again = written(found.where("kept").groupBy("_gid", "_gh").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").drop("_rows"))
-    once = met(found.where(~F.col("kept")).select("_gid", "_gh").union(again), "left_anti")
-    repeated = met(again, "left_semi").withColumn("_gh", text).dropDuplicates([id_col, "_gh"]).drop("_gh")
-    return once.unionByName(repeated)
+    found = exact_dedup(docs, id_col, text_col, extra={"_gh": text}).where("group_size > 1")
+    return one_of_each(docs, found.select(F.col(id_col).alias("_gid"), "_gh", "kept"), id_col, text_col)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

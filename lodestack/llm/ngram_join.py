@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of, written
+from .common import one_of_each, texts_of, written
 from .tokens import ODD, WordNumbers, grams, mixed, words_of
 
 SMALL = 12  # buckets of at most so many classes are compared pair by pair
@@ -333,28 +333,40 @@ def similar(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float =
     return sketch.select("_id", "_h", "_set", "_size"), links, sets
 
 
-def near_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, _h, class_id, n_links, class_size): one row per row of docs.
+def _members(docs: DataFrame, threshold: float, n: int, recall: float, id_col: str, text_col: str, count_links: bool) -> DataFrame:
+    """(_id, _h, class_id, _first, class_size, n_links) of the rows with an id; _first is the hash of the text of the class's first row.
 
-    class_id is the smallest id among all documents connected by links (or with the same n-gram set);
-    n_links counts the different texts that reach the threshold with it, those of the same n-gram
-    set too; rows of one text count once. Texts without words are alone: class_id is their id, no links. Rows with a null id are returned with null class_id and join
-    nothing. Rows that repeat share a class. Other columns of docs are not read.
+    Without count_links, n_links is 0.
     """
     rows, links, sets = similar(docs.where(F.col(id_col).isNotNull()), threshold, n, recall, id_col, text_col)
     label = components(links).select(F.col("node").alias("_node"), "label")
-    texts = rows.where("_size > 0").groupBy("_set").agg(F.first("_size").alias("_size"), F.countDistinct("_h").alias("_texts"))
-    texts = written(texts.join(label, texts["_set"] == label["_node"], "left").drop("_node"))
-    counts = written(link_counts(texts.where("label IS NOT NULL").withColumnRenamed("label", "_class"), sets, threshold))
-    total = (F.coalesce("n", F.lit(0)) + F.col("_texts") - 1).alias("n_links")
-    # only sets with a link or a second text
-    info = texts.join(counts, "_set", "left").select(F.col("_set").alias("_node"), "label", total).where("label IS NOT NULL OR n_links > 0")
+    if count_links:
+        texts = rows.where("_size > 0").groupBy("_set").agg(F.first("_size").alias("_size"), F.countDistinct("_h").alias("_texts"))
+        texts = written(texts.join(label, texts["_set"] == label["_node"], "left").drop("_node"))
+        counts = written(link_counts(texts.where("label IS NOT NULL").withColumnRenamed("label", "_class"), sets, threshold))
+        total = (F.coalesce("n", F.lit(0)) + F.col("_texts") - 1).alias("n_links")
+        # only sets with a link or a second text
+        info = texts.join(counts, "_set", "left").select(F.col("_set").alias("_node"), "label", total).where("label IS NOT NULL OR n_links > 0")
+    else:
+        info = label.withColumn("n_links", F.lit(0))
     named = rows.join(written(info), rows["_set"] == F.col("_node"), "left")
     alone = F.col("_size") == 0
     key = F.when(alone, F.concat(F.lit("-"), F.col("_id").cast("string")).cast("binary")).otherwise(F.coalesce("label", "_set"))
     named = named.select("_id", "_h", key.alias("_key"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    classes = written(named.groupBy("_key").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
-    out = named.join(classes, "_key").select(F.col("_id").alias(id_col), "_h", "class_id", "n_links", "class_size")
+    classes = named.groupBy("_key").agg(F.min(F.struct("_id", "_h")).alias("_one"), F.count(F.lit(1)).alias("class_size"))
+    classes = written(classes.select("_key", F.col("_one._id").alias("class_id"), F.col("_one._h").alias("_first"), "class_size"))
+    return named.join(classes, "_key").drop("_key")
+
+
+def near_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, _h, class_id, n_links, class_size): one row per row of docs.
+
+    class_id is the smallest id among all documents connected by links (or with the same n-gram set);
+    n_links counts the different texts that reach the threshold with it, those of the same n-gram
+    set too; rows of one text count once. Texts without words are alone: class_id is their id, no links. Rows with a null id are returned with null class_id and join
+    nothing. Rows that repeat share a class. Other columns of docs are not read.
+    """
+    out = _members(docs, threshold, n, recall, id_col, text_col, True).select(F.col("_id").alias(id_col), "_h", "class_id", "n_links", "class_size")
     nameless = docs.where(F.col(id_col).isNull()).select(
         F.lit(None).cast("long").alias(id_col), F.xxhash64(_text(docs, text_col)).alias("_h"), F.lit(None).cast("long").alias("class_id"),
         F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("class_size"),
@@ -362,11 +374,15 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: fl
     return out.union(nameless)
 
 
-def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document of each class, that of the smallest id; all columns stay, rows with a null id too."""
-    gone = near_classes(docs, threshold, id_col=id_col, text_col=text_col).where(F.col("class_id") != F.col(id_col))
-    gone = gone.select(F.col(id_col).alias("_gid"), F.col("_h").alias("_gh"))
-    return docs.join(gone, (docs[id_col] == F.col("_gid")) & (F.xxhash64(_text(docs, text_col)) == F.col("_gh")), "left_anti")
+def drop_near_copies(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with one row of each class, of the smallest id; all columns stay, and all rows with a null id.
+
+    Classes are those of near_classes(); links are not counted. Of several texts of the smallest id
+    that of the smallest hash stays, and of rows that repeat both any one.
+    """
+    rows = _members(docs, threshold, n, recall, id_col, text_col, False).where("class_size > 1")
+    kept = (F.col("_id") == F.col("class_id")) & (F.col("_h") == F.col("_first"))
+    return one_of_each(docs, rows.select(F.col("_id").alias("_gid"), F.col("_h").alias("_gh"), kept.alias("kept")), id_col, text_col)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

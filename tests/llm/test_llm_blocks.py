@@ -1,13 +1,15 @@
 """Nearest neighbours, packing and the pipeline."""
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestack.llm import block_ann, packing
+from lodestack.llm import block_ann, line_quality, packing
 
 
 def test_nearest_like_brute_force(spark):
@@ -98,6 +100,101 @@ def test_pipeline(spark, sf):
     assert (out.groupby("bin_id")["length"].sum() <= corpus_pipeline.CAPACITY).all()
 
 
+def grams(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {tuple(w[i : i + min(5, len(w))]) for i in range(len(w) - min(5, len(w)) + 1)} if w else set()
+
+
+def digits(value):
+    return re.sub("[^0-9]", "", value)
+
+
+def luhn(value):
+    return sum((x := int(c) * (1 + i % 2)) - 9 * (x > 9) for i, c in enumerate(reversed(digits(value)))) % 10 == 0
+
+
+def mod97(value):
+    s = value.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
+RULES = [
+    ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
+    ("IP", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v: all(int(x) <= 255 for x in v.split("."))),
+    ("CARD", r"[0-9]([\x20-]?[0-9])+", lambda v: 13 <= len(digits(v)) <= 19 and luhn(v)),
+    ("PHONE", r"\+[0-9][\x20().0-9-]+[0-9]", lambda v: 9 <= len(digits(v)) <= 15),
+    ("IBAN", r"(?<![A-Za-z0-9])(?:DE|GB)[0-9]{2}(?:\x20?[A-Z0-9]){18}(?![A-Za-z0-9])", mod97),
+]
+
+
+def plain_pipeline(rows, model):
+    """The five stages as loops over (doc_id, text, source) rows: {(doc_id, piece): (offset, length)}, bins as sets of keys."""
+    rows = [r for r in rows if model.score([r[1] or ""])[0] >= 0.7]
+    last = {}
+    for i, t, _ in rows:
+        last[t or ""] = max(i, last.get(t or "", i))
+    rows = sorted(r for r in rows if last[r[1] or ""] == r[0])
+    sets = [grams(t or "") for _, t, _ in rows]
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):  # rows stand in order of ids
+        for j, b in enumerate(sets[:i]):
+            if a and b and len(a & b) / len(a | b) >= 0.8:
+                one, two = sorted((label[i], label[j]))
+                label = [one if x == two else x for x in label]
+    packed = []
+    for k, (i, t, s) in enumerate(rows):
+        if label[k] == k:
+            t = t or ""
+            for name, pattern, good in RULES:
+                t = re.sub(pattern, lambda m, name=name, good=good: f"[{name}]" if good(m.group()) else m.group(), t)
+            packed.append((i, len(re.findall(r"[^\x20\x09-\x0D]+", t)), s, t))
+    cap = corpus_pipeline.CAPACITY
+    pieces, bins = {}, []
+    for i, n, _, _ in packed:
+        for k in range(n // cap):
+            pieces[i, k] = (k * cap, cap)
+            bins.append({(i, k)})
+    rest = sorted(((n % cap, i, n, s, t) for i, n, s, t in packed if n % cap or not n), key=lambda r: (-r[0], r[1]))
+    ids = {x: k for k, x in enumerate({r[3] for r in rest} - {None})}
+    texts = {x: k for k, x in enumerate({r[4] for r in rest})}
+    numbers = plain_best_fit([r[0] for r in rest], [ids.get(r[3], -1) for r in rest], [texts[r[4]] for r in rest], cap)
+    shared = defaultdict(set)
+    for (tail, i, n, _, _), b in zip(rest, numbers, strict=True):
+        pieces[i, n // cap] = (n - tail, tail)
+        shared[b].add((i, n // cap))
+    return pieces, {frozenset(b) for b in [*bins, *shared.values()]}
+
+
+@pytest.mark.parametrize("part", ["table", "awkward"])
+def test_pipeline_like_plain_loops(spark, sf, tmp_path, texts, part):
+    if part == "awkward":
+        extra = [
+            "write to a.b@c.de or call +49 30 1234567 today", "card 4111 1111 1111 1111 and 4111 1111 1111 1112, host 10.0.0.1, not 10.0.0.256",
+            "iban DE89 3704 0044 0532 0130 00 and DE88 3704 0044 0532 0130 00 again", "a@b.c " * 3000,
+        ]
+        rows = [(i, t, "en", ("hot" if i % 3 == 0 else f"s{i % 4}") if i % 5 else None, len(t or "")) for i, t in enumerate([*texts, *extra])]
+        sf_dir = str(tmp_path)
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf_dir}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+    else:
+        sf_dir = sf
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~line_quality.held_out())
+    rows = [(r.doc_id, r.text, r.source) for r in docs.select("doc_id", "text", "source").collect()]
+    pieces, bins = plain_pipeline(rows, line_quality.fit_documents(docs, labels))
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {(r.doc_id, r.piece): (r.offset, r.length) for r in got} == pieces and len(got) == len(pieces)
+    made = defaultdict(set)
+    for r in got:
+        made[r.bin_id].add((r.doc_id, r.piece))
+        assert r.bin_used == sum(pieces[k][1] for k in bins_of(bins, r))
+    assert {frozenset(b) for b in made.values()} == bins
+
+
+def bins_of(bins, row):
+    return next(b for b in bins if (row.doc_id, row.piece) in b)
+
+
 def test_stages_keep_columns_and_take_empty_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for frame in (docs.limit(0), docs.limit(5).withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.col("text")))):

@@ -73,6 +73,43 @@ def test_near_classes_edge_rows(docs, none):
     assert ngram_join.drop_near_copies(docs).columns == docs.columns
 
 
+def test_drop_near_copies_leaves_one_row_of_a_class(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, base), (1, base + " x"), (2, base + " y"), (3, "other words here"), (3, "other words here"), (4, None), (4, ""), (5, ""), (None, base), (None, base)]
+    left = ngram_join.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id or 0 for r in left) == [0, 0, 1, 3, 4, 5]
+    lone = ngram_join.drop_near_copies(spark.createDataFrame([(i, f"text number {i}") for i in range(9)], "doc_id long, text string"))
+    assert lone.count() == 9
+
+
+@pytest.mark.parametrize("rows", [12, 13, 500])
+def test_groups_of_all_sizes_like_brute_force(spark, rows):
+    rng = np.random.default_rng(rows)
+    texts = []
+    for i in range(rows):
+        w = [f"w{k}" for k in range(200)]
+        for k in rng.choice(200, i % 5, replace=False):
+            w[k] = f"x{i}"
+        texts.append(" ".join(w))
+    sets = [grams(t) for t in texts]
+    got = {r.doc_id: r for r in ngram_join.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    links = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if texts[i] != texts[j] and len(a & b) / len(a | b) >= 0.8}
+    other = defaultdict(set)
+    for i, j in links:
+        other[i].add(texts[j])
+    assert [got[i].n_links for i in range(rows)] == [len(other[i]) for i in range(rows)]
+    label = list(range(rows))
+    first = {t: i for i, t in reversed(list(enumerate(texts)))}
+    pairs = links | {(i, first[t]) for i, t in enumerate(texts)}
+    for _ in range(rows):
+        before = list(label)
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+        if before == label:
+            break
+    assert [got[i].class_id for i in range(rows)] == label
+
+
 def test_large_buckets_use_landmarks(spark):
     base = [f"w{i}" for i in range(300)]
     rows = []
