@@ -429,14 +429,18 @@ SQL["k11_build_gate"] = "SELECT count(*) AS inserted, 0::BIGINT AS failures, cou
 
 
 def artifact_join(spark, d):
-    """Expected sections beside stored ones: missing, stale or ok."""
-    want = read(spark, d, "conversations").groupBy("conv_id", "role").agg(F.min_by(F.md5("text"), "turn").alias("hash"))
-    have = want.where("conv_id % 7 <> 0").select("conv_id", "role", F.when(F.col("conv_id") % 7 == 1, "old").otherwise(F.col("hash")).alias("stored"))
+    """Newest text of each role beside what was stored before the conversation's last turn: missing, stale or ok."""
+    turns = read(spark, d, "conversations").select("conv_id", "role", "turn", F.md5("text").alias("hash"))
+    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    want = turns.groupBy("conv_id", "role").agg(F.max_by("hash", "turn").alias("hash"))
+    have = turns.join(last, "conv_id").where("turn < last").groupBy("conv_id", "role").agg(F.max_by("hash", "turn").alias("stored"))
     code = F.when(F.col("stored").isNull(), "missing").when(F.col("stored") != F.col("hash"), "stale").otherwise("ok")
     return want.join(have, ["conv_id", "role"], "left").select("conv_id", "role", code.alias("code"))
 
 
-SQL["c16_artifact_join"] = "SELECT DISTINCT conv_id, role, CASE conv_id % 7 WHEN 0 THEN 'missing' WHEN 1 THEN 'stale' ELSE 'ok' END AS code FROM conversations"
+SQL["c16_artifact_join"] = """SELECT conv_id, role, CASE WHEN stored IS NULL THEN 'missing' WHEN stored <> newest THEN 'stale' ELSE 'ok' END AS code
+FROM (SELECT conv_id, role, arg_max(text, turn) AS newest, arg_max(text, turn) FILTER (WHERE turn < last) AS stored
+      FROM (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations) GROUP BY 1, 2)"""
 
 
 def artifact_gate(spark, d):
@@ -444,7 +448,9 @@ def artifact_gate(spark, d):
     return n.withColumn("passed", (F.col("missing") == 0) & (F.col("stale") == 0))
 
 
-SQL["k09_artifact_gate"] = "SELECT count(*) FILTER (WHERE conv_id % 7 = 0) AS missing, count(*) FILTER (WHERE conv_id % 7 = 1) AS stale, count(*) FILTER (WHERE conv_id % 7 > 1) AS ok, false AS passed FROM (SELECT DISTINCT conv_id, role FROM conversations)"
+SQL["k09_artifact_gate"] = f"""SELECT *, missing = 0 AND stale = 0 AS passed
+FROM (SELECT count(*) FILTER (WHERE code = 'missing') AS missing, count(*) FILTER (WHERE code = 'stale') AS stale, count(*) FILTER (WHERE code = 'ok') AS ok
+      FROM ({SQL["c16_artifact_join"]}))"""
 
 
 def path_coverage(spark, d):
