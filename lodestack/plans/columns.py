@@ -137,8 +137,6 @@ def bench_query(name: str, sql: str, columns):
 
 ORDERED_TERMS = "(SELECT string_agg(t, ' ' ORDER BY p) FROM (SELECT t, min(p) AS p FROM (SELECT unnest(x) AS t, unnest(range(1, len(x)+1)) AS p FROM (SELECT list_transform(regexp_extract_all(text,'[A-Za-z0-9]+'), lambda s: lower(s)) AS x)) WHERE length(t) >= 2 GROUP BY t ORDER BY p LIMIT 32))"
 bench_query("h14_query_terms", f"{ORDERED_TERMS} AS terms", lambda: dict(terms=F.array_join(text.query_terms(text_()), " ")))
-bench_query("h13_query_expansion", "concat('raw_section section_kind ', CASE WHEN item_id % 2 = 0 THEN 'future' ELSE 'nothing' END, ' ', CASE WHEN item_id % 2 = 0 THEN '对未来研究的启发 future work future research inspiration research ideas ' ELSE '' END, trim(text)) AS expanded",
-            lambda: dict(expanded=text.expand_query(F.when(F.col("item_id") % 2 == 0, " Future ").otherwise("nothing"), text_())))
 bench_query("f01_candidate_budget", "least(200, greatest(40, 5 * (length(text) % 60 + 1)))::INTEGER AS budget, least(200, greatest(20, 3 * (length(text) % 60 + 1)))::INTEGER AS scope",
             lambda: dict(budget=F.least(F.lit(200), F.greatest(F.lit(40), 5 * (F.length("text") % 60 + 1))).cast("int"), scope=F.least(F.lit(200), F.greatest(F.lit(20), 3 * (F.length("text") % 60 + 1))).cast("int")))
 CLAMPED = "CASE WHEN TRY_CAST({0} AS INTEGER) IS NULL THEN -1 ELSE least(greatest(TRY_CAST({0} AS INTEGER), 1), 100) END"
@@ -175,6 +173,9 @@ def _said(name: str):
 
 _WORDS3 = "regexp_replace(regexp_extract(text, '([a-z]+)[^a-z]+([a-z]+)[^a-z]+([a-z]+)', {1}), '{2}', '{3}')"
 _REQUEST = [_WORDS3.format(*x) for x in _SAID[:2]] + ["(length(text) - 100)", f"nullif({_WORDS3.format(*_SAID[2])}, '')", "length(string_split(text, '.')[1])"]
+_KIND = _WORDS3.format(*_SAID[2])
+bench_query("h13_query_expansion", f"concat_ws(' ', 'raw_section', 'section_kind ' || {_KIND}, CASE WHEN {_KIND} = 'future' THEN '对未来研究的启发 future work future research inspiration research ideas' END, nullif(trim(text), '')) AS expanded",
+            lambda: dict(expanded=text.expand_query(F.concat(F.lit(" "), F.upper(_said("kind")), F.lit(" ")), text_())))
 
 
 bench_query(
