@@ -1,10 +1,13 @@
-"""The eleven registered queries of this folder and their SQL."""
+"""The fourteen registered queries of this folder and their SQL."""
 
 from __future__ import annotations
 
 import corpus_pipeline
 
-from . import block_ann, exact_dedup, lattice_lm, line_quality, ngram_join, packing, pii, sentencepiece_codec, substring_dedup, suffix_levels
+from . import (
+    block_ann, document_tree, exact_dedup, fill_in_middle, lattice_lm, line_quality, ngram_join, packing, pii, sentencepiece_codec, string_kernel, substring_dedup,
+    suffix_levels,
+)
 
 
 def queries() -> dict:
@@ -19,6 +22,9 @@ def queries() -> dict:
         "op8_line_quality": line_quality.query,
         "op9_lattice_lm": lattice_lm.query,
         "op10_exact_dedup": exact_dedup.query,
+        "op11_document_tree": document_tree.query,
+        "op12_string_kernel": string_kernel.query,
+        "op13_fill_in_middle": fill_in_middle.query,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -32,4 +38,6 @@ def oracle_sql() -> dict:
         "op5_ngram_join": ngram_join.SQL,
         "op7_suffix_levels": suffix_levels.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
+        "op11_document_tree": document_tree.SQL,
+        "op13_fill_in_middle": fill_in_middle.SQL,
     }
