@@ -23,6 +23,7 @@ from .common import groups_of, sizes_of, texts_of, written
 LANDMARKS = 128  # texts that describe all others, dealt evenly to the languages, one each at least
 FIT_DOCS = 400  # most texts of a language that a fit uses, those of the smallest hash
 SHORT = 4096  # bytes up to which texts are preferred for landmarks and fit
+SHARES = 64  # parts of a language that are ranked apart
 GRAM = 3
 RIDGE = 1e-3  # penalty for each text of the fit
 ROWS = 64  # texts of a product
@@ -170,8 +171,11 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     rows = docs.select(F.col(id_col).cast("string").alias("_i"), text.alias("_t"), lang.alias("_l")).where(r"_l IS NOT NULL AND _t RLIKE '\\p{L}'")
     long = F.greatest(F.octet_length("_t"), F.lit(SHORT))
     keys = rows.select("_l", long.alias("_n"), F.xxhash64("_i", "_t").alias("_h"))
+    # a language may hold most rows: the first of each of SHARES shares, limited in every task before the shuffle, then the first of these
+    part = Window.partitionBy("_l", F.pmod("_h", F.lit(SHARES))).orderBy("_n", "_h")
     first = Window.partitionBy("_l").orderBy("_n", "_h")
-    chosen = keys.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= most)  # limited in every task before the shuffle
+    chosen = keys.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= most)
+    chosen = chosen.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= most)
     chosen = chosen.groupBy("_l", "_h").agg(F.min("_r").alias("_r"))
     sample = written(rows.withColumn("_h", F.xxhash64("_i", "_t")).join(F.broadcast(chosen), ["_l", "_h"]).dropDuplicates(["_l", "_h"]))
     count = sample.select("_l").distinct().count()
