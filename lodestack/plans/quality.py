@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import markdown, text
+from lodestack.operators import order
 from lodestack.plans.columns import DOCS
 from lodestack.sources.tables import conversations_markdown, corpus, read
 
@@ -190,9 +191,9 @@ SQL["d24_corpus_counters"] = """SELECT count(*) AS pages, sum(len(regexp_extract
 def latency(spark, d):
     """Nearest-rank and interpolated percentiles of a value by type."""
     e = read(spark, d, "events").where("value IS NOT NULL")
-    return e.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY value)").alias("p95"), F.round(F.expr("percentile(value, 0.95)"), 6).alias("p95_linear"), F.round(F.median("value"), 6).alias("p50"),
-    )
+    counts = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    found = order.percentiles(e, ["event_type"], "value", {"p95": (0.95, False), "p95_linear": (0.95, True), "p50": (0.5, True)})
+    return counts.join(found, "event_type").select("event_type", "n", "p95", F.round("p95_linear", 6).alias("p95_linear"), F.round("p50", 6).alias("p50"))
 
 
 SQL["d20_latency"] = "SELECT event_type, count(*) AS n, quantile_disc(value, 0.95) AS p95, round(quantile_cont(value, 0.95),6) AS p95_linear, round(median(value),6) AS p50 FROM events WHERE value IS NOT NULL GROUP BY 1"
@@ -240,7 +241,11 @@ SQL["c15_paired_rows"] = PAIRS
 def gates(spark, d):
     """One row of gates: candidate p95 against baseline, share of pairs that hold, no failing critical row."""
     p = paired(spark, d)
-    g = p.agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY baseline)").alias("base_p95"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY candidate)").alias("cand_p95"), F.round(F.avg(F.col("ok").cast("double")), 6).alias("pair_share"))
+    sides = p.select(F.explode(F.array(F.struct(F.lit("base").alias("side"), F.col("baseline").alias("value")), F.struct(F.lit("cand").alias("side"), F.col("candidate").alias("value")))).alias("x")).select("x.*")
+    p95 = order.percentiles(sides, ["side"], "value", {"p95": (0.95, False)})
+    p95 = p95.agg(F.max(F.when(F.col("side") == "base", F.col("p95"))).alias("base_p95"), F.max(F.when(F.col("side") == "cand", F.col("p95"))).alias("cand_p95"))
+    share = p.agg(F.round(F.avg(F.col("ok").cast("double")), 6).alias("pair_share"))
+    g = p95.crossJoin(share)  # one row each
     return g.withColumn("latency_ok", F.col("cand_p95") <= F.greatest(F.col("base_p95") * 1.2, F.col("base_p95") + 25)).withColumn("pairs_ok", F.col("pair_share") >= 0.9)
 
 

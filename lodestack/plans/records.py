@@ -6,9 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import ids, vectors
-from lodestack.operators import diff, records
+from lodestack.operators import diff, order, records
 from lodestack.plans.columns import CID, DOCS, TYPE
-from lodestack.sources.tables import conversations_markdown, corpus, read, scratch
+from lodestack.sources.tables import conversations_markdown, corpus, read, scratch, stored
 
 SQL: dict = {}
 
@@ -490,15 +490,34 @@ s AS (SELECT conv_id, l, CASE WHEN conv_id % 5 = 0 THEN 'gone' ELSE l[2] END AS
 SELECT conv_id, CASE WHEN conv_id % 11 = 0 THEN 'missing' WHEN l[pos] = line THEN 'current' WHEN len(list_filter(l, lambda x: x = line)) = 1 THEN 'relocated' WHEN len(list_filter(l, lambda x: x = line)) > 1 THEN 'ambiguous' ELSE 'stale' END AS state FROM s"""
 
 
-def sequence_paths(spark, d):
-    """Paths by day with a running number above the largest taken one."""
-    e = read(spark, d, "events").select("event_id", F.date_format("ts", "yyMMdd").alias("day"))
-    taken = e.where("event_id % 4 = 0").groupBy("day").agg(F.count(F.lit(1)).alias("most"))
-    new = e.where("event_id % 4 <> 0").withColumn("n", F.row_number().over(Window.partitionBy("day").orderBy("event_id")))
-    return new.join(taken, "day", "left").select("event_id", F.concat("day", F.lpad((F.col("n") + F.coalesce("most", F.lit(0))).cast("string"), 4, "0")).alias("name"))
+def allocated(rows, taken, parts=None):
+    """(day, id, number): a number within its day for every row (day, id, wanted); taken: (day, number).
+
+    A wanted number that is not taken goes to the first row that asks for it; all other rows follow
+    the largest number of the day in the order of their ids.
+    """
+    asks = rows.where("wanted IS NOT NULL").join(taken.select("day", F.col("number").alias("wanted")).distinct(), ["day", "wanted"], "left_anti")
+    granted = stored(asks.groupBy("day", "wanted").agg(F.min("id").alias("id")).select("day", "id", F.col("wanted").cast("long").alias("number")))
+    most = taken.select("day", "number").unionByName(granted.select("day", "number")).groupBy("day").agg(F.max("number").alias("most"))
+    rest = order.running_number(rows.select("day", "id").join(granted, ["day", "id"], "left_anti"), ["day"], ["id"], parts=parts)
+    rest = rest.join(most, "day", "left").select("day", "id", (F.col("number") + F.coalesce("most", F.lit(0))).alias("number"))
+    return granted.unionByName(rest)
 
 
-SQL["e10_path_sequence"] = "SELECT event_id, concat(day, lpad((row_number() OVER (PARTITION BY day ORDER BY event_id) + most)::VARCHAR, 4, '0')) AS name FROM (SELECT event_id, strftime(ts,'%y%m%d') AS day, (SELECT count(*) FROM events x WHERE x.event_id % 4 = 0 AND strftime(x.ts,'%y%m%d') = strftime(e.ts,'%y%m%d')) AS most FROM events e WHERE event_id % 4 <> 0)"
+def sequence_paths(spark, d):
+    """Paths by day: purchases have taken the number in their properties, clicks ask for one, all others follow the largest."""
+    e = read(spark, d, "events").select(F.col("event_id").alias("id"), F.date_format("ts", "yyMMdd").alias("day"), "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    taken = e.where("event_type = 'purchase' AND k IS NOT NULL").select("day", F.col("k").alias("number"))
+    rows = e.where("event_type <> 'purchase'").select("day", "id", F.when(F.col("event_type") == "click", F.col("k")).alias("wanted"))
+    return allocated(rows, taken).select(F.col("id").alias("event_id"), F.concat("day", F.format_string("%02d", "number")).alias("name"))
+
+
+SQL["e10_path_sequence"] = """WITH e AS (SELECT event_id, strftime(ts,'%y%m%d') AS day, event_type, (props->>'k')::BIGINT AS k FROM events),
+t AS (SELECT DISTINCT day, k FROM e WHERE event_type = 'purchase' AND k IS NOT NULL),
+g AS (SELECT day, k, min(event_id) AS event_id FROM e WHERE event_type = 'click' AND k IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.day = e.day AND t.k = e.k) GROUP BY 1, 2),
+m AS (SELECT day, max(k) AS most FROM (SELECT day, k FROM t UNION ALL SELECT day, k FROM g) GROUP BY 1),
+r AS (SELECT event_id, day, row_number() OVER (PARTITION BY day ORDER BY event_id) AS n FROM e WHERE event_type <> 'purchase' AND event_id NOT IN (SELECT event_id FROM g))
+SELECT event_id, concat(day, printf('%02d', k)) AS name FROM g UNION ALL SELECT event_id, concat(day, printf('%02d', n + coalesce(most, 0))) FROM r LEFT JOIN m USING (day)"""
 
 
 def owners(spark, d):
