@@ -34,30 +34,46 @@ def _tile(a: pd.DataFrame, b: pd.DataFrame, limits: dict[tuple[int, int], tuple[
     return made.assign(src_kind=a["kind"].iloc[0] if len(a) else 0, tgt_kind=b["tkind"].iloc[0] if len(b) else 0)[["src_id", "tgt_id", "src_kind", "tgt_kind", "cosine"]]
 
 
-def rank_lists(rows: DataFrame, limits: dict[tuple[int, int], tuple[int, float]], block: int = BLOCK) -> DataFrame:
-    """(src_id, tgt_id, src_kind, tgt_kind, cosine, rank) for rows (id, source, kind, v).
+def _dealt(rows: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with their block, number of blocks of each kind)."""
+    sizes = rows.groupBy("kind").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.lit(1)).cast("int").alias("blocks"))
+    part = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
+    return rows.join(sizes, "kind").withColumn("own", part), sizes
+
 
-    limits: (k, least cosine) of each ordered pair of kinds. Rank is by cosine (not rounded), then
-    id, within a source row and target kind. Kind pairs are cut into tiles of `block` rows, so that a
-    task holds two blocks whatever the size of a kind.
+def candidates(sources: DataFrame, targets: DataFrame, limits: dict[tuple[int, int], tuple[int, float]], block: int = BLOCK, wanted: DataFrame | None = None) -> DataFrame:
+    """RANKS rows: the best of every tile of a block of sources and one of targets (id, source, kind, v).
+
+    With `wanted` (id, tgt_kind), a source row meets only these kinds. A task holds two blocks,
+    whatever the size of a kind.
     """
-    spark = rows.sparkSession
-    pairs = spark.createDataFrame([(a, b) for a, b in limits], "pk int, pt int")
-    sizes = rows.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    part = F.pmod(F.xxhash64("id"), F.greatest("blocks", F.lit(1)).cast("long")).cast("int")
-    own = rows.join(sizes, "kind").withColumn("own", part)
-    other = sizes.select(F.col("kind").alias("pt"), F.col("blocks").alias("other_blocks"))
-    every = F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1))
-    left = own.join(pairs, own["kind"] == pairs["pk"]).join(other, "pt").select("id", "source", "kind", "v", F.col("pt"), F.col("own").alias("lb"), every.alias("rb"))
-    back = pairs.select(F.col("pk").alias("qk"), F.col("pt").alias("qt"))
-    other = sizes.select(F.col("kind").alias("qk"), F.col("blocks").alias("other_blocks"))
-    right = own.select(F.col("id").alias("tid"), F.col("source").alias("tsource"), F.col("kind").alias("tkind"), F.col("v").alias("tv"), F.col("own").alias("trb"))
-    right = right.join(back, right["tkind"] == back["qt"]).join(other, "qk").select("tid", "tsource", "tkind", "tv", "trb", F.col("qk"), every.alias("tlb"))
-    found = left.groupBy("kind", "pt", "lb", "rb").cogroup(right.groupBy("qk", "tkind", "tlb", "trb")).applyInPandas(lambda a, b: _tile(a, b, limits), RANKS)
+    pairs = sources.sparkSession.createDataFrame([(a, b) for a, b in limits], "pk int, pt int")
+    own, sizes = _dealt(sources, block)
+    other, other_sizes = _dealt(targets, block)
+    blocks = other_sizes.select(F.col("kind").alias("pt"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("rb"))
+    left = own.join(pairs, own["kind"] == pairs["pk"]).join(blocks, "pt").select("id", "source", "kind", "v", "pt", F.col("own").alias("lb"), "rb")
+    if wanted is not None:
+        asked = wanted.select(F.col("id").alias("_wid"), F.col("tgt_kind").alias("_wk"))
+        left = left.join(asked, (left["id"] == asked["_wid"]) & (left["pt"] == asked["_wk"]), "left_semi")
+    blocks = sizes.select(F.col("kind").alias("qk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("tlb"))
+    right = other.select(F.col("id").alias("tid"), F.col("source").alias("tsource"), F.col("kind").alias("tkind"), F.col("v").alias("tv"), F.col("own").alias("trb"))
+    right = right.join(pairs.select(F.col("pk").alias("qk"), F.col("pt").alias("tkind")), "tkind").join(blocks, "qk").select("tid", "tsource", "tkind", "tv", "trb", "qk", "tlb")
+    return left.groupBy("kind", "pt", "lb", "rb").cogroup(right.groupBy("qk", "tkind", "tlb", "trb")).applyInPandas(lambda a, b: _tile(a, b, limits), RANKS)
+
+
+def ranked(found: DataFrame, limits: dict[tuple[int, int], tuple[int, float]]) -> DataFrame:
+    """The k best of each source row and target kind with their rank: by cosine (not rounded), then id."""
     w = Window.partitionBy("src_id", "tgt_kind").orderBy(F.desc("cosine"), "tgt_id")
     most = F.create_map(*[x for (a, b), (k, _) in limits.items() for x in (F.lit(f"{a}:{b}"), F.lit(k))])
-    ranked = found.withColumn("rank", F.row_number().over(w).cast("int"))
-    return ranked.where(F.col("rank") <= most[F.concat_ws(":", "src_kind", "tgt_kind")])
+    return found.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= most[F.concat_ws(":", "src_kind", "tgt_kind")])
+
+
+def rank_lists(rows: DataFrame, limits: dict[tuple[int, int], tuple[int, float]], block: int = BLOCK) -> DataFrame:
+    """(src_id, tgt_id, src_kind, tgt_kind, cosine, rank) for rows (id, source, kind, v); rows of one source never meet.
+
+    limits: (k, least cosine) of each ordered pair of kinds.
+    """
+    return ranked(candidates(rows, rows, limits, block), limits)
 
 
 def mutual_edges(ranks: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lodestack.functions import vectors
 from lodestack.operators import knn
-from lodestack.sources.tables import read
+from lodestack.operators import rank_index as index
+from lodestack.sources.tables import read, scratch, stored
 
 SQL: dict = {}
 # kinds are labels; the thresholds suit the given vectors, whose cosines within a label stay below 0.5
@@ -109,20 +110,27 @@ def edge_text(spark, d):
 SQL["h35_edge_text"] = f"WITH {EDGES} SELECT src_id, tgt_id, concat(src_id, ' SEMANTIC_SECTION_NEIGHBOR ', tgt_id, '; cosine=', printf('%.6f', cosine)) AS description FROM ed"
 
 
-def rank_index(spark, d):
-    """A rank index with the hashes of both ends; rows whose hash has moved are left out when edges are rebuilt."""
-    def print_of(c):
-        return F.md5(F.array_join(F.transform(c, lambda x: F.round(x, 4).cast("string")), ","))
+def digit(i: int):
+    """A digit of a vector's first component: which rows were otherwise when the index was written."""
+    return F.floor(F.abs(F.col("v")[0]) * 10000) % 40 == i
 
-    have = rows(spark, d).select("id", print_of(F.col("v")).alias("hash"))
-    index = ranks(spark, d).join(have.withColumnsRenamed({"id": "src_id", "hash": "src_hash"}), "src_id").join(have.withColumnsRenamed({"id": "tgt_id", "hash": "tgt_hash"}), "tgt_id")
-    # every eleventh row has changed since the index was written
-    now = rows(spark, d).select("id", F.when(F.col("id") % 11 == 0, "moved").otherwise(print_of(F.col("v"))).alias("hash"))
-    fresh = index.join(now.withColumnsRenamed({"id": "src_id", "hash": "src_hash"}), ["src_id", "src_hash"], "left_semi").join(now.withColumnsRenamed({"id": "tgt_id", "hash": "tgt_hash"}), ["tgt_id", "tgt_hash"], "left_semi")
-    return knn.mutual_edges(fresh.select("src_id", "tgt_id", "src_kind", "tgt_kind", "cosine", "rank"))
 
+def refreshed_index(spark, d):
+    """An index written of older rows, brought to the present: some vectors were reversed then, some rows are new, some are gone."""
+    every = rows(spark, d)
+    before = every.where(~digit(9)).withColumn("v", F.when(digit(7), F.reverse("v")).otherwise(F.col("v")))
+    now = every.where(~digit(11))
+    at = scratch(spark)
+    index.write(before, LIMITS, at)
+    change = stored(index.stale(now, at))
+    index.refresh(now, LIMITS, at)
+    done = index.lists(spark, at).select("src_id", "tgt_id", "src_kind", "tgt_kind", F.round("cosine", 6).alias("cosine"), "rank")
+    return done.join(change.select(F.col("id").alias("src_id"), "change"), "src_id", "left").na.fill("kept", ["change"])
 
-SQL["i20_rank_index"] = f"WITH {EDGES} SELECT src_id, tgt_id, pair_kind, cosine FROM ed WHERE src_id % 11 <> 0 AND tgt_id % 11 <> 0"
+
+DIGIT = "floor(abs(embedding[1]::DOUBLE) * 10000)::BIGINT % 40"
+SQL["i20_rank_index"] = f"""WITH {RANKS.replace('FROM embeddings)', f'FROM embeddings WHERE {DIGIT} <> 11)', 1)}
+ SELECT src_id, tgt_id, src_kind, tgt_kind, round(cosine,6) AS cosine, rank, CASE {DIGIT} WHEN 9 THEN 'added' WHEN 7 THEN 'updated' ELSE 'kept' END AS change FROM rk JOIN embeddings ON vec_id = src_id"""
 
 
 def links(spark, d):
@@ -147,5 +155,5 @@ SQL["c10_broken_links"] = f"WITH {LINKS} SELECT target, count(DISTINCT page_id)
 QUERIES = {
     "c19_knn_join": rank_query, "e03_knn_rank": rank_query, "c20_mutual_filter": edges, "i19_mutual_graph": edges, "f04_edge_order": ordered_edges, "d11_edge_report": report,
     "f05_top_hubs": hubs, "d12_index_summary": families, "g05_both_ways": union_ways, "j01_neighbours": near, "c11_neighbour_expansion": expansion, "b10_pair_kind_selection": selected,
-    "h35_edge_text": edge_text, "i20_rank_index": rank_index, "c10_broken_links": broken
+    "h35_edge_text": edge_text, "i20_rank_index": refreshed_index, "c10_broken_links": broken
 }
