@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.operators import diff, knn
-from lodestack.sources.tables import stored
+from lodestack.sources.tables import read_folders, rewrite_folders, stored
 
 LISTS = "src_id long, tgt_id long, src_kind int, tgt_kind int, cosine double, rank int, bucket int"
 PRINTS = "id long, print string"
@@ -43,7 +43,7 @@ def write(rows: DataFrame, limits: dict, path: str, block: int = knn.BLOCK, buck
 
 
 def lists(spark, path: str) -> DataFrame:
-    return spark.read.schema(LISTS).parquet(f"{path}/lists").where("src_id IS NOT NULL")
+    return read_folders(spark, f"{path}/lists", LISTS, "src_id")
 
 
 def stale(rows: DataFrame, path: str) -> DataFrame:
@@ -86,10 +86,7 @@ def refresh(rows: DataFrame, limits: dict, path: str, block: int = knn.BLOCK, bu
     now, touched = lists_now(rows, limits, path, block)
     folders = stored(touched.select(_bucket(buckets)).distinct())
     result = now.select("src_id", "tgt_id", "src_kind", "tgt_kind", "cosine", "rank", _bucket(buckets)).join(F.broadcast(folders), "bucket", "left_semi")  # at most `buckets` rows
-    result = stored(result)
-    # a folder whose lists are all gone would keep its old files: it gets a row that no list has, and reading leaves it out
-    empty = folders.join(result.select("bucket").distinct(), "bucket", "left_anti").select(*[F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in LISTS.split(", ")[:-1])], "bucket")
-    result.unionByName(empty).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{path}/lists")
+    rewrite_folders(result, folders, f"{path}/lists", "bucket")
     stored(prints(rows)).write.mode("overwrite").parquet(f"{path}/prints")
 
 

@@ -100,8 +100,13 @@ SQL["h41_header_field"] = f"""{MADE} SELECT doc_id, concat('"', title, '"') AS t
 # --- lines ---------------------------------------------------------------------------------
 def lines(spark, d):
     """(doc_id, path, role, n, line): lines after the front matter, numbered in the whole note."""
+    return lines_of(notes(spark, d))
+
+
+def lines_of(rows):
+    """lines() of any notes (doc_id, path, role, md)."""
     front = tex.newlines(F.col("md")) - tex.newlines(F.col("body"))
-    rows = with_front(spark, d).select("doc_id", "path", "role", front.alias("front"), F.posexplode(F.split("body", "\n")).alias("n", "line"))
+    rows = rows.withColumn("body", markdown.body(F.col("md"))).select("doc_id", "path", "role", front.alias("front"), F.posexplode(F.split("body", "\n")).alias("n", "line"))
     return rows.select("doc_id", "path", "role", (F.col("front") + F.col("n") + 1).alias("n"), "line")
 
 
@@ -143,9 +148,14 @@ def spans(spark, d):
     The title of each level that stands last counts unless a smaller level came after it, so that
     running maxima replace a stack.
     """
+    return spans_of(lines(spark, d))
+
+
+def spans_of(rows):
+    """spans() of any numbered lines."""
     level = markdown.level(F.col("line"))
     kind = F.when(level > 0, "doc.heading").when(markdown.is_table_row(F.col("line")), "table.row").when((F.col("role") == "meta_map") & markdown.is_map_row(F.col("line")), "map.row")
-    rows = lines(spark, d).withColumn("level", level).withColumn("span_kind", kind).where("span_kind IS NOT NULL")
+    rows = rows.withColumn("level", level).withColumn("span_kind", kind).where("span_kind IS NOT NULL")
     w = Window.partitionBy("doc_id").orderBy("n")
     title = markdown.heading_title(F.col("line"))
     rows = rows.withColumns({f"_{k}": F.max(F.when(F.col("level") == k, F.struct("n", title.alias("title")))).over(w) for k in range(1, 7)})
@@ -172,9 +182,13 @@ SQL["e12_heading_stack"] = f"{MADE}, {L}, {STACK} SELECT doc_id, (row_number() O
 
 def span_rows(spark, d):
     """Spans with ids made of their place and content."""
+    return named_spans(spans(spark, d))
+
+
+def named_spans(rows):
     digest = F.substring(F.sha1(F.concat_ws("\n", "path", F.col("n").cast("string"), "span_kind", "text")), 1, 12)
     span_id = F.concat_ws(":", F.lit("lexical"), "path", F.col("n").cast("string"), "span_kind", digest)
-    return spans(spark, d).select("doc_id", span_id.alias("span_id"), F.col("n").alias("start_line"), "span_kind", F.array_join("heading_path", " > ").alias("heading_path"), "text")
+    return rows.select("doc_id", span_id.alias("span_id"), F.col("n").alias("start_line"), "span_kind", F.array_join("heading_path", " > ").alias("heading_path"), "text")
 
 
 SQL["i02_span_extraction"] = f"""{MADE}, {L}, {STACK} SELECT doc_id, concat_ws(':', 'lexical', path, n, span_kind, left(sha1(concat_ws(chr(10), path, n, span_kind, s)), 12)) AS span_id, n AS start_line, span_kind, heading_path, s AS text FROM st"""

@@ -55,3 +55,25 @@ def stored(df: DataFrame) -> DataFrame:
     at = scratch(df.sparkSession)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def rewrite_folders(rows: DataFrame, folders: DataFrame, path: str, part: str) -> None:
+    """Write `rows` over those folders of a table that `folders` lists; all others stay as they are.
+
+    rows: the whole content of these folders. A folder that loses all its rows gets one row of
+    nulls, which read_folders leaves out, since a folder without new files would keep its old ones.
+    """
+    rows = stored(rows)
+    empty = folders.join(rows.select(part).distinct(), part, "left_anti").select(*[F.col(part) if f.name == part else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+    out = rows.unionByName(empty).repartition(part)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def read_folders(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).where(F.col(key).isNotNull())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
