@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import ids, vectors
-from lodestack.operators import diff, order, records
+from lodestack.operators import diff, order, records, vector_fill
 from lodestack.plans.columns import CID, DOCS, TYPE
 from lodestack.sources.tables import conversations_markdown, corpus, read, scratch, stored
 
@@ -235,14 +235,18 @@ SQL["c02_section_embedding"] = "SELECT doc_id, coalesce(len(embedding),0)::INTEG
 
 
 def cache_hits(spark, d):
-    """Records found in a cache by hash and contract; a wrong checksum is a miss."""
-    c = read(spark, d, "embeddings").select(F.md5(F.col("vec_id").cast("string")).alias("vector_hash"), F.when(F.col("vec_id") % 8 == 0, "m2").otherwise("m1").alias("model"), F.size("embedding").alias("dim"), F.when(F.col("vec_id") % 9 == 0, "bad").otherwise(F.md5((F.col("vec_id") + 1).cast("string"))).alias("checksum"), (F.col("vec_id") + 1).alias("next"))
-    r = _sections(spark, d).select("doc_id", F.md5(F.col("doc_id").cast("string")).alias("vector_hash"), F.lit("m1").alias("model"), F.lit(64).alias("dim"))
-    hit = r.join(c, ["vector_hash", "model", "dim"], "left").select("doc_id", F.coalesce(F.col("checksum") == F.md5(F.col("next").cast("string")), F.lit(False)).alias("hit"))
-    return hit
+    """Vectors found in a cache by hash and contract: some were stored by another model, some have changed under their digest."""
+    digit = F.floor(F.abs(F.col("embedding")[0].cast("double")) * 10000) % 10
+    e = read(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"), digit.alias("digit"), vector_fill.checksum(F.col("embedding")).alias("sum"))
+    cache = e.where("digit <> 3").select(F.col("sum").alias("vector_hash"), F.when(F.col("digit") == 4, "m2").otherwise("m1").alias("model"), F.size("e").alias("dim"), F.col("sum").alias("checksum"), F.when(F.col("digit") == 5, F.reverse("e")).otherwise(F.col("e")).alias("v"))
+    records = e.select("vec_id", F.col("sum").alias("vector_hash"), F.lit("m1").alias("model"), F.size("e").alias("dim"))
+    return vector_fill.lookup(records, cache).select("vec_id", "state")
 
 
-SQL["c03_cache_join"] = "SELECT doc_id, coalesce(vec_id % 8 <> 0 AND vec_id % 9 <> 0, false) AS hit FROM documents LEFT JOIN embeddings ON vec_id = doc_id"
+SQL["c03_cache_join"] = """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS e, floor(abs(embedding[1]::DOUBLE) * 10000)::BIGINT % 10 AS g FROM embeddings),
+h AS (SELECT *, md5(array_to_string(list_transform(e, lambda x: round(x * 1000000)::BIGINT), ',')) AS hash FROM e),
+c AS (SELECT hash, md5(array_to_string(list_transform(CASE WHEN g = 5 THEN list_reverse(e) ELSE e END, lambda x: round(x * 1000000)::BIGINT), ',')) = hash AS fine FROM h WHERE g NOT IN (3, 4))
+SELECT vec_id, CASE WHEN count(fine) = 0 THEN 'miss' WHEN bool_or(fine) THEN 'hit' ELSE 'corrupt' END AS state FROM h LEFT JOIN c USING (hash) GROUP BY vec_id"""
 
 
 def missing_vectors(spark, d):
@@ -269,26 +273,53 @@ def contracts(spark, d):
 SQL["d13_contract_inventory"] = "SELECT 'm1' AS model, len(embedding)::INTEGER AS dim, concat('v', label % 3) AS version, count(*) AS n FROM embeddings GROUP BY ALL"
 
 
-def hash_embedding(rows, dim: int = 8):
-    """(key, v): a deterministic vector of each text from its hash, for tests and as a stand-in for a model.
+def _texts(spark, d):
+    """Documents as records: the hash of the text says what the cache held before (the first hexadecimal digit: 0 to 5, 6 by another model)."""
+    return read(spark, d, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"), F.md5(F.coalesce("text", F.lit(""))).alias("vector_hash"))
 
-    An embedder of one's own is any function of an iterator of Arrow batches, given to mapInArrow.
-    """
-    parts = [(F.conv(F.substring(F.sha2("text", 256), 1 + 4 * i, 4), 16, 10).cast("double") / 32768 - 1).cast("float") for i in range(dim)]
-    return rows.select("key", F.array(*parts).alias("v"))
+
+def _cached(spark, rows, at):
+    """A cache at a folder: hash vectors of some texts, of one more model and, for the digit 5, without their last component."""
+    held = rows.where("vector_hash < '7' AND text <> ''").dropDuplicates(["vector_hash"])
+    v = vector_fill.embedded(held, vector_fill.hash_embedder(), 8).select("vector_hash", F.when(F.col("vector_hash") >= "6", "m0").otherwise("m1").alias("model"), F.lit(8).alias("dim"), vector_fill.checksum(F.col("v")).alias("checksum"), F.when(F.col("vector_hash").between("5", "6"), F.slice("v", 1, 7)).otherwise(F.col("v")).alias("v"))
+    v.write.parquet(at)
 
 
 def cache_reuse(spark, d):
-    """Vectors reused where text hash and model agree; only the rest is embedded."""
-    s = read(spark, d, "documents").select(F.col("doc_id").alias("key"), "text", F.md5("text").alias("text_hash"))
-    cached = hash_embedding(s.where("key % 3 = 0")).join(s.select("key", F.when(F.col("key") % 6 == 0, "stale").otherwise(F.col("text_hash")).alias("text_hash")), "key")
-    reused = s.join(cached, ["key", "text_hash"], "left_semi")
-    rest = s.join(cached, ["key", "text_hash"], "left_anti")
-    made = hash_embedding(rest).where(vectors.valid(F.col("v"), 8))
-    return reused.select("key", F.lit("reused").alias("how")).unionByName(made.select("key", F.lit("embedded").alias("how"))).groupBy("how").agg(F.count(F.lit(1)).alias("n"))
+    """By language, records whose vector can be reused: same text, same contract, right digest."""
+    rows, at = _texts(spark, d), scratch(spark)
+    _cached(spark, rows, at)
+    asked = rows.select("lang", "vector_hash", F.lit("m1").alias("model"), F.lit(8).alias("dim"))
+    return vector_fill.lookup(asked, spark.read.schema(vector_fill.CACHE).parquet(at)).groupBy("lang", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+STATE = "CASE WHEN t = '' OR h >= '6' THEN 'miss' WHEN h >= '5' THEN 'corrupt' ELSE 'hit' END"
+HASHED = "x AS (SELECT doc_id, lang, coalesce(text, '') AS t, md5(coalesce(text, '')) AS h FROM documents)"
+SQL["i17_cache_reuse"] = f"WITH {HASHED} SELECT lang, {STATE} AS state, count(*) AS n FROM x GROUP BY ALL"
+
+
+def short_embedder(texts):
+    """The hash embedder as a faulty provider: no whole vector for texts with a pipe, none at all for batches with a double exclamation mark."""
+    if any("!!" in t for t in texts):
+        raise RuntimeError("refused")
+    return [v[:5] if "|" in t else v for t, v in zip(texts, vector_fill.hash_embedder()(texts), strict=True)]
+
+
+def filled(spark, d):
+    """Missing vectors embedded and written; what the provider fails at is told, and a second run has only that left."""
+    rows, at = _texts(spark, d), scratch(spark)
+    _cached(spark, rows, at)
+    first = stored(vector_fill.fill(rows, at, short_embedder, "m1", 8))
+    second = vector_fill.fill(rows, at, short_embedder, "m1", 8).select("vector_hash", F.col("how").alias("again"))
+    held = spark.read.schema(vector_fill.CACHE).parquet(at).where("model = 'm1' AND size(v) = 8").groupBy("vector_hash").agg(F.round(F.max(F.col("v")[7]), 6).alias("last"), F.count(F.lit(1)).alias("copies"))
+    out = rows.select("doc_id", "vector_hash").join(first, "vector_hash").join(second, "vector_hash").join(held, "vector_hash", "left")
+    return out.select("doc_id", "how", "failure", "again", F.coalesce("last", F.lit(-9.0)).alias("last"), F.coalesce("copies", F.lit(0)).alias("copies"))
 
 
-SQL["i17_cache_reuse"] = SQL["i18_fill_missing"] = "SELECT CASE WHEN doc_id % 3 = 0 AND doc_id % 6 <> 0 THEN 'reused' ELSE 'embedded' END AS how, count(*) AS n FROM documents GROUP BY 1"
+SQL["i18_fill_missing"] = f"""WITH {HASHED}, y AS (SELECT doc_id, {STATE} = 'hit' AS held, CASE WHEN t = '' THEN 'empty' WHEN contains(t, '!!') THEN 'error' WHEN contains(t, '|') THEN 'dimension' ELSE '' END AS f,
+ round(('0x' || substr(sha256(t), 29, 4))::BIGINT / 32768.0::DOUBLE - 1, 6) AS v FROM x)
+SELECT doc_id, CASE WHEN held THEN 'reused' WHEN f = '' THEN 'embedded' ELSE 'failed' END AS how, CASE WHEN held THEN '' ELSE f END AS failure, CASE WHEN held OR f = '' THEN 'reused' ELSE 'failed' END AS again,
+ CASE WHEN held OR f = '' THEN v ELSE -9 END AS last, CASE WHEN held OR f = '' THEN 1 ELSE 0 END::BIGINT AS copies FROM y"""
 
 
 # --- differences ---------------------------------------------------------------------------
@@ -544,7 +575,7 @@ QUERIES = {
     "a01_corpus_scan": corpus_scan, "a05_embedding_read": embedding_read, "a06_embedding_upsert": upserted, "a09_bulk_upsert": upserted, "a07_cache_write": cache_write, "a10_keyed_delete": deleted,
     "a17_render": rendered, "a08_generated_scan": generated_scan, "d05_chunk_dedupe": chunk_rows, "d06_last_wins": entity_rows, "d07_first_wins": default_rows, "c01_source_resolution": relationships,
     "j04_kg_payload": relationships, "j05_manifest": manifest, "d04_manifest_summary": manifest_summary, "j06_edge_table": edge_table, "c02_section_embedding": with_embedding, "c03_cache_join": cache_hits,
-    "c04_missing_vectors": missing_vectors, "c05_coverage_audit": coverage_audit, "d13_contract_inventory": contracts, "i17_cache_reuse": cache_reuse, "i18_fill_missing": cache_reuse,
+    "c04_missing_vectors": missing_vectors, "c05_coverage_audit": coverage_audit, "d13_contract_inventory": contracts, "i17_cache_reuse": cache_reuse, "i18_fill_missing": filled,
     "g01_keyed_diff": changes, "g02_delta_summary": change_summary, "g03_fingerprints": prints, "g04_incremental_apply": applied, "g07_source_difference": source_difference, "g08_ledger_upsert": ledger,
     "g09_ledger_clear": ledger_clear, "g12_freshness": freshness, "g13_file_fingerprints": file_prints, "d01_count_by_type": type_counts, "d02_table_counts": table_counts, "d03_count_audit": count_audit,
     "k11_build_gate": build_gate, "c16_artifact_join": artifact_join, "k09_artifact_gate": artifact_gate, "c17_path_coverage": path_coverage, "k10_workspace_gate": workspace_gate, "i15_relocation": relocated,
