@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import excerpt, text
+from lodestack.operators import includes
 from lodestack.plans.columns import DOCS
+from lodestack.plans.papers import quoted
 from lodestack.plans.search import hybrid
 from lodestack.sources.tables import conversations_markdown, corpus, read, stored
 
@@ -108,50 +111,58 @@ def provider_rows(spark, d):
 SQL["h39_provider_rows"] = "SELECT vec_id // 5 AS batch, CASE WHEN bool_or(embedding[1] <= -0.2::FLOAT) THEN 'count' WHEN bool_or(embedding[2] > 0.2::FLOAT) THEN 'dimension' ELSE string_agg(concat(label, '.5'), ',' ORDER BY vec_id) END AS firsts FROM embeddings GROUP BY 1"
 
 
-def include_edges(docs):
-    """(doc_id, place, target): 64 documents in a row make a source of a main file and parts; the part 40 includes the main file again, 50 a file that is not there."""
-    local = F.col("doc_id") % 64
-    base = F.col("doc_id") - local
-    targets = F.array(base + local * 2 + 1, base + local * 2 + 2)
-    parts = F.filter(targets, lambda t: t < base + 64)
-    return docs.select("doc_id", F.posexplode(F.when(local == 40, F.array(base)).when(local == 50, F.array(-1 - F.col("doc_id"))).otherwise(parts)).alias("place", "target"))
-
-
-def include_closure(roots, edges, known):
-    """(root, doc_id, depth, path, role, status) of all includes met from the roots, level by level.
-
-    A file that its root has met before is a cycle and one that is not known is unresolved; neither
-    is followed. Each level joins the frontier with the edges; it ends when the frontier is empty.
-    """
-    frontier = stored(roots.select(F.col("doc_id").alias("root"), "doc_id", F.lit(0).alias("depth"), F.lit("").alias("path")))
-    seen, out = frontier, frontier.withColumn("status", F.lit("visited"))
-    while not frontier.isEmpty():
-        met = frontier.join(edges, "doc_id").select("root", F.col("target").alias("doc_id"), (F.col("depth") + 1).alias("depth"), F.concat("path", F.col("place").cast("string")).alias("path"))
-        before = seen.select(F.col("root").alias("_root"), F.col("doc_id").alias("_id")).distinct()
-        met = met.join(before, (F.col("root") == F.col("_root")) & (F.col("doc_id") == F.col("_id")), "left").join(known.select(F.col("doc_id").alias("_known")), F.col("doc_id") == F.col("_known"), "left")
-        status = F.when(F.col("_known").isNull(), "unresolved").when(F.col("_id").isNotNull(), "cycle").otherwise("visited")
-        met = stored(met.select("root", "doc_id", "depth", "path", status.alias("status")))
-        frontier = met.where("status = 'visited'").drop("status")
-        seen, out = seen.unionByName(frontier), out.unionByName(met)
-    role = F.when(F.col("path").startswith("1"), "appendix").otherwise("body")
-    return out.select("root", "doc_id", "depth", "path", role.alias("role"), "status")
-
-
-def includes(spark, d):
-    """Include closure of every main file, with cycles and unresolved names."""
-    docs = read(spark, d, "documents").select("doc_id")
-    return include_closure(docs.where("doc_id % 64 = 0"), include_edges(docs), docs)
-
-
-SQL["j08_include_closure"] = """
-WITH RECURSIVE e AS (SELECT doc_id, b, l, unnest(range(0, len(t))) AS place, unnest(t) AS target FROM (SELECT doc_id, b, l,
-   CASE l WHEN 40 THEN [b] WHEN 50 THEN [-1 - doc_id] ELSE list_filter([b + l * 2 + 1, b + l * 2 + 2], lambda x: x < b + 64) END AS t
-   FROM (SELECT doc_id, doc_id % 64 AS l, doc_id - doc_id % 64 AS b FROM documents))),
-w(root, doc_id, depth, path, status, up) AS (SELECT doc_id, doc_id, 0::INTEGER, ''::VARCHAR, 'visited', [doc_id] FROM documents WHERE doc_id % 64 = 0
- UNION ALL SELECT w.root, e.target, (w.depth + 1)::INTEGER, concat(w.path, e.place),
-   CASE WHEN d.doc_id IS NULL THEN 'unresolved' WHEN list_contains(w.up, e.target) THEN 'cycle' ELSE 'visited' END, list_append(w.up, e.target)
- FROM w JOIN e ON e.doc_id = w.doc_id LEFT JOIN documents d ON d.doc_id = e.target WHERE w.status = 'visited')
-SELECT root, doc_id, depth, path, CASE WHEN starts_with(path, '1') THEN 'appendix' ELSE 'body' END AS role, status FROM w"""
+# The tables hold no projects of TeX files: documents of one source are a project, the first word names a file, and words make it include others.
+INCLUDES = (
+    (r"(?m)^([A-Z][a-z]+) ", "\\input{$1}\n"),
+    (r"\. ([A-Z][a-z]{7,})\.", ".\n\\include{../$1.tex}\n"),
+    (r", ([a-z]{8,})\.", "\n\\appendix\n\\include{https://$1}\n"),
+    (r" ([a-z]{9,}), ", " \\input {parts/$1.eps}, "),
+    (r" ([a-z])[a-z]* ([a-z]+)\. ", " \\include{./$2}\n"),
+)
+
+
+def project_files(spark, d):
+    """(project, path, tex, doc_id): of documents of one source that begin with the same word the first one is its file."""
+    t = F.coalesce("text", F.lit(""))
+    tex = t
+    for pattern, mark in INCLUDES:
+        tex = F.regexp_replace(tex, pattern, mark.replace("\\", "\\\\"))
+    rows = read(spark, d, "documents").select(F.col("source").alias("project"), F.concat(F.regexp_extract(t, "([A-Za-z]+)", 1), F.lit(".tex")).alias("path"), tex.alias("tex"), "doc_id").where("project IS NOT NULL")
+    first = rows.groupBy("project", "path").agg(F.min("doc_id").alias("doc_id"))
+    return rows.join(first, ["project", "path", "doc_id"], "left_semi")
+
+
+def include_walk(spark, d):
+    """Includes followed from the first file of each project: units in order, cycles, and names that lead nowhere."""
+    files = stored(project_files(spark, d))
+    first = files.groupBy("project").agg(F.min_by("path", "doc_id").alias("path"))
+    return includes.walk(files, first).drop("root")
+
+
+def _include_sql() -> str:
+    tex = "coalesce(text, '')"
+    for pattern, mark in INCLUDES:
+        tex = f"regexp_replace({tex}, {quoted(pattern)}, {quoted(re.sub(r'[$]([12])', r'\\\1', mark.replace(chr(92), chr(92) * 2)))}, 'g')"
+    return rf"""
+WITH RECURSIVE a AS (SELECT source AS project, concat(regexp_extract(coalesce(text, ''), '([A-Za-z]+)', 1), '.tex') AS path, {tex} AS tex, doc_id FROM documents WHERE source IS NOT NULL),
+f AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY project, path ORDER BY doc_id) = 1),
+v AS (SELECT project, path, unnest(e) AS e, unnest(range(0, len(e)))::INTEGER AS place, list_position(list_transform(e, lambda x: starts_with(x, '\appendix')), true) AS app FROM (SELECT project, path, regexp_extract_all(tex, '\\appendix\b|\\(?:input|include)\s*\{{[^{{}}]+\}}') AS e FROM f)),
+i AS (SELECT project, path, place, coalesce(app, 0) > 0 AND place >= app AS appendix, regexp_extract(e, '\{{([^{{}}]+)\}}', 1) AS include, regexp_replace(trim(regexp_extract(e, '\{{([^{{}}]+)\}}', 1)), '^(?:\./)+', '') AS name FROM v WHERE NOT starts_with(e, '\appendix')),
+r AS (SELECT *, CASE WHEN regexp_matches(name, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN 'remote_url' WHEN starts_with(name, '/') OR list_contains(string_split(name, '/'), '..') THEN 'path_traversal' END AS refused, CASE WHEN ends_with(lower(name), '.tex') THEN name ELSE concat(name, '.tex') END AS file FROM i),
+e AS (SELECT r.project, r.path, place, appendix, include, CASE WHEN refused IS NULL THEN f.path END AS target, CASE WHEN refused IS NOT NULL THEN refused WHEN f.path IS NULL THEN CASE WHEN regexp_matches(name, '[^/]\.[^./]+$') AND NOT ends_with(lower(name), '.tex') THEN 'unsupported_extension' ELSE 'missing_source' END END AS reason
+  FROM r LEFT JOIN f ON f.project = r.project AND f.path = r.file),
+l(project, path, ordinals, trail, role, parent) USING KEY (project, path) AS (
+  SELECT project, path, []::INTEGER[], [path], 'body', '' FROM f QUALIFY row_number() OVER (PARTITION BY project ORDER BY doc_id) = 1
+  UNION SELECT project, target, o.ordinals, o.trail, o.role, o.parent FROM (
+    SELECT l.project, e.target, min({{'ordinals': list_append(l.ordinals, e.place), 'trail': list_append(l.trail, e.target), 'role': CASE WHEN e.appendix THEN 'appendix' ELSE l.role END, 'parent': l.path}}) AS o
+    FROM l JOIN e ON e.project = l.project AND e.path = l.path AND e.target IS NOT NULL AND NOT list_contains(l.trail, e.target) GROUP BY ALL) n
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.l b WHERE b.project = n.project AND b.path = n.target AND b.ordinals <= n.o.ordinals))
+SELECT project, 'unit' AS kind, path, parent AS other, role, row_number() OVER (PARTITION BY project ORDER BY ordinals) - 1 AS number FROM l
+UNION ALL SELECT l.project, 'cycle', l.path, e.target, '', e.place::BIGINT FROM l JOIN e ON e.project = l.project AND e.path = l.path AND list_contains(l.trail, e.target)
+UNION ALL SELECT l.project, 'include_unresolved', l.path, e.include, e.reason, e.place::BIGINT FROM l JOIN e ON e.project = l.project AND e.path = l.path AND e.target IS NULL"""
+
+
+SQL["j08_include_closure"] = _include_sql()
 
 
 def excerpts(spark, d):
@@ -195,5 +206,5 @@ SELECT page_id, CASE WHEN NOT asked OR len(x) = 0 THEN 0 WHEN sized AND len(list
 
 QUERIES = {
     "m01_inventory": inventory, "m04_main_file": main_file,
-    "h28_abstract_spans": abstract_spans, "h25_base64_vectors": vectors_as_text, "h39_provider_rows": provider_rows, "j08_include_closure": includes, "h19_excerpts": excerpts, "h20_number_cue": cues,
+    "h28_abstract_spans": abstract_spans, "h25_base64_vectors": vectors_as_text, "h39_provider_rows": provider_rows, "j08_include_closure": include_walk, "h19_excerpts": excerpts, "h20_number_cue": cues,
 }
