@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,11 +39,9 @@ MACRO = r"\\(?:re)?newcommand[ \t]*\{\\([A-Za-z]+)\}(?:\[[0-9]+\])?[ \t]*\{([^{}
 MARKUP = r"\\(?:textbf|textit|emph|section|subsection|caption|title|url)\*?(?:\[[^\]]*\])?\{([^{}]*)\}"
 DROPPED = (
     "addtolength", "bibliography", "bibliographystyle", "declaremathoperator", "declarerobustcommand", "def", "documentclass", "hypersetup", "include", "input", "maketitle",
-    "newcommand", "newtheorem", "pagestyle", "printbibliography", "providecommand", "renewcommand", "requirepackage", "setcounter", "setlength", "thispagestyle", "usepackage",
+    "newcommand", "newtheorem", "pagestyle", "printbibliography", "providecommand", "renewcommand", "requirepackage", "setcounter", "setlength", "thispagestyle", "usepackage", "vspace",
 )
 FRONT = ("affiliation", "author", "date", "email", "institute", "thanks", "title")
-FRONT_LINE = rf"(?im)^[ \t]*\\[a-z@]*(?:{'|'.join(FRONT)})\*?\{{[^{{}}]*(?:\{{[^{{}}]*\}}[^{{}}]*)*\}}[^\n]*\n"
-DROPPED_LINE = rf"(?im)^[ \t]*\\(?:end\{{document\}}|(?:{'|'.join(DROPPED)})(?:[^a-z\n][^\n]*)?(?:\n|\z))"
 EXCERPT = 2000  # characters after the last heading that belong to it
 
 
@@ -100,8 +101,8 @@ def expanded(tex: Column) -> Column:
 
 
 def uncommented(tex: Column) -> Column:
-    """tex without comments; an escaped percent sign stays."""
-    return F.regexp_replace(tex, r"(?m)(^|[^\\\n])%[^\n]*", "$1")
+    """tex without comments; a percent sign behind an odd number of backslashes stays."""
+    return F.regexp_replace(tex, r"(?<!\\)((?:\\\\)*+)%[^\n]*", "$1")
 
 
 def plain(tex: Column) -> Column:
@@ -113,10 +114,80 @@ def plain(tex: Column) -> Column:
     return squeeze(F.replace(tex, F.lit(r"\&"), F.lit("&")))
 
 
+# Fixed values of the reading view: environments and commands of front matter, and commands whose line goes.
+FORMAT_ENVIRONMENT = re.compile(r"\\begin\{([^{}]*(?:frontmatter|author[^{}]*|affiliation[^{}]*)\*?|references\*?|thebibliography\*?)\}", re.I)
+FORMAT_COMMAND = re.compile(rf"\\[A-Za-z@]*?(?:author[A-Za-z@]*|{'|'.join(FRONT)})\*?(?![A-Za-z@*])", re.I)
+DROPPED_COMMAND = re.compile(rf"\\(?:{'|'.join(DROPPED)})\*?(?![A-Za-z@*])", re.I)
+REFERENCES = re.compile(r"\\(?:section|chapter)\*?\{\s*(?:References|Bibliography|参考文献)\s*\}|\\begin\{(?:thebibliography|references)\}", re.I)
+APPENDIX = re.compile(r"\\appendix(?![A-Za-z0-9_])|\\begin\{appendices\}|\\section\*?\{\s*Appendix", re.I)
+COMMENT = re.compile(r"(?<!\\)((?:\\\\)*)%.*")
+INSIDE, LAST, OUT = "inside", "last", "out"  # what a line is to the stretch that is left out before it
+
+
+def depth_of(line: str) -> int:
+    """Braces that a line opens and does not close; escaped ones do not count."""
+    bare = re.sub(r"\\.", "", line)
+    return bare.count("{") - bare.count("}")
+
+
+def _environment(name: str):
+    end = re.compile(rf"\\end\{{{re.escape(name)}\}}", re.I)
+    return lambda line: LAST if end.search(line) else INSIDE
+
+
+def _command(depth: int):
+    def braces(line: str) -> str:
+        nonlocal depth
+        depth += depth_of(line)
+        return INSIDE if depth > 0 else LAST
+
+    return braces
+
+
+def _references(line: str) -> str:
+    return OUT if APPENDIX.search(line) else INSIDE
+
+
+def _left_out(line: str):
+    """What a line begins that readers do not get: (whether the line itself goes, the test of the lines after it)."""
+    if m := FORMAT_ENVIRONMENT.match(line):
+        return True, _environment(m[1])
+    if REFERENCES.search(line):
+        return True, _references
+    if DROPPED_COMMAND.match(line) or r"\end{document}" in line:
+        return True, None
+    if FORMAT_COMMAND.match(line):
+        depth = depth_of(line)
+        return True, _command(depth) if depth > 0 else None
+    return False, None
+
+
+def view_of(tex: str) -> str:
+    """The body of one source, in one pass over its lines."""
+    lines = [COMMENT.sub(r"\1", line).rstrip() for line in tex.split("\n")]
+    begin = next((i + 1 for i, line in enumerate(lines) if r"\begin{document}" in line), 0)
+    kept, skip = [], None
+    for line in lines[begin:]:
+        if skip is not None:
+            state = skip(line)
+            if state != INSIDE:
+                skip = None
+            if state != OUT:
+                continue
+        goes, skip = _left_out(line.strip())
+        if not goes:
+            kept.append(line)
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(kept)).strip("\n")
+
+
 def reading_view(tex: Column) -> Column:
-    """The body for readers: no preamble, comments, author blocks, title commands or references; appendices stay."""
-    body = F.regexp_replace(tex, r"(?s)\A.*?\\begin\{document\}[^\n]*\n", "")
-    body = F.regexp_replace(uncommented(body), r"(?m)[ \t]+$", "")
-    body = F.regexp_replace(body, r"(?s)\\section\*?\{[ ]*(?:References|Bibliography)[ ]*\}.*?(\\appendix|\\end\{document\})", "$1")
-    body = F.regexp_replace(F.regexp_replace(body, FRONT_LINE, ""), DROPPED_LINE, "")
-    return F.trim(F.regexp_replace(body, r"\n{3,}", "\n\n"), F.lit("\n"))
+    """The body for readers: no preamble, comments, front matter, format commands or references; appendices stay.
+
+    Commands and environments of many lines go as a whole, however deep their braces. The state of a
+    line depends on all before it, so that a source is one pass in a batch of sources; null stays null.
+    """
+
+    def views(batch: pd.Series) -> pd.Series:
+        return batch.map(view_of, na_action="ignore")
+
+    return F.pandas_udf(views, "string")(tex)

@@ -21,8 +21,11 @@ MARKS = (
     (r" ([a-z]{7,}) ([a-z]+), ", "\n\\begin{equation}\nx_{$1} = $2 \\label{eq:$2}\n\\end{equation}\n"),
     (r" ([a-z]{9,})\.", "\n\\begin{figure}\n\\includegraphics{$1.png}\n\\caption{Accuracy of $1}\n\\end{figure}\n"),
 )
-HEAD = "\\documentclass{x}\n\\newcommand{\\name}{", "}\n\\title{On ", "}\n\\begin{document}\n\\author{", " {and\n others}}\n\\maketitle\n\\begin{abstract}\n", "\n\\end{abstract}\n"
-TAIL = "\n\\section{References}\n[1] ", "\n\\appendix\n\\section{Extra results}\n\\name\n\\end{document}\n"
+HEAD = (
+    "\\documentclass{x}\n\\newcommand{\\name}{", "}\n\\title{On ", "}\n\\begin{document}\n\\begin{frontmatter}\nKeywords {of\nit\n\\end{frontmatter}\n\\author{",
+    " {and\n others \\textbf{of {\n% not } this\nthe group}} at \\} once\\\\% or twice\n}}\n\\correspondingauthor{x}\n\\date{\n\\today}\n\\maketitle\n\\begin{abstract}\n", "\n\\end{abstract}\n\\vspace{1em}\n",
+)
+TAIL = "\n\\begin{thebibliography}{9}\n\\bibitem{x} Gone {with\n\\end{thebibliography}\nAfter the list.\n\\section{References}\n[1] ", "\n\\appendix\n\\section{Extra results}\n\\name\n\\end{document}\n"
 
 
 def papers(spark, d):
@@ -130,13 +133,18 @@ def reading_views(spark, d):
     return papers(spark, d).select("doc_id", tex.reading_view(F.col("tex")).alias("view"))
 
 
-# line by line, where the query replaces in whole texts; the states come from running counts
+# by running counts and sums over lines, where the query folds them: what is open is told by braces since the last command, by environments begun and ended, and by the last mark of references
+_FORMAT = r"^\s*\\(author|correspondingauthor|date|title)\{"
 SQL["m09_source_view"] = rf"""{MADE}, l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS s, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS n FROM p),
- u AS (SELECT doc_id, n, rtrim(CASE WHEN s LIKE '\%%' ESCAPE '\' THEN '' ELSE regexp_replace(s, '([^\\])%.*$', '\1') END) AS s FROM l),
- f AS (SELECT *, coalesce(sum(CASE WHEN starts_with(s, '\begin{{document}}') THEN 1 ELSE 0 END) OVER b, 0) AS begun,
-   coalesce(last_value(CASE WHEN s = '\section{{References}}' THEN 1 WHEN s = '\appendix' THEN 0 END IGNORE NULLS) OVER w, 0) AS refs,
-   lag(s) OVER w AS up FROM u WINDOW w AS (PARTITION BY doc_id ORDER BY n), b AS (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
- k AS (SELECT doc_id, n, s FROM f WHERE begun = 1 AND refs = 0 AND NOT starts_with(s, '\author{{') AND NOT starts_with(up, '\author{{') AND s NOT IN ('\maketitle', '\end{{document}}'))
+ u AS (SELECT doc_id, n, rtrim(regexp_replace(s, '(^|[^\\])((?:\\\\)*)%.*$', '\1\2'), ' ' || chr(9) || chr(13)) AS s FROM l),
+ d AS (SELECT *, length(regexp_replace(regexp_replace(s, '\\.', '', 'g'), '[^{{]', '', 'g')) - length(regexp_replace(regexp_replace(s, '\\.', '', 'g'), '[^}}]', '', 'g')) AS delta, regexp_matches(s, '{_FORMAT}')::INTEGER AS command FROM u),
+ c AS (SELECT *, sum(command) OVER w AS run, coalesce(sum(contains(s, '\begin{{document}}')::INTEGER) OVER b, 0) AS begun,
+   sum(regexp_matches(s, '^\s*\\begin\{{(frontmatter|thebibliography)\}}')::INTEGER) OVER w - coalesce(sum(regexp_matches(s, '\\end\{{(frontmatter|thebibliography)\}}')::INTEGER) OVER b, 0) AS inside,
+   coalesce(last_value(CASE WHEN s = '\section{{References}}' THEN 1 WHEN s = '\appendix' THEN 0 END IGNORE NULLS) OVER w, 0) AS refs FROM d
+   WINDOW w AS (PARTITION BY doc_id ORDER BY n), b AS (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ e AS (SELECT *, sum(delta) OVER (PARTITION BY doc_id, run ORDER BY n) AS depth FROM c),
+ f AS (SELECT *, run > 0 AND coalesce(min(depth) OVER (PARTITION BY doc_id, run ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 0 AS open FROM e),
+ k AS (SELECT doc_id, n, s FROM f WHERE begun > 0 AND refs = 0 AND inside = 0 AND command = 0 AND NOT open AND s <> '\end{{document}}' AND NOT regexp_matches(s, '^\s*\\(maketitle|vspace)'))
 SELECT doc_id, trim(regexp_replace(string_agg(s, chr(10) ORDER BY n), '\n{{3,}}', chr(10) || chr(10), 'g'), chr(10)) AS view FROM k GROUP BY 1"""
 
 
@@ -145,7 +153,7 @@ def plain_words(spark, d):
     return papers(spark, d).select("doc_id", tex.plain(tex.expanded(tex.uncommented(F.col("tex")))).alias("words"))
 
 
-_uncommented = r"regexp_replace(t, '(^|[^\\])%[^\n]*', '\1', 'g')"
+_uncommented = r"regexp_replace(t, '(^|[^\\])((?:\\\\)*)%[^\n]*', '\1\2', 'g')"
 _expanded = rf"regexp_replace(regexp_replace({_uncommented}, '\\newcommand\{{\\name\}}\{{[^}}]*\}}', ''), '\\name([^A-Za-z])', regexp_extract(t, '\\name\}}\{{([^}}]*)\}}', 1) || '\1', 'g')"
 SQL["h36_tex_strip"] = f"{MADE} SELECT doc_id, {_plain(_expanded)} AS words FROM p"
 
