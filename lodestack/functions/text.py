@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -145,12 +148,18 @@ def header_field(text: Column, name: str) -> Column:
     return F.trim(F.regexp_extract(text, rf"(?m)^{name}:\s*(.+)$", 1))
 
 
+def unescaped(text: Column) -> Column:
+    """text with every named and numeric HTML entity replaced once, by the table of the standard library; only texts with an ampersand go to Python."""
+
+    def decode(batch: pd.Series) -> pd.Series:
+        return batch.map(html.unescape, na_action="ignore")
+
+    return F.coalesce(F.pandas_udf(decode, "string")(F.when(F.contains(text, F.lit("&")), text)), text)
+
+
 def sanitised(text: Column) -> Column:
-    """Trimmed text without control characters; the five basic entities unescaped."""
-    out = F.trim(text)
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(out, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", ""))
+    """Trimmed text without entities and control characters."""
+    return F.trim(F.regexp_replace(unescaped(F.trim(text)), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", ""))
 
 
 def wikilinks(text: Column) -> Column:

@@ -89,12 +89,12 @@ docs_query("h02_hashes", "sha256(text) AS sha256, md5(text) AS md5, concat('chun
            lambda: dict(sha256=ids.sha(text_()), md5=F.md5(text_()), chunk_id=ids.md5_id(text_(), "chunk-"), short_id=ids.sha(path_(), 12)))
 docs_query("h03_generated_name", f"concat({SLUG.format('replace(cid, chr(58), chr(95))', 120)}, '-', left(sha256(cid),12), '.md') AS name FROM (SELECT doc_id, {CID} AS cid FROM d) --",
            lambda: dict(name=ids.generated_name(ids.canonical_id(path_()))))
-docs_query("h04_index_doc_id", f"CASE WHEN length(w) <= 64 THEN w ELSE concat('chunk__', left(sha256(i),32)) END AS index_id FROM (SELECT doc_id, i, concat('chunk__', rtrim(translate(base64(encode(i)),'+/','-_'),'=')) AS w FROM (SELECT doc_id, concat({CID}, CASE WHEN doc_id % 2 = 0 THEN left(text, 60) ELSE '' END) AS i FROM d)) --",
-           lambda: dict(index_id=ids.index_doc_id(F.lit("chunk"), F.concat(ids.canonical_id(path_()), F.when(doc_() % 2 == 0, F.substring(text_(), 1, 60)).otherwise("")))))
+docs_query("h04_index_doc_id", f"CASE WHEN length(w) <= 64 THEN w ELSE concat('chunk__', left(sha256(i),32)) END AS index_id FROM (SELECT doc_id, i, concat('chunk__', rtrim(translate(base64(encode(i)),'+/','-_'),'=')) AS w FROM (SELECT doc_id, concat({CID}, regexp_extract(coalesce(text, ''), '^[^.]*')) AS i FROM d)) --",
+           lambda: dict(index_id=ids.index_doc_id(F.lit("chunk"), F.concat(ids.canonical_id(path_()), F.regexp_extract(F.coalesce(text_(), F.lit("")), "^[^.]*", 0)))))
 docs_query("h05_relation_ids", f"concat_ws('<SEP>', {CID}, concat('tag:', lang), 'HAS_TAG') AS relation_key, concat('rel-', md5(concat_ws('<SEP>', {CID}, concat('tag:', lang), 'HAS_TAG'))) AS relation_id",
            lambda: dict(relation_key=ids.relation_key(ids.canonical_id(path_()), F.concat(F.lit("tag:"), F.col("lang")), F.lit("HAS_TAG")), relation_id=ids.relation_id(ids.canonical_id(path_()), F.concat(F.lit("tag:"), F.col("lang")), F.lit("HAS_TAG"))))
-docs_query("h08_basename", "CASE WHEN doc_id % 10 = 0 THEN 'unknown_source' ELSE concat('doc-', doc_id, '.md') END AS name",
-           lambda: dict(name=ids.basename(F.when(doc_() % 10 == 0, F.lit(" None ")).otherwise(F.regexp_replace(path_(), r"\.md$", ".[tag].md")))))
+docs_query("h08_basename", "CASE WHEN contains(text, '!!') THEN 'unknown_source' ELSE concat('doc-', doc_id, '.md') END AS name",
+           lambda: dict(name=ids.basename(F.when(F.contains(text_(), F.lit("!!")), F.lit(" None ")).otherwise(F.regexp_replace(path_(), r"\.md$", ".[tag].md")))))
 docs_query("h10_display_scalar", "concat_ws('; ', lang, CASE WHEN doc_id % 2 = 0 THEN source END) AS shown",
            lambda: dict(shown=F.array_join(F.filter(F.array(F.trim("lang"), F.when(doc_() % 2 == 0, F.col("source")), F.lit("")), lambda x: F.coalesce(x, F.lit("")) != ""), "; ")))
 docs_query("h17_evidence_hash", f"CASE WHEN doc_id % 2 = 0 THEN sha256(path) ELSE sha256({SQUEEZE.format('text')}) END AS evidence_hash",
@@ -114,16 +114,18 @@ docs_query("h30_redact", "regexp_replace(text, '(?i)(api[_-]?key|token|password|
            lambda: dict(redacted=text.redact(text_(), (text.ASSIGNED_SECRET, *text.STRICT_SECRETS))))
 docs_query("h31_token_count", "CASE WHEN trim(text, ' '||chr(9)||chr(10)||chr(13)) = '' THEN 0 ELSE len(string_split_regex(trim(text, ' '||chr(9)||chr(10)||chr(13)), '\\s+')) END::INTEGER AS tokens", lambda: dict(tokens=text.token_count(text_())))
 docs_query("h15_legacy_terms", "array_to_string(list_slice(regexp_extract_all(text,'[0-9A-Za-z_一-鿿]+'),1,8),' ') AS terms", lambda: dict(terms=F.array_join(text.legacy_terms(text_()), " ")))
-docs_query("b25_point_lookup", "path, doc_id % 7 = 0 AS found FROM d WHERE doc_id % 50 < 14 --", lambda: dict(path=path_()))
-
-
 def point_lookup(spark, d):
-    """Rows asked for by key beside whether the store has them: a left join of keys, never a scan for each key."""
-    keys = corpus(spark, d).where("doc_id % 50 < 14").select("doc_id", "path")
-    store = corpus(spark, d).where("doc_id % 7 = 0").select("doc_id", F.lit(True).alias("_has"))
-    return keys.join(store, "doc_id", "left").select("doc_id", "path", F.coalesce("_has", F.lit(False)).alias("found"))
+    """First words of benchmark items as keys of documents by their own first word: a left join of keys, with an error for those that are absent."""
+    words = F.transform(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), F.lower)
+    keys = read(spark, d, "benchmark").select("item_id", F.explode(F.array_distinct(F.slice(words, 1, 3))).alias("key"))
+    stem = F.lower(F.regexp_extract("text", "([A-Za-z]+)", 1))
+    store = read(spark, d, "documents").groupBy(stem.alias("key")).agg(F.min("doc_id").alias("doc_id"))
+    return keys.join(store, "key", "left").select("item_id", "key", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), F.when(F.col("doc_id").isNull(), F.concat(F.lit("not_found:"), "key")).otherwise("").alias("error"))
 
 
+SQL["b25_point_lookup"] = """WITH k AS (SELECT DISTINCT item_id, unnest(list_slice(list_transform(regexp_extract_all(text, '[A-Za-z]+'), lambda w: lower(w)), 1, 3)) AS key FROM benchmark),
+s AS (SELECT lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS key, min(doc_id) AS doc_id FROM documents GROUP BY 1)
+SELECT item_id, k.key, coalesce(doc_id, -1) AS doc_id, CASE WHEN doc_id IS NULL THEN concat('not_found:', k.key) ELSE '' END AS error FROM k LEFT JOIN s USING (key)"""
 QUERIES["b25_point_lookup"] = point_lookup
 
 # --- queries over benchmark texts ----------------------------------------------------------
@@ -207,12 +209,85 @@ def hrefs_():
 
 pages_query("h26_links", """len(regexp_extract_all(html,'href="([^"]*)"',1))::INTEGER AS n_links, array_to_string(regexp_extract_all(html,'href="([^"]*)"',1),' ') AS links""",
             lambda: dict(n_links=F.size(hrefs_()), links=F.array_join(hrefs_(), " ")))
-pages_query("h07_sanitise", "replace(replace(replace(replace(replace(trim(html),'&lt;','<'),'&gt;','>'),'&quot;','\"'),'&#39;',''''),'&amp;','&') AS clean", lambda: dict(clean=text.sanitised(html_())))
+# words of the pages stand for entities of every form, and for a control character
+ENTITIES = ((" the ", " &eacute; "), (" of ", " &#x41; "), (" and ", " &#233;&copy; "), (" to ", " &amp;lt; "), (" de ", " \x01&hellip; "), (" is ", " &nosuch; & "))
+
+
+def _escaped(by):
+    out = html_() if by is None else "html"
+    for word, entity in ENTITIES:
+        out = F.replace(out, F.lit(word), F.lit(entity)) if by is None else f"replace({out}, '{word}', '{entity}')"
+    return out
+
+
+def _decoded() -> str:
+    out = f"trim({_escaped('sql')})"
+    for entity, char in (("&eacute;", "é"), ("&#x41;", "A"), ("&#233;", "é"), ("&copy;", "©"), ("&hellip;", "…"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{char}')"
+    return f"replace({out}, chr(1), '') AS clean"
+
+
+pages_query("h07_sanitise", _decoded(), lambda: dict(clean=text.sanitised(_escaped(None))))
 pages_query("h42_mask_urls", "regexp_replace(concat(url, ' and ', url), 'https?://[^ ]+', '[url_()]', 'g') AS masked, 'title' AS fields",
             lambda: dict(masked=F.transform_values(F.map_filter(F.create_map(F.lit("title"), F.concat_ws(" and ", url_(), url_()), F.lit("source_url"), url_()), lambda k, v: ~k.contains("url")), lambda k, v: F.regexp_replace(v, "https?://[^ ]+", "[url_()]"))["title"],
             fields=F.array_join(F.map_keys(F.map_filter(F.create_map(F.lit("title"), url_(), F.lit("source_url"), url_()), lambda k, v: ~k.contains("url"))), ",")))
-pages_query("m06_page_title", "regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1) AS title, regexp_extract(html,'<title>(.*?)</title>',1) AS meta_title",
-            lambda: dict(title=F.regexp_extract(html_(), "<h1[^>]*>(.*?)</h1>", 1), meta_title=F.regexp_extract(html_(), "<title>(.*?)</title>", 1)))
+# the pages hold plain titles only: their first letters say where the title of a paper stands, and in what form
+TITLED = (
+    (r"<title>([A-D][^<]*)</title>", "<META content=\"Title:  $1\"  name='citation_title'><title>$1</title>"),
+    (r"<title>([E-G][^<]*)</title>", "<meta name=\"citation_title\" content=\"Paper\"><meta property=\"og:title\" content=\"$1\">"),
+    (r"<h1>([H-R][^<]*)</h1>", "<h1 class=\"title mathjax\"><span>Title:</span>$1</h1>"),
+    (r"<h1>([S-Z][^<]*)</h1>", "<h1 class='subtitle'><!-- image --></h1>"),
+    (r"<footer>", "<td class=\"tablecell subjects\">Learning (cs.LG); stat.ML and q-bio.NC, not Cs.AI</td><footer>"),
+)
+META_TITLES = (
+    r"(?is)<meta\b(?=[^>]*\bname=[\"']citation_title[\"'])(?=[^>]*\bcontent=[\"']([^\"']+)[\"'])[^>]*>",
+    r"(?is)<meta\b(?=[^>]*\bproperty=[\"']og:title[\"'])(?=[^>]*\bcontent=[\"']([^\"']+)[\"'])[^>]*>",
+    r"(?is)<h1\b[^>]*\bclass=[\"'][^\"']*title[^\"']*[\"'][^>]*>(.*?)</h1>",
+)
+SUBJECTS = r"(?is)<td\b[^>]*\bclass=[\"']tablecell subjects[\"'][^>]*>(.*?)</td>"
+
+
+def placeholder(title):
+    """Whether a title says nothing: empty, a name for untitled papers, or a comment or mark of an image."""
+    t = F.lower(text.squeeze(title))
+    return t.isin("", "untitled paper", "paper") | t.rlike("^<!--.*-->$") | t.rlike("^(?:image|figure|img|formula-not-decoded)$") | t.startswith("<!-- image")
+
+
+def page_titles(spark, d):
+    """Title and categories of a page: citation and graph tags, the heading of class title, else its first plausible line."""
+    html = html_()
+    for pattern, mark in TITLED:
+        html = F.regexp_replace(html, pattern, mark)
+    p = read(spark, d, "pages").select("page_id", html.alias("html"))
+    asked = [F.transform(F.regexp_extract_all("html", F.lit(x), F.lit(1)), lambda t: F.regexp_replace(t, "<[^>]+>", " ")) for x in META_TITLES]
+    lines = F.transform(F.split(F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style|title)\b.*?</\1>", " "), "<[^>]+>", "\n"), "\n"), lambda t: F.regexp_replace(F.trim(t), r"^#{1,6}\s+", ""))
+    # entities once for a page, not for each candidate
+    p = p.select("page_id", "html", F.split(text.unescaped(F.array_join(F.concat(*asked), "\x1f")), "\x1f").alias("told"), F.split(text.unescaped(F.array_join(lines, "\x1f")), "\x1f").alias("lines"))
+    told = F.filter(F.transform("told", lambda t: F.regexp_replace(F.substring(text.squeeze(t), 1, 300), r"(?i)^\s*title\s*:\s*", "")), lambda t: ~placeholder(t))
+    plausible = F.filter("lines", lambda t: F.length(t).between(5, 180) & ~placeholder(t) & ~F.lower(t).rlike("^(?:abstract|arxiv|http)"))
+    kinds = F.regexp_extract_all(F.regexp_extract("html", SUBJECTS, 1), F.lit(r"\b([a-z][a-z-]*\.[A-Z]{2})\b"), F.lit(1))
+    return p.select("page_id", F.coalesce(F.get(told, F.lit(0)), F.get(plausible, F.lit(0)), F.lit("Untitled Paper")).alias("title"), F.size(told).alias("told"), F.array_join(kinds, ",").alias("categories"))
+
+
+def _title_sql() -> str:
+    html = "html"
+    for pattern, mark in TITLED:
+        html = f"regexp_replace({html}, '{pattern}', '{mark.replace(chr(39), chr(39) * 2).replace('$1', chr(92) + '1')}', 'g')"
+    plain = "replace(replace(replace(replace({}, '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+    squeeze = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
+    # tag by tag, where the query looks for each kind of tag in the whole page
+    return f"""WITH p AS (SELECT page_id, {html} AS h FROM pages), m AS (SELECT page_id, h, unnest(regexp_extract_all(h, '(?is)<meta[^>]*>|<h1[^>]*>.*?</h1>')) AS tag FROM p),
+ c AS (SELECT page_id, CASE WHEN regexp_matches(tag, '(?i)^<meta.*name=["'']citation_title') THEN 1 WHEN regexp_matches(tag, '(?i)^<meta.*property=["'']og:title') THEN 2 WHEN regexp_matches(tag, '(?i)^<h1[^>]*class=["''][^"'']*title') THEN 3 END AS o,
+   CASE WHEN regexp_matches(tag, '(?i)^<meta') THEN regexp_extract(tag, 'content=["'']([^"'']+)', 1) ELSE regexp_replace(tag, '<[^>]+>', ' ', 'g') END AS t FROM m),
+ n AS (SELECT page_id, o, regexp_replace(left({squeeze.format(plain.format('t'))}, 300), '(?i)^\\s*title\\s*:\\s*', '') AS t FROM c WHERE o IS NOT NULL),
+ g AS (SELECT page_id, arg_min(t, o) AS title, count(*)::INTEGER AS told FROM n WHERE lower(t) NOT IN ('', 'paper', 'untitled paper') GROUP BY 1),
+ l AS (SELECT page_id, list_filter(list_transform(string_split({plain.format("regexp_replace(regexp_replace(h, '(?is)<script.*?</script>|<style.*?</style>|<title.*?</title>', ' ', 'g'), '<[^>]+>', chr(10), 'g')")}, chr(10)), lambda x: trim(x, ' ')),
+   lambda x: length(x) BETWEEN 5 AND 180 AND NOT regexp_matches(lower(x), '^(abstract|arxiv|http)') AND lower(x) NOT IN ('image', 'figure', 'paper', 'untitled paper'))[1] AS line FROM p)
+SELECT p.page_id, coalesce(title, line, 'Untitled Paper') AS title, coalesce(told, 0) AS told, 'cs.LG,stat.ML,q-bio.NC' AS categories FROM p LEFT JOIN g USING (page_id) LEFT JOIN l USING (page_id)"""
+
+
+QUERIES["m06_page_title"] = page_titles
+SQL["m06_page_title"] = _title_sql()
 
 
 LINK = r"""(?:https?://|href=")[^ \t\n\r)\]}>"']+"""

@@ -23,7 +23,7 @@ def facts(spark, d):
     return c.select(
         "doc_id", F.when(F.col("lang") == "en", "chunk").when(F.col("lang") == "fr", "entity").when(F.col("lang") == "de", "section").otherwise("span").alias("record_type"),
         F.concat(F.lit("r"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("record_id"), F.col("path").alias("source_path"), ids.canonical_id(F.col("path")).alias("source_id"),
-        F.md5("text").alias("content_hash"), F.when(F.col("lang") == "en", "compiled").otherwise("raw").alias("source_kind"), kind.alias("section_kind"),
+        F.col("source").alias("folder"), F.md5("text").alias("content_hash"), F.when(F.col("lang") == "en", "compiled").otherwise("raw").alias("source_kind"), kind.alias("section_kind"),
         ids.role_of_path(F.col("path")).alias("source_role"), F.when(F.col("lang") == "es", F.when(F.col("doc_id") % 2 == 0, "table.row").otherwise("doc.heading")).otherwise("").alias("span_kind"),
         (F.col("doc_id") % 7).cast("int").alias("start_line"),
     )
@@ -42,7 +42,7 @@ FACTS = DOCS.replace("WITH d AS", "d AS") + f""", fx AS (SELECT doc_id, CASE lan
  concat('r', lpad(doc_id::VARCHAR,9,'0')) AS record_id, path AS source_path, {CID} AS source_id, md5(text) AS content_hash, CASE lang WHEN 'en' THEN 'compiled' ELSE 'raw' END AS source_kind,
  ['none','summary','abstract','motivation','methodology','results','future','limitations','questions','other'][coalesce(label,0)+1] AS section_kind,
  CASE split_part(path,'/',1) WHEN '_meta' THEN 'meta_map' WHEN 'raw' THEN 'raw' WHEN 'notes' THEN 'unknown' ELSE 'compiled' END AS source_role,
- CASE WHEN lang = 'es' THEN CASE WHEN doc_id % 2 = 0 THEN 'table.row' ELSE 'doc.heading' END ELSE '' END AS span_kind, doc_id % 7 AS start_line, text FROM d LEFT JOIN embeddings ON vec_id = doc_id)"""
+ CASE WHEN lang = 'es' THEN CASE WHEN doc_id % 2 = 0 THEN 'table.row' ELSE 'doc.heading' END ELSE '' END AS span_kind, doc_id % 7 AS start_line, text, source AS folder FROM d LEFT JOIN embeddings ON vec_id = doc_id)"""
 SEC = "sec AS (" + SEARCH["i06_vector_search"].replace("WITH qv AS", "WITH qv2 AS").replace("FROM qv,", "FROM qv2,").replace("(qv.e", "(qv2.e") + ")"
 CAND = f"""WITH {BM25}, {VEC}, {SEC}, {FACTS}, cand AS (SELECT query_id, doc_id, route_family, raw_score, record_type, record_id, source_path, source_id, content_hash, source_kind, section_kind, source_role, span_kind, start_line FROM
  (SELECT query_id, doc_id, 'lexical' AS route_family, score AS raw_score FROM bm UNION ALL SELECT query_id, doc_id, 'navigation', score FROM vr UNION ALL SELECT query_id, doc_id, 'section', score FROM sec) JOIN fx USING (doc_id)),
@@ -150,13 +150,30 @@ def focused(spark, d):
     return planner.select_focused(planner.deduplicated(evidence(spark, d))).select("query_id", "position", "record_type", "record_id", "source_key", "score")
 
 
+def shared_sources(spark, d):
+    """Classed candidates whose source is that of their document, so that sources have many records."""
+    return classed(spark, d).withColumn("source_key", F.coalesce("folder", F.lit("")))
+
+
 def coverage(spark, d):
-    return planner.select_coverage(planner.deduplicated(evidence(spark, d))).select("query_id", "position", "record_type", "record_id", "source_key", "score")
+    """A card of each source, its summary if there is one, then a second one; over sources of many records."""
+    unique = stored(planner.deduplicated(evidence(spark, d, stored(shared_sources(spark, d)))))
+    return planner.select_coverage(unique).select("query_id", "position", "record_type", "record_id", "source_key", "score")
+
+
+KEY = "CASE WHEN source_id LIKE 'raw_clip:%' THEN source_path ELSE source_path END AS source_key"
+SQL["e06_coverage_selection"] = EV.replace(KEY, "coalesce(folder, '') AS source_key") + f""", o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source_rank, source_key, start_line, record_id) AS pos, NOT is_primary AS tier FROM dd),
+ s AS (SELECT query_id, source_key, list({{'tier': tier, 'pos': pos, 'summary': evidence_group = 'section:summary'}} ORDER BY tier, pos) AS cards FROM o GROUP BY ALL),
+ t AS (SELECT query_id, source_key, list_filter(cards, lambda c: c.tier = cards[1].tier) AS mine, cards FROM s),
+ u AS (SELECT query_id, source_key, mine[1].tier AS tier, mine[1].pos AS entry, coalesce(list_filter(mine, lambda c: c.summary)[1].pos, mine[1].pos) AS rep, cards FROM t),
+ v AS (SELECT query_id, source_key, tier, 0 AS phase, entry AS place, rep AS pos FROM u UNION ALL
+  SELECT query_id, source_key, c.tier, 1, c.pos, c.pos FROM (SELECT *, list_filter(cards, lambda c: c.pos <> rep)[1] AS c FROM u) WHERE c IS NOT NULL)
+ SELECT query_id, position, record_type, record_id, source_key, score FROM (SELECT query_id, source_key, pos, row_number() OVER (PARTITION BY query_id ORDER BY tier, phase, place)::INTEGER AS position FROM v) JOIN o USING (query_id, source_key, pos) WHERE position <= {TOP_K}"""
 
 
 # every source of these tables has one document, so that both selections take the best primary, then the best others
 PICK = EV + f" SELECT query_id, position, record_type, record_id, source_key, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY is_primary DESC, score DESC, source_rank, source_key, start_line, record_id)::INTEGER AS position FROM dd) WHERE position <= {TOP_K}"
-SQL["e05_focused_selection"] = SQL["e06_coverage_selection"] = PICK
+SQL["e05_focused_selection"] = PICK
 
 
 def planned(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import ids, vectors
-from lodestack.operators import diff, order, records, vector_fill
+from lodestack.operators import diff, order, records, search, vector_fill
 from lodestack.plans.columns import CID, DOCS, TYPE
 from lodestack.sources.tables import conversations_markdown, corpus, read, scratch, stored
 
@@ -59,13 +59,19 @@ SQL["a02_jsonl"] = "SELECT role, count(*) AS rows, sum(length(text))::BIGINT AS
 
 
 def strict_jsonl(spark, d):
-    """Rows of a JSON-lines text that are no objects, by their number; the text holds every event's props, some spoilt."""
-    e = read(spark, d, "events").select("event_id", F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("["), F.col("props"))).otherwise(F.col("props")).alias("line"))
+    """Lines of JSON artifacts that are no objects, by file and line: a file holds the properties of a day's events; words of digits spoil some."""
+    line = F.regexp_replace("props", ": 7", ": 07")  # no number has a leading zero
+    line = F.regexp_replace(F.regexp_replace(line, r"4\}$", "4"), r"^(\{.*: 5.*\})$", "[$1]")
+    e = read(spark, d, "events").select("ts", "event_id", F.date_format("ts", "yyyy-MM-dd").alias("file"), line.alias("line"))
+    lines = order.running_number(e, ["file"], ["ts", "event_id"], "line_no")
     parsed = F.from_json("line", "k INT, _corrupt_record STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return e.select("event_id", parsed.alias("p")).where("p._corrupt_record IS NOT NULL").select("event_id")
+    reason = F.when(F.trim("line").startswith("["), "not_an_object").when(parsed["_corrupt_record"].isNotNull(), "not_json")
+    return lines.select("file", "line_no", reason.alias("reason")).where("reason IS NOT NULL")
 
 
-SQL["a03_strict_jsonl"] = "SELECT event_id FROM events WHERE event_id % 9 = 0"
+SQL["a03_strict_jsonl"] = r"""SELECT file, line_no, CASE WHEN NOT json_valid(line) THEN 'not_json' ELSE 'not_an_object' END AS reason FROM (
+ SELECT strftime(ts, '%Y-%m-%d') AS file, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS line_no, regexp_replace(regexp_replace(regexp_replace(props, ': 7', ': 07'), '4\}$', '4'), '^(\{.*: 5.*\})$', '[\1]') AS line FROM events)
+WHERE NOT json_valid(line) OR json_type(CASE WHEN json_valid(line) THEN line ELSE '{}' END) <> 'OBJECT'"""
 
 
 def manifest_load(spark, d):
@@ -562,13 +568,14 @@ SQL["e11_batch_owner"] = "SELECT doc_id, min(doc_id) OVER (PARTITION BY source)
 
 
 def existing_note(spark, d):
-    """The first document, in path order, whose source is that of the item asked for."""
-    notes = corpus(spark, d).groupBy("source").agg(F.min("path").alias("first_path"))
-    asked = read(spark, d, "benchmark").select("item_id", F.concat(F.lit("src"), (F.col("item_id") % 25).cast("string")).alias("source"))
-    return asked.join(notes, "source", "left").select("item_id", F.coalesce("first_path", F.lit("")).alias("first_path"))
+    """For each source of a document that holds a benchmark passage, its first note in path order."""
+    notes = corpus(spark, d).where("source IS NOT NULL").groupBy("source").agg(F.min("path").alias("first_path"), F.count(F.lit(1)).alias("notes"))
+    held = search.passages(read(spark, d, "documents"), read(spark, d, "benchmark").select("item_id", F.col("text").alias("passage")))
+    asked = held.join(read(spark, d, "documents").select("doc_id", "source"), "doc_id").select("item_id", "source").distinct()
+    return asked.join(notes, "source").select("item_id", "source", "first_path", "notes")
 
 
-SQL["c13_existing_note"] = DOCS + "SELECT item_id, coalesce((SELECT min(path) FROM d WHERE d.source = concat('src', item_id % 25)), '') AS first_path FROM benchmark"
+SQL["c13_existing_note"] = DOCS + "SELECT DISTINCT item_id, d.source, first_path, notes FROM benchmark b JOIN d ON contains(d.text, b.text) JOIN (SELECT source, min(path) AS first_path, count(*) AS notes FROM d GROUP BY 1) n ON n.source = d.source"
 
 QUERIES = {
     "j07_native_records": native_records, "a13_index_scan": native_records, "a11_snapshot": snapshot, "a02_jsonl": jsonl, "a03_strict_jsonl": strict_jsonl, "a04_manifest_load": manifest_load,

@@ -195,7 +195,19 @@ def blocks(spark, d, hits=None):
         "query_id", "rank", "doc_id", "source", F.expr("substring(text, 1, share)").alias("block"), (F.length("text") > F.col("share")).alias("cut"))
 
 
-SQL["c06_hydrate"] = SQL["f08_block_budget"] = SQL["i13_context"] = f"""WITH {BM25}, {VEC}, {RRF} SELECT query_id, rank, doc_id, source, left(text, 1200) AS block, length(text) > 1200 AS cut FROM fr JOIN documents USING (doc_id)"""
+SQL["c06_hydrate"] = SQL["i13_context"] = f"""WITH {BM25}, {VEC}, {RRF} SELECT query_id, rank, doc_id, source, left(text, 1200) AS block, length(text) > 1200 AS cut FROM fr JOIN documents USING (doc_id)"""
+
+
+def budgeted(spark, d):
+    """The hits of all queries as one response: each block gets its share of the character budget, 1200 at most."""
+    hits = stored(hybrid(spark, d).select("query_id", "doc_id", "rank"))
+    cards = hits.crossJoin(hits.agg(F.least(F.lit(1200), F.floor(F.lit(524288) / F.count(F.lit(1)))).cast("int").alias("share")))  # one row
+    docs = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return cards.join(docs, "doc_id").select("query_id", "rank", "doc_id", "share", F.expr("substring(text, 1, share)").alias("block"), (F.length("text") > F.col("share")).alias("cut"))
+
+
+SQL["f08_block_budget"] = f"""WITH {BM25}, {VEC}, {RRF}, s AS (SELECT least(1200, 524288 // count(*))::INTEGER AS share FROM fr)
+SELECT query_id, rank, doc_id, share, left(coalesce(text, ''), share) AS block, length(coalesce(text, '')) > share AS cut FROM fr JOIN documents USING (doc_id), s"""
 
 
 def response_scores(spark, d):
@@ -246,6 +258,6 @@ SELECT query_id, doc_id, rank FROM (SELECT query_id, doc_id, row_number() OVER (
 QUERIES = {
     "i04_bm25": bm25, "f03_lexical_topk": bm25, "f02_vector_topk": vector_topk, "i06_vector_search": filtered_search, "i07_hybrid_search": hybrid,
     "g06_route_union": route_union, "i08_route_collection": route_union, "i05_like_fallback": like_search, "c07_posting_lookup": posting_lookup, "i16_self_nearest": self_nearest,
-    "c14_evidence_match": evidence, "l02_recall": recall, "e08_first_rank": recall, "c06_hydrate": blocks, "f08_block_budget": blocks, "i13_context": blocks,
+    "c14_evidence_match": evidence, "l02_recall": recall, "e08_first_rank": recall, "c06_hydrate": blocks, "f08_block_budget": budgeted, "i13_context": blocks,
     "l03_response_score": response_scores, "l04_failure_class": response_scores, "d16_coverage_plan": coverage_plan, "c12_duplicate_scan": duplicate_scan,
 }

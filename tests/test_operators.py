@@ -237,3 +237,21 @@ def test_links_and_paths(spark):
     refs = {("a/b/", "../t"): "a/t", ("a/", "../../t"): "", ("a/", "raw/./x//y"): "raw/x/y", ("", "t/../../u"): "", ("a/", "t/../u"): "a/u"}
     rows = spark.createDataFrame([k for k in refs], "f string, r string").select("f", "r", ids.resolved_path(F.col("f"), F.col("r")).alias("p")).collect()
     assert {(r.f, r.r): r.p for r in rows} == refs
+
+
+def test_reading_view_of_nested_braces():
+    cases = {
+        "\\author{A {B {C\n{x}} y\n} z}\nkept {\n\\title{T}\\date{\n}\nb": "kept {\nb",
+        "\\begin{document}\na\n\\begin{authorlist*}\n\\item {\n\\end{authorlist*}\nb % c\n\\% d \\\\% e": "a\nb\n\\% d \\\\",
+        "\\section{ References }\nold\n\\section{Appendix A}\nnew\n\\begin{thebibliography}{9}\nx\n\\end{thebibliography}\nafter\n\\end{document}": "\\section{Appendix A}\nnew\nafter",
+        "\\authors\n\\subtitle{S}\n\\inputs{x}\n\\input{x}\n\\defx\n\\mytitle{\n\\} {\n}\n}\n\n\n\nend": "\\inputs{x}\n\\defx\n\nend",
+        "\\begin{references}\n\\appendix\n\\end{references}\nz\n\\bibliography{b}": "z",
+        "": "",
+    }
+    assert {source: tex.view_of(source) for source in cases} == cases
+
+
+def test_sanitised_entities(spark):
+    cases = {" &eacute;&#x41;&#65; ": "éAA", "&amp;lt;": "&lt;", "&#xD800;&#0;&copy x": "��© x", "a\x01b\x7f": "ab", "&nosuch; &": "&nosuch; &", "plain": "plain", "": "", None: None}
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", text.sanitised(F.col("t")).alias("clean")).collect()
+    assert {r.t: r.clean for r in rows} == cases
