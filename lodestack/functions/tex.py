@@ -42,6 +42,11 @@ DROPPED = (
     "newcommand", "newtheorem", "pagestyle", "printbibliography", "providecommand", "renewcommand", "requirepackage", "setcounter", "setlength", "thispagestyle", "usepackage", "vspace",
 )
 FRONT = ("affiliation", "author", "date", "email", "institute", "thanks", "title")
+BODY = r"(?s)^\\begin\{[a-z]+\*?\}(?:\[[^\]]*\])?(.*?)\\end\{"  # of the first environment of a card
+PROOF = r"(?s)\\begin\{proof\}(?:\[[^\]]*\])?(.*)\\end\{proof"
+TABULAR = r"(?s)\\begin\{tabular\}\{[^{}]*\}(.*?)\\end\{tabular\}"
+INCLUDED = r"\\includegraphics(?:\[[^\]]*\])?\{([^{}]+)\}"
+SHOWN = {"section": 600, "equation": 900, "statement": 1200, "table": 900, "proof": 900}  # characters of an excerpt
 EXCERPT = 2000  # characters after the last heading that belong to it
 
 
@@ -49,14 +54,29 @@ def newlines(s: Column) -> Column:
     return F.length(s) - F.length(F.replace(s, F.lit("\n"), F.lit("")))
 
 
+def told(kind: str, value: Column, below: Column) -> Column:
+    """Excerpt of a card of this kind: value is its source, below what follows a heading."""
+    if kind == "figure":
+        return F.array_join(F.regexp_extract_all(value, F.lit(INCLUDED), F.lit(1)), ",")
+    body = F.regexp_extract(value, BODY, 1)
+    if kind == "equation":
+        return F.substring(squeeze(F.regexp_replace(body, LABEL, "")), 1, SHOWN[kind])
+    rows = F.coalesce(F.nullif(F.regexp_extract(value, TABULAR, 1), F.lit("")), body)
+    return F.substring(plain({"section": below, "statement": body, "table": rows}[kind]), 1, SHOWN[kind])
+
+
 def cards(tex: Column, kind: str) -> Column:
-    """Array of (kind, place, label, title, line_start, line_end), at most LIMITS[kind], in order.
+    """Array of (kind, place, name, label, title, excerpt, proof, line_start, line_end), at most LIMITS[kind], in order.
+
+    name is the level of a section or the environment. The excerpt is the plain text below a heading, the
+    formula of an equation without its label, the body of a statement (its proof apart), the rows
+    of a table, or the files of a figure.
 
     A section reaches to the next heading, the last one EXCERPT characters far; the other kinds
     span their environment, statements their proof too. A source without any gives an empty array.
     """
     pattern, most = PATTERNS[kind], LIMITS[kind]
-    shape = "array<struct<kind:string,place:int,label:string,title:string,line_start:int,line_end:int>>"
+    shape = "array<struct<kind:string,place:int,name:string,label:string,title:string,excerpt:string,proof:string,line_start:int,line_end:int>>"
     hits = F.regexp_extract_all(tex, F.lit(pattern), F.lit(0))
     parts = F.struct(F.slice(hits, 1, most).alias("hits"), F.size(hits).alias("all"), F.split(tex, pattern, most + 2).alias("gaps"))
 
@@ -65,10 +85,12 @@ def cards(tex: Column, kind: str) -> Column:
             value, after = F.element_at(p["hits"], i), F.element_at(p["gaps"], i + 1)
             start = acc["line"] + newlines(F.element_at(p["gaps"], i))
             end = start + newlines(value)
-            reach = newlines(F.when(i < p["all"], after).otherwise(F.substring(after, 1, EXCERPT))) if kind == "section" else F.lit(0)
+            below = F.when(i < p["all"], after).otherwise(F.substring(after, 1, EXCERPT))
+            reach = newlines(below) if kind == "section" else F.lit(0)
             card = F.struct(
-                F.lit(kind).alias("kind"), i.alias("place"), F.regexp_extract(value, LABEL, 1).alias("label"),
-                plain(F.regexp_extract(value, TITLES.get(kind, CAPTION), 1)).alias("title"), start.alias("line_start"), (end + reach).alias("line_end"),
+                F.lit(kind).alias("kind"), i.alias("place"), F.regexp_extract(value, r"\\((?:sub)*section)" if kind == "section" else r"\\begin\{([a-z]+)", 1).alias("name"),
+                F.regexp_extract(value, LABEL, 1).alias("label"), plain(F.regexp_extract(value, TITLES.get(kind, CAPTION), 1)).alias("title"),
+                told(kind, value, below).alias("excerpt"), F.substring(plain(F.regexp_extract(value, PROOF, 1)), 1, SHOWN["proof"]).alias("proof"), start.alias("line_start"), (end + reach).alias("line_end"),
             )
             return F.struct(end.alias("line"), F.array_append(acc["out"], card).alias("out"))
 

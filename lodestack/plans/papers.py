@@ -17,7 +17,8 @@ MARKS = (
     (r"(?m)^([A-Z][a-z]+) ([a-z]+) ", "\\subsection{$1 $2 limitations}\n"),
     (r"\. ([A-Z][a-z]{5,}) ([a-z]+) ", ".\n\\begin{theorem}[$1]\n\\label{thm:$2}\n\\name holds 50\\% of $2\n\\end{theorem}\n\\begin{proof}\nby \\emph{$1}\n\\end{proof}\n"),
     (r"\. ([A-Z][a-z]+) ([a-z]+) ", ".\n\\begin{lemma}\nSmall~$1 \\& $2 % not $1\n\\end{lemma}\n\n\n\n"),
-    (r", ([a-z]+) (of|la|der|le|in|et|und|the|de) ", ",\n\\begin{table}\n\\caption{Scores of {$1}}\n\\label{tab:$1}\n$1 & $2\n\\end{table}\n"),
+    (r", ([a-z]+) (of|la|der|le|in) ", ",\n\\begin{table}\n\\caption{Scores of {$1}}\n\\label{tab:$1}\n$1 & $2\n\\end{table}\n"),
+    (r", ([a-z]+) (et|und|the|de) ", ",\n\\begin{table*}\n\\begin{tabular}{ll}\n\\textbf{$1} & $2 \\\\\n\\end{tabular}\n\\caption{$2 of $1}\n\\end{table*}\n"),
     (r" ([a-z]{7,}) ([a-z]+), ", "\n\\begin{equation}\nx_{$1} = $2 \\label{eq:$2}\n\\end{equation}\n"),
     (r" ([a-z]{9,})\.", "\n\\begin{figure}\n\\includegraphics{$1.png}\n\\caption{Accuracy of $1}\n\\end{figure}\n"),
 )
@@ -66,8 +67,16 @@ def _cards(kind: str) -> str:
     """SQL of one kind: starts and ends are counted from the stretches between the matches."""
     pattern, title = quoted(tex.PATTERNS[kind]), quoted(tex.TITLES.get(kind, tex.CAPTION))
     reach = f"+ {LINES.format(f'CASE WHEN i < len(v) THEN g[i + 1] ELSE left(g[i + 1], {tex.EXCERPT}) END')}" if kind == "section" else ""
+    below = f"CASE WHEN i < len(v) THEN g[i + 1] ELSE left(g[i + 1], {tex.EXCERPT}) END"
+    body = f"regexp_extract(v[i], {quoted(tex.BODY)}, 1)"
+    shown = {
+        "section": lambda: _plain(below), "statement": lambda: _plain(body), "equation": lambda: f"trim(regexp_replace(regexp_replace({body}, {quoted(tex.LABEL)}, '', 'g'), '\\s+', ' ', 'g'))",
+        "table": lambda: _plain(f"coalesce(nullif(regexp_extract(v[i], {quoted(tex.TABULAR)}, 1), ''), {body})"), "figure": lambda: f"array_to_string(regexp_extract_all(v[i], {quoted(tex.INCLUDED)}, 1), ',')",
+    }[kind]()
+    name = quoted(r"\\((?:sub)*section)" if kind == "section" else r"\\begin\{([a-z]+)")
     before = f"1 + list_sum(list_transform(g[1:i], lambda x: {LINES.format('x')})) + coalesce(list_sum(list_transform(v[1:i - 1], lambda x: {LINES.format('x')})), 0)"
-    return f"""SELECT doc_id, '{kind}' AS kind, i::INTEGER AS place, regexp_extract(v[i], {quoted(tex.LABEL)}, 1) AS label, {_plain(f'regexp_extract(v[i], {title}, 1)')} AS title,
+    return f"""SELECT doc_id, '{kind}' AS kind, i::INTEGER AS place, regexp_extract(v[i], {name}, 1) AS name, left({shown}, {tex.SHOWN.get(kind, 1000000)}) AS excerpt,
+ left({_plain(f'regexp_extract(v[i], {quoted(tex.PROOF)}, 1)')}, {tex.SHOWN['proof']}) AS proof, regexp_extract(v[i], {quoted(tex.LABEL)}, 1) AS label, {_plain(f'regexp_extract(v[i], {title}, 1)')} AS title,
  a::INTEGER AS line_start, (a + {LINES.format('v[i]')} {reach})::INTEGER AS line_end FROM (SELECT *, {before} AS a FROM (SELECT doc_id, v, g, unnest(range(1, least(len(v), {tex.LIMITS[kind]}) + 1)) AS i
  FROM (SELECT doc_id, regexp_extract_all(t, {pattern}) AS v, string_split_regex(t, {pattern}) AS g FROM p)))"""
 

@@ -221,6 +221,8 @@ def test_tex_of_sources(spark):
     c = got[0]
     assert [(x.title, x.line_start, x.line_end) for x in c.section] == [("Main results", 6, 15), ("References", 15, 19)]
     assert [(x.label, x.title, x.line_start, x.line_end) for x in c.statement] == [("thm:a", "Big", 8, 12)]
+    assert [(x.name, x.excerpt, x.proof) for x in c.statement] == [("theorem", "thm:a x", "y")]
+    assert [(x.name, x.excerpt) for x in c.equation] == [("align", "a")] and [x.excerpt for x in c.section][1] == "old more"
     assert [x.label for x in c.equation] == ["eq:1"] and [x.title for x in c.table] == ["T one"] and c.figure == []
     assert c.view.startswith("\\section{Main results}\n50\\% of") and "old" not in c.view and c.view.endswith("\\appendix\nmore") and "A {B" not in c.view
     assert "50\\% of Net One and" in c.words and "note" not in c.words
