@@ -113,29 +113,69 @@ def is_map_row(line: Column) -> Column:
     return s.startswith("- ") | s.startswith("* ")
 
 
+def scalar(value: Column) -> Column:
+    """A front-matter scalar: double quotes with escapes, single quotes doubled inside, or plain without a comment behind it."""
+    value = F.trim(value)
+    double = F.regexp_extract(value, r'^"((?:[^"\\]++|\\.)*+)"\s*(?:#.*)?$', 1)
+    for mark, char in (("\\\\", "\x00"), ("\\n", "\n"), ("\\t", "\t"), ('\\"', '"'), ("\x00", "\\")):
+        double = F.replace(double, F.lit(mark), F.lit(char))
+    single = F.replace(F.regexp_extract(value, r"^'((?:[^']++|'')*+)'\s*(?:#.*)?$", 1), F.lit("''"), F.lit("'"))
+    plain = F.trim(F.trim(F.regexp_replace(value, r"(?:^|\s+)#.*$", "")), F.lit("\"' "))
+    return F.when(value.rlike(r'^"(?:[^"\\]++|\\.)*+"\s*(?:#.*)?$'), double).when(value.rlike(r"^'(?:[^']++|'')*+'\s*(?:#.*)?$"), single).otherwise(plain)
+
+
 def front_matter(text: Column) -> Column:
-    """Map of front-matter keys to lists of strings: scalars, [inline, lists] and '  - ' block lists."""
+    """Map of front-matter keys to lists of strings: scalars, [inline, lists], block lists, and texts of many lines (| and >).
+
+    Keys of nested maps are joined by dots. One fold over the lines keeps the keys that are open, by
+    their indentation, and the text that is being read; trailing line ends of texts go. Of a repeated key the
+    last value counts. A text without front matter has an empty map.
+    """
     raw = F.regexp_extract(text, r"(?s)\A---\s*\n(.*?)\n---\s*(?:\n|\z)", 1)
-    lines = F.filter(F.split(raw, "\n"), lambda s: (F.trim(s) != "") & ~F.ltrim(s).startswith("#"))
-    shape = "struct<key:string,vals:array<string>>"
+    pair = "struct<key:string,vals:array<string>>"
+    shape = f"struct<pairs:array<{pair}>,open:array<struct<indent:int,key:string>>,style:string,parent:int,indent:int>"
+    none = F.array().cast("array<string>")
+
+    def state(pairs, open_, style, parent, indent):
+        return F.struct(pairs.alias("pairs"), open_.alias("open"), style.alias("style"), parent.alias("parent"), indent.alias("indent")).cast(shape)
 
-    def clean(s):
-        return F.trim(F.trim(s), F.lit("\"' "))
+    def with_last(pairs, vals):
+        last = F.try_element_at(pairs, F.lit(-1))
+        return F.array_append(F.slice(pairs, 1, F.size(pairs) - 1), F.struct(last["key"].alias("key"), vals.alias("vals")).cast(pair))
 
     def step(acc, line):
-        last = F.try_element_at(acc, F.lit(-1))
-        item = line.startswith("  - ") & (F.size(acc) > 0)
-        longer = F.array_append(F.slice(acc, 1, F.size(acc) - 1), F.struct(last["key"].alias("key"), F.array_append(last["vals"], clean(F.substr(line, F.lit(5)))).alias("vals")).cast(shape))
-        value = F.trim(F.regexp_extract(line, r"^[^:]*:(.*)$", 1))
-        inline = F.filter(F.transform(F.split(F.regexp_extract(value, r"^\[(.*)\]$", 1), ","), clean), lambda v: v != "")
-        values = F.when(value == "", F.array().cast("array<string>")).when(value.rlike(r"^\[.*\]$"), inline).otherwise(F.array(clean(value)))
-        fresh = F.array_append(acc, F.struct(F.trim(F.regexp_extract(line, "^([^:]*):", 1)).alias("key"), values.alias("vals")).cast(shape))
-        return F.when(item, longer).when(F.contains(line, F.lit(":")), fresh).otherwise(acc)
-
-    pairs = F.aggregate(lines, F.array().cast(f"array<{shape}>"), step)
-    # of a repeated key the last value counts
+        blank, indent = F.trim(line) == "", F.length(line) - F.length(F.ltrim(line))
+        last = F.try_element_at(acc["pairs"], F.lit(-1))
+        # a line of a text: folded lines follow a blank, kept ones a line end; an empty line is a line end
+        inside = (acc["style"] != "") & (blank | (indent > acc["parent"]))
+        margin = F.when(acc["indent"] >= 0, acc["indent"]).otherwise(indent)
+        so_far = F.coalesce(F.get(last["vals"], F.lit(0)), F.lit(""))
+        piece = F.when(blank, "").otherwise(F.substr(line, F.least(margin, indent) + 1))
+        glue = F.when(acc["indent"] < 0, "").when(acc["style"] == "|", "\n").when(blank, "\n").when((so_far == "") | so_far.endswith("\n"), "").otherwise(" ")
+        told = state(with_last(acc["pairs"], F.array(F.concat(so_far, glue, piece))), acc["open"], acc["style"], acc["parent"], F.when(blank & (acc["indent"] < 0), acc["indent"]).otherwise(margin))
+
+        skipped = blank | F.ltrim(line).startswith("#")
+        item = F.ltrim(line).rlike("^-(?: |$)") & (F.size(acc["pairs"]) > 0)
+        longer = state(with_last(acc["pairs"], F.array_append(last["vals"], scalar(F.substr(F.ltrim(line), F.lit(2))))), acc["open"], F.lit(""), acc["parent"], acc["indent"])
+
+        found = F.regexp_extract(line, r"^\s*(\"[^\"]*\"|'[^']*'|[^:]*?)\s*:(?:\s|$)", 1)
+        value = F.trim(F.regexp_extract(line, r"^\s*(?:\"[^\"]*\"|'[^']*'|[^:]*?)\s*:(?:\s(.*))?$", 1))
+        above = F.filter(acc["open"], lambda o: o["indent"] < indent)
+        key = F.concat_ws(".", F.transform(above, lambda o: o["key"]), F.trim(found, F.lit("\"' ")))
+        text_of = F.regexp_extract(value, r"^([|>])[+-]?[0-9]*\s*(?:#.*)?$", 1)
+        inside_list = F.regexp_extract(value, r"^\[(.*)\]\s*(?:#.*)?$", 1)
+        inline = F.filter(F.transform(F.split(inside_list, ","), scalar), lambda v: v != "")
+        empty = value.rlike(r"^(?:#.*)?$")
+        values = F.when(empty, none).when(text_of != "", F.array(F.lit(""))).when(value.rlike(r"^\[.*\]\s*(?:#.*)?$"), inline).otherwise(F.array(scalar(value)))
+        opened = F.when(empty, F.array_append(above, F.struct(indent.alias("indent"), F.trim(found, F.lit("\"' ")).alias("key")))).otherwise(above)
+        fresh = state(F.array_append(acc["pairs"], F.struct(key.alias("key"), values.alias("vals")).cast(pair)), opened, text_of, indent, F.lit(-1))
+        closed = state(acc["pairs"], acc["open"], F.lit(""), acc["parent"], acc["indent"])
+        return F.when(inside, told).when(skipped, closed).when(item, longer).when(line.rlike(r":(?:\s|$)"), fresh).otherwise(closed)
+
+    start = state(F.array(), F.array(), F.lit(""), F.lit(0), F.lit(-1))
+    pairs = F.aggregate(F.split(raw, "\n"), start, step, lambda acc: acc["pairs"])
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(last)
+    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"].alias("key"), F.transform(p["vals"], lambda v: F.regexp_replace(v, r"\n+\z", "")).alias("vals"))))
 
 
 def structured(meta: Column) -> Column:

@@ -65,13 +65,37 @@ def with_front(spark, d):
     return notes(spark, d).select("*", markdown.front_matter(F.col("md")).alias("meta"), markdown.body(F.col("md")).alias("body"))
 
 
-def front_rows(spark, d):
-    """Scalars, inline lists and block lists of front matter, and the length of what follows."""
-    fields = [F.array_join(F.col("meta")[k], ",").alias(k) for k in ("title", "tags", "sources")]
-    return with_front(spark, d).select("doc_id", *fields, F.length("body").cast("long").alias("body_chars"))
+# more front matter, of the same words: texts of many lines, quotes, nested keys and lists that are indented or not
+MORE = (
+    "---\nabstract: >-\n  ", " ", "\n  more\n\n  ", "\ncode: |\n  # no comment ", "\n    ", "\nquote: \"say \\\"", "\\\"\\n# kept\" # gone\nsingle: 'it''s ",
+    "' # gone\nlinks:\n  home: https://x.org/", " # gone\n  more:\n    deep: ", "\n  list:\n  - ", "\n  - \"a, ", "\"\nflags: [ \"", "\", 'b', ", " ] # gone\n",
+)
+PLACES = (0, 1, 2, 0, 1, 0, 2, 0, 1, 2, 3, 0, 1)  # of the words that stand between them
+FIELDS = ("title", "tags", "sources", "abstract", "code", "quote", "single", "links.home", "links.more.deep", "links.list", "flags")
 
 
-SQL["h09_front_matter"] = f"{MADE} SELECT doc_id, title, array_to_string(tags, ',') AS tags, array_to_string(sources, ',') AS sources, length(body)::BIGINT AS body_chars FROM ({META})"
+def front_rows(spark, d):
+    """Values of front matter in all its forms, and the length of what follows."""
+    word = [F.coalesce(F.nullif(F.regexp_extract(F.coalesce("text", F.lit("")), WORDS, k), F.lit("")), F.lit("none")) for k in range(1, 5)]
+    more = F.concat(*[x for mark, k in zip(MORE, PLACES) for x in (F.lit(mark), word[k])], F.lit(MORE[-1]))
+    rows = notes(spark, d).join(corpus(spark, d).select("doc_id", more.alias("more")), "doc_id").withColumn("md", F.concat("more", F.substr("md", F.lit(5))))
+    meta = rows.select("doc_id", markdown.front_matter(F.col("md")).alias("meta"), F.length(markdown.body(F.col("md"))).cast("long").alias("body_chars"))
+    return meta.select("doc_id", *[F.array_join(F.col("meta")[k], ",").alias(k.replace(".", "_")) for k in FIELDS], "body_chars")
+
+
+def _front_sql() -> str:
+    word = [f"coalesce(nullif(regexp_extract(coalesce(text, ''), {quoted(WORDS)}, {k}), ''), 'none')" for k in range(1, 5)]
+    more = ", ".join(x for mark, k in zip(MORE, PLACES) for x in (quoted(mark), word[k]))
+    return rf"""{MADE}, m AS (SELECT doc_id, concat({more}, {quoted(MORE[-1])}) AS more FROM documents), f AS (SELECT * FROM ({META}) JOIN m USING (doc_id))
+SELECT doc_id, title, array_to_string(tags, ',') AS tags, array_to_string(sources, ',') AS sources, length(body)::BIGINT AS body_chars,
+ replace(regexp_replace(trim(regexp_extract(more, '(?s)abstract: >-\n(.*?)\ncode:', 1), ' '), '([^\n])\n  ', '\1 ', 'g'), chr(10) || chr(10) || '  ', chr(10)) AS abstract,
+ replace(substr(regexp_extract(more, '(?s)code: \|\n(.*?)\nquote:', 1), 3), chr(10) || '  ', chr(10)) AS code,
+ replace(replace(regexp_extract(more, 'quote: "(.*)" # gone', 1), '\"', '"'), '\n', chr(10)) AS quote, replace(regexp_extract(more, 'single: ''(.*)'' # gone', 1), '''''', '''') AS single,
+ trim(regexp_extract(more, 'home: (.*) # gone', 1)) AS links_home, regexp_extract(more, 'deep: (.*)', 1) AS links_more_deep, concat(regexp_extract(more, '\n  - ([a-z]*)\n', 1), ',', regexp_extract(more, '\n  - "(.*)"', 1)) AS links_list,
+ concat_ws(',', nullif(regexp_extract(more, 'flags: . "([a-z]*)"', 1), ''), 'b', nullif(regexp_extract(more, '''b'', ([a-z]*) ', 1), '')) AS flags FROM f"""
+
+
+SQL["h09_front_matter"] = _front_sql()
 
 
 def titles(spark, d):

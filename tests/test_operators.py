@@ -120,6 +120,19 @@ def test_front_matter(spark):
     assert m.m == {"title": ["last"], "tags": ["x", "y"], "sources": ["p/q.md", "r"], "empty": []} and m.b == "body"
 
 
+def test_front_matter_of_many_lines(spark):
+    doc = "\n".join([
+        "---", "folded: >", "  one", "  two", "", "  three", "", "kept: |-", "    a", "      b # c", "", "    # d", "'quoted key': \"x \\\"y\\\" \\\\n: z\" # gone", "single: 'it''s: # kept'", "plain: a # gone", "url: http://x.org/#a",
+        "map:", "  inner: 1", "  deep:", "    leaf: [a, \"b\"]", "  after: 2", "top:", "- i", "-   \"j # k\"", "bare", "none: # nothing", "time: 12:30:00", "last: |", "---", "rest",
+    ])
+    m = spark.createDataFrame([(doc,), ("no front",), ("---\n---\n",), (None,)], "t string").select(markdown.front_matter(F.col("t")).alias("m")).collect()
+    assert m[0].m == {
+        "folded": ["one two\nthree"], "kept": ["a\n  b # c\n\n# d"], "quoted key": ['x "y" \\n: z'], "single": ["it's: # kept"], "plain": ["a"], "url": ["http://x.org/#a"], "map": [], "map.inner": ["1"], "map.deep": [],
+        "map.deep.leaf": ["a", "b"], "map.after": ["2"], "top": ["i", "j # k"], "none": [], "time": ["12:30:00"], "last": [""],
+    }
+    assert m[1].m == {} and m[2].m == {} and m[3].m is None
+
+
 @pytest.mark.parametrize("query,terms", [
     ("The 1,234 cats of A x", ["the", "1234", "cats", "of"]), ("知识图谱 检索增强生成", ["知识图谱", "检索", "索增", "增强", "强生", "生成"]), ("", []), ("aa AA aa", ["aa"])])
 def test_query_terms(spark, query, terms):
@@ -222,7 +235,7 @@ def test_tex_of_sources(spark):
     assert [(x.title, x.line_start, x.line_end) for x in c.section] == [("Main results", 6, 15), ("References", 15, 19)]
     assert [(x.label, x.title, x.line_start, x.line_end) for x in c.statement] == [("thm:a", "Big", 8, 12)]
     assert [(x.name, x.excerpt, x.proof) for x in c.statement] == [("theorem", "thm:a x", "y")]
-    assert [(x.name, x.excerpt) for x in c.equation] == [("align", "a")] and [x.excerpt for x in c.section][1] == "old more"
+    assert [(x.name, x.excerpt) for x in c.equation] == [("align", "a")] and [x.excerpt for x in c.section][1] == "old more document"
     assert [x.label for x in c.equation] == ["eq:1"] and [x.title for x in c.table] == ["T one"] and c.figure == []
     assert c.view.startswith("\\section{Main results}\n50\\% of") and "old" not in c.view and c.view.endswith("\\appendix\nmore") and "A {B" not in c.view
     assert "50\\% of Net One and" in c.words and "note" not in c.words
