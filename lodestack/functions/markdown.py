@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,69 +116,78 @@ def is_map_row(line: Column) -> Column:
     return s.startswith("- ") | s.startswith("* ")
 
 
-def scalar(value: Column) -> Column:
+FRONT = re.compile(r"\A---\s*\n(.*?)\n---\s*(?:\n|\Z)", re.S)
+DOUBLE, SINGLE = re.compile(r'"((?:[^"\\]|\\.)*)"\s*(?:#.*)?'), re.compile(r"'((?:[^']|'')*)'\s*(?:#.*)?")
+KEY = re.compile(r"\s*(\"[^\"]*\"|'[^']*'|[^:]*?)\s*:(?:\s(.*))?$")
+TEXT_MARK, LIST_MARK = re.compile(r"([|>])[+-]?[0-9]*\s*(?:#.*)?"), re.compile(r"\[(.*)\]\s*(?:#.*)?")
+ESCAPES = {"n": "\n", "t": "\t"}
+
+
+def scalar(value: str) -> str:
     """A front-matter scalar: double quotes with escapes, single quotes doubled inside, or plain without a comment behind it."""
-    value = F.trim(value)
-    double = F.regexp_extract(value, r'^"((?:[^"\\]++|\\.)*+)"\s*(?:#.*)?$', 1)
-    for mark, char in (("\\\\", "\x00"), ("\\n", "\n"), ("\\t", "\t"), ('\\"', '"'), ("\x00", "\\")):
-        double = F.replace(double, F.lit(mark), F.lit(char))
-    single = F.replace(F.regexp_extract(value, r"^'((?:[^']++|'')*+)'\s*(?:#.*)?$", 1), F.lit("''"), F.lit("'"))
-    plain = F.trim(F.trim(F.regexp_replace(value, r"(?:^|\s+)#.*$", "")), F.lit("\"' "))
-    return F.when(value.rlike(r'^"(?:[^"\\]++|\\.)*+"\s*(?:#.*)?$'), double).when(value.rlike(r"^'(?:[^']++|'')*+'\s*(?:#.*)?$"), single).otherwise(plain)
+    value = value.strip()
+    if m := DOUBLE.fullmatch(value):
+        return re.sub(r"\\(.)", lambda e: ESCAPES.get(e[1], e[1]), m[1])
+    if m := SINGLE.fullmatch(value):
+        return m[1].replace("''", "'")
+    return re.sub(r"(?:^|\s+)#.*$", "", value).strip().strip("\"' ")
+
+
+def text_of(mark: str, lines: list[str]) -> str:
+    """A text of many lines: kept (|) as it stands below its first line's margin, or folded (>) to paragraphs; outer empty lines go."""
+    margin = next((len(s) - len(s.lstrip()) for s in lines if s.strip()), 0)
+    lines = [s[min(margin, len(s) - len(s.lstrip())) :] if s.strip() else "" for s in lines]
+    whole = "\n".join(lines).strip("\n")
+    return whole if mark == "|" else "\n".join(re.sub(r"\n", " ", p) for p in whole.split("\n\n"))
+
+
+def front_of(text: str) -> dict[str, list[str]]:
+    """Front matter of one text, in one pass over its lines."""
+    found = FRONT.match(text)
+    out: dict[str, list[str]] = {}
+    above: list[tuple[int, str]] = []  # keys that the next one may stand below, with their indentation
+    key, mark, parent, lines = None, "", 0, []
+    for line in found[1].split("\n") if found else []:
+        indent, bare = len(line) - len(line.lstrip()), line.strip()
+        if mark and (not bare or indent > parent):
+            lines.append(line)
+            continue
+        if mark:
+            out[key], mark = [text_of(mark, lines)], ""
+        if not bare or bare.startswith("#"):
+            continue
+        if key is not None and re.match("-(?: |$)", bare):
+            out[key].append(scalar(bare[1:]))
+        elif m := KEY.match(line):
+            above = [a for a in above if a[0] < indent]
+            name, value = m[1].strip("\"' "), (m[2] or "").strip()
+            key = ".".join([*(k for _, k in above), name])
+            if not value or value.startswith("#"):
+                above.append((indent, name))
+                out[key] = []
+            elif t := TEXT_MARK.fullmatch(value):
+                out[key], mark, parent, lines = [], t[1], indent, []
+            elif t := LIST_MARK.fullmatch(value):
+                out[key] = [v for v in map(scalar, t[1].split(",")) if v]
+            else:
+                out[key] = [scalar(value)]
+    if mark:
+        out[key] = [text_of(mark, lines)]
+    return out
 
 
 def front_matter(text: Column) -> Column:
     """Map of front-matter keys to lists of strings: scalars, [inline, lists], block lists, and texts of many lines (| and >).
 
-    Keys of nested maps are joined by dots. One fold over the lines keeps the keys that are open, by
-    their indentation, and the text that is being read; trailing line ends of texts go. Of a repeated key the
-    last value counts. A text without front matter has an empty map.
+    Keys of nested maps are joined by dots. What a line means depends on the keys open above it, so that a
+    text is one pass in a batch. Of a repeated key the last value counts; a text without front
+    matter has an empty map, null stays null.
     """
-    raw = F.regexp_extract(text, r"(?s)\A---\s*\n(.*?)\n---\s*(?:\n|\z)", 1)
-    pair = "struct<key:string,vals:array<string>>"
-    shape = f"struct<pairs:array<{pair}>,open:array<struct<indent:int,key:string>>,style:string,parent:int,indent:int>"
-    none = F.array().cast("array<string>")
 
-    def state(pairs, open_, style, parent, indent):
-        return F.struct(pairs.alias("pairs"), open_.alias("open"), style.alias("style"), parent.alias("parent"), indent.alias("indent")).cast(shape)
+    def fronts(batch: pd.Series) -> pd.Series:
+        return batch.map(front_of, na_action="ignore")
 
-    def with_last(pairs, vals):
-        last = F.try_element_at(pairs, F.lit(-1))
-        return F.array_append(F.slice(pairs, 1, F.size(pairs) - 1), F.struct(last["key"].alias("key"), vals.alias("vals")).cast(pair))
-
-    def step(acc, line):
-        blank, indent = F.trim(line) == "", F.length(line) - F.length(F.ltrim(line))
-        last = F.try_element_at(acc["pairs"], F.lit(-1))
-        # a line of a text: folded lines follow a blank, kept ones a line end; an empty line is a line end
-        inside = (acc["style"] != "") & (blank | (indent > acc["parent"]))
-        margin = F.when(acc["indent"] >= 0, acc["indent"]).otherwise(indent)
-        so_far = F.coalesce(F.get(last["vals"], F.lit(0)), F.lit(""))
-        piece = F.when(blank, "").otherwise(F.substr(line, F.least(margin, indent) + 1))
-        glue = F.when(acc["indent"] < 0, "").when(acc["style"] == "|", "\n").when(blank, "\n").when((so_far == "") | so_far.endswith("\n"), "").otherwise(" ")
-        told = state(with_last(acc["pairs"], F.array(F.concat(so_far, glue, piece))), acc["open"], acc["style"], acc["parent"], F.when(blank & (acc["indent"] < 0), acc["indent"]).otherwise(margin))
-
-        skipped = blank | F.ltrim(line).startswith("#")
-        item = F.ltrim(line).rlike("^-(?: |$)") & (F.size(acc["pairs"]) > 0)
-        longer = state(with_last(acc["pairs"], F.array_append(last["vals"], scalar(F.substr(F.ltrim(line), F.lit(2))))), acc["open"], F.lit(""), acc["parent"], acc["indent"])
-
-        found = F.regexp_extract(line, r"^\s*(\"[^\"]*\"|'[^']*'|[^:]*?)\s*:(?:\s|$)", 1)
-        value = F.trim(F.regexp_extract(line, r"^\s*(?:\"[^\"]*\"|'[^']*'|[^:]*?)\s*:(?:\s(.*))?$", 1))
-        above = F.filter(acc["open"], lambda o: o["indent"] < indent)
-        key = F.concat_ws(".", F.transform(above, lambda o: o["key"]), F.trim(found, F.lit("\"' ")))
-        text_of = F.regexp_extract(value, r"^([|>])[+-]?[0-9]*\s*(?:#.*)?$", 1)
-        inside_list = F.regexp_extract(value, r"^\[(.*)\]\s*(?:#.*)?$", 1)
-        inline = F.filter(F.transform(F.split(inside_list, ","), scalar), lambda v: v != "")
-        empty = value.rlike(r"^(?:#.*)?$")
-        values = F.when(empty, none).when(text_of != "", F.array(F.lit(""))).when(value.rlike(r"^\[.*\]\s*(?:#.*)?$"), inline).otherwise(F.array(scalar(value)))
-        opened = F.when(empty, F.array_append(above, F.struct(indent.alias("indent"), F.trim(found, F.lit("\"' ")).alias("key")))).otherwise(above)
-        fresh = state(F.array_append(acc["pairs"], F.struct(key.alias("key"), values.alias("vals")).cast(pair)), opened, text_of, indent, F.lit(-1))
-        closed = state(acc["pairs"], acc["open"], F.lit(""), acc["parent"], acc["indent"])
-        return F.when(inside, told).when(skipped, closed).when(item, longer).when(line.rlike(r":(?:\s|$)"), fresh).otherwise(closed)
-
-    start = state(F.array(), F.array(), F.lit(""), F.lit(0), F.lit(-1))
-    pairs = F.aggregate(F.split(raw, "\n"), start, step, lambda acc: acc["pairs"])
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"].alias("key"), F.transform(p["vals"], lambda v: F.regexp_replace(v, r"\n+\z", "")).alias("vals"))))
+    return F.pandas_udf(fronts, "map<string, array<string>>")(text)
 
 
 def structured(meta: Column) -> Column:

@@ -123,12 +123,12 @@ def test_front_matter(spark):
 def test_front_matter_of_many_lines(spark):
     doc = "\n".join([
         "---", "folded: >", "  one", "  two", "", "  three", "", "kept: |-", "    a", "      b # c", "", "    # d", "'quoted key': \"x \\\"y\\\" \\\\n: z\" # gone", "single: 'it''s: # kept'", "plain: a # gone", "url: http://x.org/#a",
-        "map:", "  inner: 1", "  deep:", "    leaf: [a, \"b\"]", "  after: 2", "top:", "- i", "-   \"j # k\"", "bare", "none: # nothing", "time: 12:30:00", "last: |", "---", "rest",
+        "map:", "  inner: 1", "  deep:", "    leaf: [a, \"b\"]", "  after: 2", "top:", "- i", "-   \"j # k\"", "bare", "none: # nothing", "time: 12:30:00", "end: e", "last: |", "  z", "", "---", "rest",
     ])
     m = spark.createDataFrame([(doc,), ("no front",), ("---\n---\n",), (None,)], "t string").select(markdown.front_matter(F.col("t")).alias("m")).collect()
     assert m[0].m == {
         "folded": ["one two\nthree"], "kept": ["a\n  b # c\n\n# d"], "quoted key": ['x "y" \\n: z'], "single": ["it's: # kept"], "plain": ["a"], "url": ["http://x.org/#a"], "map": [], "map.inner": ["1"], "map.deep": [],
-        "map.deep.leaf": ["a", "b"], "map.after": ["2"], "top": ["i", "j # k"], "none": [], "time": ["12:30:00"], "last": [""],
+        "map.deep.leaf": ["a", "b"], "map.after": ["2"], "top": ["i", "j # k"], "none": [], "time": ["12:30:00"], "end": ["e"], "last": ["z"],
     }
     assert m[1].m == {} and m[2].m == {} and m[3].m is None
 
