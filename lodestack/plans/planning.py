@@ -146,44 +146,67 @@ for _n in ("e04_evidence_order", "d10_evidence_dedupe"):
     SQL[_n] = EV + " SELECT query_id, record_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source_rank, source_key, start_line, record_id)::INTEGER AS place FROM dd"
 
 
-def focused(spark, d):
-    return planner.select_focused(planner.deduplicated(evidence(spark, d))).select("query_id", "position", "record_type", "record_id", "source_key", "score")
-
-
 def shared_sources(spark, d):
     """Classed candidates whose source is that of their document, so that sources have many records."""
     return classed(spark, d).withColumn("source_key", F.coalesce("folder", F.lit("")))
 
 
+def shared_evidence(spark, d):
+    return stored(planner.deduplicated(evidence(spark, d, stored(shared_sources(spark, d)))))
+
+
+CHOICE = ("query_id", "position", "record_type", "record_id", "source_key", "score")
+
+
+def focused(spark, d):
+    """At most three cards of a source, two of them prose, one of each group; over sources of many records."""
+    return planner.select_focused(shared_evidence(spark, d)).select(*CHOICE)
+
+
 def coverage(spark, d):
     """A card of each source, its summary if there is one, then a second one; over sources of many records."""
-    unique = stored(planner.deduplicated(evidence(spark, d, stored(shared_sources(spark, d)))))
-    return planner.select_coverage(unique).select("query_id", "position", "record_type", "record_id", "source_key", "score")
+    return planner.select_coverage(shared_evidence(spark, d)).select(*CHOICE)
 
 
 KEY = "CASE WHEN source_id LIKE 'raw_clip:%' THEN source_path ELSE source_path END AS source_key"
-SQL["e06_coverage_selection"] = EV.replace(KEY, "coalesce(folder, '') AS source_key") + f""", o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source_rank, source_key, start_line, record_id) AS pos, NOT is_primary AS tier FROM dd),
- s AS (SELECT query_id, source_key, list({{'tier': tier, 'pos': pos, 'summary': evidence_group = 'section:summary'}} ORDER BY tier, pos) AS cards FROM o GROUP BY ALL),
+SHARED = EV.replace(KEY, "coalesce(folder, '') AS source_key").replace("WITH ", "WITH RECURSIVE ", 1) + ", o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source_rank, source_key, start_line, record_id) AS pos, NOT is_primary AS tier FROM dd)"
+# cards of a source in turn; after the cards of each tier a step that refills from those put off
+FOCUSED = """, raw AS (SELECT *, bool_or(evidence_kind = 'raw_section') OVER (PARTITION BY query_id, source_key, tier) AS raw FROM o),
+ steps AS (SELECT *, row_number() OVER (PARTITION BY query_id, source_key ORDER BY tier, refill, pos) AS i FROM (SELECT query_id, source_key, tier, false AS refill, pos, evidence_kind AS kind, evidence_group AS grp, raw FROM raw
+  UNION ALL SELECT DISTINCT query_id, source_key, x.tier, true, 0, '', '', false FROM o, (VALUES (false), (true)) x(tier))),
+ fold(query_id, source_key, i, n, prose, groups, log, late) AS (
+  SELECT DISTINCT query_id, source_key, 0::BIGINT, 0::BIGINT, 0::BIGINT, []::VARCHAR[], []::STRUCT(stage INTEGER, pos BIGINT)[], []::STRUCT(cls INTEGER, pos BIGINT, p BOOLEAN)[] FROM o
+  UNION ALL SELECT query_id, source_key, i, CASE WHEN refill THEN n + len(more) WHEN take THEN n + 1 ELSE n END, prose + CASE WHEN refill THEN len(list_filter(more, lambda x: x.p)) WHEN take AND p THEN 1 ELSE 0 END,
+   CASE WHEN take THEN list_append(groups, grp) ELSE groups END,
+   CASE WHEN refill THEN list_concat(log, list_transform(more, lambda x: {'stage': (x.cls + CASE WHEN tier THEN 4 ELSE 0 END)::INTEGER, 'pos': x.pos})) WHEN take THEN list_append(log, {'stage': CASE WHEN tier THEN 4 ELSE 0 END::INTEGER, 'pos': pos}) ELSE log END,
+   CASE WHEN refill THEN []::STRUCT(cls INTEGER, pos BIGINT, p BOOLEAN)[] WHEN n < 3 AND NOT take THEN list_append(late, {'cls': cls, 'pos': pos, 'p': p}) ELSE late END
+  FROM (SELECT *, NOT refill AND n < 3 AND cls = 0 AS take, list_slice(list_sort(late), 1, 3 - n) AS more FROM (
+   SELECT s.*, n, prose, groups, log, late, kind IN ('raw_section', 'compiled_chunk') AS p, CASE WHEN kind = 'compiled_chunk' AND raw THEN 2 WHEN list_contains(groups, grp) THEN 3 WHEN kind IN ('raw_section', 'compiled_chunk') AND prose >= 2 THEN 1 ELSE 0 END::INTEGER AS cls
+   FROM fold f JOIN steps s ON s.query_id = f.query_id AND s.source_key = f.source_key AND s.i = f.i + 1))),
+ fin AS (SELECT query_id, source_key, unnest(log) AS l FROM fold QUALIFY row_number() OVER (PARTITION BY query_id, source_key ORDER BY i DESC) = 1),
+ focus AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY l.stage, l.pos)::INTEGER AS position FROM fin)"""
+COVERAGE = """, s AS (SELECT query_id, source_key, list({'tier': tier, 'pos': pos, 'summary': evidence_group = 'section:summary'} ORDER BY tier, pos) AS cards FROM o GROUP BY ALL),
  t AS (SELECT query_id, source_key, list_filter(cards, lambda c: c.tier = cards[1].tier) AS mine, cards FROM s),
  u AS (SELECT query_id, source_key, mine[1].tier AS tier, mine[1].pos AS entry, coalesce(list_filter(mine, lambda c: c.summary)[1].pos, mine[1].pos) AS rep, cards FROM t),
  v AS (SELECT query_id, source_key, tier, 0 AS phase, entry AS place, rep AS pos FROM u UNION ALL
-  SELECT query_id, source_key, c.tier, 1, c.pos, c.pos FROM (SELECT *, list_filter(cards, lambda c: c.pos <> rep)[1] AS c FROM u) WHERE c IS NOT NULL)
- SELECT query_id, position, record_type, record_id, source_key, score FROM (SELECT query_id, source_key, pos, row_number() OVER (PARTITION BY query_id ORDER BY tier, phase, place)::INTEGER AS position FROM v) JOIN o USING (query_id, source_key, pos) WHERE position <= {TOP_K}"""
-
-
-# every source of these tables has one document, so that both selections take the best primary, then the best others
-PICK = EV + f" SELECT query_id, position, record_type, record_id, source_key, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY is_primary DESC, score DESC, source_rank, source_key, start_line, record_id)::INTEGER AS position FROM dd) WHERE position <= {TOP_K}"
-SQL["e05_focused_selection"] = PICK
+  SELECT query_id, source_key, c.tier, 1, c.pos, c.pos FROM (SELECT *, list_filter(cards, lambda c: c.pos <> rep)[1] AS c FROM u) WHERE c IS NOT NULL),
+ cover AS (SELECT query_id, source_key, pos, row_number() OVER (PARTITION BY query_id ORDER BY tier, phase, place)::INTEGER AS position FROM v)"""
+FOCUS = f"SELECT query_id, position, record_type, record_id, source_key, score FROM (SELECT query_id, source_key, l.pos AS pos, position FROM focus) JOIN o USING (query_id, source_key, pos) WHERE position <= {TOP_K}"
+COVER = f"SELECT query_id, position, record_type, record_id, source_key, score FROM cover JOIN o USING (query_id, source_key, pos) WHERE position <= {TOP_K}"
+SQL["e05_focused_selection"] = f"{SHARED}{FOCUSED} {FOCUS}"
+SQL["e06_coverage_selection"] = f"{SHARED}{COVERAGE} {COVER}"
 
 
 def planned(spark, d):
-    """Selections of both goals from the same evidence, which is scored once."""
-    unique = stored(planner.deduplicated(evidence(spark, d)))
-    sides = [pick(unique).select("query_id", F.lit(goal).alias("goal"), "position", "record_type", "record_id", "source_key", "score") for goal, pick in (("focused", planner.select_focused), ("coverage", planner.select_coverage))]
+    """Selections of both goals from the same evidence, which is scored once; over sources of many records."""
+    unique = shared_evidence(spark, d)
+    sides = [pick(unique).withColumn("goal", F.lit(goal)).select("goal", *CHOICE) for goal, pick in (("focused", planner.select_focused), ("coverage", planner.select_coverage))]
     return sides[0].unionByName(sides[1])
 
 
-SQL["i10_planner"] = f"SELECT * FROM ({PICK}), (VALUES ('focused'), ('coverage')) t(goal)"
+SQL["i10_planner"] = f"{SHARED}{FOCUSED}{COVERAGE} SELECT 'focused' AS goal, * FROM ({FOCUS}) UNION ALL SELECT 'coverage', * FROM ({COVER})"
+# by their own paths every source of these tables has one document, so that the best primary ones are taken, then the best others
+PICK = EV + f" SELECT query_id, position, record_type, record_id, source_key, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY is_primary DESC, score DESC, source_rank, source_key, start_line, record_id)::INTEGER AS position FROM dd) WHERE position <= {TOP_K}"
 
 
 def decisions(spark, d):
