@@ -14,7 +14,8 @@ from lodestack.functions import excerpt, text
 from lodestack.operators import includes
 from lodestack.plans.columns import DOCS
 from lodestack.plans.papers import quoted
-from lodestack.plans.search import hybrid
+from lodestack.plans.planning import STOP, TERMS
+from lodestack.plans.search import BM25, RRF, VEC, hybrid
 from lodestack.sources.tables import conversations_markdown, corpus, read, stored
 
 SQL: dict = {}
@@ -170,14 +171,76 @@ UNION ALL SELECT l.project, 'include_unresolved', l.path, e.include, e.reason, e
 SQL["j08_include_closure"] = _include_sql()
 
 
+# Words of items that ask for sizes and relations, and words of texts that stand for numbers and expressions.
+EXCERPT_ASKED = ((" is ", " size "), (" to ", " X below "), (" la ", " Y at least "))
+EXCERPT_MARKS = ((" of ", " $X < 64$ "), (" le ", " 48 "), (" die ", " 128 "), (" in ", " $Y \\ge X$ "))
+
+
+def marked(column, marks):
+    for word, mark in marks:
+        column = F.replace(column, F.lit(word), F.lit(mark))
+    return column
+
+
 def excerpts(spark, d):
     """Query-aware excerpts of selected hits."""
     hits = hybrid(spark, d).where("rank <= 5")
-    q = read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"), text.scoring_terms(text.query_terms(F.col("text"))).alias("terms"))
-    rows = hits.join(q, "query_id").join(read(spark, d, "documents").select("doc_id", "text"), "doc_id").select("query_id", "rank", "doc_id", "text", "query", "terms")
+    query = marked(F.coalesce("text", F.lit("")), EXCERPT_ASKED)
+    q = read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), query.alias("query"), text.scoring_terms(text.query_terms(query)).alias("terms"))
+    body = marked(F.coalesce("text", F.lit("")), EXCERPT_MARKS)
+    rows = hits.join(q, "query_id").join(read(spark, d, "documents").select("doc_id", body.alias("text")), "doc_id").select("query_id", "rank", "doc_id", "text", "query", "terms")
     return excerpt.with_excerpt(rows, 300).select("query_id", "rank", "doc_id", "excerpt", "begin")
 
 
+def _excerpt_sql(most: int = 300) -> str:
+    def put(column, marks):
+        for word, mark in marks:
+            column = f"replace({column}, '{word}', '{mark}')"
+        return column
+
+    query, body = put("coalesce(text, '')", EXCERPT_ASKED), put("coalesce(text, '')", EXCERPT_MARKS)
+    # places of what a text is split at: lengths of the parts and of the matches before it
+    place = "list_sum(list_transform(parts[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:k-1], lambda x: length(x))), 0)"
+    number, formula = "[0-9]+(?:\\.[0-9]+)?", "\\$[^$]{1,80}\\$"
+    return rf"""WITH {BM25}, {VEC}, {RRF},
+iq AS (SELECT item_id AS query_id, {query} AS query FROM benchmark),
+it AS (SELECT query_id, query, {TERMS.replace('b.text', 'b.query')} AS t FROM iq b),
+ia AS (SELECT query_id, query, lower(query) AS low, CASE WHEN len(list_filter(t, lambda x: NOT list_contains({STOP}, x))) > 0 THEN list_filter(t, lambda x: NOT list_contains({STOP}, x)) ELSE t END AS terms,
+  list_filter(list_distinct(string_split_regex(query, '[^\p{{L}}\p{{N}}_]+')), lambda x: regexp_full_match(x, '[A-Za-z]') AND lower(x) NOT IN ('a', 'i')) AS vars FROM it),
+h AS (SELECT query_id, rank, doc_id, {body} AS body, terms, low, vars, list_has_any(terms, ['capacity', 'count', 'number', 'size', 'many']) AS asked, list_has_any(terms, ['capacity', 'size']) AS sized FROM fr JOIN documents USING (doc_id) JOIN ia USING (query_id) WHERE rank <= 5),
+g AS (SELECT *, lower(body) AS lb FROM h WHERE length(body) > {most}),
+ln0 AS (SELECT query_id, rank, string_split(body, chr(10)) AS l FROM g),
+ln1 AS (SELECT query_id, rank, len(l) AS n, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM ln0),
+ln AS (SELECT query_id, rank, i, line, sum(length(line) + 1) OVER w - length(line) - 1 AS b, sum(length(line) + 1) OVER w - CASE WHEN i = n THEN 1 ELSE 0 END AS e FROM ln1 WINDOW w AS (PARTITION BY query_id, rank ORDER BY i) QUALIFY NOT (i = n AND line = '')),
+gt AS (SELECT query_id, rank, lb, unnest(terms) AS t FROM g),
+lt AS (SELECT ln.query_id, ln.rank, i, t, b + instr(lower(line), t) - 1 AS pos FROM ln JOIN gt USING (query_id, rank) WHERE contains(lower(line), t)),
+top AS (SELECT ln.query_id, ln.rank, b, e, n, pos FROM ln LEFT JOIN (SELECT query_id, rank, i, count(*) AS n, min(pos) AS pos FROM lt GROUP BY ALL) USING (query_id, rank, i) QUALIFY row_number() OVER (PARTITION BY query_id, rank ORDER BY coalesce(n, 0) DESC, i) = 1),
+pl AS (SELECT query_id, rank, t, (list_sum(list_transform(parts[1:k], lambda x: length(x))) + (k - 1) * length(t))::BIGINT AS pos FROM (SELECT query_id, rank, t, string_split(lb, t) AS parts, unnest(range(1, least(4, len(string_split(lb, t)) - 1) + 1)) AS k FROM gt)),
+nu AS (SELECT query_id, rank, found[k] AS m, ({place})::BIGINT AS pos, sized FROM (SELECT *, unnest(range(1, least(16, len(found)) + 1)) AS k FROM (SELECT query_id, rank, sized, string_split_regex(body, '{number}') AS parts, regexp_extract_all(body, '{number}') AS found FROM g WHERE asked))),
+ex AS (SELECT query_id, rank, found[k] AS m, ({place})::BIGINT AS pos, vars, low FROM (SELECT *, unnest(range(1, least(16, len(found)) + 1)) AS k FROM (SELECT query_id, rank, vars, low, string_split_regex(body, '{formula}') AS parts, regexp_extract_all(body, '{formula}') AS found FROM g WHERE len(list_filter(vars, lambda x: x <> lower(x))) > 0))),
+ey AS (SELECT *, len(list_filter(vars, lambda x: regexp_matches(m[2:-2], concat('(^|[^A-Za-z])', x, '([^A-Za-z]|$)')))) + CASE WHEN (list_has_any(string_split_regex(low, '\s+'), ['below', 'less']) AND contains(m, '<')) OR ((contains(low, 'above') OR contains(low, 'at least')) AND (contains(m, '>') OR contains(m, '\ge'))) THEN 2 ELSE 0 END AS c FROM ex),
+cu AS (SELECT query_id, rank, pos, pos + length(m) AS e, CASE WHEN sized AND regexp_full_match(m, '[0-9]+') AND m::DOUBLE >= 8 AND log2(m::DOUBLE) = floor(log2(m::DOUBLE)) THEN 2 ELSE 1 END AS c FROM nu
+  UNION ALL SELECT query_id, rank, pos, pos + length(m), CASE WHEN c > 0 THEN c + 1 ELSE 0 END FROM ey),
+rn AS (SELECT r.query_id, r.rank, r.i AS right, r.e, min(l.i) AS left, min(l.b) AS b FROM ln r JOIN ln l ON l.query_id = r.query_id AND l.rank = r.rank AND l.i <= r.i AND r.e - l.b <= {most} GROUP BY ALL),
+ru AS (SELECT rn.query_id, rn.rank, rn.b, rn.e FROM rn LEFT JOIN lt ON lt.query_id = rn.query_id AND lt.rank = rn.rank AND lt.i BETWEEN rn.left AND rn.right GROUP BY rn.query_id, rn.rank, rn.b, rn.e, rn.left, rn.right
+  QUALIFY row_number() OVER (PARTITION BY rn.query_id, rn.rank ORDER BY count(DISTINCT t) DESC, rn.left, rn.e - rn.b DESC, rn.right DESC) = 1),
+op AS (SELECT query_id, rank, count(*) >= 2 AS opening FROM lt WHERE i = 1 GROUP BY ALL),
+st AS (SELECT query_id, rank, pos - {most // 2} AS s FROM pl UNION ALL SELECT query_id, rank, pos + length(t) - {most} FROM pl UNION ALL SELECT query_id, rank, pos - {most // 2} FROM cu UNION ALL SELECT query_id, rank, e - {most} FROM ru UNION ALL SELECT query_id, rank, 0 FROM g),
+wi AS (SELECT DISTINCT query_id, rank, greatest(0, least(s, length(body) - {most}))::BIGINT AS b, (greatest(0, least(s, length(body) - {most})) + {most})::BIGINT AS e FROM st JOIN g USING (query_id, rank) UNION SELECT query_id, rank, b::BIGINT, e::BIGINT FROM ru),
+wt AS (SELECT wi.query_id, wi.rank, wi.b, wi.e, t, count(*) AS n, min(pos) AS f FROM wi JOIN pl ON pl.query_id = wi.query_id AND pl.rank = wi.rank AND pos >= wi.b AND pos + length(t) <= wi.e GROUP BY ALL),
+wk AS (SELECT query_id, rank, b, e, count(*) AS terms, sum(least(2, n)) AS hits, min(least(f - b, e - f - length(t))) AS margin FROM wt GROUP BY ALL),
+wc AS (SELECT wi.query_id, wi.rank, wi.b, wi.e, max(c) AS cue FROM wi JOIN cu ON cu.query_id = wi.query_id AND cu.rank = wi.rank AND cu.pos >= wi.b AND cu.e <= wi.e GROUP BY ALL),
+be AS (SELECT query_id, rank, list(b::BIGINT) AS bs, list(e::BIGINT) AS es FROM ln GROUP BY ALL),
+bw AS (SELECT wi.query_id, wi.rank, wi.b, wi.e FROM wi LEFT JOIN wk USING (query_id, rank, b, e) LEFT JOIN wc USING (query_id, rank, b, e) LEFT JOIN op USING (query_id, rank) JOIN be USING (query_id, rank)
+  QUALIFY row_number() OVER (PARTITION BY wi.query_id, wi.rank ORDER BY coalesce(cue, 0) DESC, coalesce(terms, 0) DESC, coalesce(opening, false) AND wi.b = 0 DESC, coalesce(hits, 0) DESC, list_contains(bs, wi.b)::INTEGER + list_contains(es, wi.e)::INTEGER DESC, coalesce(margin, 0) DESC, wi.b, wi.e DESC) = 1)
+SELECT query_id, h.rank, h.doc_id, CASE WHEN length(body) <= {most} THEN body WHEN top.n IS NULL THEN left(body, {most}) WHEN top.e - top.b > {most} THEN substr(body, x + 1, {most}) ELSE substr(body, bw.b + 1, bw.e - bw.b) END AS excerpt,
+ CASE WHEN length(body) <= {most} OR top.n IS NULL THEN 0 WHEN top.e - top.b > {most} THEN x ELSE bw.b END::INTEGER AS begin
+FROM h LEFT JOIN (SELECT *, greatest(b, least(pos - {most // 2}, e - {most}))::BIGINT AS x FROM top) top USING (query_id, rank) LEFT JOIN bw USING (query_id, rank)"""
+
+
+SQL["h19_excerpts"] = _excerpt_sql()
+
+
 def cues(spark, d):
     """Whether an address answers a question for a number or a relation: links of a page stand for the words of the question."""
     word = F.concat_ws(" ", F.regexp_extract_all("html", F.lit('href="/([A-Za-z]+)'), F.lit(1)))
