@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -162,6 +163,33 @@ def sanitised(text: Column) -> Column:
     return F.trim(F.regexp_replace(unescaped(F.trim(text)), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", ""))
 
 
+def escaped_values(text: Column, field: str) -> Column:
+    """Distinct values of a string field of JSON that may stand in a text escaped once or twice or with HTML entities.
+
+    The text as it is comes first, then without its escapes, then the same without its entities; values
+    stand in the order in which these four show them, trimmed and without escapes of their own. Null gives no value.
+    """
+
+    def slashes(t):
+        for code, plain in (("\\/", "/"), ("\\u002F", "/"), ("\\u002f", "/"), ("\\u003A", ":"), ("\\u003a", ":")):
+            t = F.replace(t, F.lit(code), F.lit(plain))
+        return t
+
+    def plain(t):
+        for quote in ('\\\\"', '\\"') * 2:
+            t = F.replace(t, F.lit(quote), F.lit('"'))
+        return slashes(t)
+
+    def values(t):
+        return F.regexp_extract_all(t, F.lit(f'"{re.escape(field)}"\\s*:\\s*"([^"]*)"'), F.lit(1))
+
+    text = F.coalesce(text, F.lit(""))
+    found = F.concat(*[values(v) for t in (text, unescaped(text)) for v in (t, plain(t))])
+    # entities are decoded in texts of values, one a text: lists go to Python as one text
+    joined = unescaped(F.array_join(found, "\x1e"))
+    return F.filter(F.array_distinct(F.transform(F.split(joined, "\x1e"), lambda v: slashes(F.trim(v)))), lambda v: v != "")
+
+
 def wikilinks(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(r"\[\[([^\]]+)\]\]"), F.lit(1))
     names = F.transform(found, lambda t: F.trim(F.split(F.split(t, r"\|")[0], "#")[0]))

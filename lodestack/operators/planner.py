@@ -20,6 +20,16 @@ def family_order(family: Column) -> Column:
     return F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), family)
 
 
+def candidate_budget(top_k: Column) -> Column:
+    """Candidates of a query that are looked at: five a hit, between 40 and 200."""
+    return F.least(F.lit(200), F.greatest(F.lit(40), 5 * top_k)).cast("int")
+
+
+def scope_budget(top_k: Column) -> Column:
+    """Sources of a query that are looked at: three a hit, 20 at least, within the candidate budget."""
+    return F.least(candidate_budget(top_k), F.greatest(F.lit(20), 3 * top_k)).cast("int")
+
+
 def route_ranks(candidates: DataFrame) -> DataFrame:
     """Rank within (query, family): score descending with what is no finite number last, then type and id."""
     score = F.when(F.isnan("raw_score") | (F.abs("raw_score") == float("inf")), None).otherwise(F.col("raw_score"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestack.functions import ids, markdown, text, vectors
+from lodestack.operators import planner, search
 from lodestack.sources.tables import conversations_markdown, corpus, read
 
 QUERIES: dict = {}
@@ -139,8 +140,22 @@ def bench_query(name: str, sql: str, columns):
 
 ORDERED_TERMS = "(SELECT string_agg(t, ' ' ORDER BY p) FROM (SELECT t, min(p) AS p FROM (SELECT unnest(x) AS t, unnest(range(1, len(x)+1)) AS p FROM (SELECT list_transform(regexp_extract_all(text,'[A-Za-z0-9]+'), lambda s: lower(s)) AS x)) WHERE length(t) >= 2 GROUP BY t ORDER BY p LIMIT 32))"
 bench_query("h14_query_terms", f"{ORDERED_TERMS} AS terms", lambda: dict(terms=F.array_join(text.query_terms(text_()), " ")))
-bench_query("f01_candidate_budget", "least(200, greatest(40, 5 * (length(text) % 60 + 1)))::INTEGER AS budget, least(200, greatest(20, 3 * (length(text) % 60 + 1)))::INTEGER AS scope",
-            lambda: dict(budget=F.least(F.lit(200), F.greatest(F.lit(40), 5 * (F.length("text") % 60 + 1))).cast("int"), scope=F.least(F.lit(200), F.greatest(F.lit(20), 3 * (F.length("text") % 60 + 1))).cast("int")))
+
+
+def budgets(spark, d):
+    """Budgets of requests for as many hits as an item has different words, and how many of the documents that hold its first word they admit."""
+    words = F.array_distinct(search.tokens(F.coalesce("text", F.lit(""))))
+    asked = read(spark, d, "benchmark").select("item_id", F.get(words, F.lit(0)).alias("term"), F.least(F.size(words), F.lit(100)).alias("top_k"))
+    df = read(spark, d, "documents").select(F.explode(F.array_distinct(search.tokens(F.col("text")))).alias("term")).join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    budget, scope = planner.candidate_budget(F.col("top_k")), planner.scope_budget(F.col("top_k"))
+    return asked.join(df, "term", "left").select("item_id", "top_k", budget.alias("budget"), scope.alias("scope"), F.least(F.coalesce("df", F.lit(0)), budget).cast("int").alias("admitted"))
+
+
+QUERIES["f01_candidate_budget"] = budgets
+SQL["f01_candidate_budget"] = """WITH w AS (SELECT item_id, list_transform(regexp_extract_all(text, '[0-9A-Za-z_一-鿿]+'), lambda x: lower(x)) AS w FROM benchmark),
+q AS (SELECT item_id, w[1] AS term, least(len(list_distinct(w)), 100) AS k FROM w),
+n AS (SELECT term, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '[0-9A-Za-z_一-鿿]+'), lambda x: lower(x)))) AS term FROM documents) GROUP BY 1)
+SELECT item_id, k::INTEGER AS top_k, least(200, greatest(40, 5 * k))::INTEGER AS budget, least(least(200, greatest(40, 5 * k)), greatest(20, 3 * k))::INTEGER AS scope, least(coalesce(df, 0), 200, greatest(40, 5 * k))::INTEGER AS admitted FROM q LEFT JOIN n USING (term)"""
 CLAMPED = "CASE WHEN TRY_CAST({0} AS INTEGER) IS NULL THEN -1 ELSE least(greatest(TRY_CAST({0} AS INTEGER), 1), 100) END"
 _WORD, _CUT = "regexp_extract(text, '[A-Za-z0-9]+')", "concat(length(regexp_extract(text, '[A-Za-z0-9]+')) * 30 - 50)"
 bench_query("h38_clamp", f"{CLAMPED.format(_WORD)}::INTEGER AS of_word, {CLAMPED.format(_CUT)}::INTEGER AS of_length",
@@ -357,12 +372,30 @@ events_query("h37_timestamps", "strftime(ts,'%Y-%m-%d %H:%M:%S') AS local, strft
              lambda: dict(local=F.date_format(ts_(), "yyyy-MM-dd HH:mm:ss"), utc=F.date_format(ts_(), "yyyy-MM-dd'T'HH:mm:ss'Z'"), month_key=F.date_format(ts_(), "yyMM"), day_key=F.date_format(ts_(), "yyMMdd")))
 
 
-def escaped_():
-    return F.concat(F.lit("{\\\"k\\\": \\\""), F.get_json_object("props", "$.k"), F.lit("\\\", \"k\": \""), F.get_json_object("props", "$.k"), F.lit("\", 'k': 7}"))
+# Links of pages as fields of JSON that is plain, escaped once, escaped twice, or written with entities and codes, by their first letter.
+ESCAPED = (
+    ("[A-H]", '\\"link\\":\\"\\/{}\\"'), ("[I-Z]", '\\\\\\"link\\\\\\": \\\\\\"\\/{}\\\\\\"'),
+    ("[a-m]", "&quot;link&quot;:&quot;\\u002F{}&quot;"), ("[n-z]", '"link" : " /{} "'),
+)
+
+
+def escaped_links():
+    out = F.coalesce("html", F.lit(""))
+    for first, form in ESCAPED:
+        out = F.regexp_replace(out, f'href="/({first}[^"&<]*)"', form.replace("\\", "\\\\").replace("{}", "$1"))
+    return out
+
+
+def link_values(spark, d):
+    """Distinct links out of JSON with escapes, in the order of the forms that show them."""
+    return read(spark, d, "pages").select("page_id", F.array_join(text.escaped_values(escaped_links(), "link"), ",").alias("found"))
 
 
-events_query("h40_escaped_field", "concat(json_extract_string(props,'$.k'), CASE WHEN json_extract_string(props,'$.k') = '7' THEN '' ELSE ',7' END) AS found",
-             lambda: dict(found=F.array_join(F.array_distinct(F.regexp_extract_all(F.regexp_replace(F.regexp_replace(escaped_(), r'\\\\?"', '"'), "'", '"'), F.lit(r'"k"\s*:\s*"?([^",}]+)"?'), F.lit(1))), ",")))
+QUERIES["h40_escaped_field"] = link_values
+SQL["h40_escaped_field"] = """WITH l AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), 'href="/([A-Za-z][^"&<]*)"', 1) AS l FROM pages),
+v AS (SELECT page_id, unnest(l) AS v, unnest(range(1, len(l) + 1)) AS p FROM l),
+f AS (SELECT page_id, v, min(p) AS p, CASE WHEN regexp_matches(v, '^[n-z]') THEN 0 WHEN regexp_matches(v, '^[A-Z]') THEN 1 ELSE 2 END AS form FROM v GROUP BY ALL)
+SELECT page_id, coalesce(string_agg(concat('/', trim(v)), ',' ORDER BY form, p), '') AS found FROM pages LEFT JOIN f USING (page_id) GROUP BY page_id"""
 
 # --- Markdown of conversations -------------------------------------------------------------
 QUERIES["h12_section_text"] = lambda spark, d: conversations_markdown(spark, d).select("conv_id", markdown.section_text(markdown.sections(F.col("markdown")), ["assist"]).alias("content"))

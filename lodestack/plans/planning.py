@@ -100,8 +100,7 @@ SQL["b13_evidence_class"] = CAND + " SELECT query_id, record_id, coalesce(eviden
 
 def scope(spark, d, rows=None):
     rows = classed(spark, d) if rows is None else rows
-    limit = F.least(F.least(F.lit(200), F.greatest(F.lit(40), 5 * F.col("top_k"))), F.greatest(F.lit(20), 3 * F.col("top_k")))
-    return planner.source_scope(rows.where("evidence_kind IS NOT NULL"), limit)
+    return planner.source_scope(rows.where("evidence_kind IS NOT NULL"), planner.scope_budget(F.col("top_k")))
 
 
 for _n in ("d09_source_score", "e02_source_scope"):

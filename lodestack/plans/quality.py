@@ -177,14 +177,15 @@ SQL["k01_corpus_checks"] = DOCS + "SELECT 'length' AS check, 'advisory' AS sever
 
 
 def counters(spark, d):
-    """Totals stated by an index against what is there, as drift rows."""
-    p = read(spark, d, "pages")
-    links = F.size(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))
-    have = p.agg(F.count(F.lit(1)).alias("pages"), F.sum(links).alias("links"), F.sum(F.when(F.col("page_id") % 2 == 0, 1).otherwise(0)).alias("stated"))
-    return have.select("pages", "links", "stated", (F.col("pages") != F.col("stated")).alias("drift"))
+    """By site: the pages, their links, the number of pages that its addresses state, and whether it drifts from the pages there are."""
+    p = read(spark, d, "pages").select(F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1).alias("site"), F.coalesce("html", F.lit("")).alias("html"), F.regexp_extract("url", "[?&]page=([0-9]{1,9})", 1).try_cast("long").alias("page"))
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    have = p.groupBy("site").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.size(links)).alias("links"), F.coalesce(F.max("page"), F.lit(0)).alias("stated"))
+    return have.withColumn("drift", F.col("stated") != F.col("pages"))
 
 
-SQL["d24_corpus_counters"] = """SELECT count(*) AS pages, sum(len(regexp_extract_all(html,'href="([^"]*)"',1)))::BIGINT AS links, sum(CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS stated, count(*) <> sum(CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END) AS drift FROM pages"""
+SQL["d24_corpus_counters"] = """WITH p AS (SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS site, regexp_extract_all(coalesce(html, ''), 'href="([^"]*)"', 1) AS l, TRY_CAST(regexp_extract(url, '[?&]page=([0-9]{1,9})', 1) AS BIGINT) AS page FROM pages)
+SELECT *, stated <> pages AS drift FROM (SELECT site, count(*) AS pages, sum(len(l))::BIGINT AS links, coalesce(max(page), 0) AS stated FROM p GROUP BY 1)"""
 
 
 # --- aggregates of measurements ------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import ids, vectors
-from lodestack.operators import diff, order, records, search, vector_fill
+from lodestack.operators import diff, order, records, relocation, search, vector_fill
 from lodestack.plans.columns import CID, DOCS, TYPE
 from lodestack.sources.tables import conversations_markdown, corpus, read, scratch, stored
 
@@ -456,13 +456,16 @@ SQL["d03_count_audit"] = "SELECT * FROM (SELECT source, count(*) AS expected, co
 
 
 def build_gate(spark, d):
-    """One row: inserted equals expected and no record lacks its hash."""
-    r = records_of(spark, d)
-    n = read(spark, d, "documents").agg(F.count(F.lit(1)).alias("expected"))
-    return r.agg(F.count(F.lit(1)).alias("inserted"), F.count_if(F.col("content_hash").isNull()).alias("failures")).crossJoin(n).withColumn("ok", (F.col("inserted") == F.col("expected")) & (F.col("failures") == 0))
+    """By source and language whether a build may be used: each record has its vector, and none breaks the rules of texts (length as stated, 20 characters at least)."""
+    e = read(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.lit(1).alias("has"))
+    t = F.coalesce("text", F.lit(""))
+    broken = (F.length(F.trim(t)) < 20) | (F.coalesce("n_chars", F.lit(-1)) != F.length(t))
+    n = read(spark, d, "documents").join(e, "doc_id", "left").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("expected"), F.count("has").alias("inserted"), F.count_if(broken).alias("failures"))
+    return n.withColumn("ok", (F.col("inserted") == F.col("expected")) & (F.col("failures") == 0))
 
 
-SQL["k11_build_gate"] = "SELECT count(*) AS inserted, 0::BIGINT AS failures, count(*) AS expected, true AS ok FROM documents"
+SQL["k11_build_gate"] = """SELECT *, inserted = expected AND failures = 0 AS ok FROM (SELECT source, lang, count(*) AS expected, count(vec_id) AS inserted,
+ count(*) FILTER (WHERE length(trim(coalesce(text, ''))) < 20 OR coalesce(n_chars, -1) <> length(coalesce(text, ''))) AS failures FROM documents LEFT JOIN embeddings ON vec_id = doc_id GROUP BY 1, 2)"""
 
 
 def artifact_join(spark, d):
@@ -510,21 +513,33 @@ def workspace_gate(spark, d):
 SQL["k10_workspace_gate"] = f"SELECT count(*) AS paths, count(*) FILTER (WHERE NOT ok) AS lacking, sum(expected)::BIGINT AS expected, sum(sections)::BIGINT AS sections, count(*) > 0 AND bool_and(ok) AS passed FROM ({SQL['c17_path_coverage']})"
 
 
+def turn_blocks(turns):
+    """(span_id, source_id, start, block): each turn as it stands in a document of these turns, and its heading alone."""
+    block = F.concat(F.lit("## "), F.col("role"), F.lit("\n"), F.coalesce("text", F.lit("")))
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    rows = turns.select("conv_id", "turn", block.alias("block")).withColumn("start", F.coalesce(F.sum(F.size(F.split("block", "\n", -1))).over(before), F.lit(0)) + 1)
+    whole = rows.select(F.concat_ws(":", "turn", F.lit("turn")).alias("span_id"), F.col("conv_id").alias("source_id"), "start", "block")
+    return whole.unionByName(rows.select(F.concat_ws(":", "turn", F.lit("heading")).alias("span_id"), F.col("conv_id").alias("source_id"), "start", F.split("block", "\n")[0].alias("block")))
+
+
 def relocated(spark, d):
-    """Stored lines found again: current, relocated (one match elsewhere), ambiguous, stale or missing."""
-    lines = conversations_markdown(spark, d).select("conv_id", F.split("markdown", "\n").alias("now"))
-    stored = lines.where("size(now) > 1").select("conv_id", F.get("now", F.lit(1)).alias("line"), F.when(F.col("conv_id") % 3 == 0, 1).otherwise(0).alias("at"))
-    stored = stored.withColumn("line", F.when(F.col("conv_id") % 5 == 0, "gone").otherwise(F.col("line")))
-    here = lines.where("conv_id % 11 <> 0")
-    j = stored.join(here, "conv_id", "left")
-    n = F.size(F.filter("now", lambda x: x == F.col("line")))
-    state = F.when(F.col("now").isNull(), "missing").when(F.get("now", F.col("at")) == F.col("line"), "current").when(n == 1, "relocated").when(n > 1, "ambiguous").otherwise("stale")
-    return j.select("conv_id", state.alias("state"))
-
-
-SQL["i15_relocation"] = """WITH p AS (SELECT conv_id, string_split(string_agg(concat('## ', role, chr(10), text), chr(10) ORDER BY turn), chr(10)) AS l FROM conversations GROUP BY 1),
-s AS (SELECT conv_id, l, CASE WHEN conv_id % 5 = 0 THEN 'gone' ELSE l[2] END AS line, CASE WHEN conv_id % 3 = 0 THEN 2 ELSE 1 END AS pos FROM p WHERE len(l) > 1)
-SELECT conv_id, CASE WHEN conv_id % 11 = 0 THEN 'missing' WHEN l[pos] = line THEN 'current' WHEN len(list_filter(l, lambda x: x = line)) = 1 THEN 'relocated' WHEN len(list_filter(l, lambda x: x = line)) > 1 THEN 'ambiguous' ELSE 'stale' END AS state FROM s"""
+    """Spans stored of conversations without their system turns, found again in what stood before the last turn; conversations of two turns are gone."""
+    turns = read(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    spans = turn_blocks(turns.where("role <> 'system'"))
+    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    part = F.concat(F.lit("## "), "role", F.lit("\n"), F.coalesce("text", F.lit("")))
+    parts = turns.join(last, "conv_id").where("turn < last AND last > 1").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", part.alias("part")))).alias("p"))
+    sources = parts.select(F.col("conv_id").alias("source_id"), F.array_join("p.part", "\n").alias("text"))
+    return relocation.relocated(spans, sources).select(F.col("source_id").alias("conv_id"), "span_id", "state", F.coalesce("line", F.lit(0)).alias("line"))
+
+
+SQL["i15_relocation"] = """WITH t AS (SELECT conv_id, turn, role, concat('## ', role, chr(10), text) AS block, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations),
+s AS (SELECT conv_id, turn, string_split(block, chr(10)) AS l, coalesce(sum(len(string_split(block, chr(10)))) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS start FROM t WHERE role <> 'system'),
+p AS (SELECT conv_id, concat(turn, ':turn') AS span_id, start, l FROM s UNION ALL SELECT conv_id, concat(turn, ':heading'), start, l[1:1] FROM s),
+c AS (SELECT conv_id, string_split(string_agg(block, chr(10) ORDER BY turn), chr(10)) AS now FROM t WHERE turn < last AND last > 1 GROUP BY 1),
+m AS (SELECT p.*, c.now, list_filter(range(1, len(now) + 1), lambda i: now[i:i + len(l) - 1] = l) AS hits FROM p LEFT JOIN c USING (conv_id)),
+o AS (SELECT *, CASE WHEN now IS NULL THEN 'missing' WHEN list_contains(hits, start) THEN 'current' WHEN len(hits) = 1 THEN 'relocated' WHEN len(hits) > 1 THEN 'ambiguous' ELSE 'stale' END AS state FROM m)
+SELECT conv_id, span_id, state, CASE state WHEN 'current' THEN start WHEN 'relocated' THEN hits[1] ELSE 0 END::INTEGER AS line FROM o"""
 
 
 def allocated(rows, taken, parts=None):

@@ -242,18 +242,22 @@ SELECT query_id, source, p AS place, n AS blocks, CASE WHEN p <= 8 THEN 'must_re
 
 
 def duplicate_scan(spark, d):
-    """Documents that hold a benchmark item's longest word in their first 16 KiB, at most 20 a query."""
-
-    longest = F.array_max(F.transform(search.tokens(F.col("query")), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
-    asked = _queries(spark, d).select("query_id", longest.alias("term"))
-    words = read(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(search.tokens(F.substring("text", 1, 16384)))).alias("term"))
-    w = Window.partitionBy("query_id").orderBy("doc_id")
-    return asked.join(words, "term").withColumn("rank", F.row_number().over(w).cast("int")).where("rank <= 20").select("query_id", "doc_id", "rank")
-
-
-SQL["c12_duplicate_scan"] = f"""WITH q AS (SELECT item_id AS query_id, list_max(list_transform({TOK}, lambda t: row(length(t), t)))[2] AS term FROM benchmark),
-v AS (SELECT DISTINCT doc_id, unnest({TOK.replace('text', 'left(text,16384)')}) AS term FROM documents)
-SELECT query_id, doc_id, rank FROM (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id)::INTEGER AS rank FROM q JOIN v USING (term)) WHERE rank <= 20"""
+    """Documents that hold any of an item's three longest words, also inside of longer ones, in their first 16 KiB; at most 20 a query, by path."""
+    words = F.array_distinct(search.tokens(F.coalesce("query", F.lit(""))))
+    longest = F.slice(F.reverse(F.array_sort(F.transform(words, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))), 1, 3)
+    asked = stored(_queries(spark, d).select("query_id", F.explode(longest["t"]).alias("term")))
+    have = corpus(spark, d).select("doc_id", "path", F.explode(F.array_distinct(search.tokens(F.substring("text", 1, 16384)))).alias("word"))
+    held = search.holding(have.select("word").distinct(), asked.select("term").distinct())
+    found = have.join(held, "word").join(asked, "term").select("query_id", "doc_id", "path").distinct()
+    w = Window.partitionBy("query_id").orderBy("path", "doc_id")
+    return found.withColumn("rank", F.row_number().over(w).cast("int")).where("rank <= 20").select("query_id", "doc_id", "rank")
+
+
+SQL["c12_duplicate_scan"] = f"""{DOCS}, q0 AS (SELECT item_id AS query_id, list_distinct({TOK}) AS w FROM benchmark),
+q AS (SELECT query_id, unnest(list_reverse_sort(list_transform(w, lambda t: {{'n': length(t), 't': t}}))[1:3]).t AS term FROM q0),
+v AS (SELECT doc_id, path, lower(left(text, 16384)) AS low FROM d),
+m AS (SELECT DISTINCT query_id, doc_id, path FROM q JOIN v ON contains(low, term))
+SELECT query_id, doc_id, rank FROM (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY path, doc_id)::INTEGER AS rank FROM m) WHERE rank <= 20"""
 
 QUERIES = {
     "i04_bm25": bm25, "f03_lexical_topk": bm25, "f02_vector_topk": vector_topk, "i06_vector_search": filtered_search, "i07_hybrid_search": hybrid,
