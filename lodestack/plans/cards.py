@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import excerpt, text
-from lodestack.operators import includes
+from lodestack.operators import includes, main_file
 from lodestack.plans.columns import DOCS
 from lodestack.plans.papers import quoted
 from lodestack.plans.planning import STOP, TERMS
@@ -48,16 +48,50 @@ k AS (SELECT doc_id, n, trim(line) AS s, CASE WHEN regexp_matches(trim(line), '{
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY n) AS i FROM k WHERE kind IS NOT NULL)
 SELECT doc_id, kind, count(*) AS cards, min(n)::INTEGER AS first, arg_min(left(s, 180), n) AS heading FROM r WHERE i <= {CARD_LIMIT} GROUP BY 1, 2"""
 
-def main_file(spark, d):
-    """The main file of each source: by markers, sections and size; every document is a file of its source."""
-    c = corpus(spark, d)
-    score = F.when(F.col("text").rlike("(?m)^[A-Z][a-z]{1,3} "), 100).otherwise(0) + F.size(F.split("text", "\n")) + F.when(F.col("path").rlike("^(_meta|notes)/"), -1000).otherwise(0)
-    best = F.min_by(F.struct("path", "score"), F.struct((-F.col("score")).alias("s"), "path"))
-    return c.withColumn("score", score).groupBy("source").agg(best.alias("b")).select("source", "b.path", F.col("b.score").cast("long").alias("score"))
 
+# Words of documents stand for the commands of TeX files, and their first words for names of files.
+TEX_MARKS = (
+    (r"(?m)^([A-Z][a-z]{2,4}) ", "\\section{$1} "), (r" ([a-z]{8}), ", " \\input {$1}, "), (r"\. ([A-Z][a-z]{5,7})\.", ". \\title{$1}\\maketitle."),
+    (r", ([a-z]{6})\.", ", \\begin{document}."), (r" ([a-z]{3}), ([a-z]{3}) ", " \\begin{abstract} $1, $2 "), (r" ([a-z]{10}) ([a-z]{2}) ", " % $1 $2 "),
+)
+NAME_MARKS = ((r"^([A-C][a-z]*)$", "main_$1"), (r"^([P-S][a-z]*)$", "parts/appendix-$1"), (r"^([T-Z][a-z]*)$", "$1/macros"))
+
+
+def tex_files(spark, d):
+    """(project, path, tex): documents of one source and language as files of a project; those that begin with the same word are told by their folders."""
+    tex, name = F.coalesce("text", F.lit("")), F.regexp_extract(F.coalesce("text", F.lit("")), "([A-Za-z]+)", 1)
+    for pattern, mark in TEX_MARKS:
+        tex = F.regexp_replace(tex, pattern, mark.replace("\\", "\\\\"))
+    for pattern, mark in NAME_MARKS:
+        name = F.regexp_replace(name, pattern, mark)
+    return corpus(spark, d).select(F.concat_ws("/", "source", "lang").alias("project"), F.concat(name, F.lit("-"), F.col("doc_id").cast("string"), F.lit(".tex")).alias("path"), F.explode(F.array(tex)).alias("tex"))
+
+
+def main_file_rows(spark, d):
+    """The main file of each project by prose, sections, includes, markers and names."""
+    return main_file.main_files(tex_files(spark, d))
+
+
+def _main_file_sql() -> str:
+    tex, name, prose = "coalesce(text, '')", "regexp_extract(coalesce(text, ''), '([A-Za-z]+)', 1)", "tex"
+    for pattern, mark in TEX_MARKS:
+        tex = f"regexp_replace({tex}, {quoted(pattern)}, {quoted(re.sub(r'[$]([12])', r'\\\1', mark.replace(chr(92), chr(92) * 2)))}, 'g')"
+    for pattern, mark in NAME_MARKS:
+        name = f"regexp_replace({name}, {quoted(pattern)}, {quoted(mark.replace('$', chr(92)))})"
+    for pattern in main_file.NO_PROSE:
+        prose = f"regexp_replace({prose}, {quoted(pattern)}, ' ', 'g')"
+    return rf"""WITH f AS (SELECT concat_ws('/', source, lang) AS project, concat({name}, '-', doc_id, '.tex') AS path, {tex} AS tex FROM documents),
+s AS (SELECT project, path, least(length(trim({prose})), 20000) AS prose, len(regexp_extract_all(tex, '\\(?:sub){{0,2}}section\*?\{{')) AS sections, len(regexp_extract_all(tex, '\\(?:input|include)\s*\{{')) AS includes, contains(tex, '\begin{{document}}') AS doc,
+ contains(lower(tex), '\begin{{abstract}}') OR regexp_matches(lower(tex), '\\abstract\b') AS abs, contains(tex, '\maketitle') AS made, regexp_matches(tex, '\\title\s*(?:\[[^\]]*\]\s*)?\{{\s*[^\s{{}}]') AS title,
+ list_contains(['main.tex', 'paper.tex', 'article.tex', 'ms.tex', 'manuscript.tex'], split_part(lower(path), '/', -1)) OR ends_with(lower(path), '_main.tex') OR starts_with(split_part(lower(path), '/', -1), 'main_') OR contains(lower(path), '/main') AS main,
+ len(list_filter(['defs', 'macro', 'preamble', 'supplement', 'appendix'], lambda x: contains(lower(path), x))) > 0 AS support FROM f),
+c AS (SELECT *, prose // 80 + sections * 20 + includes * 15 + doc::INTEGER * 100 + abs::INTEGER * 80 + made::INTEGER * 20 + title::INTEGER * 20 AS score FROM s),
+u AS (SELECT *, CASE WHEN support THEN 'all_usable' WHEN main OR doc OR abs OR title THEN 'preferred_main' ELSE 'non_support' END AS pool FROM c
+ WHERE (prose >= 120 AND (doc OR abs OR sections >= 2) AND (score >= 120 OR main)) OR (main AND includes > 0 AND (doc OR title)))
+SELECT project, path, score::BIGINT AS score, prose::INTEGER AS prose, pool, usable_files FROM (SELECT *, count(*) OVER (PARTITION BY project) AS usable_files, row_number() OVER (PARTITION BY project ORDER BY pool = 'all_usable', pool = 'non_support', score DESC, prose DESC, path) AS n FROM u) WHERE n = 1"""
 
 
-SQL["m04_main_file"] = DOCS + "SELECT source, path, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, path) AS n FROM (SELECT source, path, CASE WHEN regexp_matches(text, '(?m)^[A-Z][a-z]{1,3} ') THEN 100 ELSE 0 END + len(string_split(text,chr(10))) + CASE WHEN regexp_matches(path,'^(_meta|notes)/') THEN -1000 ELSE 0 END AS score FROM d)) WHERE n = 1"
+SQL["m04_main_file"] = _main_file_sql()
 
 
 def abstract_spans(spark, d):
@@ -273,6 +307,6 @@ SELECT page_id, CASE WHEN NOT asked OR len(x) = 0 THEN 0 WHEN sized AND len(list
  CASE WHEN coalesce(best, 0) > 0 THEN best + 1 ELSE 0 END::INTEGER AS formula FROM n LEFT JOIN s USING (page_id)"""
 
 QUERIES = {
-    "m01_inventory": inventory, "m04_main_file": main_file,
+    "m01_inventory": inventory, "m04_main_file": main_file_rows,
     "h28_abstract_spans": abstract_spans, "h25_base64_vectors": vectors_as_text, "h39_provider_rows": provider_rows, "j08_include_closure": include_walk, "h19_excerpts": excerpts, "h20_number_cue": cues,
 }

@@ -129,10 +129,10 @@ SQL["a07_cache_write"] = "SELECT md5((vec_id % 300)::VARCHAR) AS vector_hash, ma
 
 def deleted(spark, d):
     r = records_of(spark, d)
-    return diff.delete(r, r.where("doc_id % 3 = 0").select("record_type", "record_id"), ["record_type", "record_id"]).groupBy("record_type").agg(F.count(F.lit(1)).alias("rows"))
+    return diff.delete(r, r.join(read(spark, d, "documents").where(F.col("text").rlike(GONE)), "doc_id", "left_semi").select("record_type", "record_id"), ["record_type", "record_id"]).groupBy("record_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
-SQL["a10_keyed_delete"] = REC + "SELECT record_type, count(*) AS rows FROM rec WHERE doc_id % 3 <> 0 GROUP BY 1"
+SQL["a10_keyed_delete"] = REC + "SELECT record_type, count(*) AS rows FROM rec WHERE NOT regexp_matches(coalesce(text, ''), '^[A-D]') GROUP BY 1"
 
 
 def rendered(spark, d):
@@ -329,18 +329,28 @@ SELECT doc_id, CASE WHEN held THEN 'reused' WHEN f = '' THEN 'embedded' ELSE 'fa
 
 
 # --- differences ---------------------------------------------------------------------------
+FRESH, GONE, CHANGED = "[0-9]{4}", "^[A-D]", "[.] I"  # texts that only the newer version has, that only the older one has, that differ
+
+
 def _versions(spark, d):
-    """Two versions of the documents: some changed, some gone, some new."""
-    docs = read(spark, d, "documents").select("doc_id", "lang", "source", diff.fingerprint(F.col("text")).alias("print"))
-    after = docs.where("doc_id % 10 <> 3").withColumn("print", F.when(F.col("doc_id") % 10 == 4, F.sha2("print", 256)).otherwise(F.col("print")))
-    return docs.where("doc_id % 10 <> 5"), after
+    """Two versions of the documents: by their texts some changed, some gone, some new."""
+    docs = read(spark, d, "documents").select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("t"), diff.fingerprint(F.col("text")).alias("print"))
+    after = docs.where(~F.col("t").rlike(GONE)).withColumn("print", F.when(F.col("t").rlike(CHANGED), F.sha2("print", 256)).otherwise(F.col("print")))
+    return docs.where(~F.col("t").rlike(FRESH)).drop("t"), after.drop("t")
+
+
+VERSIONS = f"""WITH v AS (SELECT *, regexp_matches(coalesce(text, ''), '{FRESH}') AS fresh, regexp_matches(coalesce(text, ''), '{GONE}') AS gone, regexp_matches(coalesce(text, ''), '{CHANGED}') AS differs FROM documents),
+c AS (SELECT doc_id, CASE WHEN fresh THEN 'added' WHEN gone THEN 'deleted' ELSE 'updated' END AS change FROM v WHERE NOT (fresh AND gone) AND (fresh OR gone OR differs)) """
+
+
+SQL["d03_count_audit"] = VERSIONS + "SELECT * FROM (SELECT source, lang, count(*) FILTER (WHERE NOT fresh) AS expected, count(*) FILTER (WHERE NOT gone) AS found FROM v GROUP BY 1, 2) WHERE expected <> found"
 
 
 def changes(spark, d):
     return diff.keyed_diff(*_versions(spark, d), "doc_id", "print")
 
 
-SQL["g01_keyed_diff"] = "SELECT doc_id, CASE doc_id % 10 WHEN 5 THEN 'added' WHEN 3 THEN 'deleted' ELSE 'updated' END AS change FROM documents WHERE doc_id % 10 IN (3,4,5)"
+SQL["g01_keyed_diff"] = VERSIONS + "SELECT * FROM c"
 
 
 def change_summary(spark, d):
@@ -348,7 +358,7 @@ def change_summary(spark, d):
     return c.withColumn("changed", F.col("added") + F.col("updated") + F.col("deleted") > 0)
 
 
-SQL["g02_delta_summary"] = "SELECT count(*) FILTER (WHERE doc_id % 10 = 5) AS added, count(*) FILTER (WHERE doc_id % 10 = 4) AS updated, count(*) FILTER (WHERE doc_id % 10 = 3) AS deleted, true AS changed FROM documents"
+SQL["g02_delta_summary"] = VERSIONS + "SELECT count(*) FILTER (WHERE change = 'added') AS added, count(*) FILTER (WHERE change = 'updated') AS updated, count(*) FILTER (WHERE change = 'deleted') AS deleted, count(*) > 0 AS changed FROM c"
 
 
 def prints(spark, d):
@@ -364,15 +374,17 @@ def applied(spark, d):
     return diff.apply_diff(before, after, "doc_id", "print").select("doc_id", "lang", "print")
 
 
-SQL["g04_incremental_apply"] = "SELECT doc_id, lang, CASE WHEN doc_id % 10 = 4 THEN sha256(sha256(text)) ELSE sha256(text) END AS print FROM documents WHERE doc_id % 10 <> 3"
+SQL["g04_incremental_apply"] = VERSIONS + "SELECT doc_id, lang, CASE WHEN differs THEN sha256(sha256(text)) ELSE sha256(text) END AS print FROM v WHERE NOT gone"
 
 
 def source_difference(spark, d):
-    docs = read(spark, d, "documents")
-    return docs.select("source").subtract(docs.where("doc_id % 2 = 0").select("source"))
+    """Beginnings of texts, by source, that the older version has and the newer one lost."""
+    texts = read(spark, d, "documents").select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, 1).alias("initial"))
+    before, after = (v.join(texts, "doc_id").select("source", "initial") for v in _versions(spark, d))
+    return before.subtract(after)
 
 
-SQL["g07_source_difference"] = "SELECT source FROM documents EXCEPT SELECT source FROM documents WHERE doc_id % 2 = 0"
+SQL["g07_source_difference"] = VERSIONS + "SELECT source, left(coalesce(text, ''), 1) AS initial FROM v WHERE NOT fresh EXCEPT SELECT source, left(coalesce(text, ''), 1) FROM v WHERE NOT gone"
 
 
 def ledger(spark, d):
@@ -407,7 +419,7 @@ def freshness(spark, d):
     return a.join(b, a["doc_id"] == b["_id"], "full_outer").select(F.coalesce("doc_id", "_id").alias("doc_id"), code.alias("code")).where("code IS NOT NULL")
 
 
-SQL["g12_freshness"] = "SELECT doc_id, CASE doc_id % 10 WHEN 5 THEN 'missing' WHEN 3 THEN 'stale' ELSE 'mismatch' END AS code FROM documents WHERE doc_id % 10 IN (3,4,5)"
+SQL["g12_freshness"] = VERSIONS + "SELECT doc_id, CASE change WHEN 'added' THEN 'missing' WHEN 'deleted' THEN 'stale' ELSE 'mismatch' END AS code FROM c"
 
 
 def file_prints(spark, d):
@@ -446,13 +458,11 @@ SQL["d02_table_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS
 
 
 def count_audit(spark, d):
-    """Keys whose found count is not the expected one."""
-    want = read(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("expected"))
-    got = read(spark, d, "documents").where("doc_id % 20 <> 3 AND doc_id % 20 <> 4 OR doc_id % 40 = 3").groupBy("source").agg(F.count(F.lit(1)).alias("found"))
-    return want.join(got, "source", "full_outer").na.fill(0).where("expected <> found").select("source", "expected", "found")
+    """Sources and languages whose count in the newer version is not that of the older one."""
+    want, got = (v.groupBy("source", "lang").agg(F.count(F.lit(1)).alias(n)) for v, n in zip(_versions(spark, d), ("expected", "found"), strict=True))
+    return want.join(got, ["source", "lang"], "full_outer").na.fill(0, ["expected", "found"]).where("expected <> found").select("source", "lang", "expected", "found")
 
 
-SQL["d03_count_audit"] = "SELECT * FROM (SELECT source, count(*) AS expected, count(*) FILTER (WHERE (doc_id % 20 <> 3 AND doc_id % 20 <> 4) OR doc_id % 40 = 3) AS found FROM documents GROUP BY 1) WHERE expected <> found"
 
 
 def build_gate(spark, d):
