@@ -1,18 +1,20 @@
 r"""Files that TeX sources include, followed from their main files.
 
 Commands \input and \include are read from the texts, in order; what follows \appendix in a file belongs
-to the appendix, and so does all that is included from there. A depth-first walk meets each
-file first by its smallest path of ordinals, so that the walk is a fixpoint: labels (the path of
-ordinals from the main file) go along edges, and of several labels of a file the smallest stays. A
-label never enters a file that is on its own trail; such an edge is a cycle.
+to the appendix, and so does all that is included from there. Reading, looking up names and telling
+what was met are joins over all files. The order of a depth-first walk can't be found in
+parallel, and its paths are nearly as long as a project has files: each project's includes go to one
+task for it, as numbers, each pair of files once; a file's place in the walk and the last
+place below it then tell which files are on its trail.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestack.operators import order
 from lodestack.sources.tables import stored
 
 EVENTS = r"\\appendix\b|\\(?:input|include)\s*\{([^{}]+)\}"
@@ -52,27 +54,54 @@ def resolved(found: DataFrame, files: DataFrame) -> DataFrame:
     return rows.select("project", "path", "place", "include", "appendix", target.alias("target"), F.when(target.isNull(), F.coalesce("refused", missing)).alias("reason"))
 
 
-def closure(roots: DataFrame, edges: DataFrame) -> DataFrame:
-    """(project, root, path, role, parent, ordinals, trail): every file met from the main files (project, path), by its smallest path of ordinals.
-
-    Each round joins the labels that have changed with the edges; it ends when none changes.
+def _visited(roots: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """Files of one project in the order in which a depth-first walk from each root meets them."""
+    edges = edges.sort_values(["source", "place"])
+    nodes = np.unique(np.concatenate([roots["id"], edges["source"], edges["target"]]).astype("int64"))
+    begins = np.searchsorted(nodes.searchsorted(edges["source"]), np.arange(len(nodes) + 1)).tolist()
+    targets, appendix = nodes.searchsorted(edges["target"]).tolist(), edges["appendix"].tolist()
+    out = []
+    for root in nodes.searchsorted(roots["id"]).tolist():
+        number, last, later, parent = np.full(len(nodes), -1), np.zeros(len(nodes), "int64"), np.zeros(len(nodes), bool), np.full(len(nodes), -1)
+        following, stack, met = begins[:-1], [root], 1
+        number[root] = 0
+        while stack:
+            at = stack[-1]
+            edge = following[at]
+            if edge == begins[at + 1]:
+                last[at] = met - 1
+                stack.pop()
+                continue
+            following[at] += 1
+            there = targets[edge]
+            if number[there] < 0:
+                number[there], later[there], parent[there] = met, later[at] or appendix[edge], nodes[at]
+                stack.append(there)
+                met += 1
+        seen = number >= 0
+        out.append(pd.DataFrame({"root_id": nodes[root], "id": nodes[seen], "parent_id": parent[seen], "appendix": later[seen], "number": number[seen], "last": last[seen]}))
+    return pd.concat(out) if out else pd.DataFrame(columns=["root_id", "id", "parent_id", "appendix", "number", "last"])
+
+
+def closure(roots: DataFrame, edges: DataFrame, files: DataFrame) -> DataFrame:
+    """(project, root, path, role, parent, number, last): every file met from the main files (project, path) of `files`.
+
+    number is a file's place in the walk from its root, last the last place among the files met below it.
     """
-    edges = stored(edges.where("target IS NOT NULL").select(F.col("project").alias("_p"), F.col("path").alias("_from"), "place", "target", "appendix"))
-    none = F.array().cast("array<int>")
-    best = stored(roots.distinct().select("project", F.col("path").alias("root"), "path", none.alias("ordinals"), F.array("path").alias("trail"), F.lit("body").alias("role"), F.lit("").alias("parent")))
-    frontier = best
-    while not frontier.isEmpty():
-        met = frontier.join(edges, (F.col("project") == F.col("_p")) & (F.col("path") == F.col("_from"))).where(~F.array_contains("trail", F.col("target")))
-        label = F.struct(
-            F.array_append("ordinals", F.col("place")).alias("ordinals"), F.array_append("trail", F.col("target")).alias("trail"),
-            F.when(F.col("appendix"), "appendix").otherwise(F.col("role")).alias("role"), F.col("path").alias("parent"),
-        )
-        smallest = met.groupBy("project", "root", F.col("target").alias("path")).agg(F.min(label).alias("l")).select("project", "root", "path", "l.*")
-        before = best.select("project", "root", "path", F.col("ordinals").alias("_before"))
-        frontier = stored(smallest.join(before, ["project", "root", "path"], "left").where("_before IS NULL OR ordinals < _before").drop("_before"))
-        kept = best.join(frontier.select("project", "root", "path"), ["project", "root", "path"], "left_anti")
-        best = stored(kept.unionByName(frontier))
-    return best
+    names = stored(files.select("project", "path").distinct().withColumn("id", F.monotonically_increasing_id()))
+    source, target = (names.select("project", F.col("path").alias(k), F.col("id").alias(f"{k}_id")) for k in ("path", "target"))
+    pairs = edges.where("target IS NOT NULL").groupBy("project", "path", "target").agg(F.min(F.struct("place", "appendix")).alias("e"))
+    pairs = pairs.join(source, ["project", "path"]).join(target, ["project", "target"]).select("project", F.col("path_id").alias("source"), F.col("target_id").alias("target"), "e.place", "e.appendix")
+    begin = roots.select("project", "path").distinct().join(names, ["project", "path"]).select("project", "id")
+
+    def visit(roots: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        return _visited(roots, edges)
+
+    met = begin.groupBy("project").cogroup(pairs.groupBy("project")).applyInPandas(visit, "root_id long, id long, parent_id long, appendix boolean, number long, last long")
+    root, parent = (names.select(F.col("id").alias(f"{k}_id"), F.col("path").alias(k)) for k in ("root", "parent"))
+    return met.join(names, "id").join(root, "root_id").join(parent, "parent_id", "left").select(
+        "project", "root", "path", F.when(F.col("appendix"), "appendix").otherwise("body").alias("role"), F.coalesce("parent", F.lit("")).alias("parent"), "number", "last",
+    )
 
 
 def walk(files: DataFrame, roots: DataFrame) -> DataFrame:
@@ -83,10 +112,11 @@ def walk(files: DataFrame, roots: DataFrame) -> DataFrame:
     these is the place in the file. Files that no main file meets are not told.
     """
     edges = stored(resolved(events(files), files))
-    units = stored(closure(roots, edges))
-    numbered = order.running_number(units, ["project", "root"], ["ordinals"], "number")
-    told = numbered.select("project", "root", F.lit("unit").alias("kind"), "path", F.col("parent").alias("other"), "role", F.col("number") - 1)
-    met = units.select("project", "root", "path", "trail").join(edges, ["project", "path"])
-    cycles = met.where(F.array_contains("trail", F.col("target"))).select("project", "root", F.lit("cycle"), "path", "target", F.lit(""), F.col("place").cast("long"))
+    units = stored(closure(roots, edges, files))
+    told = units.select("project", "root", F.lit("unit").alias("kind"), "path", F.col("parent").alias("other"), "role", "number")
+    met = units.select("project", "root", "path", "number").join(edges, ["project", "path"])
+    again = units.select("project", "root", F.col("path").alias("target"), F.col("number").alias("_first"), F.col("last").alias("_last"))
+    cycles = met.join(again, ["project", "root", "target"]).where("number BETWEEN _first AND _last")
+    cycles = cycles.select("project", "root", F.lit("cycle"), "path", "target", F.lit(""), F.col("place").cast("long"))
     lost = met.where("target IS NULL").select("project", "root", F.lit("include_unresolved"), "path", "include", "reason", F.col("place").cast("long"))
     return told.union(cycles).union(lost).toDF("project", "root", "kind", "path", "other", "role", "number")

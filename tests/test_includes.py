@@ -70,3 +70,16 @@ def test_random_projects(spark, seed):
         names = ["main", *"abcdefgh"]
         projects[f"p{p}"] = {f"{n}.tex": "".join(rng.choice(["\\appendix ", "\\input{%s}", "\\include{%s}"]).replace("%s", rng.choice([*names, "zz"])) for _ in range(rng.randint(0, 4))) for n in names}
     check(spark, projects)
+
+
+def test_a_chain_of_many_files_takes_few_jobs(spark):
+    n = 300
+    chain = {"main.tex": r"\input{f0}", **{f"f{i}.tex": rf"\input{{f{i + 1}}}\input{{f{i // 2}}}" for i in range(n)}, f"f{n}.tex": r"\input{main}"}
+    rows = spark.createDataFrame([("p", path, tex) for path, tex in chain.items()], FILES)
+    spark.sparkContext.setJobGroup("chain", "")
+    got = includes.walk(rows, spark.createDataFrame([("p", "main.tex")], "project string, path string")).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("chain")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.path for r in sorted(got, key=lambda r: r.number) if r.kind == "unit"] == list(chain)
+    assert sum(r.kind == "cycle" for r in got) == n + 1
+    assert len(jobs) < 60
