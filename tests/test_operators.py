@@ -288,3 +288,18 @@ def test_page_queries_equal_their_sql_on_references_that_are_cut_or_unknown_to_i
     # the operator itself decodes them all, as the standard library does
     one = spark.createDataFrame([("a &amp</b> &quot;b&quot; &copy",)], "t string").select(text.sanitised(F.col("t")))
     assert one.first()[0] == 'a &</b> "b" ©'
+
+
+def test_slugs_name_each_step_once(spark):
+    import re
+
+    rng = random.Random(5)
+    texts = ["", "---", " -a", "ä" * 200 + "Z", *("".join(rng.choice("aB9一ä -/\n") for _ in range(rng.randint(0, 300))) for _ in range(60))]
+
+    def want(t, most):
+        whole = re.sub("[^0-9A-Za-z一-鿿]+", "-", t).strip("-").lower() or "item"
+        return whole[:most].strip("-") or "item"
+
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", ids.slug(F.col("t"), 40).alias("s"))
+    assert [r.s for r in frame.collect()] == [want(t, 40) for t in texts] + [None]
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 5
