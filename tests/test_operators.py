@@ -303,3 +303,13 @@ def test_slugs_name_each_step_once(spark):
     frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", ids.slug(F.col("t"), 40).alias("s"))
     assert [r.s for r in frame.collect()] == [want(t, 40) for t in texts] + [None]
     assert frame._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 5
+
+
+def test_brief_cards_are_the_cards_without_their_texts(spark):
+    source = r"\section{A \emph{b}} x \begin{theorem}[T]\label{t}y\end{theorem}\begin{proof}z\end{proof}" + "\n" + r"\begin{table}\caption{Score {of} a}\label{u}1 & 2\end{table}\begin{figure}\caption{c}\end{figure}\begin{equation}q\label{e}\end{equation}\subsection{Results}"
+    frame = spark.createDataFrame([(source * 3,), ("",), (None,)], "t string")
+    for kind in tex.PATTERNS:
+        whole, brief = (frame.select(tex.cards(F.col("t"), kind, b).alias("c")) for b in (False, True))
+        keys = ("kind", "place", "name", "label", "title")
+        assert [[tuple(x[k] for k in keys) for x in r.c or ()] for r in whole.collect()] == [[tuple(x[k] for k in keys) for x in r.c or ()] for r in brief.collect()]
+        assert all(x.excerpt is None and x.line_end is None for r in brief.collect() for x in r.c or ())
