@@ -313,3 +313,9 @@ def test_brief_cards_are_the_cards_without_their_texts(spark):
         keys = ("kind", "place", "name", "label", "title")
         assert [[tuple(x[k] for k in keys) for x in r.c or ()] for r in whole.collect()] == [[tuple(x[k] for k in keys) for x in r.c or ()] for r in brief.collect()]
         assert all(x.excerpt is None and x.line_end is None for r in brief.collect() for x in r.c or ())
+
+
+def test_told_cards_make_their_papers_once(spark, sf):
+    from lodestack.plans import papers
+
+    assert papers.told_cards(spark, sf)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
