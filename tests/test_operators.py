@@ -319,3 +319,13 @@ def test_told_cards_make_their_papers_once(spark, sf):
     from lodestack.plans import papers
 
     assert papers.told_cards(spark, sf)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_lines_count_the_front_matter_once_for_a_note(spark):
+    from lodestack.plans import notes
+
+    md = "---\ntitle: x\n---\na\n\n| b |"
+    rows = notes.lines_of(spark.createDataFrame([(1, "p", "raw", md), (2, "q", "raw", "one")], "doc_id long, path string, role string, md string"))
+    assert sorted((r.doc_id, r.n, r.line) for r in rows.collect()) == [(1, 4, "a"), (1, 5, ""), (1, 6, "| b |"), (2, 1, "one")]
+    above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)
+    assert "length(" not in above and "length(" in below
