@@ -329,3 +329,10 @@ def test_lines_count_the_front_matter_once_for_a_note(spark):
     assert sorted((r.doc_id, r.n, r.line) for r in rows.collect()) == [(1, 4, "a"), (1, 5, ""), (1, 6, "| b |"), (2, 1, "one")]
     above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)
     assert "length(" not in above and "length(" in below
+
+
+def test_heading_kinds_make_their_key_once(spark):
+    titles = ["Method: x", "> **Results** and future work", "Open questions", "nothing", "TLDR limitation", None]
+    frame = spark.createDataFrame([(t,) for t in titles], "t string").select(F.array_join(markdown.heading_kinds(F.col("t")), ",").alias("k"))
+    assert [r.k for r in frame.collect()] == ["methodology", "results,future", "questions", "", "summary,limitations", ""]
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 4
