@@ -336,3 +336,15 @@ def test_heading_kinds_make_their_key_once(spark):
     frame = spark.createDataFrame([(t,) for t in titles], "t string").select(F.array_join(markdown.heading_kinds(F.col("t")), ",").alias("k"))
     assert [r.k for r in frame.collect()] == ["methodology", "results,future", "questions", "", "summary,limitations", ""]
     assert frame._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 4
+
+
+def test_unescaping_sends_only_references_to_python(spark):
+    import html
+
+    rng = random.Random(3)
+    bits = ["&", "amp", ";", "#", "38", "x26", "&copy", "&#10;", "&NewLine;", "&notit;", "&nosuch;", " ", "\n", "é", "😀", "lt", "&&amp;", "z" * 40]
+    texts = ["", "&", "none", *("".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(120))]
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select(text.unescaped(F.col("t")).alias("u"))
+    assert [r.u for r in frame.collect()] == [html.unescape(t) for t in texts] + [None]
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "decode(CASE WHEN" in plan and "regexp_extract_all" in plan.split("decode(", 2)[-1].split("\n")[0]
