@@ -348,3 +348,11 @@ def test_unescaping_sends_only_references_to_python(spark):
     assert [r.u for r in frame.collect()] == [html.unescape(t) for t in texts] + [None]
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert "decode(CASE WHEN" in plan and "regexp_extract_all" in plan.split("decode(", 2)[-1].split("\n")[0]
+
+
+def test_front_matter_sends_only_the_front_to_python(spark):
+    texts = ["---\na: 1\n---\n" + "x" * 5000, "---\u00a0\nb: [c, d]\n---\x1c\nrest", "---\na: 1\n---x\nb: 2\n---", "no front " + "x" * 5000, "", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.m for r in frame.select(markdown.front_matter(F.col("t")).alias("m")).collect()] == [None if t is None else markdown.front_of(t) for t in texts]
+    sent = frame.select(F.length(markdown.front("t")).alias("n")).collect()
+    assert [r.n for r in sent] == [13, 20, 22, 0, 0, None]
