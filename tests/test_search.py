@@ -59,3 +59,17 @@ def test_passages_of_any_length(spark):
     got = {(r.item_id, r.doc_id) for r in search.passages(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(passages)), "item_id long, passage string")).collect()}
     want = {(i, d) for i, p in enumerate(passages) if p and plain_terms(p) for d, t in docs if t and p in t}
     assert got == want
+
+
+def test_fallback_shuffles_texts_not_their_tokens(spark):
+    docs = [(i, " ".join(f"alpha{j} beta{j} w{(i + j) % 50}" for j in range(20)), f"raw/{i}.md", "src", "text") for i in range(400)]
+    asked = [(q, f"alpha{q} beta1 w{q} alpha zz") for q in range(5)]
+    spark.sparkContext.setJobGroup("fallback", "fallback")
+    try:
+        assert search.like_fallback(spark.createDataFrame(docs, DOCS), spark.createDataFrame(asked, "query_id long, query string"), 3).count() == 15
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup("fallback") for s in tracker.getJobInfo(j).stageIds}
+    ran = [s for s in stages if tracker.getStageInfo(s)]
+    assert sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in ran) < 1000  # 400 texts; they have 24,000 tokens
