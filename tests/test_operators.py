@@ -356,3 +356,17 @@ def test_front_matter_sends_only_the_front_to_python(spark):
     assert [r.m for r in frame.select(markdown.front_matter(F.col("t")).alias("m")).collect()] == [None if t is None else markdown.front_of(t) for t in texts]
     sent = frame.select(F.length(markdown.front("t")).alias("n")).collect()
     assert [r.n for r in sent] == [13, 20, 22, 0, 0, None]
+
+
+def test_cards_look_for_each_environment_once(spark):
+    """Matches are made once a kind and told from their openings; runs of blanks, not single ones, are rewritten."""
+    from lodestack.functions import tex, text
+
+    frame = spark.createDataFrame([("x\\begin{lemma}a  b\\end{lemma}\n y \\begin{claim*}c\\end{claim*} \\begin{lemma}open",), ("",), (None,)], "t string")
+    cards = frame.select(tex.cards(F.col("t"), "statement").alias("c"))
+    assert [[(x.place, x.name, x.excerpt, x.line_start) for x in r.c or ()] for r in cards.collect()] == [[(1, "lemma", "a b", 1), (2, "claim", "c", 2)], [], []]
+    assert cards._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
+    blanks = spark.createDataFrame([(" a b\t c\n\nd\u00a0 e\x0b",)], "t string").select(text.squeeze(F.col("t")).alias("s"))
+    assert blanks.first().s == "a b c d\u00a0 e"
+    many = spark.createDataFrame([("\\begin{table}x\\end{table}\n" * 45,)], "t string").select(tex.cards(F.col("t"), "table").alias("c")).first().c
+    assert [(x.place, x.line_start) for x in many] == [(i, i) for i in range(1, 41)]
