@@ -370,3 +370,9 @@ def test_cards_look_for_each_environment_once(spark):
     assert blanks.first().s == "a b c d\u00a0 e"
     many = spark.createDataFrame([("\\begin{table}x\\end{table}\n" * 45,)], "t string").select(tex.cards(F.col("t"), "table").alias("c")).first().c
     assert [(x.place, x.line_start) for x in many] == [(i, i) for i in range(1, 41)]
+
+
+def test_plain_words_cut_comments_once(spark, sf):
+    from lodestack.plans import papers
+
+    assert papers.plain_words(spark, sf)._jdf.queryExecution().optimizedPlan().toString().count("%[^") == 1
