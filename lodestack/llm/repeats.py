@@ -114,7 +114,15 @@ class Contexts:
 
 def first_places(key: np.ndarray, rank: np.ndarray, start: np.ndarray, within: bool) -> np.ndarray:
     """True where an equal key stands at an earlier place."""
-    order = np.lexsort((start, rank, key))
+    order = np.lexsort((start, rank))
+    out = np.zeros(len(key), bool)
+    out[order] = after_equals(key[order], rank[order], start[order], within)
+    return out
+
+
+def after_equals(key: np.ndarray, rank: np.ndarray, start: np.ndarray, within: bool) -> np.ndarray:
+    """first_places of rows that are in order of rank and start."""
+    order = np.argsort(key, kind="stable")
     k, r, s = key[order], rank[order], start[order]
     lead = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, int)
     first = np.repeat(lead, np.diff(np.append(lead, len(k))))

@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts_of
-from .repeats import Contexts, Kind, Records, covered, first_places, repeated, with_spans
+from .repeats import Contexts, Kind, Records, after_equals, covered, repeated, with_spans
 from .tokens import BASE, mixed
 
+ENTRIES = 8192  # of a first level: what one task of the scan sends to a bucket gets less, the more buckets there are
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
@@ -121,6 +122,8 @@ def scan(level: Level, rank: np.ndarray, kind: Kind) -> None:
     place = np.empty(len(back), np.int64)
     place[back] = np.arange(len(back))
     live = np.flatnonzero(low <= high)
+    # in order of documents and places, which is the same for all windows that start d bytes before
+    live = live[np.lexsort((level.start[live] + level.lead[live], rank[level.doc[live]]))]
     for d in range(beyond + 1) if len(live) else ():  # bytes of the window before its sampled place
         which = live[(low[live] <= d) & (d <= high[live])]
         which = which[~level.done[which, level.lead[which] - d]]
@@ -128,7 +131,7 @@ def scan(level: Level, rank: np.ndarray, kind: Kind) -> None:
             continue
         right, left = np.cumsum(ahead < length - d)[which], np.cumsum(behind < d)[place[which]]
         w = level.lead[which] - d
-        seen = first_places(right * (len(back) + 1) + left, rank[level.doc[which]], level.start[which] + w, kind.within)
+        seen = after_equals(right * (len(back) + 1) + left, rank[level.doc[which]], level.start[which] + w, kind.within)
         level.done[which[seen], w[seen]] = True
 
 
@@ -171,10 +174,23 @@ class SuffixLevels:
         return Records.windows(np.zeros(len(doc), "u8"), np.zeros(len(doc), "u8"), doc, start)
 
 
+def batched(many: list[Contexts], least: int):
+    """Neighbours joined until they hold `least` entries, so that a scan pays for more than its own calls."""
+    some, size = [], 0
+    for c in many:
+        some.append(c)
+        size += len(c.seed)
+        if size >= least:
+            yield Contexts.join(some)
+            some, size = [], 0
+    if some:
+        yield Contexts.join(some)
+
+
 def by_levels(many: list[Contexts], rank: np.ndarray, kind: Kind) -> Records:
     """Windows of a bucket that stand earlier too, batch by batch."""
     family = SuffixLevels(rank, kind)
-    for batch in many:
+    for batch in batched(many, ENTRIES):
         family.add(batch)
     return family.close()
 

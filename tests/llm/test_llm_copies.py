@@ -255,3 +255,23 @@ def test_levels_stay_few():
 def test_digest_columns(spark, sf):
     got = substring_dedup.query(spark, sf).first()
     assert len(got.kept_sha256) == len(hashlib.sha256().hexdigest())
+
+
+def test_small_batches_share_a_level(monkeypatch):
+    kind = suffix_levels.byte_windows(20, 4)
+    rng = np.random.default_rng(5)
+    many = []
+    for d in range(40):
+        text = np.tile(rng.integers(97, 100, 40).astype("u1"), 2) if d % 2 else rng.integers(97, 99, 120).astype("u1")
+        r = repeats.segments(kind, [suffix_levels._BYTE[text]])
+        sizes = r.count.astype(int) - 1 + kind.length
+        many.append(repeats.Contexts(r.seed, np.full(len(r.seed), d, "u4"), r.start, r.count, r.lead, np.cumsum(sizes) - sizes, text[repeats._stretches(r.start.astype(int), sizes)]))
+    scans, scan, found = [], suffix_levels.scan, []
+    monkeypatch.setattr(suffix_levels, "scan", lambda *args: scans.append(1) or scan(*args))
+    for least in (1, 100, suffix_levels.ENTRIES):
+        monkeypatch.setattr(suffix_levels, "ENTRIES", least)
+        scans.clear()
+        r = kind.extend(many, np.arange(40), kind)
+        found.append((set(zip(r.doc.tolist(), r.start.tolist(), strict=True)), len(scans)))
+    assert found[0][0] and found[0][0] == found[1][0] == found[2][0]
+    assert found[0][1] >= 40 > found[1][1] > found[2][1] == 1
