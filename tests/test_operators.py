@@ -114,6 +114,12 @@ def test_sections(spark):
     assert got[1].s == [] and got[2].s is None
 
 
+def test_sections_with_line_ends_of_both_kinds(spark):
+    text = "##no\r\n## a ##\r\nx\r\n\r\n#### in\n# top\n### b\r\n## c\r\r\ny\r"
+    got = spark.createDataFrame([(text,)], "t string").select(markdown.sections(F.col("t")).alias("s")).first().s
+    assert [tuple(s) for s in got] == [(0, 2, "a", "x\n\n#### in\n# top\n### b"), (1, 2, "c", "y\r")]
+
+
 def test_front_matter(spark):
     doc = "---\ntitle: \"A: b\"\ntags: [x, 'y']\nsources:\n  - p/q.md\n  - \"r\"\n# c\nempty:\ntitle: last\n---\nbody"
     m = spark.createDataFrame([(doc,)], "t string").select(markdown.front_matter(F.col("t")).alias("m"), markdown.body(F.col("t")).alias("b")).first()

@@ -4,9 +4,11 @@ import os
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lodestack.plans import notes, streams
 from lodestack.sources.tables import read_folders, scratch
 from lodestack.streaming import jobs
 
@@ -100,3 +102,18 @@ def test_parts_touch_their_folders_only(spark):
     assert now() == want
     run(spark.createDataFrame([(7, "back", 3)], docs), 2)
     assert (7, "back") in now() and kept & files()
+
+
+def test_notes_of_both_states_are_made_once(spark, sf, monkeypatch):
+    made, plain = spark.sparkContext.accumulator(0), notes.notes
+
+    def counted(spark, d):
+        def count(md: pd.Series) -> pd.Series:
+            made.add(len(md))
+            return md
+
+        return plain(spark, d).withColumn("md", F.pandas_udf(count, "string")("md"))
+
+    monkeypatch.setattr(notes, "notes", counted)
+    streams.incremental_spans(spark, sf)
+    assert made.value == spark.read.parquet(f"{sf}/documents.parquet").count()
