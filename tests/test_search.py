@@ -1,5 +1,6 @@
 """Substring search and passages against plain scans."""
 
+import math
 import random
 import re
 
@@ -73,3 +74,41 @@ def test_fallback_shuffles_texts_not_their_tokens(spark):
     stages = {s for j in tracker.getJobIdsForGroup("fallback") for s in tracker.getJobInfo(j).stageIds}
     ran = [s for s in stages if tracker.getStageInfo(s)]
     assert sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in ran) < 1000  # 400 texts; they have 24,000 tokens
+
+
+def shuffled(spark, job):
+    """Records that the stages of a job write to shuffles."""
+    spark.sparkContext.setJobGroup(job.__name__, job.__name__)
+    try:
+        job()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup(job.__name__) for s in tracker.getJobInfo(j).stageIds}
+    return sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in stages if tracker.getStageInfo(s))
+
+
+def test_words_are_those_of_the_pattern():
+    for text in ["", "A b_C 9", "éİstanbul KA", "数据A b_c é", "\x00\x7f\x85 a　b", "AÉB", "鿿ꀀ一㿿"]:
+        assert [w.decode() for w in search.words_of(text)] == plain_terms(text)
+
+
+def test_short_passages_of_one_begin_and_across_each_other(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("Tabé .") for _ in range(rng.randint(0, 12))) for _ in range(200)] + [None]
+    short = sorted({"".join(rng.choice("Tabé .") for _ in range(rng.randint(1, 4))) for _ in range(60)})
+    for known in (short, []):
+        got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", search.containing(known)("t").alias("p")).collect()
+        assert all(r.p is None if r.t is None else sorted(r.p) == [p for p in known if p in r.t] for r in got)
+
+
+def test_passages_in_many_rounds(spark, monkeypatch):
+    plain = search.rounds
+    monkeypatch.setattr(search, "rounds", lambda keys, most=0: plain(keys, 1))
+    test_passages_of_any_length(spark)
+
+
+def test_passages_shuffle_neither_texts_nor_their_words(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 90}x{j}" for j in range(30))) for i in range(400)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 90}x{j}" for j in range(4, 9))) for i in range(5)] + [(9, "w7x1")], "item_id long, passage string")
+    assert shuffled(spark, lambda: search.passages(docs, items).collect()) < 1000  # 400 texts; they have 12,000 words
