@@ -112,3 +112,38 @@ def test_passages_shuffle_neither_texts_nor_their_words(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 90}x{j}" for j in range(30))) for i in range(400)], "doc_id long, text string")
     items = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 90}x{j}" for j in range(4, 9))) for i in range(5)] + [(9, "w7x1")], "item_id long, passage string")
     assert shuffled(spark, lambda: search.passages(docs, items).collect()) < 1000  # 400 texts; they have 12,000 words
+
+
+def plain_bm25(docs, query, k):
+    """Scores of all documents that hold each of a query's first eight terms."""
+    words = {i: plain_terms(t) for i, t in docs if t is not None}
+    n, avg = len(docs), sum(map(len, words.values())) / len(words)
+    terms = list(dict.fromkeys(plain_terms(query or "")[:8]))
+    df = {t: sum(t in w for w in words.values()) for t in terms}
+    out = []
+    for i, w in words.items():
+        if terms and all(t in w for t in terms):
+            tf = {t: w.count(t) for t in terms}
+            out.append((i, sum(math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(w) / avg)) for t in terms)))
+    return [i for i, _ in sorted(out, key=lambda r: (-round(r[1], 9), r[0]))][:k], dict(out)
+
+
+def test_bm25_like_a_scan_in_rounds_of_terms(spark, monkeypatch):
+    rng, plain = random.Random(7), search.rounds
+    words = "alpha Beta gamma the THE of 数据 é x_1 12".split()
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 12)))) for i in range(80)] + [(90, None), (91, "")]
+    asked = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 4))) for _ in range(15)] + ["alpha zzz", "", None, "é", "the the of", " ".join(words) + " zzz"]
+    for most in (100, 2):
+        monkeypatch.setattr(search, "rounds", lambda keys, _=0, most=most: plain(keys, most))
+        rows = search.bm25(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(asked)), "query_id long, query string"), 7).collect()
+        for q, text in enumerate(asked):
+            order, scores = plain_bm25(docs, text, 7)
+            mine = sorted((r for r in rows if r.query_id == q), key=lambda r: r["rank"])
+            assert [r.doc_id for r in mine] == order
+            assert all(abs(r.score - scores[r.doc_id]) < 1e-5 for r in mine)
+
+
+def test_bm25_shuffles_no_postings(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"t{j}" for j in range(30)) + (" rare" if i % 40 == 0 else "")) for i in range(400)], "doc_id long, text string")
+    asked = spark.createDataFrame([(q, f"rare t{q} t{q + 1} t{q + 2} t{q + 3} t{q + 4}") for q in range(0, 25, 5)], "query_id long, query string")
+    assert shuffled(spark, lambda: search.bm25(docs, asked).collect()) < 3000  # 400 texts have 10,000 postings of these terms
