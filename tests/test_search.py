@@ -4,7 +4,11 @@ import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
+from lodestack.functions import text
 from lodestack.operators import search
+from lodestack.plans import planning
 
 DOCS = "doc_id long, text string, path string, source string, kind string"
 
@@ -147,3 +151,11 @@ def test_bm25_shuffles_no_postings(spark):
     docs = spark.createDataFrame([(i, " ".join(f"t{j}" for j in range(30)) + (" rare" if i % 40 == 0 else "")) for i in range(400)], "doc_id long, text string")
     asked = spark.createDataFrame([(q, f"rare t{q} t{q + 1} t{q + 2} t{q + 3} t{q + 4}") for q in range(0, 25, 5)], "query_id long, query string")
     assert shuffled(spark, lambda: search.bm25(docs, asked).collect()) < 3000  # 400 texts have 10,000 postings of these terms
+
+
+def test_planner_texts_meet_rows_that_are_written(spark, sf, monkeypatch):
+    plans, plain = [], planning.stored
+    monkeypatch.setattr(planning, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or plain(df))
+    planning.evidence(spark, sf)
+    assert "Join" in plans[-1] and "Window" not in plans[-1]  # rows of unknown number would have texts shuffled
+    assert str(text.term_coverage(F.col("t"), F.col("terms"))).count("lower(") == 1
