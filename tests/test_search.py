@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lodestack.functions import text
 from lodestack.operators import search
 from lodestack.plans import planning
+from lodestack.plans import search as plans_search
 
 DOCS = "doc_id long, text string, path string, source string, kind string"
 
@@ -159,3 +160,40 @@ def test_planner_texts_meet_rows_that_are_written(spark, sf, monkeypatch):
     planning.evidence(spark, sf)
     assert "Join" in plans[-1] and "Window" not in plans[-1]  # rows of unknown number would have texts shuffled
     assert str(text.term_coverage(F.col("t"), F.col("terms"))).count("lower(") == 1
+
+
+def test_scores_send_texts_to_python_once(spark, sf, monkeypatch):
+    plans, plain = [], search.stored
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df)
+
+    for module in (search, plans_search):
+        monkeypatch.setattr(module, "stored", noted)
+    plans.append(plans_search.response_scores(spark, sf)._jdf.queryExecution().optimizedPlan().toString())
+    assert sum(p.count("ArrowEvalPython") for p in plans) == 1
+
+
+def test_passages_like_a_scan_of_all_texts(spark, monkeypatch):
+    rng, plain = random.Random(8), search.rounds
+    words = ["a", "B", "ab", "é", "a_b", "数", "数a", "9", "aéb"]
+
+    def some(most):
+        return "".join(rng.choice(words) + rng.choice([" ", ", ", "", " "]) for _ in range(rng.randint(0, most)))
+
+    docs = [(i, some(40)) for i in range(150)] + [(200, None), (201, "")]
+    asked = ["the a of b", "the a of", " a B ", "a B ab é a", "A a B", None, "", "é", ". ,"] + [some(6) for _ in range(150)]
+    asked += [t[i : i + rng.randint(1, 20)] for _, t in docs[:100] if t for i in [rng.randrange(len(t))]]
+    want = {(q, d) for q, p in enumerate(asked) if p and plain_terms(p) for d, t in docs if t and p in t}
+    assert len(want) > 500
+    for most in (1000, 90):
+        monkeypatch.setattr(search, "rounds", lambda keys, _=0, most=most: plain(keys, most))
+        rows = search.passages(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(asked)), "item_id long, passage string")).collect()
+        assert len(rows) == len(want) and {(r.item_id, r.doc_id) for r in rows} == want
+
+
+def test_a_common_beginning_is_no_key():
+    known = [f"One and the same beginning w{i} x{i} end" for i in range(50)] + ["one two three", "two alone"]
+    assert {len(v) for v in search.keyed(known).values()} == {1}
+    assert sorted(p for v in search.keyed(known).values() for p in v) == sorted(known[:-1])
