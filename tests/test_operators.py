@@ -382,3 +382,18 @@ def test_plain_words_cut_comments_once(spark, sf):
     from lodestack.plans import papers
 
     assert papers.plain_words(spark, sf)._jdf.queryExecution().optimizedPlan().toString().count("%[^") == 1
+
+
+def test_embedding_text_of_odd_texts_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    from lodestack.plans import columns
+
+    texts = ["", None, " \n\t", "　", " a  b　 ", "a\x0bb\x0c\n c", "\x0b", "\r\n- a\r", "x" * 5999 + " y", "x" * 5999 + "  y", "\U0001f600 " * 4000, "a.md"]
+    rows = [(i, t, (None, "en", "")[i % 3], (None, "src")[i % 2], 0) for i, t in enumerate(texts)]
+    at = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(at)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{at}/*.parquet'")
+    got = {r.doc_id: r.embedding_text for r in columns.QUERIES["h23_embedding_text"](spark, str(tmp_path)).collect()}
+    assert got == dict(con.sql(columns.SQL["h23_embedding_text"]).fetchall())
