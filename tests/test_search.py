@@ -93,6 +93,30 @@ def shuffled(spark, job):
     return sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in stages if tracker.getStageInfo(s))
 
 
+def test_fallback_reads_texts_where_they_stand(spark):
+    docs = [(i, f"alpha{i % 7} beta{i} w{i % 50}", f"raw/{i}.md", "src", "text") for i in range(2000)]
+    rows, asked = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(q, f"alpha{q} beta1 w{q} zz") for q in range(5)], "query_id long, query string")
+    assert shuffled(spark, lambda: search.like_fallback(rows, asked, 3).collect()) < 500  # 2000 texts
+
+
+def test_fallback_in_rounds_and_parts_of_batches(spark, monkeypatch):
+    monkeypatch.setattr(search, "LIKE_ROUND", 7)
+    monkeypatch.setattr(search, "LIKE_CELLS", 100)
+    test_fallback_like_a_scan(spark)
+
+
+def test_terms_are_found_wherever_they_stand(monkeypatch):
+    rng = random.Random(9)
+    for most in (1 << 22, 40):
+        monkeypatch.setattr(search, "LIKE_BYTES", most)
+        terms = sorted({"".join(rng.choice("ab1据") for _ in range(rng.randint(1, 7))) for _ in range(150)})
+        texts = [search.low("".join(rng.choice("aAb1据 \x00é") for _ in range(rng.choice([0, 1, 5, 90])))) for _ in range(60)]
+        got = search.Held(terms).of(texts)
+        assert [[t.encode() in text for text in texts] for t in terms] == got.tolist()
+    assert search.Held([]).of([b"a"]).shape == (0, 1) and search.Held(["a"]).of([]).shape == (1, 0)
+    assert search.low_ungrouped("K\u212a \u0130\u00c9 1,234{,}567 1,23") == "kk i\u00c9 1234567 1,23".encode()
+
+
 def test_words_are_those_of_the_pattern():
     for text in ["", "A b_C 9", "éİstanbul KA", "数据A b_c é", "\x00\x7f\x85 a　b", "AÉB", "鿿ꀀ一㿿"]:
         assert [w.decode() for w in search.words_of(text)] == plain_terms(text)
