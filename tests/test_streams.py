@@ -117,3 +117,23 @@ def test_notes_of_both_states_are_made_once(spark, sf, monkeypatch):
     monkeypatch.setattr(notes, "notes", counted)
     streams.incremental_spans(spark, sf)
     assert made.value == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_both_arrivals_and_both_tables_reach_the_result(spark, sf, monkeypatch):
+    arrived, plain = [], jobs.parts
+
+    def spied(*args, **kwargs):
+        run = plain(*args, **kwargs)
+
+        def one(batch, number):
+            arrived.append({r.id for r in batch.select("id").collect()})
+            run(batch, number)
+
+        return one
+
+    monkeypatch.setattr(jobs, "parts", spied)
+    rows = streams.incremental_spans(spark, sf).select("doc_id", "part").collect()
+    first, second = arrived
+    assert second and second < first  # notes that changed
+    of = {part: {r.doc_id for r in rows if r.part == part} for part in ("section", "span")}
+    assert of["section"] & second and of["span"] & second and of["span"] - second  # those that did not are kept
